@@ -1,0 +1,28 @@
+"""Small sides of joins: broadcast only after their size has been seen."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tabulark.session import cut_lineage
+
+MAX_SMALL_ROWS = 200_000
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+    """Materialise a summary once. Up to ``max_rows`` it becomes a broadcast local
+    table; beyond that it stays a distributed (checkpointed) table and the join
+    falls back to a shuffle, which adaptive execution splits on skewed keys."""
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
+        return cut_lineage(df)
+    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
+
+
+def small_rows(df: DataFrame, max_rows: int, what: str) -> list:
+    """Driver copy of a summary that must stay small, refused when it is not."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} {what}")
+    return rows
