@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulark import constants as K
-from tabulark.operators.ordered import CHUNK, Chunks, sequence_chunk, time_chunk
+from tabulark.operators.ordered import CHUNK, Chunks, micros, sequence_chunk, time_chunk
+from tabulark.session import stage_table
 
 CHUNK_SECONDS = 86_400.0
+LONGEST_TEXT = 2**31  # no string is longer
 SESSION = Chunks(["sid"], ["ts", "seq"])
 
 
@@ -94,27 +96,37 @@ def letter_commit(
             "run_start": F.max(F.when(F.col("fresh"), F.col("n_accepted"))).over(here),
             # the chunk's first run may continue one of an earlier chunk
             "opened": F.max(open_start.cast("int")).over(here) == 1,
+            "head": F.first("mark", ignorenulls=True).over(here),
+            "tail": F.last("mark", ignorenulls=True).over(here),
+            "breaks": F.sum(F.col("hard").cast("int")).over(here),
+            "is_tail": SESSION.is_tail(),
         }
-    ).withColumn("run_length", F.col("n_accepted") - F.col("run_start") + 1)
-
-    place = SESSION.place()
-    marked = F.col("mark").isNotNull()
-    chunks = SESSION.summary(
-        rows,
+    )
+    length = F.col("n_accepted") - F.col("run_start") + 1
+    rows = rows.withColumns(
         {
-            "head": F.min_by("mark", F.when(marked, place)),
-            "tail": F.max_by("mark", F.when(marked, place)),
-            "tail_run": F.max_by("run_length", F.when(marked, place)),
-            "runs": F.max("run"),
-            "breaks": F.count_if("hard"),
-            "chunk_rearms": F.sum("rearm"),
-        },
+            "run_length": length,
+            "tail_run": F.last(F.when(F.col("mark").isNotNull(), length), ignorenulls=True).over(here),
+            "may_continue": F.col("accepted") & F.col("opened") & (F.col("run") == 1),
+        }
+    )
+    # From here on only rows that can close a full run, and the chunk tails.
+    can_close = F.col("accepted") & (
+        F.col("may_continue") | (F.col("run_length") % stable_frames == 0)
+    )
+    local = stage_table(
+        rows.withColumn("can_close", F.coalesce(can_close, F.lit(False)))
+        .where(F.col("can_close") | F.col("is_tail"))
+        .drop("accepted", "hard", "rearm", "mark", "before", "fresh", "n_accepted", "run_start", "opened"),
+        "runs",
     )
+
+    chunks = local.where("is_tail")
     tail_letter = F.when(~F.col("tail.hard"), F.col("tail.letter"))
     chunks = chunks.withColumn(
         "prior", F.last("tail", ignorenulls=True).over(SESSION.earlier())
     )
-    whole = (F.col("runs") == 1) & (F.col("breaks") == 0)
+    whole = (F.col("run") == 1) & (F.col("breaks") == 0)
     goes_on = whole & F.coalesce(
         ~F.col("prior.hard") & (F.col("prior.letter") == F.col("head.letter")), F.lit(False)
     )
@@ -124,7 +136,7 @@ def letter_commit(
             # an empty chunk is transparent, any other chunk that is not a pure
             # continuation begins a new chain of run lengths
             "new_chain": (F.col("tail").isNotNull() & ~goes_on).cast("int"),
-            "rearms_before": F.coalesce(F.sum("chunk_rearms").over(SESSION.earlier()), F.lit(0)),
+            "rearms_before": F.coalesce(F.sum("rearms").over(SESSION.earlier()), F.lit(0)),
         }
     ).withColumn("chain", F.sum("new_chain").over(SESSION.until()))
     in_chain = (
@@ -134,18 +146,18 @@ def letter_commit(
     chunks = chunks.withColumn("length_after", F.sum("adds").over(in_chain))
     chunks = chunks.withColumns(
         {
-            "carry_length": F.lag("length_after").over(Window.partitionBy("sid").orderBy(CHUNK)),
+            "carry_length": F.lag("length_after").over(SESSION.neighbours()),
             "carry_letter": F.when(~F.col("prior.hard"), F.col("prior.letter")),
         }
     )
-    joined = SESSION.attach(rows, chunks, ["carry_length", "carry_letter", "rearms_before"])
-    continues = (
-        F.col("opened") & (F.col("run") == 1) & (F.col("carry_letter") == F.col("letter"))
+    joined = SESSION.attach(
+        local.where("can_close"), chunks, ["carry_length", "carry_letter", "rearms_before"]
     )
-    length = F.col("run_length") + F.when(
+    continues = F.col("may_continue") & (F.col("carry_letter") == F.col("letter"))
+    carried = F.when(
         F.coalesce(continues, F.lit(False)), F.coalesce("carry_length", F.lit(0))
     ).otherwise(F.lit(0))
-    triggers = joined.where(F.col("accepted") & (length % stable_frames == 0)).select(
+    triggers = joined.where((F.col("run_length") + carried) % stable_frames == 0).select(
         "sid", CHUNK, "ts", "seq", "letter",
         (F.col("rearms") + F.col("rearms_before")).alias("epoch"),
     )
@@ -180,9 +192,12 @@ def auto_space(
             ),
         ),
     )
+    local = stage_table(
+        rows.withColumn("is_tail", SESSION.is_tail()).where(F.col("away") | F.col("is_tail")), "pauses"
+    )
     place = SESSION.place()
-    chunks = SESSION.summary(
-        rows, {"tail_start": F.max_by("start", place), "chunk_hands": F.max("hands")}
+    chunks = local.where("is_tail").select(
+        "sid", CHUNK, F.col("start").alias("tail_start"), F.col("hands").alias("chunk_hands")
     )
     chunks = chunks.withColumn(
         "stretch", F.sum((F.col("chunk_hands") > 0).cast("int")).over(SESSION.until())
@@ -193,11 +208,11 @@ def auto_space(
     )
     chunks = chunks.withColumn("start_after", F.first("tail_start", ignorenulls=True).over(in_stretch))
     chunks = chunks.withColumn(
-        "carried_start", F.lag("start_after").over(Window.partitionBy("sid").orderBy(CHUNK))
+        "carried_start", F.lag("start_after").over(SESSION.neighbours())
     )
-    joined = SESSION.attach(rows.where("away"), chunks, ["carried_start"])
+    joined = SESSION.attach(local.where("away"), chunks, ["carried_start"])
     start = F.when(F.col("hands") == 0, F.coalesce("carried_start", "start")).otherwise(F.col("start"))
-    waited = F.unix_micros("ts") - F.unix_micros(F.col("pause.ts"))
+    waited = micros(F.col("ts")) - micros(F.col("pause.ts"))
     reached = (
         joined.withColumn("pause", start)
         .where(waited >= int(round(gap_seconds * 1_000_000)))
@@ -251,64 +266,53 @@ def text_items(
 def text_fold(items: DataFrame, chunk_seconds: float = CHUNK_SECONDS) -> DataFrame:
     """Final text per session: (sid, text).
 
-    A dropped character is found by heights instead of replay: each push raises
-    and each drop lowers the text length (never below zero), and a character
-    stays exactly if the length never falls below its own height afterwards.
+    A dropped character is found by levels instead of replay: a push raises the
+    level by one, a drop lowers it by one and a reset lowers it by more than any
+    text is long. A pushed character stays exactly if the level never falls
+    below its own afterwards.
     """
     order = Chunks(["sid"], ["ts", "seq", "sub"])
-    rows = _chunked(items, chunk_seconds)
     here, after = order.rows(), order.rows(1, Window.unboundedFollowing)
-
-    resets = F.count_if(F.col("kind") == "reset")
-    rows = rows.withColumn("resets_after", F.coalesce(resets.over(after), F.lit(0)))
-    chunks = order.summary(rows, {"chunk_resets": F.count_if(F.col("kind") == "reset")})
+    step = (
+        F.when(F.col("kind") == "push", 1).when(F.col("kind") == "pop", -1).otherwise(-LONGEST_TEXT)
+    )
+    rows = _chunked(items, chunk_seconds).withColumn("step", step.cast("long"))
+    rows = rows.withColumn("level", F.sum("step").over(here))
+    rows = rows.withColumns(
+        {
+            "low": F.min("level").over(here),
+            "low_after": F.min("level").over(after),
+            "is_tail": order.is_tail(),
+        }
+    )
+    stays = (F.col("kind") == "push") & F.coalesce(
+        F.col("low_after") >= F.col("level"), F.lit(True)
+    )
+    local = stage_table(
+        rows.withColumn("stays", stays).where(F.col("stays") | F.col("is_tail")).select(
+            "sid", CHUNK, *order.order, "ch", "level", "low", "is_tail", "stays"
+        ),
+        "text",
+    )
+    chunks = local.where("is_tail").withColumn(
+        "offset", F.coalesce(F.sum("level").over(order.earlier()), F.lit(0))
+    )
     chunks = chunks.withColumn(
-        "resets_later", F.coalesce(F.sum("chunk_resets").over(order.later()), F.lit(0))
+        "low_later", F.min(F.col("low") + F.col("offset")).over(order.later())
     )
-    rows = order.attach(rows, chunks, ["resets_later"]).where(
-        (F.col("resets_after") == 0) & (F.col("resets_later") == 0)
+    rows = order.attach(local, chunks, ["offset", "low_later"])
+    left = F.col("stays") & F.coalesce(
+        F.col("low_later") >= F.col("level") + F.col("offset"), F.lit(True)
     )
 
-    step = F.when(F.col("kind") == "push", 1).when(F.col("kind") == "pop", -1).otherwise(0)
-    rows = rows.select("sid", CHUNK, *order.order, "kind", "ch", step.alias("step"))
-    rows = rows.withColumn("level", F.sum("step").over(here))
-    rows = rows.withColumn("floor", F.min("level").over(here))
-    chunks = order.summary(rows, {"total": F.sum("step"), "low": F.min("level")})
-    chunks = chunks.withColumn("offset", F.coalesce(F.sum("total").over(order.earlier()), F.lit(0)))
-    chunks = chunks.withColumn(
-        "floor_before",
-        F.coalesce(F.min(F.col("low") + F.col("offset")).over(order.earlier()), F.lit(0)),
-    )
-    rows = order.attach(rows, chunks, ["offset", "floor_before"])
-    height = F.col("level") + F.col("offset") - F.least(
-        F.lit(0), F.col("floor") + F.col("offset"), F.col("floor_before")
-    )
-    rows = rows.select("sid", CHUNK, *order.order, "kind", "ch", height.alias("height"))
-    rows = rows.withColumn("low_after", F.min("height").over(after))
-    chunks = order.summary(rows, {"low_height": F.min("height")})
-    chunks = chunks.withColumn("low_later", F.min("low_height").over(order.later()))
-    rows = order.attach(rows, chunks, ["low_later"])
-    lowest = F.least("low_after", "low_later")
-    stays = (F.col("kind") == "push") & F.coalesce(lowest >= F.col("height"), F.lit(True))
-
-    def joined_text(sort_key: str, piece: Column) -> Column:
-        ordered = F.array_sort(F.collect_list(F.struct(F.col(sort_key).alias("k"), piece.alias("t"))))
+    def joined_text(entries: Column) -> Column:
+        ordered = F.array_sort(F.collect_list(entries))
         return F.array_join(F.transform(ordered, lambda s: s["t"]), "")
 
-    pieces = (
-        rows.withColumn("at", order.place())
-        .groupBy("sid", CHUNK)
-        .agg(
-            F.array_join(
-                F.transform(
-                    F.array_sort(F.collect_list(F.when(stays, F.struct("at", "ch")))),
-                    lambda s: s["ch"],
-                ),
-                "",
-            ).alias("piece")
-        )
-    )
-    return pieces.groupBy("sid").agg(joined_text(CHUNK, F.col("piece")).alias("text"))
+    char = F.struct(order.place().alias("k"), F.col("ch").alias("t"))
+    pieces = rows.groupBy("sid", CHUNK).agg(joined_text(F.when(left, char)).alias("piece"))
+    piece = F.struct(F.col(CHUNK).alias("k"), F.col("piece").alias("t"))
+    return pieces.groupBy("sid").agg(joined_text(piece).alias("text"))
 
 
 def text_snapshot(snapshots: DataFrame) -> DataFrame:
@@ -326,20 +330,23 @@ def monotonic_ts(
     order = Chunks(["sid"], ["seq"])
     rows = frames.withColumn(CHUNK, sequence_chunk(F.col("seq"), chunk_rows))
     rows = rows.withColumn("_n", F.row_number().over(order.lag_rows()))
-    chunks = order.summary(
-        rows,
-        {"_rows": F.count(F.lit(1)), "_excess": F.max(F.col(millis) - F.col("_n"))},
+    rows = rows.withColumns(
+        {
+            "_excess": F.max(F.col(millis) - F.col("_n")).over(order.rows()),
+            "_tail": order.is_tail(),
+        }
     )
-    chunks = chunks.withColumn("_before", F.coalesce(F.sum("_rows").over(order.earlier()), F.lit(0)))
-    chunks = chunks.withColumn(
-        "_best", F.max(F.col("_excess") - F.col("_before")).over(order.earlier())
+    local = stage_table(rows, "arrivals")
+    chunks = local.where("_tail").select(
+        "sid", CHUNK, "_n", F.col("_excess").alias("_top"),
+        F.coalesce(F.sum("_n").over(order.earlier()), F.lit(0)).alias("_offset"),
     )
-    rows = order.attach(rows, chunks, ["_before", "_best"])
-    number = F.col("_n") + F.col("_before")
-    excess = F.max(F.col(millis) - number).over(order.rows())
+    chunks = chunks.withColumn("_best", F.max(F.col("_top") - F.col("_offset")).over(order.earlier()))
+    rows = order.attach(local, chunks, ["_offset", "_best"])
+    excess = F.col("_excess") - F.col("_offset")
     return rows.withColumn(
-        "mono_ms", number + F.greatest(F.lit(0), excess, F.col("_best"))
-    ).drop(CHUNK, "_n", "_before", "_best")
+        "mono_ms", F.col("_n") + F.col("_offset") + F.greatest(F.lit(0), excess, F.col("_best"))
+    ).select(*frames.columns, "mono_ms")
 
 
 def latest_wins(frames: DataFrame, every: str, columns: Sequence[str]) -> DataFrame:

@@ -1,26 +1,35 @@
 """Running values over very long sequences.
 
 A window over a whole session would put a hot session into one task. Here a
-session is cut into chunks (stretches of its own order), windows run inside a
-chunk, and what earlier or later chunks contribute arrives through a table with
-one row per chunk. Rows are shuffled once, by (session, chunk); a hot session
-spreads over as many tasks as it has chunks.
+session is cut into chunks (stretches of its own order) and windows run inside a
+chunk, so a hot session spreads over as many tasks as it has chunks. The last row
+of a chunk then knows what the chunk passes on; those rows form a table with one
+row per chunk, from which every chunk learns what lies before and after it. The
+pass over the rows happens once: only the rows still in question and the chunk
+tails are written out, and joined on (session, chunk).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tabulark.session import stage_table
+
 CHUNK = "chunk"
 
 
+def micros(ts: Column) -> Column:
+    """Microseconds of a timestamp; one without zone is read in the session zone."""
+    return F.unix_micros(ts.cast("timestamp"))
+
+
 def time_chunk(ts: Column, seconds: float) -> Column:
     """Chunk number of a timestamp. With one frame per millisecond at most, a
     chunk holds at most ``1000 * seconds`` rows of a session."""
-    return F.floor(F.unix_micros(ts) / int(seconds * 1_000_000))
+    return F.floor(micros(ts) / int(seconds * 1_000_000))
 
 
 def sequence_chunk(seq: Column, rows: int) -> Column:
@@ -61,9 +70,13 @@ class Chunks:
         """Sortable position of a row inside its session."""
         return F.struct(*[F.col(c) for c in self.order])
 
-    def summary(self, df: DataFrame, aggregates: Mapping[str, Column]) -> DataFrame:
-        """One row per chunk; the rows are already laid out by chunk."""
-        return df.groupBy(*self.keys, CHUNK).agg(*[a.alias(n) for n, a in aggregates.items()])
+    def is_tail(self) -> Column:
+        """True on the last row of a chunk."""
+        return F.lead(F.lit(1)).over(self.lag_rows()).isNull()
+
+    def neighbours(self) -> WindowSpec:
+        """Chunks of a session in order, for lag."""
+        return Window.partitionBy(*self.keys).orderBy(CHUNK)
 
     def attach(self, df: DataFrame, per_chunk: DataFrame, columns: Sequence[str]) -> DataFrame:
         """Bring per-chunk values to the rows of the chunk."""
@@ -71,13 +84,20 @@ class Chunks:
 
     def previous(self, df: DataFrame, value: Column, name: str) -> DataFrame:
         """Value of the row before, across chunk borders (null for the first row)."""
-        staged = df.withColumns({"_value": value, "_lag": F.lag(value).over(self.lag_rows())})
-        tails = self.summary(staged, {"_tail": F.max_by("_value", self.place())})
-        tails = tails.withColumn(
-            "_carried", F.lag("_tail").over(Window.partitionBy(*self.keys).orderBy(CHUNK))
+        local = df.withColumns(
+            {
+                "_value": value,
+                "_before": F.lag(value).over(self.lag_rows()),
+                "_head": F.row_number().over(self.lag_rows()) == 1,
+                "_tail": self.is_tail(),
+            }
+        )
+        local = stage_table(local, "previous")
+        tails = local.where("_tail").select(
+            *self.keys, CHUNK, F.lag("_value").over(self.neighbours()).alias("_carried")
         )
-        joined = self.attach(staged, tails, ["_carried"])
-        first = F.row_number().over(self.lag_rows()) == 1
-        return joined.withColumn(name, F.when(first, F.col("_carried")).otherwise(F.col("_lag"))).drop(
-            "_value", "_lag", "_carried"
+        inner = local.where("NOT _head").withColumn(name, F.col("_before"))
+        heads = self.attach(local.where("_head"), tails, ["_carried"]).withColumn(
+            name, F.col("_carried")
         )
+        return inner.select(*df.columns, name).unionByName(heads.select(*df.columns, name))

@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.session import cut_lineage
+from tabulark.session import stage_table
 
 MAX_SMALL_ROWS = 200_000
 
 
 def small_side(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
     """Materialise a summary once. Up to ``max_rows`` it becomes a broadcast local
-    table; beyond that it stays a distributed (checkpointed) table and the join
+    table; beyond that it stays a distributed (written) table and the join
     falls back to a shuffle, which adaptive execution splits on skewed keys."""
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows > max_rows:
-        return cut_lineage(df)
+        return stage_table(df)
     return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
 
 

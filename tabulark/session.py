@@ -46,12 +46,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so losing an executor does not restart the chain."""
-    shared_folder(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an intermediate to the shared folder and read it back: computed once
+    for all its uses, column-pruned, and safe against the loss of executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager
