@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-PASSENGER_SCHEMA = T.StructType.fromDDL(
+PASSENGER_SCHEMA = (
     "PassengerId INT, Pclass INT, Name STRING, Sex STRING, Age DOUBLE, SibSp INT, Parch INT, "
     "Ticket STRING, Fare DOUBLE, Cabin STRING, Embarked STRING"
 )
-TRAINING_SCHEMA = T.StructType.fromDDL("PassengerId INT, Survived INT").add("Pclass", "int")
-for _field in PASSENGER_SCHEMA.fields[2:]:
-    TRAINING_SCHEMA = TRAINING_SCHEMA.add(_field)
+TRAINING_SCHEMA = PASSENGER_SCHEMA.replace("PassengerId INT,", "PassengerId INT, Survived INT,")
 
 
 def pixel_schema(side: int) -> T.StructType:
@@ -33,7 +31,7 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop)
 
 
-def csv_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def csv_scan(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Headered CSV with doubled quotes, typed by the given schema."""
     reader = spark.read.schema(schema).option("header", True).option("escape", '"')
     try:
