@@ -36,4 +36,5 @@ def has_bad_pixel(pixels: Column) -> Column:
 
 
 def has_missing_pixel(pixels: Column) -> Column:
-    return F.exists(pixels, lambda p: p.isNull())
+    """Any pixel null or not a number."""
+    return F.exists(pixels, lambda p: p.isNull() | F.isnan(p))

@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulark import constants as K
-from tabulark.functions.pixels import pixel_pack, pixel_reshape, pixel_scale
+from tabulark.functions.pixels import has_missing_pixel, pixel_pack, pixel_reshape, pixel_scale
+
+
+WIDE_COLUMNS = 100
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """One of each identical row, nulls equal. Copies are merged before the shuffle;
+    a wide table is compared as one struct, which keeps the generated code small."""
+    if len(df.columns) <= WIDE_COLUMNS:
+        return df.dropDuplicates()
+    return df.select(F.struct(*df.columns).alias("_row")).distinct().select("_row.*")
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -44,12 +51,14 @@ def pixel_dataset(
     """Both given tables cleaned separately, as images with their split kept."""
 
     def prepared(df: DataFrame, split: str) -> DataFrame:
+        # Packed first: everything after works on two columns, however many pixels.
         names = [c for c in df.columns if c != "label"]
-        packed = clean_table(df, classes=classes).select(
-            "label", pixel_pack(names).alias("pixels")
+        whole = dedup_rows(df.select("label", pixel_pack(names).alias("pixels"))).where(
+            F.col("label").isNotNull() & ~has_missing_pixel(F.col("pixels"))
         )
+        kept = label_filter(whole, classes=classes)
         values = pixel_scale(F.col("pixels")) if normalize else F.col("pixels")
-        return packed.select(
+        return kept.select(
             F.lit(split).alias("split"), "label", pixel_reshape(values, side).alias("image")
         )
 

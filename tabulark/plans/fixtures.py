@@ -35,7 +35,7 @@ SELECT c_custkey AS PassengerId,
  CASE WHEN c_custkey % 2 = 1 THEN 'female' ELSE 'male' END AS Sex,
  CASE WHEN c_custkey % 5 = 0 THEN NULL
       ELSE CAST(c_custkey % 79 + 1 AS DOUBLE) END AS Age,
- CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey % 4 END AS SibSp,
+ CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(c_custkey % 4 AS DOUBLE) END AS SibSp,
  c_custkey % 3 AS Parch,
  CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE abs(c_acctbal) / 20 END AS Fare,
  CASE WHEN c_custkey % 4 = 0

@@ -150,7 +150,7 @@ def _(spark, sf):
 @query("schema_info", with_views("passengers", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count({c}) AS non_null, '{t}' AS dtype FROM passengers"
     for c, t in zip(PASSENGER_COLUMNS, [
-        "bigint", "int", "int", "string", "string", "double", "bigint", "bigint", "double",
+        "bigint", "int", "int", "string", "string", "double", "double", "bigint", "double",
         "string", "string"]))))
 def _(spark, sf):
     return profile.schema_info(passengers(spark, sf))
@@ -469,7 +469,7 @@ def _(spark, sf):
 
 CSV_SCHEMA = (
     "PassengerId BIGINT, Survived INT, Pclass INT, Name STRING, Sex STRING, Age DOUBLE, "
-    "SibSp BIGINT, Parch BIGINT, Fare DOUBLE, Cabin STRING, Embarked STRING"
+    "SibSp DOUBLE, Parch BIGINT, Fare DOUBLE, Cabin STRING, Embarked STRING"
 )
 
 
