@@ -181,5 +181,10 @@ def pixel_classifier(
     return _indexed_perceptron(shaped, label, "features", hidden, iterations, seed)
 
 
+def apply_perceptron(model: PipelineModel, df: DataFrame, vector: str = "features") -> DataFrame:
+    """Predicted letter for normalised landmark arrays."""
+    return model.transform(df.withColumn(vector, array_to_vector(vector)))
+
+
 def pixel_vectors(df: DataFrame, pixels: str = "pixels") -> DataFrame:
     return df.withColumn("features", array_to_vector(pixel_scale(F.col(pixels))))

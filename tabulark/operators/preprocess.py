@@ -16,7 +16,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulark import constants as K
@@ -66,18 +66,28 @@ def fit_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def _vocabulary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
+    """Sorted (category, rows) pairs per column; refused beyond a usable width."""
+    counted = small_rows(category_counts(df, columns), MAX_CATEGORIES, "categories to encode")
+    found: dict[str, list] = {c: [] for c in columns}
+    for r in counted:
+        found[r["column"]].append((r["value"], r["count"]))
+    return {c: sorted(pairs) for c, pairs in found.items()}
+
+
 def fit_vocab(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Categories of each column with their place in sorted order."""
-    window = Window.partitionBy("column").orderBy("value")
-    return category_counts(df, columns).select(
-        "column", "value", (F.row_number().over(window) - 1).alias("place")
-    )
+    rows = [
+        (c, value, place)
+        for c, pairs in _vocabulary(df, columns).items()
+        for place, (value, _) in enumerate(pairs)
+    ]
+    return df.sparkSession.createDataFrame(rows, "column string, value string, place int")
 
 
 def _numeric_plan(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float, float]]:
     """(fill, mean, deviation) per column. Scaling sees the imputed column, whose
     moments follow from those of the present values, their number and the fill."""
-    medians = exact_percentiles(df, columns, [0.5])
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for c in columns:
         value = present(df, c).cast("double")
@@ -87,6 +97,7 @@ def _numeric_plan(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[floa
             F.var_pop(value).alias(f"{c}|var"),
         ]
     row = df.agg(*aggregates).first()
+    medians = exact_percentiles(df, columns, [0.5], counts={c: row[f"{c}|n"] for c in columns})
     plan = {}
     for c in columns:
         fill = medians[c][0]
@@ -129,13 +140,7 @@ class TabularPreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritabl
             value = f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {fill!r}D)"
             expressions.append(f"({value} - ({mean!r}D)) / {deviation!r}D AS `num__{c}`")
 
-        vocabulary: dict[str, list] = {c: [] for c in categorical}
-        if categorical:
-            counted = small_rows(
-                category_counts(dataset, categorical), MAX_CATEGORIES, "categories to encode"
-            )
-            for r in counted:
-                vocabulary[r["column"]].append((r["value"], r["count"]))
+        vocabulary = _vocabulary(dataset, categorical) if categorical else {}
         for c, values in vocabulary.items():
             if not values:
                 raise ValueError(f"column {c} has no present value to fit on")
@@ -143,11 +148,10 @@ class TabularPreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritabl
             expressions.append(f"coalesce(CAST(`{c}` AS STRING), '{mode}') AS `fill__{c}`")
         stages.append(SQLTransformer(statement=f"SELECT {', '.join(expressions)} FROM __THIS__"))
 
-        scratch = []
         if categorical:
             indexers = PipelineModel([
                 StringIndexerModel.from_labels(
-                    sorted(v for v, _ in vocabulary[c]),
+                    [value for value, _ in vocabulary[c]],
                     inputCol=f"fill__{c}", outputCol=f"index__{c}", handleInvalid="keep",
                 )
                 for c in categorical
@@ -159,13 +163,13 @@ class TabularPreprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritabl
             )
             shaped = stages[0].transform(dataset.limit(0))
             stages += [indexers, encoder.fit(indexers.transform(shaped))]
-            scratch = [f"{p}__{c}" for p in ("fill", "index", "cat") for c in categorical]
         names = [f"num__{c}" for c in numeric] + [f"cat__{c}" for c in categorical]
         output = self.getOrDefault("outputCol")
         stages.append(VectorAssembler(inputCols=names, outputCol=output))
-        scratch += [f"num__{c}" for c in numeric]
-        keep = [f"`{c}`" for c in dataset.columns if c not in scratch] + [f"`{output}`"]
-        stages.append(SQLTransformer(statement=f"SELECT {', '.join(keep)} FROM __THIS__"))
+        scratch = [f"num__{c}" for c in numeric]
+        scratch += [f"{p}__{c}" for p in ("fill", "index", "cat") for c in categorical]
+        dropped = ", ".join(f"`{c}`" for c in scratch)
+        stages.append(SQLTransformer(statement=f"SELECT * EXCEPT ({dropped}) FROM __THIS__"))
         return PipelineModel(stages)
 
 

@@ -9,7 +9,7 @@ Every round is an ordinary aggregation that keeps about 1/250 of the rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,11 +67,14 @@ def exact_percentiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     gather: int = GATHER_ROWS,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Interpolated percentiles per column, nulls and NaN skipped."""
+    """Interpolated percentiles per column, nulls and NaN skipped. ``counts`` are
+    the numbers of present values, when already known."""
     columns = list(columns)
     values = {c: present(df, c) for c in columns}
-    counts = df.agg(*[F.count(values[c]).alias(c) for c in columns]).first()
+    if counts is None:
+        counts = df.agg(*[F.count(values[c]).alias(c) for c in columns]).first().asDict()
     out: dict[str, list[float | None]] = {}
 
     direct = [c for c in columns if counts[c] <= gather]
