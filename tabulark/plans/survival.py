@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tabulark import constants as K
 from tabulark.functions import passenger as P
 from tabulark.operators import cleaning, evaluation, preprocess, profile, sampling
+from tabulark.operators.small import small_side
 from tabulark.plans.fixtures import view, with_views
 from tabulark.plans.registry import query
-from tabulark.session import scratch_path
+from tabulark.session import scratch_path, session_cache
 from tabulark.sources import tables
 
 RARE = ", ".join(f"'{t}'" for t in K.RARE_TITLES)
@@ -451,6 +452,19 @@ def _(spark, sf):
     return cleaning.min_rows_guard(passengers(spark, sf)).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("session_cache", ENGINEERED + """
+SELECT 'sex' AS kind, Sex AS value, count(*) AS count FROM engineered GROUP BY Sex
+UNION ALL SELECT 'title', Title, count(*) FROM engineered WHERE Title IS NOT NULL GROUP BY Title""")
+def _(spark, sf):
+    """Two small summaries from one cached table."""
+    with session_cache(engineered(spark, sf)) as kept:
+        parts = [
+            small_side(profile.value_counts(kept, c).select(F.lit(k).alias("kind"), F.col(c).alias("value"), "count"))
+            for k, c in (("sex", "Sex"), ("title", "Title"))
+        ]
+    return parts[0].unionByName(parts[1])
+
+
 # --- whole documents ---------------------------------------------------------
 
 @query("dedup_rows", "SELECT DISTINCT text, lang FROM documents")

@@ -7,6 +7,7 @@ source's ``maxFilesPerTrigger`` (or offsets per trigger) bounds it further.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,12 +18,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tabulark import constants as K
 from tabulark.operators.committer import with_actions
+from tabulark.operators.ordered import micros
 
 STATE = (
     "run_letter string, run_length int, last string, text string, "
     "gap_start long, space_done boolean, pending string"
 )
-OUTPUT = "sid long, ts timestamp, seq long, event string, letter string, text string"
+OUTPUT = "sid long, at long, seq long, event string, letter string, text string"
 
 
 @dataclass
@@ -98,58 +100,78 @@ def _missing(value) -> bool:
     return value is None or value != value
 
 
-def _restore(state: GroupState, settings: CommitterSettings) -> tuple[Committer, list]:
-    if not state.exists:
-        return Committer(settings), []
-    run_letter, run_length, last, text, gap_start, space_done, _ = state.get
-    made = Committer(settings, run_letter, int(run_length), last, text, gap_start, bool(space_done))
-    return made, []
+def _entries(parts: list[pd.DataFrame]) -> list[list]:
+    """Arrived rows as [micros, seq, letter, conf, action, ch]."""
+    rows = []
+    for part in parts:
+        for entry in zip(*[part[c] for c in ("at", "seq", "letter", "conf", "action", "ch")]):
+            at, seq, *rest = entry
+            rows.append([int(at), int(seq), *[None if _missing(v) else v for v in rest]])
+    return rows
 
 
 def commit_stream(
     frames: DataFrame,
     settings: CommitterSettings,
     output: str = "events",
+    delay: str | None = None,
 ) -> DataFrame:
     """Committed letters and automatic spaces (``events``, for append sinks), or the
     text of each session touched by a micro-batch (``snapshots``).
 
-    The source is one in-order feed per session; rows of a micro-batch are put in
-    (ts, seq) order, an action before the frame it arrives with by its ``seq``.
+    Rows are put in (ts, seq) order; an action precedes the frame it arrives with
+    by its ``seq``. Without ``delay`` the source is taken to be in order per session
+    and rows are used on arrival. With ``delay`` rows wait in state until the
+    watermark has passed them, so the result does not depend on how rows that are
+    at most that late fall into micro-batches.
     """
-    columns = ["sid", "ts", "seq", "letter", "conf", "action", "ch"]
-    rows = with_actions(frames).select(*columns).withColumn("sid", F.col("sid").cast("long"))
+    rows = with_actions(frames).select(
+        F.col("sid").cast("long").alias("sid"), "ts", micros(F.col("ts")).alias("at"), "seq",
+        "letter", "conf", "action", "ch",
+    )
+    timeout = GroupStateTimeout.NoTimeout
+    if delay is not None:
+        rows = rows.withWatermark("ts", delay)
+        timeout = GroupStateTimeout.EventTimeTimeout
 
     def advance(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        committer, _ = _restore(state, settings)
-        parts = list(batches)
-        table = pd.concat(parts).sort_values(["ts", "seq"], kind="stable")
-        micros = table["ts"].astype("datetime64[us]").astype("int64")
+        committer, waiting = Committer(settings), []
+        if state.exists:
+            *held, pending = state.get
+            committer = Committer(settings, *held)
+            waiting = json.loads(pending)
+        waiting += _entries([] if state.hasTimedOut else list(batches))
+        waiting.sort(key=lambda e: (e[0], e[1]))
+        ready = len(waiting)
+        if delay is not None:
+            passed = state.getCurrentWatermarkMs() * 1000
+            ready = sum(1 for e in waiting if e[0] <= passed)
         out = []
-        for at, ts, seq, letter, conf, action, ch in zip(
-            micros, table["ts"], table["seq"], table["letter"], table["conf"],
-            table["action"], table["ch"],
-        ):
-            letter = None if _missing(letter) else letter
-            if not _missing(action):
-                committer.edit(action, None if _missing(ch) else ch)
+        for at, seq, letter, conf, action, ch in waiting[:ready]:
+            if action is not None:
+                committer.edit(action, ch)
                 continue
-            added = committer.frame(int(at), letter, None if _missing(conf) else conf)
+            added = committer.frame(at, letter, conf)
             if added is not None and output == "events":
-                out.append((key[0], ts, seq, "space" if added == " " else "letter", added, None))
-        if output == "snapshots":
-            tail = table.iloc[-1]
-            out.append((key[0], tail["ts"], tail["seq"], "snapshot", None, committer.text))
+                kind = "space" if added == " " else "letter"
+                out.append((key[0], at, seq, kind, added, None))
+        if output == "snapshots" and ready:
+            at, seq = waiting[ready - 1][:2]
+            out.append((key[0], at, seq, "snapshot", None, committer.text))
+        waiting = waiting[ready:]
         state.update(
             (
                 committer.run_letter, committer.run_length, committer.last, committer.text,
-                committer.gap_start, committer.space_done, None,
+                committer.gap_start, committer.space_done, json.dumps(waiting),
             )
         )
-        yield pd.DataFrame(out, columns=["sid", "ts", "seq", "event", "letter", "text"])
+        if waiting:
+            state.setTimeoutTimestamp(max(waiting[0][0] // 1000, state.getCurrentWatermarkMs()) + 1)
+        yield pd.DataFrame(out, columns=["sid", "at", "seq", "event", "letter", "text"])
 
-    return rows.groupBy("sid").applyInPandasWithState(
-        advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
+    changes = rows.groupBy("sid").applyInPandasWithState(advance, OUTPUT, STATE, "append", timeout)
+    return changes.select(
+        "sid", F.timestamp_micros("at").alias("ts"), "seq", "event", "letter", "text"
     )

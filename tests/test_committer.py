@@ -169,7 +169,7 @@ def test_monotonic(spark):
         assert got == want
 
 
-def _stream(spark, rows, parts, settings, output):
+def _stream(spark, rows, parts, settings, output, delay=None):
     folder, out = scratch_path(spark, "frames"), scratch_path(spark, "out")
     size = max(1, -(-len(rows) // parts))
     for i in range(0, len(rows), size):
@@ -177,7 +177,7 @@ def _stream(spark, rows, parts, settings, output):
         frame(spark, rows[i:i + size]).coalesce(1).write.mode("append").parquet(folder)
     source = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
     query = (
-        commit_stream(source, settings, output).writeStream.outputMode("append")
+        commit_stream(source, settings, output, delay).writeStream.outputMode("append")
         .format("parquet").option("path", out)
         .option("checkpointLocation", scratch_path(spark, "state"))
         .trigger(availableNow=True).start()
@@ -206,3 +206,15 @@ def test_stream_events_equal_batch(spark):
     want = {(r.sid, r.seq, r.letter) for r in commits.collect()}
     want |= {(r.sid, r.seq, " ") for r in spaces.collect()}
     assert got == want
+
+
+def test_late_rows_wait_for_the_watermark(spark):
+    rows = sorted(sessions(8, 12, True), key=lambda r: (r[1], r[2]))
+    # arrival jumbled within one second; a far-off frame at the end moves the watermark
+    rng = random.Random(9)
+    jumbled = sorted(rows, key=lambda r: r[1] + timedelta(milliseconds=rng.randint(0, 900)))
+    jumbled.append((99, BASE + timedelta(days=1), 10**6, None, None, None, None))
+    settings = CommitterSettings(2, 0.5, True, 1.0)
+    shots = _stream(spark, jumbled, 4, settings, "snapshots", "1 second")
+    got = {r.sid: r.text for r in C.text_snapshot(shots).collect() if r.sid != 99}
+    assert got == {sid: m.text for sid, m in run_model(rows, 2, 0.5, 1.0).items()}
