@@ -41,10 +41,11 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             for name, fn in fields.items()
         ]
     ).first()
-    quartiles = exact_percentiles(df, columns, [0.25, 0.5, 0.75])
+    counts = {c: int(moments[f"{c}|count"]) for c in columns}
+    quartiles = exact_percentiles(df, columns, [0.25, 0.5, 0.75], counts=counts)
     rows = [
         (
-            c, int(moments[f"{c}|count"]), moments[f"{c}|mean"], moments[f"{c}|std"],
+            c, counts[c], moments[f"{c}|mean"], moments[f"{c}|std"],
             moments[f"{c}|min"], *quartiles[c], moments[f"{c}|max"],
         )
         for c in columns
