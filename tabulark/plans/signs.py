@@ -300,11 +300,11 @@ def _(spark, sf):
 
 
 @query("class_brightness", PIXEL_ROWS + """
-SELECT label, round(avg(m), 6) AS brightness FROM (SELECT label, pos, avg(pixel) AS m FROM long GROUP BY ALL)
+SELECT label, round(avg(m), 10) AS brightness FROM (SELECT label, pos, avg(pixel) AS m FROM long GROUP BY ALL)
 GROUP BY label""")
 def _(spark, sf):
     out = profile.class_brightness(view(spark, sf, "pixels"), "label", "pixels")
-    return out.withColumn("brightness", F.round("brightness", 6))
+    return out.withColumn("brightness", F.round("brightness", 10))
 
 
 @query("pixel_moments", PIXEL_ROWS + """
