@@ -43,7 +43,7 @@ def landmark_normalize(points: Column, handedness: Column) -> Column:
 
     def turned(moved: Column) -> Column:
         knuckle = F.element_at(moved, K.MIDDLE_KNUCKLE + 1)
-        length = F.hypot(knuckle["x"], knuckle["y"])
+        length = F.sqrt(knuckle["x"] * knuckle["x"] + knuckle["y"] * knuckle["y"])
         # Turning (kx, ky) onto (0, -length) has cosine -ky/length and sine -kx/length.
         frame = F.when(
             length > EPSILON,
@@ -60,7 +60,8 @@ def landmark_normalize(points: Column, handedness: Column) -> Column:
         )
 
     def sized(straight: Column) -> Column:
-        reach = F.array_max(F.transform(straight, lambda p: F.hypot(p["x"], p["y"])))
+        squares = F.transform(straight, lambda p: p["x"] * p["x"] + p["y"] * p["y"])
+        reach = F.sqrt(F.array_max(squares))
         return _bind(
             F.when(reach > 0, reach).otherwise(F.lit(1.0)),
             lambda r: F.flatten(

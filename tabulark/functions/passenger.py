@@ -17,8 +17,9 @@ def strip_blanks(text: Column) -> Column:
 
 def title_extract(name: Column) -> Column:
     """Text between the first comma and the next full stop; null without one."""
-    pattern = "(?U)" + K.TITLE_PATTERN
-    return F.when(name.rlike(pattern), strip_blanks(F.regexp_extract(name, pattern, 1)))
+    # A match is never empty, so the empty result of a miss can be told apart.
+    found = F.regexp_extract(name, "(?U)" + K.TITLE_PATTERN, 1)
+    return strip_blanks(F.nullif(found, F.lit("")))
 
 
 def title_group(title: Column) -> Column:
@@ -50,9 +51,10 @@ def has_value_flag(value: Column) -> Column:
 def engineer_features(df: DataFrame) -> DataFrame:
     """Add Title, FamilySize, IsAlone, Deck and HasCabin."""
     size = family_size(F.col("SibSp"), F.col("Parch"))
-    return df.withColumns(
+    # The title is extracted in a projection of its own, hence once per row.
+    return df.withColumn("Title", title_extract(F.col("Name"))).withColumns(
         {
-            "Title": title_group(title_extract(F.col("Name"))),
+            "Title": title_group(F.col("Title")),
             "FamilySize": size,
             "IsAlone": is_alone(size),
             "Deck": deck_letter(F.col("Cabin")),

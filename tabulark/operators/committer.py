@@ -181,17 +181,12 @@ def auto_space(
                     chunk_seconds)
     here = SESSION.rows()
     rows = rows.withColumn("hands", F.sum((~F.col("away")).cast("int")).over(here))
-    # first no-hand frame after the last hand frame, as far as this chunk knows
-    rows = rows.withColumn(
-        "start",
-        F.when(
-            F.col("away"),
-            F.min(F.when(F.col("away"), SESSION.place())).over(
-                Window.partitionBy("sid", CHUNK, "hands").orderBy("ts", "seq")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        ),
-    )
+    # first no-hand frame after the last hand frame, as far as this chunk knows;
+    # starts only grow, so the latest one is the largest so far
+    begins = F.col("away") & ~F.coalesce(F.lag("away").over(SESSION.lag_rows()), F.lit(False))
+    rows = rows.withColumn("begins", begins)
+    latest = F.max(F.when(F.col("begins"), SESSION.place())).over(here)
+    rows = rows.withColumn("start", F.when(F.col("away"), latest)).drop("begins")
     local = stage_table(
         rows.withColumn("is_tail", SESSION.is_tail()).where(F.col("away") | F.col("is_tail")), "pauses"
     )
@@ -272,7 +267,7 @@ def text_fold(items: DataFrame, chunk_seconds: float = CHUNK_SECONDS) -> DataFra
     below its own afterwards.
     """
     order = Chunks(["sid"], ["ts", "seq", "sub"])
-    here, after = order.rows(), order.rows(1, Window.unboundedFollowing)
+    here, after = order.rows(), order.rows_after()
     step = (
         F.when(F.col("kind") == "push", 1).when(F.col("kind") == "pop", -1).otherwise(-LONGEST_TEXT)
     )

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tabulark import constants as K
 from tabulark.functions.letters import letter_to_label, letters_of, sign_kind
 from tabulark.operators.sampling import seeded_hash, shuffled_position
-from tabulark.operators.small import small_side
+from tabulark.operators.small import MAX_SMALL_ROWS, small_side
+
+MAX_PAYLOADS = 1_000  # rows that may carry an image to the driver
 
 
 def dim_lookup_join(
@@ -37,9 +39,9 @@ def text_to_sign_join(
     travels with the character.
     """
     columns = ["letter", payload] if payload else ["letter"]
-    side = small_side(assets.select(*columns).dropDuplicates(["letter"])).withColumnRenamed(
-        "letter", "_asset"
-    )
+    side = small_side(
+        assets.select(*columns).dropDuplicates(["letter"]), MAX_PAYLOADS if payload else MAX_SMALL_ROWS
+    ).withColumnRenamed("letter", "_asset")
     chars = messages.select(*keep, F.posexplode(letters_of(F.col(text))).alias("pos", "ch"))
     joined = chars.join(side, F.upper("ch") == F.col("_asset"), "left")
     return joined.withColumn("kind", sign_kind(F.col("ch"), F.col("_asset").isNotNull())).drop("_asset")

@@ -20,7 +20,7 @@ from tabulark import constants as K
 from tabulark.functions.passenger import strip_prefix
 from tabulark.functions.pixels import pixel_scale
 from tabulark.operators.preprocess import TabularPreprocessor, feature_names
-from tabulark.session import session_cache
+from tabulark.session import stage_table
 
 ModelMaker = Callable[[int], Estimator]
 
@@ -80,20 +80,22 @@ def cv_compare(
     models: Mapping[str, ModelMaker] | None = None,
     parallelism: int = 4,
 ) -> DataFrame:
-    """Accuracy of every model on every fold, preprocessing fitted inside the fold."""
+    """Accuracy of every model on every fold, preprocessing fitted inside the fold.
+    The rows are written once, partitioned by fold, so a fit reads only its folds."""
     models = models or candidate_models(label)
     spark = df.sparkSession
 
-    with session_cache(df) as kept:
-        folds = _fold_numbers(kept, fold)
+    kept = stage_table(df, "folds", partition_by=fold)
+    folds = _fold_numbers(kept, fold)
 
-        def score(job):
-            name, k = job
-            fitted = fit_model(kept.where(F.col(fold) != k), models[name])
-            held = fitted.transform(kept.where(F.col(fold) == k))
-            return name, k, held.agg(F.avg((F.col(label) == F.col("prediction")).cast("int"))).first()[0]
+    def score(job):
+        name, k = job
+        fitted = fit_model(kept.where(F.col(fold) != k), models[name])
+        held = fitted.transform(kept.where(F.col(fold) == k))
+        right = (F.col(label) == F.col("prediction")).cast("int")
+        return name, k, held.agg(F.avg(right)).first()[0]
 
-        rows = _side_by_side(score, [(m, k) for m in models for k in folds], parallelism, spark)
+    rows = _side_by_side(score, [(m, k) for m in models for k in folds], parallelism, spark)
     return spark.createDataFrame(rows, "model string, fold int, accuracy double")
 
 
@@ -114,14 +116,13 @@ def oof_predictions(
     parallelism: int = 4,
 ) -> DataFrame:
     """Every row scored by the model of the fold that did not see it."""
-    with session_cache(df) as kept:
-        folds = _fold_numbers(kept, fold)
-        fitted = _side_by_side(
-            lambda k: fit_model(kept.where(F.col(fold) != k), maker), folds, parallelism,
-            df.sparkSession,
-        )
+    kept = stage_table(df, "folds", partition_by=fold)
+    folds = _fold_numbers(kept, fold)
+    fitted = _side_by_side(
+        lambda k: fit_model(kept.where(F.col(fold) != k), maker), folds, parallelism, df.sparkSession
+    )
     parts = [
-        batch_score(m, df.where(F.col(fold) == k), [*keep, fold]) for k, m in zip(folds, fitted)
+        batch_score(m, kept.where(F.col(fold) == k), [*keep, fold]) for k, m in zip(folds, fitted)
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -44,8 +44,19 @@ class Chunks:
         self.keys = list(keys)
         self.order = list(order)
 
-    def rows(self, start: int = Window.unboundedPreceding, end: int = Window.currentRow) -> WindowSpec:
-        return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order).rowsBetween(start, end)
+    def rows(self, end: int = Window.currentRow) -> WindowSpec:
+        return (
+            Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order)
+            .rowsBetween(Window.unboundedPreceding, end)
+        )
+
+    def rows_after(self) -> WindowSpec:
+        """The rest of the chunk, as what precedes a row in descending order: a frame
+        that only grows, where one ending in the following rows is redone per row."""
+        return (
+            Window.partitionBy(*self.keys, CHUNK).orderBy(*[F.desc(c) for c in self.order])
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
 
     def lag_rows(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order)
@@ -63,7 +74,8 @@ class Chunks:
 
     def later(self) -> WindowSpec:
         return (
-            Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(1, Window.unboundedFollowing)
+            Window.partitionBy(*self.keys).orderBy(F.desc(CHUNK))
+            .rowsBetween(Window.unboundedPreceding, -1)
         )
 
     def place(self) -> Column:

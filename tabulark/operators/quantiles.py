@@ -3,13 +3,15 @@
 Small columns use Spark's exact ``percentile`` in one aggregation. For larger
 ones each wanted rank is enclosed by two mergeable approximate percentiles,
 counted exactly, and enclosed again inside that bracket until few rows are left.
-Every round is an ordinary aggregation that keeps about 1/250 of the rows.
+A round is two aggregations for all columns and ranks together and leaves about
+1/500 of the rows in question.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,38 +30,90 @@ def present(df: DataFrame, column: str) -> Column:
     return value
 
 
-def _rank_value(df: DataFrame, value: Column, rank: int, rows: int, gather: int) -> float:
-    """The value at a 0-based rank of the sorted non-null values."""
-    inside, below = df.select(value.cast("double").alias("v")).where("v IS NOT NULL"), 0
-    while rows > gather:
-        share = (rank - below + 0.5) / rows
-        ends = [max(0.0, share - BRACKET), min(1.0, share + BRACKET)]
-        low, high = inside.agg(
-            F.percentile_approx("v", F.array(*map(F.lit, ends)), F.lit(ACCURACY)).alias("e")
-        ).first()["e"]
-        v = F.col("v")
-        n = inside.agg(
-            F.count_if(v < low).alias("under"),
-            F.count_if(v == low).alias("at_low"),
-            F.count_if((v > low) & (v < high)).alias("between"),
-            F.count_if((v == high) & (v > low)).alias("at_high"),
+@dataclass
+class _Search:
+    """One wanted rank: the open interval it lies in and the rows of that interval."""
+
+    column: str
+    rank: int  # 0-based, inside the interval
+    rows: int
+    low: float | None = None
+    high: float | None = None
+    answer: float | None = None
+
+    def inside(self, value: Column) -> Column:
+        test = value.isNotNull()
+        if self.low is not None:
+            test = test & (value > self.low)
+        if self.high is not None:
+            test = test & (value < self.high)
+        return test
+
+    def narrow(self, ends: list[float], n: dict[str, int]) -> None:
+        low, high = ends
+        steps = [
+            ("under", lambda: self._move(self.low, low, n["under"])),
+            ("at_low", lambda: self._found(low)),
+            ("between", lambda: self._move(low, high, n["between"])),
+            ("at_high", lambda: self._found(high)),
+        ]
+        for name, hit in steps:
+            if self.rank < n[name]:
+                return hit()
+            self.rank -= n[name]
+        self._move(high, self.high, self.rows - sum(n.values()))
+
+    def _move(self, low: float | None, high: float | None, rows: int) -> None:
+        self.low, self.high, self.rows = low, high, rows
+
+    def _found(self, value: float) -> None:
+        self.answer = value
+
+
+def _search_ranks(
+    df: DataFrame, values: Mapping[str, Column], searches: list[_Search], gather: int
+) -> None:
+    """Find the value of every search; each round serves all columns and ranks."""
+    while wide := [s for s in searches if s.answer is None and s.rows > gather]:
+        brackets = []
+        for i, s in enumerate(wide):
+            share = (s.rank + 0.5) / s.rows
+            ends = F.array(
+                F.lit(max(0.0, share - BRACKET)), F.lit(min(1.0, share + BRACKET))
+            )
+            v = values[s.column]
+            brackets.append(
+                F.percentile_approx(F.when(s.inside(v), v), ends, F.lit(ACCURACY)).alias(f"e{i}")
+            )
+        found = df.agg(*brackets).first()
+        counts = []
+        for i, s in enumerate(wide):
+            (low, high), v = found[f"e{i}"], values[s.column]
+            inside = s.inside(v)
+            counts += [
+                F.count_if(inside & (v < low)).alias(f"under{i}"),
+                F.count_if(inside & (v == low)).alias(f"at_low{i}"),
+                F.count_if(inside & (v > low) & (v < high)).alias(f"between{i}"),
+                F.count_if(inside & (v == high) & (v > low)).alias(f"at_high{i}"),
+            ]
+        n = df.agg(*counts).first()
+        for i, s in enumerate(wide):
+            s.narrow(
+                list(found[f"e{i}"]),
+                {k: n[f"{k}{i}"] for k in ("under", "at_low", "between", "at_high")},
+            )
+    rest = [s for s in searches if s.answer is None]
+    if rest:
+        kept = df.select(
+            *[F.when(s.inside(values[s.column]), values[s.column]).alias(f"v{i}")
+              for i, s in enumerate(rest)]
+        )
+        row = kept.agg(
+            *[F.expr(f"percentile_disc({(s.rank + 0.5) / s.rows!r}D) WITHIN GROUP (ORDER BY v{i})")
+              .alias(f"p{i}") for i, s in enumerate(rest)]
         ).first()
-        wanted = rank - below
-        if wanted < n["under"]:
-            inside, rows = inside.where(v < low), n["under"]
-        elif wanted < n["under"] + n["at_low"]:
-            return low
-        elif wanted < n["under"] + n["at_low"] + n["between"]:
-            inside, rows = inside.where((v > low) & (v < high)), n["between"]
-            below += n["under"] + n["at_low"]
-        elif wanted < n["under"] + n["at_low"] + n["between"] + n["at_high"]:
-            return high
-        else:
-            skipped = n["under"] + n["at_low"] + n["between"] + n["at_high"]
-            inside, rows = inside.where(v > high), rows - skipped
-            below += skipped
-    position = 0.0 if rows == 1 else (rank - below) / (rows - 1)
-    return inside.agg(F.percentile("v", F.lit(position)).alias("p")).first()["p"]
+        for i, s in enumerate(rest):
+            s.answer = row[f"p{i}"]
 
 
 def exact_percentiles(
@@ -86,17 +140,21 @@ def exact_percentiles(
         for c in direct:
             out[c] = list(row[c]) if row[c] is not None else [None] * len(probabilities)
 
-    for c in columns:
-        if c in out:
-            continue
-        narrow, known = df.select(values[c].alias(c)), {}
-        for p in probabilities:
-            place = p * (counts[c] - 1)
-            for rank in {math.floor(place), math.ceil(place)} - known.keys():
-                known[rank] = _rank_value(narrow, F.col(c), rank, counts[c], gather)
+    large = [c for c in columns if c not in out]
+    doubles = {c: values[c].cast("double") for c in large}
+    searches = {
+        (c, rank): _Search(c, rank, counts[c])
+        for c in large
+        for p in probabilities
+        for rank in (math.floor(p * (counts[c] - 1)), math.ceil(p * (counts[c] - 1)))
+    }
+    if searches:
+        _search_ranks(df, doubles, list(searches.values()), gather)
+    for c in large:
         out[c] = []
         for p in probabilities:
             place = p * (counts[c] - 1)
-            low, high = known[math.floor(place)], known[math.ceil(place)]
+            low = searches[c, math.floor(place)].answer
+            high = searches[c, math.ceil(place)].answer
             out[c].append(low + (high - low) * (place - math.floor(place)))
     return out

@@ -19,7 +19,7 @@ from tabulark.operators.small import small_rows, small_side
 PREFIX_DIGITS = 3
 GROUP_LIMIT = 1000
 MAX_CLASSES = 10_000
-TAKE_ROWS = 100_000
+TAKE_ROWS = 1_000
 
 
 def seeded_hash(seed: int, *parts: Column) -> Column:

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from tabulark.session import stage_table
 
 MAX_SMALL_ROWS = 200_000
+MAX_SMALL_BYTES = 64 * 1024 * 1024
 
 
 def small_side(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
-    """Materialise a summary once. Up to ``max_rows`` it becomes a broadcast local
-    table; beyond that it stays a distributed (written) table and the join
-    falls back to a shuffle, which adaptive execution splits on skewed keys."""
+    """Materialise a summary once. Within ``max_rows`` and 64 MB it becomes a
+    broadcast local table; beyond that it stays a distributed (written) table and
+    the join falls back to a shuffle, which adaptive execution splits on skewed keys."""
     head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return stage_table(df)
+    if head.num_rows > max_rows or head.nbytes > MAX_SMALL_BYTES:
+        return stage_table(df, "side")
     return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
 
 

@@ -42,16 +42,27 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tabulark-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the intermediates of this application once its results are written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage_table(df: DataFrame, name: str = "stage", partition_by: str | None = None) -> DataFrame:
     """Write an intermediate to the shared folder and read it back: computed once
     for all its uses, column-pruned, and safe against the loss of executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
