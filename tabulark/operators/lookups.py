@@ -80,8 +80,9 @@ def word_readback(
     drawn = letters.join(sizes, "_wanted", "left").withColumn(
         "_index", _hash_index(F.col("_size"), seed, F.col(word_id), F.col("_pos"))
     )
-    pool = numbered.select(
-        F.col(label).alias("_wanted"), "_index", F.col(read).alias("_read")
+    # A small pool is hot on every number, so it is broadcast; a large one spreads.
+    pool = small_side(
+        numbered.select(F.col(label).alias("_wanted"), "_index", F.col(read).alias("_read"))
     )
     met = drawn.join(pool, ["_wanted", "_index"], "left").withColumn(
         "_read", F.coalesce("_read", F.lit(K.UNKNOWN_LETTER))

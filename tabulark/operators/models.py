@@ -145,8 +145,13 @@ def feature_importance(model: PipelineModel, scored: DataFrame, features: str =
 
 
 def _indexed_perceptron(
-    df: DataFrame, label: str, features: str, hidden: Sequence[int], iterations: int, seed: int
+    df: DataFrame, label: str, features: str, hidden: Sequence[int], iterations: int, seed: int,
+    partitions: int | None,
 ) -> PipelineModel:
+    """Index the labels and fit. Training repeats over the rows many times, so a
+    small table in few files gains from being spread over ``partitions`` first."""
+    if partitions:
+        df = df.repartition(partitions)
     indexer = StringIndexer(
         inputCol=label, outputCol="_label", stringOrderType="alphabetAsc"
     ).fit(df)
@@ -161,12 +166,13 @@ def _indexed_perceptron(
 
 
 def landmark_mlp(
-    df: DataFrame, label: str = "letter", vector: str = "features", iterations: int = 600, seed: int = 0
+    df: DataFrame, label: str = "letter", vector: str = "features", iterations: int = 600, seed: int = 0,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Perceptron 63-256-128-classes over normalised landmark arrays; the class
     letters travel with the model."""
     shaped = df.withColumn(vector, array_to_vector(vector))
-    return _indexed_perceptron(shaped, label, vector, [256, 128], iterations, seed)
+    return _indexed_perceptron(shaped, label, vector, [256, 128], iterations, seed, partitions)
 
 
 def pixel_classifier(
@@ -176,10 +182,11 @@ def pixel_classifier(
     hidden: Sequence[int] = (128,),
     iterations: int = 100,
     seed: int = 0,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Image vector to class, on pixels scaled to 0..1."""
     shaped = pixel_vectors(df, pixels).withColumn(label, F.col(label).cast("string"))
-    return _indexed_perceptron(shaped, label, "features", hidden, iterations, seed)
+    return _indexed_perceptron(shaped, label, "features", hidden, iterations, seed, partitions)
 
 
 def apply_perceptron(model: PipelineModel, df: DataFrame, vector: str = "features") -> DataFrame:

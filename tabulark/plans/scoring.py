@@ -7,13 +7,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulark import constants as K
-from tabulark.functions.letters import argmax_prediction
 from tabulark.functions.requests import json_request_decode, json_response_encode, request_defaults
 from tabulark.operators import evaluation, landmark_jobs, models, preprocess, sampling
 from tabulark.plans import survival
-from tabulark.plans.fixtures import REQUESTS, table, view, with_views
+from tabulark.plans.fixtures import REQUESTS, view, with_views
 from tabulark.plans.registry import query
-from tabulark.session import scratch_path, session_cache
+from tabulark.session import scratch_path, session_cache, stage_table
 from tabulark.sources import tables
 from tabulark.streaming.scoring import run_to_files, score_requests
 
@@ -242,10 +241,12 @@ def _(spark, sf):
     table_ = landmark_jobs.landmark_training_table(
         view(spark, sf, "landmarks"), "vec_id", "points", "letter", "handedness"
     )
-    with session_cache(table_) as data:
-        model = models.landmark_mlp(data.where("split = 'train'"), iterations=15)
-        held = models.apply_perceptron(model, data.where("split = 'test'"))
-        return evaluation.classification_report(held, "letter", "predicted")
+    data = stage_table(table_, "hands", partition_by="split")
+    model = models.landmark_mlp(
+        data.where("split = 'train'"), iterations=15, partitions=spark.sparkContext.defaultParallelism
+    )
+    held = models.apply_perceptron(model, data.where("split = 'test'"))
+    return evaluation.classification_report(held, "letter", "predicted")
 
 
 @query("pixel_classifier")

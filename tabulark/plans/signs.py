@@ -449,14 +449,15 @@ def _(spark, sf):
 
 @query("image_decode", FILES + """
 SELECT stem || '.' || suffix AS file, CAST(8 AS INT) AS height, CAST(8 AS INT) AS width,
- CAST(3 AS INT) AS channels, CAST(192 AS INT) AS n_bytes, lpad(lower(hex(pixels[1])), 2, '0') AS first
+ CAST(3 AS INT) AS channels, CAST(192 AS INT) AS n_bytes, array_to_string(
+  list_transform(pixels, lambda p: repeat(lpad(lower(hex(p)), 2, '0'), 3)), '') AS bytes
 FROM files WHERE is_image""")
 def _(spark, sf):
     out = images.image_decode(spark, tree(spark, sf))
     return out.select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "height", "width",
         F.col("nChannels").alias("channels"), F.length("data").alias("n_bytes"),
-        F.lower(F.substring(F.hex("data"), 1, 2)).alias("first"),
+        F.lower(F.hex("data")).alias("bytes"),
     )
 
 

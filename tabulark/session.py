@@ -31,7 +31,9 @@ def shared_folder(spark: SparkSession) -> str:
     sessions only) a fresh temporary one that this session then keeps using."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(named)
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return system.makeQualified(folder).toString().rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ def image_tree_scan(spark: SparkSession, root: str, per_class: int | None = None
     )
     suffixes = "|".join(K.IMAGE_SUFFIXES)
     # Direct children of a letter folder only, as a folder listing gives them.
-    base = F.regexp_replace(F.regexp_replace(F.lit(root), "^[a-z0-9]+:/+", "/"), "/+$", "")
-    inside = F.element_at(F.split("path", base, 2), -1)
+    base = re.sub(r"^[a-z0-9]+:/+", "/", root).rstrip("/")
+    inside = F.split_part(F.col("path"), F.lit(base), F.lit(-1))
     kept = listed.where(
         F.col("folder").rlike(r"^\p{L}$")
         & F.lower("file").rlike(rf"\.({suffixes})$")

@@ -34,6 +34,10 @@ class CommitterSettings:
     hand_lost_releases: bool = True
     gap_seconds: float | None = None
 
+    def __post_init__(self) -> None:
+        if self.stable_frames < 1:
+            raise ValueError("stable_frames must be at least 1")
+
 
 @dataclass
 class Committer:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -69,12 +67,3 @@ def run_to_files(rows: DataFrame, path: str, checkpoint: str, mode: str = "appen
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-
-
-def drain(rows: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> None:
-    """Drain the available input of a stream into ``sink(batch, number)``."""
-    query = (
-        rows.writeStream.outputMode(mode).foreachBatch(sink)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()

@@ -4,7 +4,6 @@ import random
 from collections import deque
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
 
 from tabulark.operators import committer as C
 from tabulark.session import scratch_path

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tabulark.functions import landmarks as L
 from tabulark.operators import image_jobs, landmark_jobs, lookups
 from tabulark.plans.fixtures import bitmap
-from tabulark.session import scratch_path
 from tabulark.sources import images
 
 POINTS = "id long, hand string, points array<struct<x: double, y: double, z: double>>"

@@ -7,7 +7,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tabulark.operators import cleaning, evaluation, profile, quantiles, sampling
 
