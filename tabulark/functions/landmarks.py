@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tabulark import constants as K
+from tabulark.functions.arrays import bind
 
 EPSILON = 1e-6
 
@@ -19,11 +20,6 @@ def _point(x: Column, y: Column, z: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
 
 
-def _bind(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body`` (a one-element transform)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def is_left(handedness: Column) -> Column:
     return F.coalesce(F.lower(handedness).startswith("left"), F.lit(False))
 
@@ -49,7 +45,7 @@ def landmark_normalize(points: Column, handedness: Column) -> Column:
             length > EPSILON,
             F.struct((-knuckle["y"] / length).alias("c"), (-knuckle["x"] / length).alias("s")),
         ).otherwise(F.struct(F.lit(1.0).alias("c"), F.lit(0.0).alias("s")))
-        return _bind(
+        return bind(
             frame,
             lambda t: F.transform(
                 moved,
@@ -62,15 +58,15 @@ def landmark_normalize(points: Column, handedness: Column) -> Column:
     def sized(straight: Column) -> Column:
         squares = F.transform(straight, lambda p: p["x"] * p["x"] + p["y"] * p["y"])
         reach = F.sqrt(F.array_max(squares))
-        return _bind(
+        return bind(
             F.when(reach > 0, reach).otherwise(F.lit(1.0)),
             lambda r: F.flatten(
                 F.transform(straight, lambda p: F.array(p["x"] / r, p["y"] / r, p["z"] / r))
             ),
         )
 
-    moved = _bind(F.element_at(points, K.WRIST + 1), shifted)
-    return _bind(_bind(moved, turned), sized)
+    moved = bind(F.element_at(points, K.WRIST + 1), shifted)
+    return bind(bind(moved, turned), sized)
 
 
 def hand_bbox(points: Column, width: Column, height: Column, padding: float = 0.2) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tabulark.functions.arrays import bind
+
 
 def pixel_pack(columns: Sequence[str]) -> Column:
     """Numbered pixel columns into one array."""
@@ -20,10 +22,8 @@ def pixel_scale(pixels: Column) -> Column:
 
 def pixel_reshape(pixels: Column, side: int) -> Column:
     """Flat pixels into rows of the image."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(side - 1)),
-        lambda r: F.slice(pixels, r * side + 1, side),
-    )
+    rows = F.sequence(F.lit(0), F.lit(side - 1))
+    return bind(pixels, lambda p: F.transform(rows, lambda r: F.slice(p, r * side + 1, side)))
 
 
 def pixel_flatten(image: Column) -> Column:

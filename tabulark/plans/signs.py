@@ -262,13 +262,13 @@ def _(spark, sf):
 , parts AS (SELECT 'train' AS split, * FROM clean UNION ALL SELECT 'test', * FROM clean),
 long AS (SELECT split, label, i AS pos, {LIST}[i + 1] AS pixel FROM parts, range(0, {PIXELS}) r(i))
 SELECT split, label, CAST(pos // 8 AS INT) AS row, CAST(pos % 8 AS INT) AS col,
- round(sum(pixel / 255), 4) AS total FROM long GROUP BY ALL""")
+ CAST(sum(pixel) AS BIGINT) AS total FROM long GROUP BY ALL""")
 def _(spark, sf):
     data = cleaning.pixel_dataset(dirty(spark, sf), dirty(spark, sf), side=SIDE, classes=CLASSES)
     lines = data.select("split", "label", F.posexplode("image").alias("row", "line"))
     out = lines.select("split", "label", "row", F.posexplode("line").alias("col", "v"))
     return out.groupBy("split", "label", "row", "col").agg(
-        F.round(F.sum(F.col("v").cast("double")), 4).alias("total")
+        F.sum(F.round(F.col("v") * 255).cast("long")).alias("total")
     )
 
 
