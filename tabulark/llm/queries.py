@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabulark.llm import language, mixing, sharding, token_counts
+from tabulark.llm import language, mixing, piece_dropout, sharding, style_tree, token_counts
 from tabulark.llm.registry import query, table
 
 
@@ -13,6 +13,16 @@ def _(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"))
 
 
+@query("op2_main_text")
+def _(spark, sf):
+    return style_tree.extract_main_text(table(spark, sf, "pages"))
+
+
+@query("op4_piece_dropout")
+def _(spark, sf):
+    return piece_dropout.encode_pieces(table(spark, sf, "documents"))
+
+
 @query("op7_language_id")
 def _(spark, sf):
     docs = table(spark, sf, "documents")
