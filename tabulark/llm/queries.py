@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabulark.llm import language, mixing, piece_dropout, sharding, style_tree, token_counts
+from tabulark.llm import (
+    language,
+    mixing,
+    partenum,
+    piece_dropout,
+    sharding,
+    style_tree,
+    token_counts,
+)
 from tabulark.llm.registry import query, table
 
 
@@ -23,6 +31,11 @@ def _(spark, sf):
     return piece_dropout.encode_pieces(table(spark, sf, "documents"))
 
 
+@query("op5_jaccard_join")
+def _(spark, sf):
+    return partenum.similar_sets(table(spark, sf, "documents"))
+
+
 @query("op7_language_id")
 def _(spark, sf):
     docs = table(spark, sf, "documents")
