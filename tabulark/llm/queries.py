@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulark.llm import (
+    kmeans_tree,
     language,
     mixing,
     partenum,
@@ -26,6 +27,11 @@ def _(spark, sf):
     return style_tree.extract_main_text(table(spark, sf, "pages"))
 
 
+@query("op3_kmeans_tree_search")
+def _(spark, sf):
+    return kmeans_tree.search(table(spark, sf, "embeddings"), F.col("id") % 20 == 0)
+
+
 @query("op4_piece_dropout")
 def _(spark, sf):
     return piece_dropout.encode_pieces(table(spark, sf, "documents"))
