@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulark.llm import (
+    flat_graph,
     kmeans_tree,
     language,
     mixing,
@@ -60,3 +61,8 @@ def _(spark, sf):
 @query("op9_source_mix", mixing.SQL)
 def _(spark, sf):
     return mixing.mix_sources(table(spark, sf, "documents"))
+
+
+@query("op10_flat_graph_dedup")
+def _(spark, sf):
+    return flat_graph.near_duplicates(table(spark, sf, "embeddings"))
