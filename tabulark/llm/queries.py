@@ -13,6 +13,7 @@ from tabulark.llm import (
     piece_dropout,
     sharding,
     style_tree,
+    suffix_levels,
     token_counts,
 )
 from tabulark.llm.registry import query, table
@@ -43,6 +44,11 @@ def _(spark, sf):
     return partenum.similar_sets(table(spark, sf, "documents"))
 
 
+@query("op6_suffix_dedup")
+def _(spark, sf):
+    return suffix_levels.remove_repeats(table(spark, sf, "documents"))
+
+
 @query("op7_language_id")
 def _(spark, sf):
     docs = table(spark, sf, "documents")
