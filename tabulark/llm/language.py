@@ -23,6 +23,7 @@ GRAMS = (2, 3, 4)
 BITS, DIM = 15, 16
 SAMPLE_PER_LANG, SAMPLE_CHARS, MAX_LANGS = 600, 4_096, 512
 UNKNOWN = "und"
+SLICE_BYTES = 1 << 19
 
 
 def padded(text: str) -> bytes:
@@ -168,6 +169,20 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
+def judge(m: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, rejected) of each text."""
+    langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    at = [i for i, t in enumerate(texts) if t and m.langs and has_letter(t)]
+    if at:
+        p = m.scores([texts[i] for i in at])
+        scores[at] = p.max(axis=1)
+        for i, k in zip(at, p.argmax(axis=1)):
+            langs[i] = m.langs[k]
+    named = np.zeros(len(texts), bool)
+    named[at] = True
+    return langs, scores, ~named | (scores < m.threshold)
+
+
 def predict_language(
     docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -181,19 +196,10 @@ def predict_language(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for part in slices(batches, "text", 1 << 19):
-            texts = part.column("text").to_pylist()
-            langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            at = [i for i, t in enumerate(texts) if t and m.langs and has_letter(t)]
-            if at:
-                p = m.scores([texts[i] for i in at])
-                scores[at] = p.max(axis=1)
-                for i, k in zip(at, p.argmax(axis=1)):
-                    langs[i] = m.langs[k]
-            rejected = [x == UNKNOWN or s < m.threshold for x, s in zip(langs, scores)]
+        for part in slices(batches, "text", SLICE_BYTES):
+            langs, scores, rejected = judge(shared.value, part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(langs), pa.array(scores), pa.array(rejected, pa.bool_())],
+                [part.column("id"), pa.array(langs), pa.array(scores), pa.array(rejected)],
                 ["id", "lang", "score", "rejected"],
             )
 
@@ -204,6 +210,18 @@ def predict_language(
     return found.toDF(id_col, "lang_pred", "score", "rejected")
 
 
+def accepted_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows, all columns, whose language is not rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col, SLICE_BYTES):
+            _, _, rejected = judge(shared.value, part.column(text_col).to_pylist())
+            yield part.filter(pa.array(~rejected))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """The quarter of the ids that training never sees."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2

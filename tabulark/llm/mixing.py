@@ -124,20 +124,11 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights: Sequence[int] = (5, 2, 1),
-    cap: int = MAX_COPIES,
-) -> DataFrame:
-    """``id, size, source_size, target, taken`` of every row, ``taken`` a multiple of size.
-
-    Size is the number of words between ASCII white space (null text: 0). Rows with the
-    same id share their hash and are decided together, so reruns agree; a source of
-    size 0 takes nothing. Null sources form one source.
-    """
+def mix_plan(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[int], cap: int
+) -> tuple[DataFrame, DataFrame]:
+    """(``id, source, size, hash`` of every row, ``s, source_size, target, copies, below`` of
+    every source); both are written once."""
     measured = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
@@ -153,22 +144,59 @@ def mix_sources(
         targets.withColumn("copies", F.coalesce(copies, F.lit(0)).cast("long")), "targets"
     )
     rest = F.col("target") - F.col("copies") * F.col("source_size")
-    budgets = targets.select("source", rest.alias("budget"))
-    cuts = stage_table(
-        targets.join(
-            thresholds(rows, budgets).withColumnRenamed("source", "s"),
-            F.col("source").eqNullSafe(F.col("s")),
-        ).drop("s"),
-        "cuts",
-    ).withColumnRenamed("source", "s")
+    cuts = thresholds(rows, targets.select("source", rest.alias("budget")))
+    cuts = targets.withColumnRenamed("source", "s").join(
+        cuts, F.col("source").eqNullSafe(F.col("s"))
+    )
+    return rows, stage_table(cuts.drop("source"), "cuts")
+
+
+def mix_sources(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[int] = (5, 2, 1),
+    cap: int = MAX_COPIES,
+) -> DataFrame:
+    """``id, size, source_size, target, taken`` of every row, ``taken`` a multiple of size.
+
+    Size is the number of words between ASCII white space (null text: 0). Rows with the
+    same id share their hash and are decided together, so reruns agree; a source of
+    size 0 takes nothing. Null sources form one source; null ids go by their texts.
+    Other columns are not read.
+    """
+    rows, cuts = mix_plan(docs, id_col, text_col, source_col, weights, cap)
     mixed = rows.join(
         broadcast_if_small(cuts, MAX_BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("s"))
     )
-    taken = (F.col("copies") + F.when(F.col("hash") < F.col("below"), 1).otherwise(0)) * F.col(
-        "size"
-    )
+    times = F.col("copies") + F.when(F.col("hash") < F.col("below"), 1).otherwise(0)
     return mixed.select(
-        F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken")
+        F.col("id").alias(id_col), "size", "source_size", "target",
+        (times * F.col("size")).alias("taken"),
+    )
+
+
+def mixed_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: Sequence[int] = (5, 2, 1), cap: int = MAX_COPIES,
+) -> DataFrame:
+    """The rows of the mix, all columns, each as often as it is taken; rows without a word
+    are not taken."""
+    _, cuts = mix_plan(docs, id_col, text_col, source_col, weights, cap)
+    names = {c: f"_cut_{c}" for c in cuts.columns}
+    limits = broadcast_if_small(cuts.withColumnsRenamed(names), MAX_BROADCAST_SOURCES)
+    times = F.col("_cut_copies") + F.when(
+        row_hash(id_col, text_col) < F.col("_cut_below"), 1
+    ).otherwise(0)
+    worded = docs.where(F.col(text_col).rlike(WORDS))
+    taken = worded.join(limits, F.col(source_col).eqNullSafe(F.col("_cut_s"))).withColumn(
+        "_cut_times", times
+    )
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_cut_times")))
+    return (
+        taken.where("_cut_times > 0").withColumn("_cut_time", each)
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 
 
