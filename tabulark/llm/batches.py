@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulark.session import scratch_path
+
 SLICE_BYTES = 2 << 20
 
 
@@ -34,9 +36,29 @@ def slices(
             start = stop
 
 
-def one_table(batches: Iterable[pa.RecordBatch], schema: pa.Schema) -> pa.Table:
-    """All batches of a task whose size its caller has bounded."""
-    return pa.Table.from_batches(list(batches), schema)
+class Stages:
+    """Intermediates in the shared folder, well compressed, dropped when they have served."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            drop_path(self.spark, self.paths.pop(name))
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job of this application has written below the shared one."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -1,27 +1,32 @@
 """N-gram Jaccard join by PartEnum signatures.
 
 A text's set are its distinct five-word shingles, hashed to 64 bits. Sets are put into
-size bands; each band has its own partition of the hash range, and a set's signatures are
-its non-empty projections on the cells, one for each cell (subsets of one partition; the
-smallest enumeration for a given number of differences). Take two sets A, B with
-|A| <= |B| and Jaccard similarity >= 3/4, in the band of A. The cells without any
-difference that hold an element are at least
-
-    cells that A fills - 2 |A without B| - |B without A|  >=  filled(A) - floor(3|A|/7),
-
-as each element of A without B empties a filled cell of the intersection at most, and
-each difference spoils one at most. So they share a signature if A fills more than
-floor(3|A|/7) cells. The number of cells is chosen so that every set does; that is checked
-for each set beforehand, and the least of a few margins that fits all of them is taken. Small sets take each
-shingle as a cell of its own. No pair is lost.
+size bands, each with its own partitions of the hash range, and a signature is a set's
+non-empty projection on a subset of them. Take two sets A, B with |A| <= |B| and Jaccard
+similarity >= 3/4, in the band of A; they differ in at most (|A| + |B|) / 7 elements.
+
+- In bands of smaller sets, subsets are single partitions. Each element of A without B
+  empties a partition of the intersection at most, and each difference spoils one, so at
+  least filled(A) - 2|A without B| - |B without A| >= filled(A) - 3|A|/7 filled partitions
+  are the same in both. A and B share a signature if A fills more than 3|A|/7 of them.
+- In bands of larger sets each partition has three parts, and subsets are two parts of one
+  partition. As A and B differ in |A|/3 elements or fewer, at most |A|/6 partitions hold
+  two differences. In any other, two parts avoid the one difference; they are not empty in
+  A if at most one of the three is. A and B share a signature if A has more than |A|/6
+  such partitions. Texts that only share a passage rarely meet here.
+
+The number of partitions is chosen so that every set of a band meets its condition; that
+is checked for each set beforehand, and the least of a few margins that fits all of them
+is taken. Sets of up to SMALL shingles have each shingle as a signature. No pair is lost.
 
 A set as large as 4/3 of a band's upper end or less also takes part in the band below.
 
-Sets that share a signature form a run. Only runs travel on, each distinct member list
-once, and pairs are compared exactly: first each member with the least of its run; what
-is then in one component is settled; members of a run in different components are
-compared with each other, after an exact bound from parity bitmaps (each differing
-element flips one bit, so the bitmaps' distance never exceeds the sets').
+Sets that share a signature form a run; each distinct member list travels on once. Pairs
+are bounded by parity bitmaps before they are compared: each differing element flips one
+bit, so the bitmaps' distance never exceeds the sets'. Compared are first the pairs of
+each member with the least of its run and, taking these as links for the time being, pairs
+of a run that they leave apart; then, in runs where the exact comparison undid such a
+link, the pairs that are still apart. Pairs within one component are never enumerated.
 """
 
 from __future__ import annotations
@@ -33,15 +38,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.llm.batches import slices
+from tabulark.llm.batches import broadcast_if_small, slices
 from tabulark.llm.components import connected_components
 from tabulark.session import stage_table
 
 WORDS = 5
-MARGINS = (2.6, 4.0, 8.0)  # cells of a partition beyond the mean need, in roots of the size
-SMALL = 24  # the largest set whose shingles are its signatures
-WORDS_BITS = 8  # parity bitmap: longs
-BUCKETS_PER_PARTITION = 8
+MARGINS = (0.8, 1.0, 1.5, 2.5)  # partitions beyond the mean need
+SMALL = 64  # the largest set whose shingles are its signatures
+PAIRED = 700  # upper ends of bands beyond this have subsets of two parts
+WORDS_BITS = 8  # short parity bitmap: longs
+SIG_BYTES = 4  # of a signature, beside its bucket; a false meeting costs a comparison
+MAX_BROADCAST_IDS = 100_000
 U = np.uint64
 POWERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -55,13 +62,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | bytes | None) -> np.ndarray:
     """Sorted distinct shingle hashes: of A-Z lower-cased words between ASCII white space;
     a text with fewer words than a shingle has its whole sequence as one."""
     import xxhash
 
     digest = xxhash.xxh3_64_intdigest
-    words = text.encode("utf-8", "replace").lower().split() if text else []
+    data = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
+    words = data.lower().split()
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
@@ -87,10 +95,26 @@ def set_key(found: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(found.tobytes(), len(found)) - (1 << 63)
 
 
-def parity(found: np.ndarray) -> np.ndarray:
-    """Bitmap in which each element flips one bit."""
-    odd = np.bincount((found & U(64 * WORDS_BITS - 1)).astype(np.int64), minlength=64 * WORDS_BITS)
-    return np.packbits((odd & 1).astype(np.uint8)).view(np.int64)
+def parity(found: np.ndarray, bits: int) -> bytes:
+    """Bitmap, of a power of two of bits, in which each element flips one."""
+    odd = np.bincount((found & U(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((odd & 1).astype(np.uint8)).tobytes()
+
+
+def long_parity(found: np.ndarray) -> bytes:
+    """Bitmap of one to two bits for each element."""
+    return parity(found, max(64, 1 << (max(len(found), 1) - 1).bit_length()))
+
+
+def flips(x: bytes, y: bytes) -> int:
+    """Distance of two bitmaps; the longer one is folded to the length of the other."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        half = len(a) // 2
+        a = a[:half] ^ a[half:]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def band_ends() -> list[int]:
@@ -105,9 +129,12 @@ def band_ends() -> list[int]:
 ENDS = np.array(band_ends())
 
 
-def cells_of(end: np.ndarray, margin: float) -> np.ndarray:
-    """Cells of a band's partition, enough for sets up to its upper end."""
-    return np.ceil(0.56 * end + margin * np.sqrt(end)).astype(np.int64)
+def parts_of(end: np.ndarray, margin: float) -> np.ndarray:
+    """Parts of the hash range in a band, enough for sets up to its upper end: partitions
+    of their own, or three to a partition."""
+    one = 0.545 * end + margin * 3.0 * np.sqrt(np.minimum(end, 200))
+    three = 3 * np.ceil(0.185 * end + margin * np.sqrt(end))
+    return np.ceil(np.where(end > PAIRED, three, one)).astype(np.int64)
 
 
 def memberships(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,15 +155,20 @@ def memberships(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fitting(found: np.ndarray) -> int:
-    """Bit k is set if, with MARGINS[k], the set fills enough cells of its own band."""
+    """Bit k is set if, with MARGINS[k], the set meets the condition of its own band."""
     n = len(found)
     if n <= SMALL:
         return (1 << len(MARGINS)) - 1
     end = ENDS[np.searchsorted(ENDS, n)]
     fits = 0
     for k, margin in enumerate(MARGINS):
-        cell = ((found >> U(32)) * U(cells_of(end, margin))) >> U(32)
-        fits |= (1 + int((cell[1:] != cell[:-1]).sum()) > 3 * n // 7) << k
+        part = ((found >> U(32)) * U(int(parts_of(end, margin)))) >> U(32)
+        part = part[np.concatenate(([True], part[1:] != part[:-1]))]
+        if end > PAIRED:
+            _, filled = np.unique_counts(part // U(3))
+            fits |= (int((filled > 1).sum()) > n // 6) << k
+        else:
+            fits |= (len(part) > 3 * n // 7) << k
     return fits
 
 
@@ -144,47 +176,73 @@ def signatures(sets: list[np.ndarray], margin: float):
     """(signature, index of its set) of non-empty sets."""
     sizes = np.array([len(s) for s in sets], np.int64)
     row, band = memberships(sizes)
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    starts = np.cumsum(sizes) - sizes
     flat = np.concatenate(sets)
     count = sizes[row]
     ends = np.cumsum(count)
     at = np.arange(int(ends[-1])) + np.repeat(starts[row] - (ends - count), count)
-    x = flat[at]
     which = np.repeat(np.arange(len(row)), count)
-    cells = np.where(band >= 0, cells_of(ENDS[np.maximum(band, 0)], margin), 0).astype(np.uint64)
-    cell = ((x >> U(32)) * cells[which]) >> U(32)  # sorted sets: cells are runs
     salt = mix((band + 7).astype(np.uint64) * POWERS[4])
-    change = np.empty(len(x), bool)
-    change[0] = True
-    change[1:] = (which[1:] != which[:-1]) | (cell[1:] != cell[:-1])
     single = (band < 0)[which]
-    change |= single
-    first = np.flatnonzero(change)
-    sums = np.add.reduceat(mix(x + POWERS[1]), first)
-    w = which[first]
-    sig = mix(sums ^ salt[w] ^ (cell[first] * POWERS[2]))
-    return sig, row[w]
+    own = which[single]
+    found = [mix(mix(flat[at[single]] + POWERS[1]) ^ salt[own])]
+    owner = [row[own]]
+    x, which = flat[at[~single]], which[~single]
+    if len(x):
+        end = ENDS[np.maximum(band, 0)]
+        parts = parts_of(end, margin)
+        part = ((x >> U(32)) * parts.astype(np.uint64)[which]) >> U(32)  # sorted sets: runs
+        first = np.flatnonzero(np.concatenate(
+            ([True], (which[1:] != which[:-1]) | (part[1:] != part[:-1]))
+        ))
+        sums = np.add.reduceat(mix(x + POWERS[1]), first)
+        w, part = which[first], part[first].astype(np.int64)
+        alone = end[w] <= PAIRED
+        place = part[alone].astype(np.uint64) * POWERS[2]
+        found.append(mix(mix(sums[alone] + POWERS[0]) ^ salt[w[alone]] ^ place))
+        owner.append(row[w[alone]])
+        sums, w, part = sums[~alone], w[~alone], part[~alone]
+        cell = part // 3
+        new = np.ones(len(w), bool)
+        new[1:] = (w[1:] != w[:-1]) | (cell[1:] != cell[:-1])
+        group = np.cumsum(new) - 1
+        three = np.zeros((int(new.sum()), 3), np.uint64)
+        three[group, part % 3] = sums
+        has = np.zeros(three.shape, bool)
+        has[group, part % 3] = True
+        w, cell = w[new], cell[new].astype(np.uint64)
+        for k, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
+            fine = has[:, i] | has[:, j]
+            both = mix(three[fine, i] + POWERS[0]) + three[fine, j]
+            place = (cell[fine] * U(3) + U(k)) * POWERS[2]
+            found.append(mix(both ^ salt[w[fine]] ^ place))
+            owner.append(row[w[fine]])
+    return np.concatenate(found), np.concatenate(owner)
 
 
 def describe_sets(docs: DataFrame) -> DataFrame:
-    """``id, n, key, fits, b0..`` of every row: set size, set name (null if empty), margins
-    that fit, parity bitmap."""
+    """``id, n, key, fits, bits, b0..`` of every row: set size, set name (null if empty),
+    margins that fit, long and short parity bitmap."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = [shingles(t) for t in part.column("text").to_pylist()]
-            bits = np.array([parity(s) for s in sets])
+            short = b"".join([parity(s, 64 * WORDS_BITS) for s in sets])
+            short = np.frombuffer(short, np.int64).reshape(-1, WORDS_BITS)
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                  pa.array([fitting(s) for s in sets], pa.int64()),
-                 *[pa.array(bits[:, k]) for k in range(WORDS_BITS)]],
-                ["id", "n", "key", "fits", *[f"b{k}" for k in range(WORDS_BITS)]],
+                 pa.array([long_parity(s) for s in sets], pa.binary()),
+                 *[pa.array(np.ascontiguousarray(short[:, k])) for k in range(WORDS_BITS)]],
+                ["id", "n", "key", "fits", "bits", *[f"b{k}" for k in range(WORDS_BITS)]],
             )
 
     id_type = docs.schema["id"].dataType.simpleString()
-    bits = ", ".join(f"b{k} long" for k in range(WORDS_BITS))
-    return docs.mapInArrow(describe, f"id {id_type}, n long, key long, fits long, {bits}")
+    longs = ", ".join(f"b{k} long" for k in range(WORDS_BITS))
+    return docs.mapInArrow(
+        describe, f"id {id_type}, n long, key long, fits long, bits binary, {longs}"
+    )
 
 
 def signature_blocks(docs: DataFrame, buckets: int, margin: float) -> DataFrame:
@@ -200,18 +258,20 @@ def signature_blocks(docs: DataFrame, buckets: int, margin: float) -> DataFrame:
         def block() -> pa.RecordBatch:
             sig, owner = signatures(sets, margin)
             bucket = (sig % U(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
+            order = np.lexsort((owner, bucket))
             sig, owner, bucket = sig[order] // U(buckets), owner[order], bucket[order]
             names = np.array(keys, np.int64)
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
             rows = []
             for k in np.flatnonzero(np.diff(edges)):
+                # in the order of their sets: (set, how many) and the signatures' low bytes
                 own = owner[edges[k] : edges[k + 1]]
-                used, place = np.unique(own, return_inverse=True)
-                s = sig[edges[k] : edges[k + 1]].view(np.uint8).reshape(-1, 8)[:, :6]
+                used = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                many = np.diff(np.append(used, len(own))).astype(np.int32)
+                low = sig[edges[k] : edges[k + 1]].view(np.uint8).reshape(-1, 8)[:, :SIG_BYTES]
                 rows.append((int(k), b"".join((
-                    len(used).to_bytes(4, "little"), len(own).to_bytes(4, "little"),
-                    names[used].tobytes(), place.astype(np.uint16).tobytes(), s.tobytes(),
+                    len(used).to_bytes(4, "little"), names[own[used]].tobytes(), many.tobytes(),
+                    low.tobytes(),
                 ))))
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()),
@@ -242,14 +302,13 @@ def signature_blocks(docs: DataFrame, buckets: int, margin: float) -> DataFrame:
 
 def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(signature, key) of a block."""
-    used, n = (int.from_bytes(block[i : i + 4], "little") for i in (0, 4))
-    at = 8 + 8 * used
-    names = np.frombuffer(block, np.int64, used, 8)
-    place = np.frombuffer(block, np.uint16, n, at)
-    six = np.frombuffer(block, np.uint8, 6 * n, at + 2 * n).reshape(n, 6)
-    sig = np.zeros((n, 8), np.uint8)
-    sig[:, :6] = six
-    return sig.view(np.uint64).ravel(), names[place]
+    used = int.from_bytes(block[:4], "little")
+    names = np.frombuffer(block, np.int64, used, 4)
+    many = np.frombuffer(block, np.int32, used, 4 + 8 * used)
+    low = np.frombuffer(block, np.uint8, offset=4 + 12 * used).reshape(-1, SIG_BYTES)
+    sig = np.zeros((len(low), 8), np.uint8)
+    sig[:, :SIG_BYTES] = low
+    return sig.view(np.uint64).ravel(), np.repeat(names, many)
 
 
 def runs_of(blocks: DataFrame) -> DataFrame:
@@ -324,48 +383,96 @@ def likely(a: str, b: str) -> Column:
     )
 
 
-def exact_links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set names whose sets link: 100 * intersection >= 75 * union."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    wanted = ends.join(classes.select("key", "rep"), "key").select("rep").distinct()
+def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set names that their bitmaps leave possible."""
+    named = classes.select("key", "n", "bits", *[f"b{k}" for k in range(WORDS_BITS)])
+    a, b = named.alias("x"), named.alias("y")
+    both = (
+        pairs.join(a, F.col("a") == F.col("x.key")).join(b, F.col("b") == F.col("y.key"))
+        .where(likely("x", "y"))
+        .select("a", "b", F.col("x.bits").alias("x"), F.col("y.bits").alias("y"),
+                (F.col("x.n") + F.col("y.n")).alias("n"))
+    )
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, n = (batch.column(c).to_pylist() for c in ("x", "y", "n"))
+            keep = [7 * flips(p, q) <= m for p, q, m in zip(x, y, n)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(check, "a long, b long")
+
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def packed_texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """``key, packed``: one compressed text of each of the named sets."""
+    import zstandard
+
+    wanted = stage_table(classes.join(keys, "key", "left_semi").select("rep").distinct(), "wanted")
+    wanted = broadcast_if_small(wanted, MAX_BROADCAST_IDS)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
         for part in slices(batches, "text"):
-            sets = [shingles(t) for t in part.column("text").to_pylist()]
-            sets = [s for s in sets if len(s)]
+            texts = [(t or "").encode("utf-8", "replace") for t in part.column("text").to_pylist()]
+            found = [shingles(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_key(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["key", "elements"],
+                [pa.array([set_key(s) if len(s) else None for s in found], pa.int64()),
+                 pa.array([press.compress(t) for t in texts], pa.binary())],
+                ["key", "packed"],
             )
 
-    sets = (
-        docs.join(wanted, docs["id"] == wanted["rep"], "left_semi").select("text")
-        .mapInArrow(build, "key long, elements binary").dropDuplicates(["key"])
-    )
-    sets = stage_table(sets, "sets")
+    few = docs.join(wanted, docs["id"] == wanted["rep"], "left_semi").select("text")
+    return few.mapInArrow(pack, "key long, packed binary").dropDuplicates(["key"])
+
+
+def exact_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set names whose sets link: 100 * intersection >= 75 * union."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "x", 8 << 20):
-            keep = []
-            for x, y in zip(part.column("x"), part.column("y")):
-                a = np.frombuffer(x.as_buffer(), np.uint64)
-                b = np.frombuffer(y.as_buffer(), np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                place = np.searchsorted(b, a)
-                place[place == len(b)] = 0
-                both = int((b[place] == a).sum())
+        import zstandard
+
+        for batch in batches:
+            keep, last, a = [], None, None
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                if x != last:
+                    last, a = x, shingles(zstandard.decompress(x))
+                b = shingles(zstandard.decompress(y))
+                small, large = (a, b) if len(a) <= len(b) else (b, a)
+                place = np.searchsorted(large, small)
+                place[place == len(large)] = 0
+                both = int((large[place] == small).sum())
                 keep.append(100 * both >= 75 * (len(a) + len(b) - both))
-            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("key").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("key").alias("b"), F.col("elements").alias("y"))
+    left = texts.select(F.col("key").alias("a"), F.col("packed").alias("x"))
+    right = texts.select(F.col("key").alias("b"), F.col("packed").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
         compare, "a long, b long"
     )
 
 
+def apart(runs: DataFrame, classes: DataFrame, same: str | None = None) -> DataFrame:
+    """Pairs (a, b) of one run whose ``component`` differs and which the short bitmaps leave
+    possible; with ``same``, only pairs that are equal in that column."""
+    group = ["run", same] if same else ["run"]
+    mixed = runs.groupBy(*group).agg(F.min("component").alias("p"), F.max("component").alias("q"))
+    named = classes.select("key", "n", *[f"b{k}" for k in range(WORDS_BITS)])
+    open_ = runs.join(mixed.where("p <> q").select(*group), group).join(named, "key")
+    x, y = open_.alias("x"), open_.alias("y")
+    on = (
+        (F.col("x.run") == F.col("y.run")) & (F.col("x.key") < F.col("y.key"))
+        & (F.col("x.component") != F.col("y.component")) & likely("x", "y")
+    )
+    if same:
+        on &= F.col(f"x.{same}") == F.col(f"y.{same}")
+    return x.join(y, on).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+
+
+def with_component(runs: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    parts = connected_components(links).select(F.col("id").alias("key"), F.col("component").alias(name))
+    return runs.join(parts, "key", "left").withColumn(name, F.coalesce(name, "key"))
+
+
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_shingles, component_id`` of every row.
 
@@ -379,57 +486,38 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     info = stage_table(describe_sets(rows), "sets")
-    bits = [f"b{k}" for k in range(WORDS_BITS)]
+    first = [F.first(c).alias(c) for c in ("n", "bits", *[f"b{k}" for k in range(WORDS_BITS)])]
     classes = stage_table(
-        info.where("key IS NOT NULL").groupBy("key").agg(
-            F.min("id").alias("rep"), F.first("n").alias("n"), *[F.first(b).alias(b) for b in bits]
-        ).where("rep IS NOT NULL"),
+        info.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), *first)
+        .where("rep IS NOT NULL"),
         "classes",
     )
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = partitions * BUCKETS_PER_PARTITION
     fits = info.agg(F.bit_and("fits")).collect()[0][0]
     margin = next((m for k, m in enumerate(MARGINS) if fits is None or fits >> k & 1), None)
     if margin is None:
         raise ValueError("no partition fits every set; add to MARGINS")
-    blocks = signature_blocks(rows, buckets, margin)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = signature_blocks(rows, partitions, margin)
     dealt = blocks.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    runs = stage_table(runs_of(dealt), "runs")
-    runs = runs.join(classes.select("key"), "key", "left_semi")
-    named = classes.select("key", "n", *bits)
-
-    def bounded(pairs: DataFrame) -> DataFrame:
-        a, b = named.alias("x"), named.alias("y")
-        return (
-            pairs.join(a, F.col("a") == F.col("x.key")).join(b, F.col("b") == F.col("y.key"))
-            .where(likely("x", "y")).select("a", "b")
-        )
+    runs = stage_table(runs_of(dealt), "runs").join(classes.select("key"), "key", "left_semi")
 
     stars = runs.where("key <> pivot").select(
         F.col("pivot").alias("a"), F.col("key").alias("b")
     ).distinct()
-    stars = stage_table(bounded(stars), "pairs")
-    links = stage_table(exact_links(stars, classes, rows), "links")
-    settled = connected_components(links).select(F.col("id").alias("key"), "component")
-    place = stage_table(
-        runs.select("run", "key").distinct().join(settled, "key", "left")
-        .withColumn("component", F.coalesce("component", "key")),
-        "placed",
+    stars = stage_table(bounded(stars, classes), "pairs")
+    members = stage_table(
+        with_component(runs.select("run", "key").distinct(), stars, "component"), "members"
     )
-    mixed = place.groupBy("run").agg(F.min("component").alias("p"), F.max("component").alias("q"))
-    open_ = place.join(mixed.where("p <> q").select("run"), "run").join(named, "key")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (
-        x.join(
-            y,
-            (F.col("x.run") == F.col("y.run")) & (F.col("x.key") < F.col("y.key"))
-            & (F.col("x.component") != F.col("y.component")) & likely("x", "y"),
-        )
-        .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-        .join(stars, ["a", "b"], "left_anti")
+    pairs = stage_table(stars.union(bounded(apart(members, classes), classes)), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    texts = stage_table(packed_texts(rows, classes, ends), "texts")
+    links = stage_table(exact_links(pairs, texts), "links")
+    # whom a star pair has joined that is no link: their texts are all at hand
+    again = with_component(
+        members.withColumnRenamed("component", "joined"), links, "component"
     )
-    rest = stage_table(rest, "pairs")
-    links = links.union(exact_links(rest, classes, rows))
+    undone = apart(again, classes, "joined").join(pairs, ["a", "b"], "left_anti")
+    links = links.union(exact_links(bounded(undone, classes), texts))
     found = connected_components(
         links.join(classes.select(F.col("key").alias("a"), F.col("rep").alias("ra")), "a")
         .join(classes.select(F.col("key").alias("b"), F.col("rep").alias("rb")), "b"),

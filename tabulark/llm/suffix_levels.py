@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm.batches import slices
-from tabulark.session import scratch_path, stage_table
+from tabulark.llm.batches import Stages, drop_path, slices
+from tabulark.session import scratch_path
 
 LENGTH, GRAM, BATCHES = 200, 24, 4
 BLOCK_BYTES = 1 << 18
@@ -287,6 +287,12 @@ class SuffixLevels:
         self.levels = [*plan[:keep], (size, path)]
         self.found.append(path)
 
+    def drop(self) -> None:
+        """Remove the family's files."""
+        for path in self.found:
+            drop_path(self.spark, path)
+        self.levels, self.found = [], []
+
     def matches(self) -> DataFrame:
         """``key, stretch, number, start, count``: entries whose beginning occurs twice, each
         once, as the scans have found them."""
@@ -363,6 +369,16 @@ def pairs_of(column: pa.Array, i: int) -> np.ndarray:
     return np.stack((v.values.field("start").to_numpy(), v.values.field("stop").to_numpy()), axis=1)
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compress the texts, the last column, before they are shuffled."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=3)
+    for part in slices(batches, "text", 8 << 20):
+        texts = pa.array([press.compress(t) for t in part.column("text").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*part.columns[:-1], texts], part.schema.names)
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
     batches: int = BATCHES, keep: Sequence[str] = (), with_text: bool = False,
@@ -390,15 +406,20 @@ def remove_repeats(
     integral = docs.schema[id_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
     plain = integral and not clashes.count()
     number = F.col("id").cast("long") if plain else F.xxhash64("id", "text")
-    rows = named.withColumn("number", number)
+    rows = named.withColumn("number", number).select(
+        "number", "id", "none", *[f"kept{k}" for k in range(len(keep))], "text"
+    )
+    fields = [(f.name, f.dataType.simpleString()) for f in rows.schema]
 
     index = SuffixLevels(spark, length)
     share = F.pmod(F.xxhash64(F.lit("batch"), "number"), F.lit(batches))
     for k in range(batches):
         index.add(rows.where(share == k).select("number", "text"))
-    found = stage_table(index.matches(), "matches")
+    stages = Stages(spark)
+    found = stages.write(index.matches(), "matches")
+    index.drop()
 
-    same = stage_table(
+    same = stages.write(
         found.groupBy("key", "stretch").agg(
             F.count("*").alias("c"), F.min(F.struct("number", "start", "count")).alias("first")
         ),
@@ -411,125 +432,70 @@ def remove_repeats(
     settled = found.join(same.where("c > 1").select("key", "stretch"), ["key", "stretch"]).select(
         "number", "start", (F.col("start") + F.col("count") + length - 1).alias("stop")
     )
-    def span_list(spans: DataFrame) -> DataFrame:
-        return spans.groupBy("number").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-
+    packed = rows.mapInArrow(_pack, ", ".join(f"{n} {t}" for n, t in fields))
     wanted = edges.groupBy("number").agg(
         F.collect_list(F.struct("key", "start", "count", "alone")).alias("edges")
     )
-    per_row = span_list(settled).join(wanted, "number", "full")
-    joined = rows.join(per_row, "number", "left")
 
-    done_names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
-    done_types = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (
-        ", kept_text string" if with_text else ""
-    )
-    id_type = docs.schema[id_col].dataType.simpleString()
-    carried = [("id", id_type), ("none", "boolean")] + [
-        (f"kept{k}", docs.schema[c].dataType.simpleString()) for k, c in enumerate(keep)
-    ]
-    head = ", ".join(f"{n} {t}" for n, t in carried)
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bytes of each edge."""
+        import zstandard
 
-    # finished rows, rows that wait for their edges, and blocks of edges, in one pass
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
-        for part in slices(batches, "text", 8 << 20):
-            texts = part.column("text").to_pylist()
-            spans, edges = part.column("spans"), part.column("edges")
-            lists = edges.to_pylist()
-            done, open_, blocks = [], [], []
-            for i, (text, edge) in enumerate(zip(texts, lists)):
-                edge = edge or []
-                for e in edge:
-                    blocks.append(
-                        (e["key"], i, e["start"], e["alone"],
-                         text[e["start"] : e["start"] + e["count"] + length - 1])
-                    )
-                if any(e["alone"] for e in edge):
-                    open_.append(i)
-                else:
-                    done.append((i, result(text, pairs_of(spans, i), with_text)))
-            n = part.num_rows
-            rows_of = lambda at: [part.column(c).take(pa.array(at, pa.int64())) for c, _ in carried]
-            kinds = [("done", [i for i, _ in done]), ("open", open_), ("edge", [b[1] for b in blocks])]
-            numbers = part.column("number")
-            for kind, at in kinds:
-                if not at:
-                    continue
-                m = len(at)
-                take = pa.array(at, pa.int64())
-                none = lambda t: pa.nulls(m, t)
-                fields = {"kind": pa.array([kind] * m), "number": numbers.take(take)}
-                own = rows_of(at) if kind != "edge" else [none(part.column(c).type) for c, _ in carried]
-                fields |= {c: v for (c, _), v in zip(carried, own)}
-                values = list(zip(*[r for _, r in done])) if kind == "done" else None
-                for j, c in enumerate(done_names):
-                    t = pa.int64() if j < 3 else pa.string()
-                    fields[c] = pa.array(values[j], t) if values else none(t)
-                fields["text"] = (
-                    part.column("text").take(take) if kind == "open"
-                    else pa.array([b[4] for b in blocks], pa.binary()) if kind == "edge"
-                    else none(pa.binary())
-                )
-                fields["spans"] = spans.take(take) if kind == "open" else none(spans.type)
-                edge_of = kind == "edge"
-                fields["key"] = pa.array([b[0] for b in blocks], pa.int64()) if edge_of else none(pa.int64())
-                fields["start"] = pa.array([b[2] for b in blocks], pa.int64()) if edge_of else none(pa.int64())
-                fields["alone"] = pa.array([b[3] for b in blocks], pa.bool_()) if edge_of else none(pa.bool_())
-                yield pa.RecordBatch.from_arrays(list(fields.values()), list(fields))
-
-    span_type = "array<struct<start:bigint,stop:bigint>>"
-    parted = stage_table(
-        joined.select("number", "text", "spans", "edges", *[c for c, _ in carried]).mapInArrow(
-            split,
-            f"kind string, number long, {head}, {done_types}, text binary, spans {span_type}, "
-            "key long, start long, alone boolean",
-        ),
-        "parted", "kind",
-    )
-    done = parted.where("kind = 'done'").select(*[c for c, _ in carried], *done_names)
-    waiting = parted.where("kind = 'open'").select(
-        "number", *[c for c, _ in carried], "text", "spans"
-    )
-    edge_rows = parted.where("kind = 'edge'").select("key", "number", "start", "alone", "text")
+        for part in slices(batches, "text", 4 << 20):
+            out = {c: [] for c in ("key", "number", "start", "alone", "text")}
+            columns = [part.column(c).to_pylist() for c in ("text", "number", "edges")]
+            for packed, number, edges in zip(*columns):
+                text = zstandard.decompress(packed) if edges else b""
+                for e in edges or ():
+                    out["key"].append(e["key"])
+                    out["number"].append(number)
+                    out["start"].append(e["start"])
+                    out["alone"].append(e["alone"])
+                    out["text"].append(text[e["start"] : e["start"] + e["count"] + length - 1])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(out.values(), kinds)], list(out)
+            )
 
-    buckets = index.buckets
+    # the same join side as at the end, all columns of it: Spark shuffles the texts once
+    edge_rows = packed.join(wanted, "number", "left").mapInArrow(
+        fetch, "key long, number long, start long, alone boolean, text binary"
+    )
     dealt = (
-        edge_rows.withColumn("bucket", F.pmod("key", F.lit(buckets)))
+        edge_rows.withColumn("bucket", F.pmod("key", F.lit(index.buckets)))
         .repartition(index.partitions, "bucket").sortWithinPartitions("bucket")
     )
 
+    def windows(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        """Runs of windows of single entries that occur in another entry of the bucket."""
+        t = pa.Table.from_batches(parts)
+        texts = t.column("text").to_pylist()
+        sizes = np.array([len(x) for x in texts], np.int64)
+        count = sizes - length + 1
+        hashes = Hashes(np.frombuffer(b"".join(texts), np.uint8))
+        owner = np.repeat(np.arange(len(texts)), count)
+        within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        at = (np.cumsum(sizes) - sizes)[owner] + within
+        h = hashes.of(at, at + length)
+        order = np.argsort(h, kind="stable")
+        s = h[order]
+        same = s[1:] == s[:-1]
+        hit = np.zeros(len(h), bool)
+        hit[order] = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        hit &= t.column("alone").to_numpy()[owner]
+        begin = hit & ~np.concatenate(([False], hit[:-1] & (owner[1:] == owner[:-1])))
+        end = hit & ~np.concatenate((hit[1:] & (owner[1:] == owner[:-1]), [False]))
+        first, last = np.flatnonzero(begin), np.flatnonzero(end)
+        own = owner[first]
+        base = t.column("start").to_numpy()[own]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(t.column("number").to_numpy()[own]), pa.array(base + within[first]),
+             pa.array(base + within[last] + length)],
+            ["number", "start", "stop"],
+        )
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
-
-        def windows(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            t = pa.Table.from_batches(parts)
-            texts = t.column("text").to_pylist()
-            sizes = np.array([len(x) for x in texts], np.int64)
-            count = sizes - length + 1
-            hashes = Hashes(np.frombuffer(b"".join(texts), np.uint8))
-            owner = np.repeat(np.arange(len(texts)), count)
-            within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-            at = (np.cumsum(sizes) - sizes)[owner] + within
-            h = hashes.of(at, at + length)
-            order = np.argsort(h, kind="stable")
-            s = h[order]
-            same = s[1:] == s[:-1]
-            hit = np.zeros(len(h), bool)
-            hit[order] = np.concatenate((same, [False])) | np.concatenate(([False], same))
-            hit &= t.column("alone").to_numpy()[owner]
-            # runs of repeated windows of one entry
-            begin = hit & ~np.concatenate(([False], hit[:-1] & (owner[1:] == owner[:-1])))
-            end = hit & ~np.concatenate((hit[1:] & (owner[1:] == owner[:-1]), [False]))
-            first, last = np.flatnonzero(begin), np.flatnonzero(end)
-            own = owner[first]
-            base = t.column("start").to_numpy()[own]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(t.column("number").to_numpy()[own]), pa.array(base + within[first]),
-                 pa.array(base + within[last] + length)],
-                ["number", "start", "stop"],
-            )
-
         for batch in batches:
             bucket = batch.column("bucket").to_numpy()
             cut = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
@@ -545,28 +511,33 @@ def remove_repeats(
             yield windows(held)
 
     more = dealt.mapInArrow(compare, "number long, start long, stop long")
-    more = span_list(more).withColumnRenamed("spans", "more")
+    spans = settled.union(more).groupBy("number").agg(
+        F.collect_list(F.struct("start", "stop")).alias("spans")
+    )
+    carried = [f for f in fields if f[0] not in ("number", "text")]
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
+    types = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (
+        ", kept_text string" if with_text else ""
+    )
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 8 << 20):
-            spans, more = part.column("spans"), part.column("more")
+        import zstandard
+
+        for part in slices(batches, "text", 4 << 20):
+            spans = part.column("spans")
             found = [
-                result(t, np.concatenate((pairs_of(spans, i), pairs_of(more, i))), with_text)
+                result(zstandard.decompress(t), pairs_of(spans, i), with_text)
                 for i, t in enumerate(part.column("text").to_pylist())
             ]
-            values = list(zip(*found))
             yield pa.RecordBatch.from_arrays(
                 [*[part.column(c) for c, _ in carried],
-                 *[pa.array(values[j], pa.int64() if j < 3 else pa.string())
-                   for j in range(len(done_names))]],
-                [*[c for c, _ in carried], *done_names],
+                 *[pa.array(v, pa.int64() if j < 3 else pa.string())
+                   for j, v in enumerate(zip(*found))]],
+                [*[c for c, _ in carried], *names],
             )
 
-    finished = waiting.join(more.withColumnRenamed("number", "n"), F.col("number") == F.col("n"), "left")
-    finished = finished.select(*[c for c, _ in carried], "text", "spans", "more").mapInArrow(
-        finish, f"{head}, {done_types}"
-    )
-    every = done.union(finished)
+    head = ", ".join(f"{n} {t}" for n, t in carried)
+    finished = packed.join(spans, "number", "left").mapInArrow(finish, f"{head}, {types}")
     out = [F.col("id").alias(id_col), *[F.col(f"kept{k}").alias(c) for k, c in enumerate(keep)]]
     text = F.when(~F.col("none"), F.col("kept_text")).alias("kept_text") if with_text else None
-    return every.select(*out, *done_names[:4], *([text] if with_text else []))
+    return finished.select(*out, *names[:4], *([text] if with_text else []))
