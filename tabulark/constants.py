@@ -51,3 +51,9 @@ MIN_CONFIDENCE = 0.70
 LIVE_STABLE_FRAMES = 4
 LIVE_MIN_CONFIDENCE = 0.50
 GAP_SECONDS = 1.2
+
+# Texts that stand for a missing value in a table file
+MISSING_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]

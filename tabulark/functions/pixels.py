@@ -30,9 +30,21 @@ def pixel_flatten(image: Column) -> Column:
     return F.flatten(image)
 
 
+def number_or_null(pixel: Column) -> Column:
+    """A pixel with NaN read as missing."""
+    return F.when(~F.isnan(pixel), pixel)
+
+
+def present_pixels(pixels: Column) -> Column:
+    """The pixels that are neither null nor NaN."""
+    return F.filter(pixels, lambda p: p.isNotNull() & ~F.isnan(p))
+
+
 def has_bad_pixel(pixels: Column) -> Column:
     """Any pixel below 0 or above 255; missing pixels do not count."""
-    return F.exists(pixels, lambda p: F.coalesce((p < 0) | (p > 255), F.lit(False)))
+    return F.exists(
+        pixels, lambda p: F.coalesce((p < 0) | ((p > 255) & ~F.isnan(p)), F.lit(False))
+    )
 
 
 def has_missing_pixel(pixels: Column) -> Column:

@@ -11,14 +11,10 @@ from tabulark import constants as K
 from tabulark.functions.pixels import has_missing_pixel, pixel_pack, pixel_reshape, pixel_scale
 
 
-WIDE_COLUMNS = 100
-
 
 def dedup_rows(df: DataFrame) -> DataFrame:
     """One of each identical row, nulls equal. Copies are merged before the shuffle;
-    a wide table is compared as one struct, which keeps the generated code small."""
-    if len(df.columns) <= WIDE_COLUMNS:
-        return df.dropDuplicates()
+    rows are compared as one struct, which keeps the generated code small."""
     return df.select(F.struct(*df.columns).alias("_row")).distinct().select("_row.*")
 
 

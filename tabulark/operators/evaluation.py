@@ -1,7 +1,8 @@
 """Confusion matrix, binary metrics and the classification report.
 
 Everything starts from one aggregation of the scored rows into (actual,
-predicted) counts; what follows works on that small table.
+predicted) counts; what follows works on that table. A row without an actual or
+without a predicted label is not scored: it counts nowhere.
 """
 
 from __future__ import annotations
@@ -11,9 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.operators.small import small_rows
-
-MAX_LABELS = 1_000
+from tabulark.operators.quantiles import present
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -26,22 +25,19 @@ def _f1(precision: Column, recall: Column) -> Column:
 
 
 def pair_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    return df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("count")
+    """Scored rows per (actual, predicted)."""
+    pairs = df.select(
+        present(df, actual).alias("actual"), present(df, predicted).alias("predicted")
     )
+    return pairs.where("actual IS NOT NULL AND predicted IS NOT NULL").groupBy(
+        "actual", "predicted"
+    ).agg(F.count(F.lit(1)).alias("count"))
 
 
-def present_labels(df: DataFrame, actual: str, predicted: str) -> list:
-    both = df.select(F.explode(F.array(actual, predicted)).alias("label")).distinct()
-    rows = small_rows(both.where("label IS NOT NULL"), MAX_LABELS, "labels")
-    return sorted(r["label"] for r in rows)
-
-
-def confusion_wide(
-    df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None
-) -> DataFrame:
-    """One row per actual label and one column per predicted label, zeros kept."""
-    labels = list(labels) if labels is not None else present_labels(df, actual, predicted)
+def confusion_wide(df: DataFrame, actual: str, predicted: str, labels: Sequence) -> DataFrame:
+    """One row per listed actual label and one column per listed predicted label,
+    zeros kept."""
+    labels = list(labels)
     kind = df.schema[actual].dataType.simpleString()
     empty = df.sparkSession.createDataFrame(
         [(x, x, 0) for x in labels], f"actual {kind}, predicted {kind}, count long"
@@ -70,19 +66,29 @@ def confusion_long(
 def confusion_matrix(
     df: DataFrame, actual: str, predicted: str, labels: Sequence | None = None
 ) -> DataFrame:
-    kind = df.schema[actual].dataType.simpleString()
-    long = confusion_long(confusion_wide(df, actual, predicted, labels))
-    return long.select(
-        F.col("actual").cast(kind).alias("actual"),
-        F.col("predicted").cast(kind).alias("predicted"),
-        "count",
+    """(actual, predicted, count) for every pair of the labels that occur on either
+    side, or of the listed ones, zeros kept."""
+    pairs = pair_counts(df, actual, predicted)
+    if labels is None:
+        sides = F.explode(F.array("actual", "predicted"))
+        known = pairs.select(sides.alias("label")).distinct()
+    else:
+        kind = df.schema[actual].dataType.simpleString()
+        known = df.sparkSession.createDataFrame([(x,) for x in labels], f"label {kind}")
+    # the matrix has a cell for each pair of labels, whatever the number of rows
+    grid = known.select(F.col("label").alias("actual")).crossJoin(
+        known.select(F.col("label").alias("predicted"))
+    )
+    return grid.join(pairs, ["actual", "predicted"], "left").select(
+        "actual", "predicted", F.coalesce("count", F.lit(0)).alias("count")
     )
 
 
 def binary_metrics(df: DataFrame, actual: str, predicted: str, positive=1) -> DataFrame:
     """Accuracy, and precision, recall and F1 of the positive class, in one pass."""
     a, p = F.col(actual) == positive, F.col(predicted) == positive
-    counts = df.agg(
+    scored = present(df, actual).isNotNull() & present(df, predicted).isNotNull()
+    counts = df.where(scored).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(actual) == F.col(predicted)).alias("right"),
         F.count_if(a & p).alias("tp"),
@@ -124,7 +130,8 @@ def classification_report(
     ).select("r.*")
     whole = True
     if labels is not None:
-        whole = set(present_labels(df, actual, predicted)) <= set(labels)
+        listed = [F.col(c).isin(list(labels)) for c in ("actual", "predicted")]
+        whole = not pairs.where(~listed[0] | ~listed[1]).take(1)
         kind = df.schema[actual].dataType.simpleString()
         wanted = df.sparkSession.createDataFrame(
             [(x, 0, 0, 0) for x in labels], f"label {kind}, tp long, support long, called long"

@@ -65,10 +65,12 @@ def image_crop_resize(
     work_width: int | None = None,
 ) -> DataFrame:
     """Cut each decoded image (height, width, nChannels, data, box) to a gray
-    ``side`` x ``side`` array in 0..1. ``box`` is a square struct x1, y1, x2, y2."""
+    ``side`` x ``side`` array in 0..1. ``box`` is a square struct x1, y1, x2, y2; without
+    a box or without an image the pixels are null."""
+    corners = F.array("box.x1", "box.y1", "box.x2", "box.y2")
+    whole = F.forall(corners, lambda x: x.isNotNull()) & F.col("data").isNotNull()
     source = images.select(
-        *keep, "height", "width", "nChannels", "data",
-        F.array("box.x1", "box.y1", "box.x2", "box.y2").alias("box"),
+        *keep, "height", "width", "nChannels", "data", F.when(whole, corners).alias("box"),
     )
     schema = ", ".join(
         [f"`{c}` {images.schema[c].dataType.simpleString()}" for c in keep] + ["pixels array<float>"]
@@ -77,7 +79,10 @@ def image_crop_resize(
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             done = [
-                crop_to_gray(decode_pixels(d, h, w, c), b, side, flip, work_width).ravel()
+                None if b is None
+                else crop_to_gray(
+                    decode_pixels(d, int(h), int(w), int(c)), b, side, flip, work_width
+                ).ravel()
                 for d, h, w, c, b in zip(
                     batch["data"], batch["height"], batch["width"], batch["nChannels"], batch["box"]
                 )

@@ -10,16 +10,15 @@ from pyspark.sql import functions as F
 from tabulark import constants as K
 from tabulark.functions.letters import letter_to_label, letters_of, sign_kind
 from tabulark.operators.sampling import seeded_hash, shuffled_position
-from tabulark.operators.small import MAX_SMALL_ROWS, small_side
 
-MAX_PAYLOADS = 1_000  # rows that may carry an image to the driver
+SPREAD = 1_024  # join keys over which characters without a sample are dealt
 
 
 def dim_lookup_join(
     df: DataFrame, dimension: DataFrame, key: str, value: str, default
 ) -> DataFrame:
     """Dictionary lookup with a default for keys the dictionary lacks."""
-    side = small_side(dimension.select(F.col(key).alias("_key"), F.col(value).alias("_value")))
+    side = dimension.select(F.col(key).alias("_key"), F.col(value).alias("_value"))
     joined = df.join(side, F.col(key) == F.col("_key"), "left")
     return joined.withColumn(value, F.coalesce("_value", F.lit(default))).drop("_key", "_value")
 
@@ -35,13 +34,12 @@ def text_to_sign_join(
 ) -> DataFrame:
     """One row per character of each message, in order, with how it is shown.
 
-    ``assets`` has one row per upper-case ``letter``; its optional payload column
-    travels with the character.
+    ``assets`` has upper-case ``letter``s; the optional payload column (the smallest, if a
+    letter has several) travels with the character.
     """
-    columns = ["letter", payload] if payload else ["letter"]
-    side = small_side(
-        assets.select(*columns).dropDuplicates(["letter"]), MAX_PAYLOADS if payload else MAX_SMALL_ROWS
-    ).withColumnRenamed("letter", "_asset")
+    letters = assets.where("letter IS NOT NULL").groupBy(F.col("letter").alias("_asset"))
+    side = letters.agg(*([F.min(payload).alias(payload)] if payload else [F.lit(1).alias("_one")]))
+    side = side.drop("_one")
     chars = messages.select(*keep, F.posexplode(letters_of(F.col(text))).alias("pos", "ch"))
     joined = chars.join(side, F.upper("ch") == F.col("_asset"), "left")
     return joined.withColumn("kind", sign_kind(F.col("ch"), F.col("_asset").isNotNull())).drop("_asset")
@@ -71,19 +69,17 @@ def word_readback(
     numbered = shuffled_position(
         samples.select(label, sample_id, read), sample_id, seed, strata=label, position="_index"
     )
-    sizes = small_side(
-        samples.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
-    ).withColumnRenamed(label, "_wanted")
+    sizes = samples.groupBy(F.col(label).alias("_wanted")).agg(F.count(F.lit(1)).alias("_size"))
     letters = words.select(
         word_id, word, F.posexplode(letters_of(F.upper(word))).alias("_pos", "_letter")
     ).withColumn("_wanted", letter_to_label(F.col("_letter")))
+    # without a sample the number is one below 0 that no sample has
+    nowhere = -1 - F.pmod(F.xxhash64(word_id, "_pos"), F.lit(SPREAD))
     drawn = letters.join(sizes, "_wanted", "left").withColumn(
-        "_index", _hash_index(F.col("_size"), seed, F.col(word_id), F.col("_pos"))
-    )
-    # A small pool is hot on every number, so it is broadcast; a large one spreads.
-    pool = small_side(
-        numbered.select(F.col(label).alias("_wanted"), "_index", F.col(read).alias("_read"))
+        "_index",
+        F.coalesce(_hash_index(F.col("_size"), seed, F.col(word_id), F.col("_pos")), nowhere),
     )
+    pool = numbered.select(F.col(label).alias("_wanted"), "_index", F.col(read).alias("_read"))
     met = drawn.join(pool, ["_wanted", "_index"], "left").withColumn(
         "_read", F.coalesce("_read", F.lit(K.UNKNOWN_LETTER))
     )

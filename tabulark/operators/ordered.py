@@ -91,8 +91,11 @@ class Chunks:
         return Window.partitionBy(*self.keys).orderBy(CHUNK)
 
     def attach(self, df: DataFrame, per_chunk: DataFrame, columns: Sequence[str]) -> DataFrame:
-        """Bring per-chunk values to the rows of the chunk."""
-        return df.join(per_chunk.select(*self.keys, CHUNK, *columns), [*self.keys, CHUNK])
+        """Bring per-chunk values to the rows of the chunk; a null session is one, too."""
+        names = [*self.keys, CHUNK]
+        side = per_chunk.select(*[F.col(c).alias(f"_of_{c}") for c in names], *columns)
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in names]
+        return df.join(side, same).drop(*[f"_of_{c}" for c in names])
 
     def previous(self, df: DataFrame, value: Column, name: str) -> DataFrame:
         """Value of the row before, across chunk borders (null for the first row)."""

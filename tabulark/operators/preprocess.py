@@ -16,14 +16,11 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulark import constants as K
 from tabulark.operators.quantiles import exact_percentiles, present
-from tabulark.operators.small import small_rows
-
-MAX_CATEGORIES = 100_000
 
 
 def fit_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -67,22 +64,17 @@ def fit_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _vocabulary(df: DataFrame, columns: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
-    """Sorted (category, rows) pairs per column; refused beyond a usable width."""
-    counted = small_rows(category_counts(df, columns), MAX_CATEGORIES, "categories to encode")
+    """Sorted (category, rows) pairs per column, for the encoder that holds them anyway."""
     found: dict[str, list] = {c: [] for c in columns}
-    for r in counted:
+    for r in category_counts(df, columns).toLocalIterator():
         found[r["column"]].append((r["value"], r["count"]))
     return {c: sorted(pairs) for c, pairs in found.items()}
 
 
 def fit_vocab(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Categories of each column with their place in sorted order."""
-    rows = [
-        (c, value, place)
-        for c, pairs in _vocabulary(df, columns).items()
-        for place, (value, _) in enumerate(pairs)
-    ]
-    return df.sparkSession.createDataFrame(rows, "column string, value string, place int")
+    place = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
+    return category_counts(df, columns).select("column", "value", place.alias("place"))
 
 
 def _numeric_plan(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float, float]]:

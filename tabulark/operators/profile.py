@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulark.functions.passenger import percent_round
-from tabulark.functions.pixels import has_bad_pixel
+from tabulark.functions.pixels import has_bad_pixel, number_or_null, present_pixels
 from tabulark.operators.quantiles import exact_percentiles, present
-from tabulark.operators.small import small_side
 
 
 def _per_column(wide: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
@@ -77,7 +76,7 @@ def missing_total(df: DataFrame) -> DataFrame:
 
 
 def target_rate(df: DataFrame, label: str) -> DataFrame:
-    return df.agg(F.avg(label).alias("rate"))
+    return df.agg(F.avg(present(df, label)).alias("rate"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -90,18 +89,19 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def group_rate(df: DataFrame, columns: Sequence[str], label: str, digits: int = 1) -> DataFrame:
     """Label rate in percent per value of each column, all columns in one job."""
-    long = df.select(label, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [label], list(columns), "column", "value"
+    texts = [present(df, c).cast("string").alias(c) for c in columns]
+    long = df.select(present(df, label).alias("_label"), *texts).unpivot(
+        ["_label"], list(columns), "column", "value"
     )
     return (
         long.where("value IS NOT NULL")
         .groupBy("column", "value")
-        .agg(percent_round(F.avg(label), digits).alias("rate"))
+        .agg(percent_round(F.avg("_label"), digits).alias("rate"))
     )
 
 
 def distinct_count(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.countDistinct(column).alias("n_distinct"))
+    return df.agg(F.countDistinct(present(df, column)).alias("n_distinct"))
 
 
 def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
@@ -110,11 +110,12 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
 
 def range_check(df: DataFrame, label: str, pixels: str) -> DataFrame:
     """Smallest and largest label, and smallest and largest pixel of the table."""
+    known, cells = present(df, label), present_pixels(F.col(pixels))
     return df.agg(
-        F.min(label).alias("label_min"),
-        F.max(label).alias("label_max"),
-        F.min(F.array_min(pixels)).alias("pixel_min"),
-        F.max(F.array_max(pixels)).alias("pixel_max"),
+        F.min(known).alias("label_min"),
+        F.max(known).alias("label_max"),
+        F.min(F.array_min(cells)).alias("pixel_min"),
+        F.max(F.array_max(cells)).alias("pixel_max"),
     )
 
 
@@ -125,7 +126,8 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 
 def bad_label_count(df: DataFrame, label: str, classes: int) -> DataFrame:
-    return df.agg(F.count_if((F.col(label) < 0) | (F.col(label) >= classes)).alias("bad_labels"))
+    known = present(df, label)
+    return df.agg(F.count_if((known < 0) | (known >= classes)).alias("bad_labels"))
 
 
 def bad_pixel_rows(df: DataFrame, pixels: str) -> DataFrame:
@@ -141,7 +143,7 @@ def clean_removed(df: DataFrame, clean) -> DataFrame:
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
-    sizes = df.where(F.col(label).isNotNull()).groupBy(label).count()
+    sizes = df.where(present(df, label).isNotNull()).groupBy(label).count()
     return sizes.agg(
         F.min("count").alias("smallest"),
         F.max("count").alias("largest"),
@@ -150,7 +152,8 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def _pixel_means(df: DataFrame, label: str, pixels: str) -> DataFrame:
-    cells = df.select(label, F.posexplode(pixels).alias("pos", "pixel"))
+    rows = df.select(label, F.transform(pixels, number_or_null).alias("_pixels"))
+    cells = rows.select(label, F.posexplode("_pixels").alias("pos", "pixel"))
     return cells.groupBy(label, "pos").agg(F.avg("pixel").alias("mean"))
 
 
@@ -170,7 +173,7 @@ def class_brightness(df: DataFrame, label: str, pixels: str) -> DataFrame:
 
 
 def pixel_moments(df: DataFrame, pixels: str) -> DataFrame:
-    cells = df.select(F.explode(pixels).alias("pixel"))
+    cells = df.select(F.explode(present_pixels(F.col(pixels))).alias("pixel"))
     return cells.agg(F.avg("pixel").alias("mean"), F.stddev_pop("pixel").alias("std"))
 
 
@@ -185,12 +188,10 @@ def histogram_equal(
     rows = df.select(group.alias(name), x.alias("x")).where("x IS NOT NULL")
     ends = rows.groupBy(name).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     flat = F.col("lo") == F.col("hi")
-    ends = small_side(
-        ends.select(
-            name,
-            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-        )
+    ends = ends.select(
+        F.col(name).alias("_of"),
+        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
     step = (F.col("hi") - F.col("lo")) / bins
 
@@ -200,8 +201,8 @@ def histogram_equal(
     guess = F.least(
         F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1)
     ).cast("int")
-    placed = rows.join(ends, rows[name].eqNullSafe(ends[name])).select(
-        rows[name], "x", "lo", "hi", guess.alias("guess")
+    placed = rows.join(ends, F.col(name).eqNullSafe(F.col("_of"))).select(
+        name, "x", "lo", "hi", guess.alias("guess")
     )
     g = F.col("guess")
     index = (
@@ -211,11 +212,11 @@ def histogram_equal(
     )
     counts = placed.groupBy(name, index.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     empty = ends.select(
-        name, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).alias("count")
+        F.col("_of").alias(name), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).alias("count")
     )
     filled = counts.unionByName(empty).groupBy(name, "bin").agg(F.sum("count").alias("count"))
-    out = filled.join(ends, filled[name].eqNullSafe(ends[name])).select(
-        filled[name], "bin", edge(F.col("bin")).alias("low"), edge(F.col("bin") + 1).alias("high"),
+    out = filled.join(ends, F.col(name).eqNullSafe(F.col("_of"))).select(
+        name, "bin", edge(F.col("bin")).alias("low"), edge(F.col("bin") + 1).alias("high"),
         "count",
     )
     return out if by else out.drop(name)

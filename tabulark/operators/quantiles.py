@@ -156,5 +156,9 @@ def exact_percentiles(
             place = p * (counts[c] - 1)
             low = searches[c, math.floor(place)].answer
             high = searches[c, math.ceil(place)].answer
-            out[c].append(low + (high - low) * (place - math.floor(place)))
+            # the arithmetic of Spark's own percentile, to the last digit
+            out[c].append(
+                low if low == high
+                else (math.ceil(place) - place) * low + (place - math.floor(place)) * high
+            )
     return out

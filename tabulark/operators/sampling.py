@@ -8,18 +8,15 @@ class that holds most of the table into equal, ordered pieces.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tabulark import constants as K
-from tabulark.operators.small import small_rows, small_side
 
 PREFIX_DIGITS = 3
-GROUP_LIMIT = 1000
-MAX_CLASSES = 10_000
-TAKE_ROWS = 1_000
+GROUP_SLICES = 256
 
 
 def seeded_hash(seed: int, *parts: Column) -> Column:
@@ -51,19 +48,19 @@ def first_per_group(df: DataFrame, group: str, order: str) -> DataFrame:
 
 
 def first_n_per_group(df: DataFrame, group: str, order: Sequence[str], n: int) -> DataFrame:
-    """The first n rows of each group. Up to 1000 Spark limits each partition before
-    the shuffle by itself; larger n are first limited inside even slices of a group."""
+    """The first n rows of each group: of the first n of each even slice of a group, so
+    that no task sorts a hot group."""
+    slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(GROUP_SLICES))
+    inner = Window.partitionBy(group, "_slice").orderBy(*order)
     final = Window.partitionBy(group).orderBy(*order)
-    if n > GROUP_LIMIT:
-        slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(256))
-        inner = Window.partitionBy(group, "_slice").orderBy(*order)
-        df = (
-            df.withColumn("_slice", slice_of)
-            .withColumn("_rank", F.row_number().over(inner))
-            .where(F.col("_rank") <= n)
-            .drop("_slice", "_rank")
-        )
-    return df.withColumn("_rank", F.row_number().over(final)).where(F.col("_rank") <= n).drop("_rank")
+    return (
+        df.withColumn("_slice", slice_of)
+        .withColumn("_rank", F.row_number().over(inner))
+        .where(F.col("_rank") <= n)
+        .withColumn("_rank", F.row_number().over(final))
+        .where(F.col("_rank") <= n)
+        .drop("_slice", "_rank")
+    )
 
 
 def shuffled_position(
@@ -85,9 +82,10 @@ def shuffled_position(
     ).withColumn("_p", F.substring("_h", 1, digits))
     sizes = keyed.groupBy("_s", "_p").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    before = small_side(
-        sizes.select("_s", "_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    ).select(F.col("_s").alias("_s2"), F.col("_p").alias("_p2"), "_before")
+    before = sizes.select(
+        F.col("_s").alias("_s2"), F.col("_p").alias("_p2"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+    )
     inside = Window.partitionBy("_s", "_p").orderBy("_h", id_column)
     return (
         keyed.withColumn("_local", F.row_number().over(inside) - 1)
@@ -98,14 +96,20 @@ def shuffled_position(
 
 
 def sample_n(df: DataFrame, n: int, id_column: str, seed: int) -> DataFrame:
-    """Exactly n rows without replacement; an error when the table has fewer."""
-    have = df.limit(n).count() if n <= TAKE_ROWS else df.count()
+    """Exactly n rows without replacement, the first n in seeded random order; an error
+    when the table has fewer. A threshold on the hash leaves little more than n rows to
+    sort: n and eight deviations of the number that falls below it, and more if need be."""
+    have = df.count()
     if have < n:
         raise ValueError(f"cannot take {n} rows from a table of {have}")
-    if n <= TAKE_ROWS:
-        return df.orderBy(seeded_hash(seed, F.col(id_column)), id_column).limit(n)
-    placed = shuffled_position(df, id_column, seed, position="_place")
-    return placed.where(F.col("_place") < n).drop("_place")
+    hashed = seeded_hash(seed, F.col(id_column))
+    number = F.conv(F.substring(hashed, 1, 8), 16, 10).cast("long")
+    wanted = n + 8 * n**0.5 + 64
+    while True:
+        below = df.where(number < int(wanted / have * 2**32) + 1) if wanted < have else df
+        if wanted >= have or below.count() >= n:
+            return below.orderBy(hashed, id_column).limit(n)
+        wanted *= 2
 
 
 def sample_one_per_key(df: DataFrame, key: str, id_column: str, seed: int) -> DataFrame:
@@ -115,20 +119,20 @@ def sample_one_per_key(df: DataFrame, key: str, id_column: str, seed: int) -> Da
     return df.groupBy(F.col(key).alias("_key")).agg(F.min_by(row, order).alias("_row")).select("_row.*")
 
 
-def _class_sizes(df: DataFrame, label: str) -> dict:
-    rows = small_rows(
-        df.groupBy(label).agg(F.count(F.lit(1)).alias("n")), MAX_CLASSES, "classes to stratify by"
-    )
-    if any(r[label] is None for r in rows):
+def _class_sizes(df: DataFrame, label: str) -> tuple[DataFrame, Row]:
+    """Rows per class (``label``, ``_n``), and one row about all of them: ``classes``,
+    ``rows``, ``least``, ``most``."""
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    known = F.col(label).isNotNull()
+    facts = sizes.agg(
+        F.count_if(~known).alias("gaps"), F.count_if(known).alias("classes"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.min("_n"), F.lit(0)).alias("least"),
+        F.coalesce(F.max("_n"), F.lit(0)).alias("most"),
+    ).first()
+    if facts["gaps"]:
         raise ValueError(f"{label} has missing values")
-    return {r[label]: r["n"] for r in sorted(rows, key=lambda r: r[label])}
-
-
-def _class_table(df: DataFrame, label: str, name: str, values: Mapping) -> DataFrame:
-    kind = df.schema[label].dataType.simpleString()
-    return F.broadcast(
-        df.sparkSession.createDataFrame(list(values.items()), f"`{label}` {kind}, `{name}` long")
-    )
+    return sizes, facts
 
 
 def stratified_kfold(
@@ -136,30 +140,29 @@ def stratified_kfold(
 ) -> DataFrame:
     """Fold number per row: classes laid end to end in shuffled order and dealt
     round robin, so fold sizes and class counts differ by at most one."""
-    sizes = _class_sizes(df, label)
-    if k > max(sizes.values()):
+    sizes, facts = _class_sizes(df, label)
+    if k > facts["most"]:
         raise ValueError(f"{k} folds need a class of at least {k} rows")
-    starts, total = {}, 0
-    for value, n in sizes.items():
-        starts[value], total = total, total + n
+    # one row per class passes through this window
+    earlier = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(label, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     placed = shuffled_position(df, id_column, seed, strata=label, position="_place")
     return (
-        placed.join(_class_table(df, label, "_start", starts), label)
+        placed.join(starts, label)
         .withColumn(fold, ((F.col("_start") + F.col("_place")) % k).cast("int"))
         .select(*df.columns, fold)
     )
 
 
-def class_quotas(sizes: Mapping, fraction: float) -> dict:
-    """Rows per class for a held-out share: proportional, rounded by largest remainder."""
-    total = sum(sizes.values())
-    wanted = math.ceil(fraction * total)
-    exact = {c: n * wanted / total for c, n in sizes.items()}
-    quota = {c: math.floor(x) for c, x in exact.items()}
-    order = sorted(sizes, key=lambda c: (-(exact[c] - quota[c]), c))
-    for c in order[: wanted - sum(quota.values())]:
-        quota[c] += 1
-    return quota
+def class_quotas(sizes: DataFrame, label: str, rows: int, wanted: int) -> DataFrame:
+    """``label``, ``_quota``: rows per class for a held-out share of ``wanted`` of all
+    ``rows``, proportional and rounded by largest remainder (ties: smaller label)."""
+    exact = F.col("_n") * F.lit(wanted) / F.lit(rows)
+    parts = sizes.select(label, F.floor(exact).alias("_floor"), (exact - F.floor(exact)).alias("_rest"))
+    order = Window.orderBy(F.desc("_rest"), label)
+    extra = F.lit(wanted) - F.sum("_floor").over(Window.partitionBy())
+    more = (F.row_number().over(order) <= extra).cast("long")
+    return parts.select(label, (F.col("_floor") + more).alias("_quota"))
 
 
 def stratified_split(
@@ -171,16 +174,16 @@ def stratified_split(
     split: str = "split",
 ) -> DataFrame:
     """Mark each row as ``train`` or ``test`` with class-proportional quotas."""
-    sizes = _class_sizes(df, label)
-    quota = class_quotas(sizes, fraction)
-    if min(sizes.values()) < 2:
+    sizes, facts = _class_sizes(df, label)
+    wanted = math.ceil(fraction * facts["rows"])
+    if facts["least"] < 2:
         raise ValueError("every class needs at least two rows")
-    if sum(quota.values()) < len(sizes) or sum(sizes.values()) - sum(quota.values()) < len(sizes):
+    if wanted < facts["classes"] or facts["rows"] - wanted < facts["classes"]:
         raise ValueError("both sides of the split need room for every class")
     placed = shuffled_position(df, id_column, seed, strata=label, position="_place")
     side = F.when(F.col("_place") < F.col("_quota"), F.lit("test")).otherwise(F.lit("train"))
     return (
-        placed.join(_class_table(df, label, "_quota", quota), label)
+        placed.join(class_quotas(sizes, label, facts["rows"], wanted), label)
         .withColumn(split, side)
         .select(*df.columns, split)
     )

@@ -194,9 +194,9 @@ def clean_table(spark, sf):
 
 
 @query("label_filter", with_views("pixels_dirty", f"""
-SELECT label, pixel1, pixel64 FROM pixels_dirty WHERE label >= 0 AND label < {CLASSES}"""))
+SELECT * FROM pixels_dirty WHERE label >= 0 AND label < {CLASSES}"""))
 def _(spark, sf):
-    return cleaning.label_filter(dirty(spark, sf), classes=CLASSES).select("label", "pixel1", "pixel64")
+    return cleaning.label_filter(dirty(spark, sf), classes=CLASSES)
 
 
 @query("clean_removed", CLEAN + """
@@ -226,17 +226,18 @@ def _(spark, sf):
     return profile.bad_pixel_rows(packed(spark, sf), "pixels")
 
 
-@query("pixel_pack", with_views("pixels_dirty", f"""
-long AS (SELECT label, i AS pos, {LIST}[i + 1] AS pixel FROM pixels_dirty, range(0, {PIXELS}) r(i))
-SELECT label, CAST(pos AS INT) AS pos, sum(CAST(pixel AS DOUBLE)) AS total, count(pixel) AS n FROM long
-WHERE label IS NOT NULL GROUP BY ALL"""))
+def as_text(pixels: Column) -> Column:
+    """All pixels of an image in one text, gaps as ``?``, to compare whole rows."""
+    whole = F.transform(pixels, lambda p: F.coalesce(F.round(p).cast("int").cast("string"), F.lit("?")))
+    return F.array_join(whole, ",")
+
+
+TEXT = f"array_to_string(list_transform({LIST}, lambda p: coalesce(CAST(CAST(p AS INT) AS VARCHAR), '?')), ',')"
+
+
+@query("pixel_pack", with_views("pixels_dirty", f"SELECT label, {TEXT} AS pixels FROM pixels_dirty"))
 def _(spark, sf):
-    wide = dirty(spark, sf).where("label IS NOT NULL").select(
-        "label", X.pixel_pack(PIXEL_NAMES).alias("pixels")
-    )
-    return cells(wide, ["label"], F.col("pixels"), "pixel").groupBy("label", "pos").agg(
-        F.sum(F.col("pixel").cast("double")).alias("total"), F.count("pixel").alias("n")
-    )
+    return dirty(spark, sf).select("label", as_text(X.pixel_pack(PIXEL_NAMES)).alias("pixels"))
 
 
 PIXEL_ROWS = with_views("pixels", """
@@ -260,16 +261,14 @@ def _(spark, sf):
 
 @query("pixel_dataset", CLEAN + f"""
 , parts AS (SELECT 'train' AS split, * FROM clean UNION ALL SELECT 'test', * FROM clean),
-long AS (SELECT split, label, i AS pos, {LIST}[i + 1] AS pixel FROM parts, range(0, {PIXELS}) r(i))
-SELECT split, label, CAST(pos // 8 AS INT) AS row, CAST(pos % 8 AS INT) AS col,
- CAST(sum(pixel) AS BIGINT) AS total FROM long GROUP BY ALL""")
+long AS (SELECT split, label, {LIST} AS p FROM parts)
+SELECT split, label, array_to_string(list_transform(range(0, {SIDE}),
+ lambda r: array_to_string(list_transform(p[r * {SIDE} + 1 : (r + 1) * {SIDE}],
+  lambda v: CAST(CAST(v AS INT) AS VARCHAR)), ',')), '/') AS image FROM long""")
 def _(spark, sf):
     data = cleaning.pixel_dataset(dirty(spark, sf), dirty(spark, sf), side=SIDE, classes=CLASSES)
-    lines = data.select("split", "label", F.posexplode("image").alias("row", "line"))
-    out = lines.select("split", "label", "row", F.posexplode("line").alias("col", "v"))
-    return out.groupBy("split", "label", "row", "col").agg(
-        F.sum(F.round(F.col("v") * 255).cast("long")).alias("total")
-    )
+    lines = F.transform("image", lambda line: as_text(F.transform(line, lambda v: v * 255)))
+    return data.select("split", "label", F.array_join(lines, "/").alias("image"))
 
 
 @query("distinct_sorted", with_views("pixels_dirty", """

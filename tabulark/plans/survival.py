@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tabulark import constants as K
 from tabulark.functions import passenger as P
 from tabulark.operators import cleaning, evaluation, preprocess, profile, sampling
-from tabulark.operators.small import small_side
 from tabulark.plans.fixtures import view, with_views
 from tabulark.plans.registry import query
 from tabulark.session import scratch_path, session_cache
@@ -459,7 +458,7 @@ def _(spark, sf):
     """Two small summaries from one cached table."""
     with session_cache(engineered(spark, sf)) as kept:
         parts = [
-            small_side(profile.value_counts(kept, c).select(F.lit(k).alias("kind"), F.col(c).alias("value"), "count"))
+            profile.value_counts(kept, c).select(F.lit(k).alias("kind"), F.col(c).alias("value"), "count")
             for k, c in (("sex", "Sex"), ("title", "Title"))
         ]
     return parts[0].unionByName(parts[1])

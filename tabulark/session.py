@@ -6,6 +6,8 @@ import contextlib
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
@@ -44,6 +46,22 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors, once for each application, so that functions
+    that run there find it wherever the driver was started."""
+    context = spark.sparkContext
+    name = f"tabulark-{context.applicationId}.zip"
+    if any(f.endswith(name) for f in context._python_includes):
+        return
+    top = Path(__file__).resolve().parents[1]
+    sources = sorted(top.glob("tabulark/**/*.py")) + sorted(top.glob("corpus_pipeline.py"))
+    packed = Path(tempfile.mkdtemp(prefix="tabulark-")) / name
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sources:
+            archive.write(source, source.relative_to(top))
+    context.addPyFile(str(packed))
+
+
 def _application_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/tabulark-{spark.sparkContext.applicationId}"
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from tabulark import constants as K
+
 PASSENGER_SCHEMA = (
     "PassengerId INT, Pclass INT, Name STRING, Sex STRING, Age DOUBLE, SibSp INT, Parch INT, "
     "Ticket STRING, Fare DOUBLE, Cabin STRING, Embarked STRING"
@@ -31,16 +33,34 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop)
 
 
-def csv_scan(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Headered CSV with doubled quotes, typed by the given schema."""
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+def csv_scan(
+    spark: SparkSession, path: str, schema: str | T.StructType, quoted_lines: bool = True
+) -> DataFrame:
+    """Headered CSV with doubled quotes, typed by the given schema.
+
+    Quoted line breaks belong to their value (without any in the file, turn
+    ``quoted_lines`` off: a large file is then read in pieces). The usual tokens for a
+    missing value are null; anything else that does not fit its type is an error.
+    """
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    reader = spark.read.schema(texts).option("header", True).option("escape", '"')
     try:
-        return reader.option("enforceSchema", False).csv(path)
+        rows = reader.option("enforceSchema", False).option("multiLine", quoted_lines).csv(path)
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" in str(problem):
             raise FileNotFoundError(f"no table at {path}") from problem
         raise
 
+    def typed(field: T.StructField):
+        text = F.when(~F.col(field.name).isin(K.MISSING_TOKENS), F.col(field.name))
+        value = text.try_cast(field.dataType)
+        wrong = F.raise_error(F.concat(F.lit(f"{field.name} cannot be "), text))
+        return F.when(text.isNotNull() & value.isNull(), wrong.cast(field.dataType)).otherwise(value)
+
+    return rows.select(*[typed(f).alias(f.name) for f in schema])
+
 
 def csv_sink(df: DataFrame, path: str, id_column: str, prediction: str) -> None:
     """Id and whole-number prediction, with a header."""

@@ -131,7 +131,9 @@ def commit_stream(
     """
     rows = with_actions(frames).select(
         F.col("sid").cast("long").alias("sid"), "ts", micros(F.col("ts")).alias("at"), "seq",
-        "letter", "conf", "action", "ch",
+        # NaN is no smaller than the least confidence and passes, null does not
+        "letter", F.when(F.isnan("conf"), F.lit(float("inf"))).otherwise(F.col("conf")).alias("conf"),
+        "action", "ch",
     )
     timeout = GroupStateTimeout.NoTimeout
     if delay is not None:

@@ -115,7 +115,12 @@ def test_split_quotas(spark, skewed):
     out = sampling.stratified_split(skewed, "label", "id", 0.15).collect()
     sizes = Counter(r["label"] for r in out)
     test = Counter(r["label"] for r in out if r["split"] == "test")
-    assert test == Counter(sampling.class_quotas(sizes, 0.15))
+    wanted = math.ceil(0.15 * sum(sizes.values()))
+    exact = {c: n * wanted / sum(sizes.values()) for c, n in sizes.items()}
+    quota = {c: math.floor(x) for c, x in exact.items()}
+    for c in sorted(sizes, key=lambda c: (quota[c] - exact[c], c))[: wanted - sum(quota.values())]:
+        quota[c] += 1
+    assert test == Counter(quota)
     assert sum(test.values()) == math.ceil(0.15 * 2003)
     assert all(abs(test[c] - 0.15 * n) <= 1 for c, n in sizes.items())
 
@@ -132,13 +137,14 @@ def test_shuffled_position(spark, skewed, digits):
 
 
 def test_samples(spark, skewed, monkeypatch):
-    small = {r["id"] for r in sampling.sample_n(skewed, 30, "id", 1).collect()}
-    monkeypatch.setattr(sampling, "TAKE_ROWS", 10)
-    assert len(small) == 30
-    assert {r["id"] for r in sampling.sample_n(skewed, 30, "id", 1).collect()} == small
+    import hashlib
+
+    ids = sorted((r["id"] for r in skewed.collect()), key=lambda i: hashlib.md5(f"1-{i}".encode()).hexdigest())
+    for n in (0, 1, 30, len(ids) - 1, len(ids)):
+        assert {r["id"] for r in sampling.sample_n(skewed, n, "id", 1).collect()} == set(ids[:n])
     with pytest.raises(ValueError):
         sampling.sample_n(skewed, 3000, "id", 1)
-    monkeypatch.setattr(sampling, "GROUP_LIMIT", 2)
+    monkeypatch.setattr(sampling, "GROUP_SLICES", 3)
     firsts = sampling.first_n_per_group(skewed, "label", ["id"], 4).collect()
     want = [i for i, r in enumerate(sorted(skewed.collect())) if r["label"] == "hot"][:4]
     assert sorted(r["id"] for r in firsts if r["label"] == "hot") == want
