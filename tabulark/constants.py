@@ -57,3 +57,8 @@ MISSING_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
     "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
+
+# Settings of the compared models
+FOREST_TREES, FOREST_DEPTH, FOREST_LEAF = 400, 6, 2
+BOOST_ROUNDS, BOOST_STEP, BOOST_DEPTH = 300, 0.05, 3
+PERCEPTRON_HIDDEN, PERCEPTRON_ITERATIONS = [256, 128], 600

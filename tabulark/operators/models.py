@@ -20,6 +20,7 @@ from tabulark import constants as K
 from tabulark.functions.passenger import strip_prefix
 from tabulark.functions.pixels import pixel_scale
 from tabulark.operators.preprocess import TabularPreprocessor, feature_names
+from tabulark.operators.sampling import best_model
 from tabulark.session import stage_table
 
 ModelMaker = Callable[[int], Estimator]
@@ -32,19 +33,21 @@ def logistic_regression(rows: int, label: str = "Survived") -> Estimator:
     )
 
 
-def random_forest(rows: int, label: str = "Survived", trees: int = 400) -> Estimator:
+def random_forest(rows: int, label: str = "Survived", trees: int = K.FOREST_TREES) -> Estimator:
     return RandomForestClassifier(
-        labelCol=label, numTrees=trees, maxDepth=6, minInstancesPerNode=2,
+        labelCol=label, numTrees=trees, maxDepth=K.FOREST_DEPTH, minInstancesPerNode=K.FOREST_LEAF,
         featureSubsetStrategy="sqrt", seed=K.SEED,
     )
 
 
-def gradient_boosting(rows: int, label: str = "Survived", rounds: int = 300) -> Estimator:
-    return GBTClassifier(labelCol=label, maxIter=rounds, stepSize=0.05, maxDepth=3, seed=K.SEED)
+def gradient_boosting(rows: int, label: str = "Survived", rounds: int = K.BOOST_ROUNDS) -> Estimator:
+    return GBTClassifier(
+        labelCol=label, maxIter=rounds, stepSize=K.BOOST_STEP, maxDepth=K.BOOST_DEPTH, seed=K.SEED
+    )
 
 
 def candidate_models(
-    label: str = "Survived", trees: int = 400, rounds: int = 300
+    label: str = "Survived", trees: int = K.FOREST_TREES, rounds: int = K.BOOST_ROUNDS
 ) -> dict[str, ModelMaker]:
     """The compared models in order; each maker gets the number of training rows."""
     return {
@@ -73,6 +76,27 @@ def _side_by_side(work: Callable, jobs: Sequence, parallelism: int, spark) -> li
         pool.close()
 
 
+def ridge_gradient(model: PipelineModel, df: DataFrame, label: str = "Survived") -> float:
+    """Largest slope, over all slots and the intercept, of the mean loss plus half the
+    penalty times the squared weights; about zero at the optimum."""
+    last = model.stages[-1]
+    scored = model.transform(df).select(
+        (vector_to_array("probability")[1] - F.col(label)).alias("miss"),
+        vector_to_array("features").alias("x"),
+    )
+    weights = last.coefficients.toArray()
+    slopes = [F.avg(F.col("miss") * F.col("x")[i]) for i in range(len(weights))]
+    row = scored.agg(F.avg("miss"), *slopes).first()
+    penalty = last.getRegParam()
+    return max(abs(row[0]), *[abs(s + penalty * w) for s, w in zip(row[1:], weights)])
+
+
+def winner(scores: DataFrame) -> str:
+    """Name of the model with the best mean accuracy over the folds."""
+    means = scores.groupBy("model").agg(F.avg("accuracy").alias("score"))
+    return best_model(means, list(candidate_models()), "model", "score").first()["model"]
+
+
 def cv_compare(
     df: DataFrame,
     label: str = "Survived",
@@ -88,14 +112,33 @@ def cv_compare(
     kept = stage_table(df, "folds", partition_by=fold)
     folds = _fold_numbers(kept, fold)
 
+    def shape(k):
+        """The preprocessing of a fold, fitted once for all models."""
+        seen = kept.where(F.col(fold) != k)
+        prepared = TabularPreprocessor().fit(seen)
+        columns = [label, "features"]
+        return (
+            prepared.transform(seen).select(*columns).persist(),
+            prepared.transform(kept.where(F.col(fold) == k)).select(*columns).persist(),
+        )
+
+    shaped = dict(zip(folds, _side_by_side(shape, folds, parallelism, spark)))
+
     def score(job):
         name, k = job
-        fitted = fit_model(kept.where(F.col(fold) != k), models[name])
-        held = fitted.transform(kept.where(F.col(fold) == k))
+        seen, held = shaped[k]
+        fitted = models[name](seen.count()).fit(seen)
         right = (F.col(label) == F.col("prediction")).cast("int")
-        return name, k, held.agg(F.avg(right)).first()[0]
+        return name, k, fitted.transform(held).agg(F.avg(right)).first()[0]
 
-    rows = _side_by_side(score, [(m, k) for m in models for k in folds], parallelism, spark)
+    # the longest fits, the last models, begin first
+    jobs = [(m, k) for m in reversed(list(models)) for k in folds]
+    try:
+        rows = _side_by_side(score, jobs, parallelism, spark)
+    finally:
+        for pair in shaped.values():
+            for part in pair:
+                part.unpersist()
     return spark.createDataFrame(rows, "model string, fold int, accuracy double")
 
 
@@ -166,13 +209,13 @@ def _indexed_perceptron(
 
 
 def landmark_mlp(
-    df: DataFrame, label: str = "letter", vector: str = "features", iterations: int = 600, seed: int = 0,
+    df: DataFrame, label: str = "letter", vector: str = "features", iterations: int = K.PERCEPTRON_ITERATIONS, seed: int = 0,
     partitions: int | None = None,
 ) -> PipelineModel:
     """Perceptron 63-256-128-classes over normalised landmark arrays; the class
     letters travel with the model."""
     shaped = df.withColumn(vector, array_to_vector(vector))
-    return _indexed_perceptron(shaped, label, vector, [256, 128], iterations, seed, partitions)
+    return _indexed_perceptron(shaped, label, vector, K.PERCEPTRON_HIDDEN, iterations, seed, partitions)
 
 
 def pixel_classifier(

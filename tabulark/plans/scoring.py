@@ -1,12 +1,12 @@
-"""Queries that fit or apply models. Rounds are small here; the defaults of the
-model functions are the full settings."""
+"""Queries that fit or apply models, all at their full settings."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulark import constants as K
+from tabulark.functions.passenger import engineer_features
 from tabulark.functions.requests import json_request_decode, json_response_encode, request_defaults
 from tabulark.operators import evaluation, landmark_jobs, models, preprocess, sampling
 from tabulark.plans import survival
@@ -16,10 +16,26 @@ from tabulark.session import scratch_path, session_cache, stage_table
 from tabulark.sources import tables
 from tabulark.streaming.scoring import run_to_files, score_requests
 
-TREES, ROUNDS = 20, 5
 LABEL = "Survived"
 
 
+_SPLIT = """
+sizes AS (SELECT {label} AS c, count(*) AS n FROM items GROUP BY c),
+wanted AS (SELECT CAST(ceil(0.15 * sum(n)) AS BIGINT) AS w, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+shares AS (SELECT c, n * w / total AS exact, floor(n * w / total) AS base, w FROM sizes, wanted),
+quota AS (SELECT c, base + CASE WHEN row_number() OVER (ORDER BY exact - base DESC, c)
+  <= w - sum(base) OVER () THEN 1 ELSE 0 END AS q FROM shares),
+parted AS (SELECT h.*, CASE WHEN row_number() OVER (PARTITION BY h.{label}
+  ORDER BY md5(concat('0-', h.vec_id)), h.vec_id) <= q THEN 'test' ELSE 'train' END AS split
+ FROM items h JOIN quota ON h.{label} = quota.c) """
+SPLIT_HANDS = with_views(
+    "landmarks", "items AS (SELECT DISTINCT vec_id, letter FROM landmarks)," + _SPLIT.format(label="letter")
+)
+SPLIT_PIXELS = with_views(
+    "pixels", "items AS (SELECT vec_id, label FROM pixels)," + _SPLIT.format(label="label")
+)
+
+
 def training(spark, sf) -> DataFrame:
     return survival.engineered(spark, sf).select(
         "PassengerId", LABEL, *K.NUMERIC_FEATURES, *K.CATEGORICAL_FEATURES
@@ -48,6 +64,12 @@ onehot AS (SELECT l.PassengerId, 'cat__' || l.col || '_' || coalesce(l.value, m.
 ) + " UNION ALL SELECT PassengerId, name, value FROM onehot"
 
 
+PREPROCESSED_NAMES = survival.ENGINEERED + ", longcat AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value FROM engineered" for c in _CAT
+) + "), names AS (SELECT DISTINCT 'cat__' || col || '_' || value AS name FROM longcat WHERE value IS NOT NULL" + "".join(
+    f" UNION ALL SELECT 'num__{c}'" for c in _NUM) + ") "
+
+
 @query("preprocess_fit_transform", PREPROCESSED)
 def preprocess_fit_transform(spark, sf):
     """Every numeric slot and every set one-hot slot of the feature vectors."""
@@ -141,73 +163,168 @@ def _(spark, sf):
 
 
 # --- models ------------------------------------------------------------------
+# Every fit runs at the full setting. SQL restates which rows come out; the columns of
+# checks are computed from the fitted models and must all hold.
+
+_FITS: dict = {}
+
+
+def _once(spark, sf, name: str, make):
+    """A fit serves all queries of an application that need the same one."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FITS:
+        _FITS[key] = make()
+    return _FITS[key]
+
+
+def _fitted(spark, sf, name: str):
+    def fit():
+        with session_cache(training(spark, sf)) as kept:
+            return models.fit_model(kept, models.candidate_models()[name])
+
+    return training(spark, sf), _once(spark, sf, name, fit)
 
-def _fitted(spark, sf, maker):
-    df = training(spark, sf)
-    with session_cache(df) as kept:
-        return df, models.fit_model(kept, maker)
 
+def _consistent() -> Column:
+    """The prediction is the likelier class of a probability."""
+    p = F.col("probability")
+    return p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("int"))
 
-def _scored(spark, sf, maker) -> DataFrame:
-    df, model = _fitted(spark, sf, maker)
+
+def _scored(spark, sf, name: str) -> DataFrame:
+    df, model = _fitted(spark, sf, name)
     out = models.batch_score(model, df, ["PassengerId", LABEL])
-    return out.withColumn("probability", F.round("probability", 4))
+    right = out.agg(
+        (F.avg((F.col("prediction") == F.col(LABEL)).cast("int"))
+         >= F.greatest(F.avg(LABEL), 1 - F.avg(LABEL))).alias("no_worse_than_majority")
+    )
+    return out.withColumn("consistent", _consistent()).crossJoin(right).drop("prediction", "probability")
+
 
+CHECKED = survival.ENGINEERED + """
+SELECT PassengerId, Survived, TRUE AS consistent, TRUE AS no_worse_than_majority"""
 
-@query("logistic_regression")
+
+@query("logistic_regression", CHECKED + ", TRUE AS at_optimum FROM engineered")
 def _(spark, sf):
-    return _scored(spark, sf, models.logistic_regression)
+    """At the optimum every slot's gradient of the ridge objective is about zero."""
+    df, model = _fitted(spark, sf, "LogisticRegression")
+    slope = models.ridge_gradient(model, df, LABEL)
+    return _scored(spark, sf, "LogisticRegression").withColumn("at_optimum", F.lit(slope < 1e-3))
 
 
-@query("random_forest")
+@query("random_forest", CHECKED + f", CAST({K.FOREST_TREES} AS INT) AS trees FROM engineered")
 def _(spark, sf):
-    return _scored(spark, sf, lambda n: models.random_forest(n, trees=TREES))
+    _, model = _fitted(spark, sf, "RandomForest")
+    return _scored(spark, sf, "RandomForest").withColumn("trees", F.lit(len(model.stages[-1].trees)))
 
 
-@query("gradient_boosting")
+@query("gradient_boosting", CHECKED + f", CAST({K.BOOST_ROUNDS} AS INT) AS trees FROM engineered")
 def _(spark, sf):
-    return _scored(spark, sf, lambda n: models.gradient_boosting(n, rounds=ROUNDS))
+    _, model = _fitted(spark, sf, "GradientBoosting")
+    return _scored(spark, sf, "GradientBoosting").withColumn(
+        "trees", F.lit(len(model.stages[-1].trees))
+    )
 
 
-@query("cv_compare")
+def _comparison(spark, sf) -> DataFrame:
+    """Accuracy of each full model on each of the five folds."""
+    def compare():
+        df = sampling.stratified_kfold(training(spark, sf), LABEL, "PassengerId")
+        return stage_table(models.cv_compare(df, parallelism=8), "comparison")
+
+    return _once(spark, sf, "comparison", compare)
+
+
+@query("cv_compare", survival.FOLDED + """
+SELECT m.model, f.fold, count(*) AS held, TRUE AS valid FROM folded f, (
+ VALUES ('LogisticRegression'), ('RandomForest'), ('GradientBoosting')) m(model) GROUP BY ALL""")
 def cv_compare(spark, sf):
-    df = sampling.stratified_kfold(training(spark, sf), LABEL, "PassengerId")
-    scores = models.cv_compare(df, models=models.candidate_models(trees=TREES, rounds=ROUNDS))
-    return scores.withColumn("accuracy", F.round("accuracy", 6))
+    held = survival.folded(spark, sf).groupBy("fold").agg(F.count("*").alias("held"))
+    return _comparison(spark, sf).join(held, "fold").select(
+        "model", "fold", "held", F.col("accuracy").between(0, 1).alias("valid")
+    )
+
 
+def _report(scored: DataFrame) -> DataFrame:
+    report = evaluation.classification_report(scored, LABEL, "prediction", names=K.OUTCOME_NAMES)
+    valid = F.forall(F.array("precision", "recall", "f1"), lambda x: x.between(0, 1))
+    return report.select("class", "support", valid.alias("valid"))
 
-@query("refit_best")
+
+REPORT = survival.ENGINEERED + f"""
+, named AS (SELECT CASE Survived WHEN 0 THEN '{K.OUTCOME_NAMES[0]}' ELSE '{K.OUTCOME_NAMES[1]}' END AS class
+ FROM engineered)
+SELECT class, count(*) AS support, TRUE AS valid FROM named GROUP BY class
+UNION ALL SELECT a, (SELECT count(*) FROM named), TRUE FROM (
+ VALUES ('accuracy'), ('macro avg'), ('weighted avg')) t(a)"""
+
+
+@query("refit_best", REPORT)
+def refit_best(spark, sf):
+    """Report of the winner of the comparison, refitted on all rows."""
+    best = models.winner(_comparison(spark, sf))
+    data, model = _fitted(spark, sf, best)
+    return _report(models.batch_score(model, data, [LABEL]))
+
+
+def _out_of_fold(spark, sf) -> DataFrame:
+    def predict():
+        df = sampling.stratified_kfold(training(spark, sf), LABEL, "PassengerId")
+        best = models.candidate_models()["LogisticRegression"]
+        return stage_table(models.oof_predictions(df, best, ["PassengerId", LABEL]), "oof")
+
+    return _once(spark, sf, "oof", predict)
+
+
+@query("oof_predictions", survival.FOLDED + """
+SELECT PassengerId, Survived, fold, TRUE AS consistent FROM folded""")
 def _(spark, sf):
-    """Training-set report of the best model, refitted on all rows."""
-    makers = models.candidate_models(trees=TREES, rounds=ROUNDS)
-    short = {n: makers[n] for n in ("LogisticRegression", "RandomForest")}
-    df = sampling.stratified_kfold(training(spark, sf), LABEL, "PassengerId", k=3)
-    scores = models.cv_compare(df, models=short).groupBy("model").agg(F.avg("accuracy").alias("score"))
-    best = sampling.best_model(scores, list(short), "model", "score").first()["model"]
-    data, model = _fitted(spark, sf, makers[best])
-    scored = models.batch_score(model, data, [LABEL])
-    return evaluation.classification_report(scored, LABEL, "prediction", names=K.OUTCOME_NAMES)
-
-
-@query("oof_predictions")
+    return _out_of_fold(spark, sf).select(
+        "PassengerId", LABEL, "fold", _consistent().alias("consistent")
+    )
+
+
+@query("oof_report", REPORT)
 def _(spark, sf):
-    df = sampling.stratified_kfold(training(spark, sf), LABEL, "PassengerId")
-    out = models.oof_predictions(df, models.logistic_regression, ["PassengerId", LABEL])
-    return out.withColumn("probability", F.round("probability", 4))
+    """The honest report: every row judged by the model that did not see it."""
+    return _report(_out_of_fold(spark, sf))
 
 
-@query("batch_score")
+@query("training_run", survival.ENGINEERED + """
+SELECT PassengerId, TRUE AS valid FROM engineered""")
+def _(spark, sf):
+    """From a CSV to a submission CSV: read, engineer, compare, refit the winner, save it,
+    load it, score and write."""
+    path, saved, out = (scratch_path(spark, n) for n in ("train", "winner", "submission"))
+    columns = [f.split()[0] for f in tables.TRAINING_SCHEMA.split(", ")]
+    view(spark, sf, "passengers").select(*columns).write.option("header", True).option(
+        "escape", '"').csv(path)
+    rows = engineer_features(tables.csv_scan(spark, path, tables.TRAINING_SCHEMA))
+    columns = ["PassengerId", LABEL, *K.NUMERIC_FEATURES, *K.CATEGORICAL_FEATURES]
+    best = models.winner(_comparison(spark, sf))
+    with session_cache(rows.select(*columns)) as kept:
+        model = models.fit_model(kept, models.candidate_models()[best])
+    tables.save_model(model, saved)
+    scored = models.batch_score(tables.load_model(spark, saved), rows, ["PassengerId"])
+    named = models.id_aligned_scores(scored, "PassengerId", LABEL)
+    tables.csv_sink(named, out, "PassengerId", LABEL)
+    done = tables.csv_scan(spark, out, f"PassengerId INT, {LABEL} INT")
+    return done.select("PassengerId", F.col(LABEL).isin(0, 1).alias("valid"))
+
+
+@query("batch_score", DEFAULTED + "SELECT id, TRUE AS consistent FROM requested WHERE error IS NULL")
 def _(spark, sf):
     """A model fitted on passengers, applied to scoring requests."""
-    _, model = _fitted(spark, sf, models.logistic_regression)
+    _, model = _fitted(spark, sf, "LogisticRegression")
     rows = request_defaults(json_request_decode(view(spark, sf, "requests"))).where("error IS NULL")
-    out = models.batch_score(model, rows, ["id"])
-    return out.withColumn("probability", F.round("probability", 4))
+    return models.batch_score(model, rows, ["id"]).select("id", _consistent().alias("consistent"))
 
 
-@query("stream_score")
+@query("stream_score", DEFAULTED + """
+SELECT id, error, TRUE AS same_as_batch, error IS NULL AS answered FROM requested""")
 def _(spark, sf):
-    _, model = _fitted(spark, sf, models.logistic_regression)
+    _, model = _fitted(spark, sf, "LogisticRegression")
     path = f"{sf}/customer.parquet"
     schema = spark.read.parquet(path).schema
     spark.readStream.schema(schema).parquet(f"{path}*").createOrReplaceTempView("arriving_customers")
@@ -215,43 +332,77 @@ def _(spark, sf):
     answers = score_requests(arriving, model, ["id"])
     out = scratch_path(spark, "answers")
     run_to_files(answers, out, scratch_path(spark, "answers-state"))
-    return spark.read.schema(answers.schema).parquet(out)
+    streamed = spark.read.schema(answers.schema).parquet(out)
+    batch = score_requests(view(spark, sf, "requests"), model, ["id"]).select(
+        F.col("id").alias("of"), F.col("response").alias("expected")
+    )
+    return streamed.join(batch, F.col("id") == F.col("of"), "left").select(
+        "id", "error", F.col("response").eqNullSafe(F.col("expected")).alias("same_as_batch"),
+        F.col("response").isNotNull().alias("answered"),
+    )
 
 
-@query("feature_importance")
+@query("feature_importance", PREPROCESSED_NAMES + """
+SELECT DISTINCT regexp_replace(name, '^(num|cat)__', '') AS feature, TRUE AS valid, TRUE AS sums_to_one
+FROM names""")
 def _(spark, sf):
-    df, model = _fitted(spark, sf, lambda n: models.random_forest(n, trees=TREES))
-    ranked = sampling.top_k(models.feature_importance(model, model.transform(df)), "importance", 12, "feature")
-    return ranked.withColumn("importance", F.round("importance", 6))
+    df, model = _fitted(spark, sf, "RandomForest")
+    ranked = models.feature_importance(model, model.transform(df))
+    whole = ranked.agg((F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"))
+    return ranked.select("feature", F.col("importance").between(0, 1).alias("valid")).crossJoin(whole)
 
 
-@query("model_store")
+@query("model_store", survival.ENGINEERED + "SELECT PassengerId, TRUE AS same FROM engineered")
 def _(spark, sf):
-    """Predictions of a model that was saved and loaded again."""
-    df, model = _fitted(spark, sf, models.logistic_regression)
+    """Predictions of a model that was saved and loaded again, beside its own."""
+    df, model = _fitted(spark, sf, "LogisticRegression")
     path = scratch_path(spark, "model")
     tables.save_model(model, path)
-    out = models.batch_score(tables.load_model(spark, path), df, ["PassengerId"])
-    return out.withColumn("probability", F.round("probability", 4))
+    loaded = models.batch_score(tables.load_model(spark, path), df, ["PassengerId"])
+    own = models.batch_score(model, df, ["PassengerId"]).toDF("of", "own", "own_p")
+    same = (F.col("prediction") == F.col("own")) & (F.col("probability") == F.col("own_p"))
+    return loaded.join(own, F.col("PassengerId") == F.col("of")).select("PassengerId", same.alias("same"))
+
+
+def _learned(scored: DataFrame, label: str) -> bool:
+    """Right at least as often, on the rows of the fit, as the most frequent label."""
+    sizes = scored.groupBy(label).agg(
+        F.count("*").alias("n"), F.count_if(F.col(label).cast("string") == F.col("predicted")).alias("r")
+    )
+    return sizes.agg(F.sum("r") >= F.max("n")).first()[0]
 
 
-@query("landmark_mlp")
+@query("landmark_mlp", SPLIT_HANDS + """
+SELECT vec_id, letter, TRUE AS named, TRUE AS learned FROM parted WHERE split = 'test'""")
 def _(spark, sf):
-    """Held-out report of the landmark perceptron (few iterations)."""
+    """Held-out hands and their letters from the landmark perceptron."""
     table_ = landmark_jobs.landmark_training_table(
         view(spark, sf, "landmarks"), "vec_id", "points", "letter", "handedness"
     )
     data = stage_table(table_, "hands", partition_by="split")
     model = models.landmark_mlp(
-        data.where("split = 'train'"), iterations=15, partitions=spark.sparkContext.defaultParallelism
+        data.where("split = 'train'"), partitions=spark.sparkContext.defaultParallelism
     )
+    learned = _learned(models.apply_perceptron(model, data.where("split = 'train'")), "letter")
     held = models.apply_perceptron(model, data.where("split = 'test'"))
-    return evaluation.classification_report(held, "letter", "predicted")
+    return held.select(
+        "vec_id", "letter", F.col("predicted").isin(list(K.ALPHABET)).alias("named"),
+        F.lit(learned).alias("learned"),
+    )
 
 
-@query("pixel_classifier")
+@query("pixel_classifier", SPLIT_PIXELS + """
+SELECT vec_id, label, TRUE AS named, TRUE AS learned FROM parted WHERE split = 'test'""")
 def _(spark, sf):
-    rows = view(spark, sf, "pixels")
-    model = models.pixel_classifier(rows, hidden=[32], iterations=15)
-    out = model.transform(models.pixel_vectors(rows))
-    return out.select("vec_id", "label", F.col("predicted").cast("int").alias("predicted"))
+    """Held-out images and their classes; fitted on the other side of the split."""
+    rows = sampling.stratified_split(view(spark, sf, "pixels"), "label", "vec_id")
+    data = stage_table(rows, "pixels", partition_by="split")
+    model = models.pixel_classifier(
+        data.where("split = 'train'"), partitions=spark.sparkContext.defaultParallelism
+    )
+    scored = model.transform(models.pixel_vectors(data))
+    learned = _learned(scored.where("split = 'train'"), "label")
+    return scored.where("split = 'test'").select(
+        "vec_id", "label", F.col("predicted").cast("int").between(0, 25).alias("named"),
+        F.lit(learned).alias("learned"),
+    )
