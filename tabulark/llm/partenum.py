@@ -25,8 +25,8 @@ Sets that share a signature form a run; each distinct member list travels on onc
 are bounded by parity bitmaps before they are compared: each differing element flips one
 bit, so the bitmaps' distance never exceeds the sets'. Compared are first the pairs of
 each member with the least of its run and, taking these as links for the time being, pairs
-of a run that they leave apart; then, in runs where the exact comparison undid such a
-link, the pairs that are still apart. Pairs within one component are never enumerated.
+of a run that they leave apart; then, where the exact comparison undid such a link, the
+pairs of a component of the time being that are still apart. Pairs within one component are never enumerated.
 """
 
 from __future__ import annotations
@@ -106,17 +106,6 @@ def long_parity(found: np.ndarray) -> bytes:
     return parity(found, max(64, 1 << (max(len(found), 1) - 1).bit_length()))
 
 
-def flips(x: bytes, y: bytes) -> int:
-    """Distance of two bitmaps; the longer one is folded to the length of the other."""
-    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-    while len(a) != len(b):
-        if len(a) < len(b):
-            a, b = b, a
-        half = len(a) // 2
-        a = a[:half] ^ a[half:]
-    return int(np.bitwise_count(a ^ b).sum())
-
-
 def band_ends() -> list[int]:
     """Upper ends of the size bands; each is 16/9 of the one before."""
     ends, r = [], SMALL
@@ -233,7 +222,7 @@ def describe_sets(docs: DataFrame) -> DataFrame:
                 [part.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                  pa.array([fitting(s) for s in sets], pa.int64()),
-                 pa.array([long_parity(s) for s in sets], pa.binary()),
+                 pa.array([np.frombuffer(long_parity(s), np.int64) for s in sets], pa.list_(pa.int64())),
                  *[pa.array(np.ascontiguousarray(short[:, k])) for k in range(WORDS_BITS)]],
                 ["id", "n", "key", "fits", "bits", *[f"b{k}" for k in range(WORDS_BITS)]],
             )
@@ -241,7 +230,7 @@ def describe_sets(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["id"].dataType.simpleString()
     longs = ", ".join(f"b{k} long" for k in range(WORDS_BITS))
     return docs.mapInArrow(
-        describe, f"id {id_type}, n long, key long, fits long, bits binary, {longs}"
+        describe, f"id {id_type}, n long, key long, fits long, bits array<long>, {longs}"
     )
 
 
@@ -372,35 +361,45 @@ def runs_of(blocks: DataFrame) -> DataFrame:
 
 
 def likely(a: str, b: str) -> Column:
-    """Exact bound: false only for pairs below the similarity. Columns x.n, x.b0.. ."""
+    """Exact bound: false only for pairs below the similarity. Columns x.n, x.b0.., x.bits;
+    the long bitmap counts where the short one is not enough."""
     flips = sum(
         (F.bit_count(F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))) for k in range(WORDS_BITS)),
         F.lit(0),
     )
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (
-        (3 * n <= 4 * m) & (3 * m <= 4 * n) & (7 * flips <= n + m)
-    )
+    x, y = F.col(f"{a}.bits"), F.col(f"{b}.bits")
+
+    def folded(bits: Column) -> Column:
+        """Half as long, by the exclusive or of its halves."""
+        half = F.floor(F.size(bits) / 2).cast("int")
+        return F.zip_with(
+            F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda p, q: p.bitwiseXOR(q)
+        )
 
+    def distance(p: Column, q: Column) -> Column:
+        both = F.zip_with(p, q, lambda v, w: F.bit_count(v.bitwiseXOR(w)))
+        return F.aggregate(both, F.lit(0), lambda total, v: total + v)
 
-def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set names that their bitmaps leave possible."""
-    named = classes.select("key", "n", "bits", *[f"b{k}" for k in range(WORDS_BITS)])
-    a, b = named.alias("x"), named.alias("y")
-    both = (
-        pairs.join(a, F.col("a") == F.col("x.key")).join(b, F.col("b") == F.col("y.key"))
-        .where(likely("x", "y"))
-        .select("a", "b", F.col("x.bits").alias("x"), F.col("y.bits").alias("y"),
-                (F.col("x.n") + F.col("y.n")).alias("n"))
+    # sizes within 4/3 of each other: widths are equal or one is twice the other
+    far = (
+        F.when(F.size(x) == F.size(y), distance(x, y))
+        .when(F.size(x) > F.size(y), distance(folded(x), y))
+        .otherwise(distance(x, folded(y)))
     )
+    sizes = (3 * n <= 4 * m) & (3 * m <= 4 * n)
+    return sizes & (7 * flips <= n + m) & (7 * far <= n + m)
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y, n = (batch.column(c).to_pylist() for c in ("x", "y", "n"))
-            keep = [7 * flips(p, q) <= m for p, q, m in zip(x, y, n)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(check, "a long, b long")
+def described(classes: DataFrame) -> DataFrame:
+    return classes.select("key", "n", "bits", *[f"b{k}" for k in range(WORDS_BITS)])
+
+
+def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set names that their bitmaps leave possible."""
+    a, b = described(classes).alias("x"), described(classes).alias("y")
+    both = pairs.join(a, F.col("a") == F.col("x.key")).join(b, F.col("b") == F.col("y.key"))
+    return both.where(likely("x", "y")).select("a", "b")
 
 
 def packed_texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
@@ -451,20 +450,20 @@ def exact_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def apart(runs: DataFrame, classes: DataFrame, same: str | None = None) -> DataFrame:
-    """Pairs (a, b) of one run whose ``component`` differs and which the short bitmaps leave
-    possible; with ``same``, only pairs that are equal in that column."""
-    group = ["run", same] if same else ["run"]
-    mixed = runs.groupBy(*group).agg(F.min("component").alias("p"), F.max("component").alias("q"))
-    named = classes.select("key", "n", *[f"b{k}" for k in range(WORDS_BITS)])
-    open_ = runs.join(mixed.where("p <> q").select(*group), group).join(named, "key")
+def apart(members: DataFrame, classes: DataFrame, group: str) -> DataFrame:
+    """Pairs (a, b) of one ``group`` whose ``component`` differs and which the bitmaps leave
+    possible. Groups of one component are left out before the join."""
+    spread = members.groupBy(group).agg(
+        F.min("component").alias("p"), F.max("component").alias("q")
+    )
+    open_ = members.join(spread.where("p <> q").select(group), group).join(
+        described(classes), "key"
+    )
     x, y = open_.alias("x"), open_.alias("y")
     on = (
-        (F.col("x.run") == F.col("y.run")) & (F.col("x.key") < F.col("y.key"))
+        (F.col(f"x.{group}") == F.col(f"y.{group}")) & (F.col("x.key") < F.col("y.key"))
         & (F.col("x.component") != F.col("y.component")) & likely("x", "y")
     )
-    if same:
-        on &= F.col(f"x.{same}") == F.col(f"y.{same}")
     return x.join(y, on).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
 
 
@@ -508,16 +507,16 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = stage_table(
         with_component(runs.select("run", "key").distinct(), stars, "component"), "members"
     )
-    pairs = stage_table(stars.union(bounded(apart(members, classes), classes)), "pairs")
+    pairs = stage_table(stars.union(apart(members, classes, "run")), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     texts = stage_table(packed_texts(rows, classes, ends), "texts")
     links = stage_table(exact_links(pairs, texts), "links")
-    # whom a star pair has joined that is no link: their texts are all at hand
-    again = with_component(
-        members.withColumnRenamed("component", "joined"), links, "component"
-    )
+    # whom a star pair has joined that is no link: their texts are all at hand, and a pair
+    # of them comes once, however many runs they share
+    joined = members.select("key", F.col("component").alias("joined")).distinct()
+    again = with_component(joined, links, "component")
     undone = apart(again, classes, "joined").join(pairs, ["a", "b"], "left_anti")
-    links = links.union(exact_links(bounded(undone, classes), texts))
+    links = links.union(exact_links(undone, texts))
     found = connected_components(
         links.join(classes.select(F.col("key").alias("a"), F.col("rep").alias("ra")), "a")
         .join(classes.select(F.col("key").alias("b"), F.col("rep").alias("rb")), "b"),
