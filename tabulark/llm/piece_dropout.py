@@ -295,8 +295,9 @@ def encode_texts(p: Pieces, texts: list[str], docs: list[int], rate: float, seed
     flat = [x for row in found for x in row]
     if not flat:
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-    codes, names = pd.factorize(np.array(flat, dtype=object))
-    code = codes.astype(np.int64)
+    numbers: dict[str, int] = {}
+    code = np.fromiter((numbers.setdefault(x, len(numbers)) for x in flat), np.int64, len(flat))
+    names = np.array([*numbers, None], dtype=object)[:-1]
     if rate > 0:
         start = np.concatenate(([0], np.cumsum(widths)[:-1]))
         position = np.arange(len(flat)) - np.repeat(start, widths)

@@ -210,6 +210,11 @@ class SuffixLevels:
         self.levels: list[tuple[int, str]] = []  # (batches in it, path), the largest first
         self.found: list[str] = []
 
+    def _read(self, path: str, kind: str) -> DataFrame:
+        """One kind of blocks of a scan's files, which may have none."""
+        files = self.spark.read.schema("kind string, bucket int, block binary").parquet(path)
+        return files.where(F.col("kind") == kind)
+
     def _arrays(self, docs: DataFrame) -> DataFrame:
         """``level, bucket, block`` of new documents (level -1)."""
         length, gram, buckets = self.length, self.gram, self.buckets
@@ -241,9 +246,7 @@ class SuffixLevels:
         keep = len(plan) - merged  # levels below this one stay, the rest merge with the batch
         dealt = self._arrays(docs)
         for k, (_, path) in enumerate(plan):
-            level = self.spark.read.parquet(f"{path}/kind=level").select(
-                F.lit(k).alias("level"), "bucket", "block"
-            )
+            level = self._read(path, "level").select(F.lit(k).alias("level"), "bucket", "block")
             dealt = dealt.union(level)
         dealt = dealt.repartition(self.partitions, "bucket").sortWithinPartitions("bucket")
 
@@ -309,10 +312,7 @@ class SuffixLevels:
         schema = "key long, stretch long, number long, start long, count long"
         found = None
         for path in self.found:
-            one = (
-                self.spark.read.schema("kind string, bucket int, block binary").parquet(path)
-                .where("kind = 'found'").select("block").mapInArrow(rows, schema)
-            )
+            one = self._read(path, "found").select("block").mapInArrow(rows, schema)
             found = one if found is None else found.union(one)
         return found if found is not None else self.spark.createDataFrame([], schema)
 
