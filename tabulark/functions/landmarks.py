@@ -117,6 +117,13 @@ def center_square_box(width: Column, height: Column) -> Column:
     )
 
 
+def crop_box(box: Column, width: Column, height: Column, margin: float = 1.0) -> Column:
+    """Square around a found hand, else the largest centred square of the frame."""
+    square = square_box(box, width, height, margin)
+    corners = F.struct(*[square[c].alias(c) for c in ("x1", "y1", "x2", "y2")])
+    return F.when(box.isNotNull(), corners).otherwise(center_square_box(width, height))
+
+
 def unit_interval(*parts: Column) -> Column:
     """A number in (0, 1] that depends on the given values only."""
     bits = F.shiftrightunsigned(F.xxhash64(*parts), 11)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tabulark import constants as K
 from tabulark.functions.passenger import strip_prefix
+from tabulark.functions.letters import argmax_prediction, topk_classes
 from tabulark.functions.pixels import pixel_scale
 from tabulark.operators.preprocess import TabularPreprocessor, feature_names
 from tabulark.operators.sampling import best_model
@@ -237,5 +238,19 @@ def apply_perceptron(model: PipelineModel, df: DataFrame, vector: str = "feature
     return model.transform(df.withColumn(vector, array_to_vector(vector)))
 
 
+def perceptron_record(
+    model: PipelineModel, df: DataFrame, keep: Sequence[str], k: int = 3, vector: str = "features"
+) -> DataFrame:
+    """What a recogniser answers for a hand: letter, label and confidence of the best class
+    and the ``k`` most probable classes."""
+    classes = F.array(*[F.lit(c) for c in model.stages[-1].getLabels()])
+    scores = vector_to_array("probability")
+    best = argmax_prediction(scores, classes)
+    scored = apply_perceptron(model, df, vector).select(
+        *keep, best.alias("best"), topk_classes(scores, classes, k).alias("top")
+    )
+    return scored.select(*keep, "best.*", "top")
+
+
 def pixel_vectors(df: DataFrame, pixels: str = "pixels") -> DataFrame:
     return df.withColumn("features", array_to_vector(pixel_scale(F.col(pixels))))

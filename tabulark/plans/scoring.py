@@ -372,17 +372,24 @@ def _learned(scored: DataFrame, label: str) -> bool:
     return sizes.agg(F.sum("r") >= F.max("n")).first()[0]
 
 
+def _landmark_model(spark, sf):
+    def fit():
+        table_ = landmark_jobs.landmark_training_table(
+            view(spark, sf, "landmarks"), "vec_id", "points", "letter", "handedness"
+        )
+        data = stage_table(table_, "hands", partition_by="split")
+        return data, models.landmark_mlp(
+            data.where("split = 'train'"), partitions=spark.sparkContext.defaultParallelism
+        )
+
+    return _once(spark, sf, "landmarks", fit)
+
+
 @query("landmark_mlp", SPLIT_HANDS + """
 SELECT vec_id, letter, TRUE AS named, TRUE AS learned FROM parted WHERE split = 'test'""")
 def _(spark, sf):
     """Held-out hands and their letters from the landmark perceptron."""
-    table_ = landmark_jobs.landmark_training_table(
-        view(spark, sf, "landmarks"), "vec_id", "points", "letter", "handedness"
-    )
-    data = stage_table(table_, "hands", partition_by="split")
-    model = models.landmark_mlp(
-        data.where("split = 'train'"), partitions=spark.sparkContext.defaultParallelism
-    )
+    data, model = _landmark_model(spark, sf)
     learned = _learned(models.apply_perceptron(model, data.where("split = 'train'")), "letter")
     held = models.apply_perceptron(model, data.where("split = 'test'"))
     return held.select(
@@ -391,6 +398,22 @@ def _(spark, sf):
     )
 
 
+@query("landmark_record", SPLIT_HANDS + """
+SELECT vec_id, CAST(3 AS INT) AS n_top, TRUE AS best_is_first, TRUE AS ordered, TRUE AS labelled
+FROM parted WHERE split = 'test'""")
+def _(spark, sf):
+    """Answer record and best three classes from the fitted landmark model."""
+    data, model = _landmark_model(spark, sf)
+    out = models.perceptron_record(model, data.where("split = 'test'"), ["vec_id"])
+    sure = F.transform("top", lambda t: t["confidence"])
+    return out.select(
+        "vec_id", F.size("top").alias("n_top"),
+        (F.col("top")[0]["confidence"] == F.col("confidence")).alias("best_is_first"),
+        (sure == F.sort_array(sure, asc=False)).alias("ordered"),
+        (F.col("label") == F.ascii("letter") - 65).alias("labelled"),
+    )
+
+
 @query("pixel_classifier", SPLIT_PIXELS + """
 SELECT vec_id, label, TRUE AS named, TRUE AS learned FROM parted WHERE split = 'test'""")
 def _(spark, sf):

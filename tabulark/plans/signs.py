@@ -489,6 +489,29 @@ def _(spark, sf):
     )
 
 
+@query("crop_or_center", PIXEL_ROWS + """
+, gray AS (SELECT vec_id, pos // 8 AS r, pos % 8 AS c,
+  floor(0.114::DOUBLE * pixel + 0.587::DOUBLE * pixel + 0.299::DOUBLE * pixel + 0.5) AS gray FROM long),
+cut AS (SELECT vec_id, (r - 2) * 4 + c - 2 AS pos, gray AS value FROM gray
+  WHERE vec_id % 3 = 0 AND r BETWEEN 2 AND 5 AND c BETWEEN 2 AND 5
+ UNION ALL SELECT vec_id, r // 2 * 4 + c // 2, floor(avg(gray) + 0.5) FROM gray
+  WHERE vec_id % 3 <> 0 GROUP BY vec_id, r // 2, c // 2)
+SELECT vec_id, CAST(pos AS INT) AS pos, round(value / 255, 5) AS value FROM cut
+WHERE vec_id % 4 <> 3 AND vec_id % 10 <> 1""")
+def _(spark, sf):
+    """Hands cut out by their box, frames without one by the centre square."""
+    decoded = images.image_decode(spark, tree(spark, sf))
+    number = F.regexp_extract("path", r"img(\d+)", 1).cast("long")
+    hand = F.struct(*[F.lit(v).alias(k) for k, v in (("x1", 2), ("y1", 2), ("x2", 6), ("y2", 6))])
+    found = F.when(number % 3 == 0, hand)
+    box = L.crop_box(found, F.col("width"), F.col("height"))
+    ready = decoded.select(number.alias("vec_id"), "height", "width", "nChannels", "data", box.alias("box"))
+    out = image_jobs.image_crop_resize(ready, ["vec_id"], side=4)
+    return cells(out, ["vec_id"], F.col("pixels"), "value").withColumn(
+        "value", F.round(F.col("value").cast("double"), 5)
+    )
+
+
 @query("image_augment")
 def _(spark, sf):
     out = image_jobs.image_augment(
