@@ -24,7 +24,7 @@ A set as large as 4/3 of a band's upper end or less also takes part in the band
 Sets that share a signature form a run; each distinct member list travels on once. Pairs
 are bounded by parity bitmaps before they are compared: each differing element flips one
 bit, so the bitmaps' distance never exceeds the sets'. Compared are first the pairs of
-each member with the least of its run and, taking these as links for the time being, pairs
+each member with the least and with a drawn member of its run and, taking these as links for the time being, pairs
 of a run that they leave apart; then, where the exact comparison undid such a link, the
 pairs of a component of the time being that are still apart. Pairs within one component are never enumerated.
 """
@@ -450,15 +450,20 @@ def exact_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def apart(members: DataFrame, classes: DataFrame, group: str) -> DataFrame:
-    """Pairs (a, b) of one ``group`` whose ``component`` differs and which the bitmaps leave
-    possible. Groups of one component are left out before the join."""
+def unsettled(members: DataFrame, classes: DataFrame, group: str) -> DataFrame:
+    """The members, described, of groups that hold several components."""
     spread = members.groupBy(group).agg(
         F.min("component").alias("p"), F.max("component").alias("q")
     )
-    open_ = members.join(spread.where("p <> q").select(group), group).join(
+    return members.join(spread.where("p <> q").select(group), group).join(
         described(classes), "key"
     )
+
+
+def apart(members: DataFrame, classes: DataFrame, group: str) -> DataFrame:
+    """Pairs (a, b) of one ``group`` whose ``component`` differs and which the bitmaps leave
+    possible. Groups of one component are left out before the join."""
+    open_ = unsettled(members, classes, group)
     x, y = open_.alias("x"), open_.alias("y")
     on = (
         (F.col(f"x.{group}") == F.col(f"y.{group}")) & (F.col("x.key") < F.col("y.key"))
@@ -467,6 +472,35 @@ def apart(members: DataFrame, classes: DataFrame, group: str) -> DataFrame:
     return x.join(y, on).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
 
 
+def drawn_stars(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each member with one drawn member of its run, in another component,
+    which the bitmaps leave possible: a member of a large group of near copies meets many
+    of them, one in each run, and so nearly always finds the group."""
+    open_ = unsettled(members, classes, "run")
+    columns = [c for c in open_.columns if c != "run"]
+    drawn = open_.groupBy("run").agg(
+        F.min_by(F.struct(*columns), F.xxhash64("run", "key")).alias("one")
+    )
+    x, y = open_.alias("x"), drawn.select("run", "one.*").alias("y")
+    on = (
+        (F.col("x.run") == F.col("y.run")) & (F.col("x.component") != F.col("y.component"))
+        & likely("x", "y")
+    )
+    return x.join(y, on).select(
+        F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")
+    ).distinct()
+
+
+def joined_components(members: DataFrame, links: DataFrame) -> DataFrame:
+    """The members with the components that further links (a, b) between them join."""
+    place = members.select("key", "component").distinct()
+    ends = links.join(place.toDF("a", "ca"), "a").join(place.toDF("b", "cb"), "b")
+    roots = connected_components(ends, "ca", "cb").toDF("component", "_root")
+    return members.join(roots, "component", "left").withColumn(
+        "component", F.coalesce("_root", "component")
+    ).drop("_root")
+
+
 def with_component(runs: DataFrame, links: DataFrame, name: str) -> DataFrame:
     parts = connected_components(links).select(F.col("id").alias("key"), F.col("component").alias(name))
     return runs.join(parts, "key", "left").withColumn(name, F.coalesce(name, "key"))
@@ -507,6 +541,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = stage_table(
         with_component(runs.select("run", "key").distinct(), stars, "component"), "members"
     )
+    drawn = stage_table(drawn_stars(members, classes), "pairs")
+    members = stage_table(joined_components(members, drawn), "members")
+    stars = stars.union(drawn)
     pairs = stage_table(stars.union(apart(members, classes, "run")), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     texts = stage_table(packed_texts(rows, classes, ends), "texts")
@@ -514,17 +551,16 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # whom a star pair has joined that is no link: their texts are all at hand, and a pair
     # of them comes once, however many runs they share
     joined = members.select("key", F.col("component").alias("joined")).distinct()
-    again = with_component(joined, links, "component")
+    again = stage_table(with_component(joined, links, "component"), "joined")
     undone = apart(again, classes, "joined").join(pairs, ["a", "b"], "left_anti")
-    links = links.union(exact_links(undone, texts))
-    found = connected_components(
-        links.join(classes.select(F.col("key").alias("a"), F.col("rep").alias("ra")), "a")
-        .join(classes.select(F.col("key").alias("b"), F.col("rep").alias("rb")), "b"),
-        "ra", "rb",
-    )
-    final = classes.select("key", "rep").join(found, F.col("rep") == F.col("id"), "left").select(
-        "key", F.coalesce("component", "rep").alias("component")
+    more = exact_links(undone, texts)
+    # few links are new: they only join components that are known by now
+    place = joined_components(again.select("key", "component"), more)
+    placed = classes.select("key", "rep").join(place, "key", "left").withColumn(
+        "root", F.coalesce("component", "key")
     )
+    least = placed.groupBy("root").agg(F.min("rep").alias("component"))
+    final = placed.select("key", "root").join(least, "root").select("key", "component")
     return info.select("id", "n", "key").join(final, "key", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
