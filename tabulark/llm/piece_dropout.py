@@ -28,6 +28,7 @@ from tabulark.llm.batches import slices
 PARTS = re.compile(r" *[^ \n]+| +|\n")
 MODEL, RATE, SEED, STREAMS = "piece_bpe_32k.model", 0.1, 20_240_601, 8
 LONG_PART = 48
+SLICE_BYTES = 1 << 20  # of texts at a time; a task needs about a hundred times as much
 NONE = np.int32((1 << 31) - 1)
 U = np.uint64
 
@@ -353,7 +354,7 @@ def encode_pieces(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
-        for part in slices(batches, "text", 4 << 20):
+        for part in slices(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in part.column("text").to_pylist()]
             docs = part.column("n").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             ids, offsets = encode_texts(p, texts, docs, rate, seed, streams)
