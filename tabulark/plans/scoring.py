@@ -297,10 +297,8 @@ def _(spark, sf):
     """From a CSV to a submission CSV: read, engineer, compare, refit the winner, save it,
     load it, score and write."""
     path, saved, out = (scratch_path(spark, n) for n in ("train", "winner", "submission"))
-    columns = [f.split()[0] for f in tables.TRAINING_SCHEMA.split(", ")]
-    view(spark, sf, "passengers").select(*columns).write.option("header", True).option(
-        "escape", '"').csv(path)
-    rows = engineer_features(tables.csv_scan(spark, path, tables.TRAINING_SCHEMA))
+    view(spark, sf, "passengers").write.option("header", True).option("escape", '"').csv(path)
+    rows = engineer_features(tables.csv_scan(spark, path, survival.CSV_SCHEMA))
     columns = ["PassengerId", LABEL, *K.NUMERIC_FEATURES, *K.CATEGORICAL_FEATURES]
     best = models.winner(_comparison(spark, sf))
     with session_cache(rows.select(*columns)) as kept:
