@@ -5,10 +5,16 @@ class, id, role and place among its like. Two entropies tell how much a branch m
 evenly the pages of the host spread over the child sequences seen under it (one fixed
 layout says little). Content: how evenly each text below it spreads over the pages (a
 text on every page says nothing, one that is on a single page says most). A branch's
-importance joins the two, children weighing with their texts; branches of low importance
-are cut from each page. What the markup itself names as navigation, notice, advert, form,
-comment and the like is cut on every host, also where a host has too few pages for
-entropies, and an article is never cut by entropy: copies of it on one host are no layout.
+importance joins the two, children weighing with their texts; a branch is cut if it and
+all branches below it are of low importance. A single text is a leaf of its path and is
+judged alike, so that a line of every page goes out of a path that also holds the text.
+
+All branches that show text enter the tree, also those inside an article. Names are a
+prior. What the markup names as navigation, notice, advert, form, comment and the like
+stays only with an importance near the highest, and goes on a host with too few pages for
+entropies. In an article the entropies may cut up to three quarters of a page's text; where
+they would take more, the page is a variant of others and not a layout. Pages count once for
+each main text on a host, so copies of an article are no layout either.
 """
 
 from __future__ import annotations
@@ -16,6 +22,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,11 +58,14 @@ SIBLINGS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
+# What is never shown as text
+UNSHOWN = {
+    "script", "style", "noscript", "template", "head", "title", "textarea", "input", "iframe", "object",
+    "embed", "svg", "canvas", "audio", "video", "noembed", "noframes", "xmp", "map", "datalist",
+}
 # Markup that names its content as no part of the main text
 NOISE_TAGS = {
-    "script", "style", "noscript", "template", "head", "title", "nav", "footer", "aside", "form",
-    "button", "select", "textarea", "input", "iframe", "object", "embed", "svg", "canvas", "audio",
-    "video", "dialog", "menu", "noembed", "noframes", "xmp", "map", "datalist", "fieldset",
+    "nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "fieldset",
 }
 NOISE_ROLES = {
     "navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog",
@@ -78,22 +88,51 @@ TEXT_TAGS = {
 }
 WORD = re.compile(r"[a-z]+")
 
-LOW, LEAST_PAGES, DECAY = 0.25, 4, 0.9
+# a branch that is named as noise has to differ from page to page in texts and in layout
+LOW, NAMED_LOW, LEAST_PAGES, DECAY = 0.25, 0.95, 4, 0.9
 
 
 class Element:
-    __slots__ = ("noise", "order", "path", "tag", "tags", "whole")
+    """An open element. roots: paths of the named branches around it, itself included;
+    marks: those of them that are inline, since the last block; home: the block's path."""
+
+    __slots__ = ("home", "marks", "noise", "order", "path", "roots", "tag", "tags", "whole")
 
-    def __init__(self, tag: str, path: str, noise: bool, whole: bool):
+    def __init__(
+        self, tag: str, path: str, noise: bool, whole: bool, roots: tuple = (), marks: tuple = (),
+        home: str | None = None,
+    ):
         self.tag, self.path, self.noise, self.whole = tag, path, noise, whole
+        self.roots, self.marks, self.home = roots, marks, path if home is None else home
         self.tags: list[str] = []
         self.order: dict[str, int] = {}
 
 
+class Block(NamedTuple):
+    """A text block; text is without the named inline branches, parts has (raw text, their
+    paths) if there are any; roots are the named branches around it."""
+
+    path: str
+    text: str
+    parts: list[tuple[str, tuple]] | None
+    whole: bool
+    roots: tuple
+
+
+class Page(NamedTuple):
+    blocks: list[Block]
+    layouts: dict[str, str]
+    named: set[str]  # paths of the named branches
+
+
+def unshown(tag: str, attributes: dict[str, str]) -> bool:
+    return tag in UNSHOWN or "hidden" in attributes
+
+
 def named_noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     if tag in NOISE_TAGS or (tag == "header" and not inside):
         return True
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true":
+    if attributes.get("aria-hidden") == "true":
         return True
     if attributes.get("role", "").lower() in NOISE_ROLES:
         return True
@@ -103,26 +142,31 @@ def named_noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     return bool(names.strip()) and any(w in NOISE_WORDS for w in WORD.findall(names))
 
 
-def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, str]]:
-    """(blocks, layouts) of a page: blocks are (path, text, whole) in page order, without
-    what the markup names as noise; whole marks blocks of an article. layouts has the
-    sequence of child elements of each path."""
+def clean(raw: str) -> str:
+    if "&" in raw:
+        raw = html.unescape(raw)
+    return " ".join(raw.split())
+
+
+def parse_page(page: str) -> Page:
+    """Text blocks in page order, and the sequence of child elements of each path."""
     root = Element("", "", False, False)
     stack = [root]
-    blocks: list[tuple[str, str, bool]] = []
+    blocks: list[Block] = []
     layouts: dict[str, str] = {}
-    pending: list[str] = []
+    named: set[str] = set()
+    pending: list[tuple[str, tuple]] = []
     at, n = 0, len(page)
 
     def flush() -> None:
         if pending:
-            text = "".join(pending)
+            text = clean("".join([t for t, marks in pending if not marks]))
+            parts = list(pending) if any(marks for _, marks in pending) else None
             pending.clear()
-            if "&" in text:
-                text = html.unescape(text)
-            text = " ".join(text.split())
-            if text:
-                blocks.append((stack[-1].path, text, stack[-1].whole))
+            if text or parts:
+                e = stack[-1]
+                roots = e.roots[: len(e.roots) - len(e.marks)]
+                blocks.append(Block(e.home, text, parts, e.whole, roots))
 
     def close(count: int) -> None:
         flush()
@@ -135,7 +179,7 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, str]]:
         m = TOKEN.search(page, at)
         stop = m.start() if m else n
         if stop > at and not stack[-1].noise:
-            pending.append(page[at:stop])
+            pending.append((page[at:stop], stack[-1].marks))
         if not m:
             break
         at = m.end()
@@ -143,12 +187,15 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, str]]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in INLINE and (m[1] or not m[3].strip() or stack[-1].noise):
-            # only inline elements cut as noise, and what nests in them, are on the stack
-            if stack[-1].tag == tag and m[1]:
+        top = stack[-1]
+        if tag in INLINE and (m[1] or not m[3].strip() or top.noise):
+            # only inline elements that are hidden or named, and what nests in them, are on the stack
+            if top.tag == tag and m[1]:
                 stack.pop()
-            elif stack[-1].tag == tag:
-                stack.append(stack[-1])
+                if not top.noise:
+                    layouts[top.path] = ",".join(top.tags)
+            elif top.tag == tag:
+                stack.append(top)
             continue
         if m[1]:
             for depth in range(len(stack) - 1, 0, -1):
@@ -156,20 +203,21 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, str]]:
                     close(len(stack) - depth)
                     break
             continue
-        top = stack[-1]
         if tag in VOID:
             if not top.noise:
                 if tag == "hr":
                     flush()
                 else:
-                    pending.append(" ")
+                    pending.append((" ", top.marks))
             continue
         attributes = {
             k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[3])
         } if m[3].strip() else {}
-        inside = top.whole
-        noise = top.noise or named_noise(tag, attributes, inside)
-        if tag in INLINE and not noise:
+        noise = top.noise or unshown(tag, attributes)
+        name_says = not noise and named_noise(tag, attributes, top.whole)
+        if tag in INLINE and not noise and not name_says:
+            if top.tag == tag:  # its end must not close the named one
+                stack.append(top)
             continue
         if tag not in INLINE:
             flush()
@@ -186,23 +234,36 @@ def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, str]]:
         name = tag
         for key in ("class", "id", "role"):
             if attributes.get(key):
-                name += f".{attributes[key]}"
+                name += f".{' '.join(attributes[key].replace('>', ' ').split())}"
         if not top.noise:
             if not top.tags or top.tags[-1] != name:
                 top.tags.append(name)
         if tag not in TEXT_TAGS:
             top.order[name] = place = top.order.get(name, 0) + 1
             name += f"[{place}]"
-        stack.append(
-            Element(tag, f"{top.path}>{name}", noise, top.whole or tag in KEPT_TAGS)
-        )
+        path = f"{top.path}>{name}"
+        own = (path,) if name_says and not noise else ()
+        named.update(own)
+        inline = tag in INLINE
+        stack.append(Element(
+            tag, path, noise, top.whole or tag in KEPT_TAGS, top.roots + own,
+            top.marks + own if inline else (), top.home if inline else None,
+        ))
         if tag in RAW and not page[at - 2 : at] == "/>":
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             stack.pop()
             at = end.end() if end else n
     close(len(stack) - 1)
     flush()
-    return blocks, layouts
+    return Page(blocks, layouts, named)
+
+
+def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, str]]:
+    """(blocks, layouts) of a page as the names alone have it: blocks are (path, text, whole)
+    in page order, without what the markup names as noise; whole marks blocks of an article."""
+    found = parse_page(page)
+    blocks = [(b.path, b.text, b.whole) for b in found.blocks if b.text and not b.roots]
+    return blocks, found.layouts
 
 
 def ancestors(path: str) -> list[str]:
@@ -213,87 +274,165 @@ def ancestors(path: str) -> list[str]:
     return found
 
 
+def text_of(block: Block, stay: set[str]) -> str:
+    """The block's text with the named inline branches that stay."""
+    if block.parts is None or not stay:
+        return block.text
+    return clean("".join([t for t, marks in block.parts if stay.issuperset(marks)]))
+
+
+def line_name(path: str, text: str) -> str:
+    """Name of one text below a path, as :func:`judged` has it."""
+    import xxhash
+
+    return f"{path}\n{xxhash.xxh3_64_intdigest(text) >> 1}"
+
+
+def main_blocks(page: Page, cut: set[str], stay: set[str], lines: set[str]) -> list[str]:
+    """Texts that stay: named branches only if in ``stay``, others unless their importance
+    or that of their text is low; in articles at most three quarters go that way."""
+    found = []
+    for b in page.blocks:
+        if stay.issuperset(b.roots):
+            text = text_of(b, stay)
+            if text:
+                low = bool(cut) and not cut.isdisjoint(ancestors(b.path))
+                low = low or (bool(lines) and line_name(b.path, b.text) in lines)
+                found.append((text, low, b.whole))
+    whole = sum(len(t) for t, _, w in found if w)
+    variant = 4 * sum(len(t) for t, low, w in found if w and low) > 3 * whole
+    kept = [t for t, low, w in found if not low or (w and variant)]
+    return kept or [t for t, _, _ in found] or [b.text for b in page.blocks if b.text]
+
+
 def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
 
 
+FEATURES = "host string, path string, named boolean, node long, kind int, value long, page long"
+
+
 def style_features(pages: DataFrame) -> DataFrame:
-    """``host, path, kind, value`` rows, each once per page: the texts right below a path
-    (kind t) and the child sequence of a path (kind s). Elements of an article are left
-    out: entropy never cuts them. pages: host, html."""
+    """Rows for each page: the child sequence of each path (kind 0, with host, path and
+    whether it is a named branch) and the texts right below a path (kind 1, by ``node``, the
+    path's hash, alone). page is the hash of the text that the names leave, so that
+    copies can count once. pages: host, html."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        def number(x: str) -> int:
+            return xxhash.xxh3_64_intdigest(x) >> 1
+
         for part in slices(batches, "html"):
-            rows: list[tuple[str, str, str, int]] = []
+            rows: list[tuple] = []
             for host, page in zip(
                 part.column("host").to_pylist(), part.column("html").to_pylist()
             ):
-                blocks, layouts = parse(page or "")
-                seen = {
-                    (host, p, "s", xxhash.xxh3_64_intdigest(s) >> 1)
-                    for p, s in layouts.items()
-                    if p and not WHOLE.search(p)
-                }
-                seen |= {
-                    (host, p, "t", xxhash.xxh3_64_intdigest(t) >> 1)
-                    for p, t, whole in blocks
-                    if p and not whole
-                }
-                rows += seen
+                found = parse_page(page or "")
+                own = number("\n".join([b.text for b in found.blocks if not b.roots]))
+                node = {p: number(f"{host}\n{p}") for p in found.layouts}
+                rows += [
+                    (host, p, p in found.named, node[p], 0, number(s), own)
+                    for p, s in found.layouts.items() if p
+                ]
+                texts = {(b.path, b.text) for b in found.blocks if b.path and b.text}
+                for b in found.blocks:
+                    for t, marks in b.parts or ():
+                        if marks and not t.isspace():
+                            texts.add((marks[-1], clean(t)))
+                rows += [(None, None, None, node[p], 1, number(t), own) for p, t in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in rows], t) for k, t in
-                 enumerate((pa.string(), pa.string(), pa.string(), pa.int64()))],
-                ["host", "path", "kind", "value"],
+                 enumerate((pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(),
+                            pa.int64()))],
+                ["host", "path", "named", "node", "kind", "value", "page"],
             )
 
-    return pages.mapInArrow(features, "host string, path string, kind string, value long")
+    return pages.mapInArrow(features, FEATURES)
+
+
+def upwards(path: str = "path"):
+    """The path and those above it, as rows."""
+    parts = F.split(path, ">")
+    return F.explode(F.transform(
+        F.sequence(F.lit(2), F.size(parts)), lambda i: F.concat_ws(">", F.slice(parts, 1, i))
+    ))
 
 
-WHOLE = re.compile(r">(?:article|main)(?:[.>\[]|$)")
+def count_features(features: DataFrame) -> DataFrame:
+    """``node, kind, value, c, host, path, named``: c is the number of distinct pages."""
+    carried = [F.max(k).alias(k) for k in ("host", "path", "named")]
+    once = features.groupBy("node", "kind", "value", "page").agg(*carried)
+    return once.groupBy("node", "kind", "value").agg(F.count("*").alias("c"), *carried)
 
 
-def node_importance(features: DataFrame, decay: float = DECAY) -> DataFrame:
-    """``host, path, pages, importance`` of the style nodes seen on two pages or more.
+def node_importance(counts: DataFrame, decay: float = DECAY) -> DataFrame:
+    """``host, path, named, pages, importance`` of the style nodes that hold text.
 
     With m pages, a text on c of them has content entropy log(c)/log(m); content importance
     is the mean of one minus that over all texts of the branch. Presentation importance is
     the entropy, to base m, of the child sequences of the node, and has the weight that
-    ``decay`` leaves.
+    ``decay`` leaves. A node of one page has importance 1.
     """
-    counts = features.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"))
-    layout = counts.where("kind = 's'").groupBy("host", "path").agg(
-        F.sum("c").alias("pages"),
-        F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias("clog"),
+    c = F.col("c").cast("double")
+    layout = counts.where("kind = 0").groupBy("node").agg(
+        F.sum("c").alias("pages"), F.sum(c * F.log(c)).alias("clog"),
+        *[F.max(k).alias(k) for k in ("host", "path", "named")],
     )
-    steps = F.size(F.split("path", ">")) - 1
-    up = F.explode(
-        F.transform(F.sequence(F.lit(2), steps + 1), lambda i: F.concat_ws(
-            ">", F.slice(F.split("path", ">"), 1, i)))
+    own = counts.where("kind = 1").groupBy("node").agg(
+        F.count("*").alias("texts"), F.sum(F.log(c)).alias("logs")
     )
     texts = (
-        counts.where("kind = 't'")
-        .groupBy("host", "path").agg(
-            F.count("*").alias("texts"), F.sum(F.log(F.col("c").cast("double"))).alias("logs")
-        )
-        .select("host", up.alias("path"), "texts", "logs")
+        layout.join(own, "node").select("host", upwards().alias("path"), "texts", "logs")
         .groupBy("host", "path").agg(F.sum("texts").alias("texts"), F.sum("logs").alias("logs"))
     )
-    m = F.col("pages")
-    spread = F.log(m.cast("double"))
-    content = F.lit(1.0) - F.col("logs") / (F.col("texts") * spread)
-    presentation = (F.lit(1.0) - F.col("clog") / (m * spread))
+    m = F.col("pages").cast("double")
+    content = F.lit(1.0) - F.col("logs") / (F.col("texts") * F.log(m))
+    presentation = F.lit(1.0) - F.col("clog") / (m * F.log(m))
+    return layout.join(texts, ["host", "path"]).select(
+        "host", "path", "named", "pages",
+        F.when(F.col("pages") == 1, 1.0)
+        .otherwise((1 - decay) * presentation + decay * content).alias("importance"),
+    )
+
+
+def judged(
+    counts: DataFrame, low: float = LOW, least_pages: int = LEAST_PAGES,
+    named_low: float = NAMED_LOW, decay: float = DECAY,
+) -> DataFrame:
+    """``host, what, name``: branches that are cut (what 'cut'), named branches that stay
+    ('stay') and single texts that are cut ('line')."""
+    nodes = stage_table(node_importance(counts, decay), "nodes")
+    seen = nodes.where(F.col("pages") >= least_pages)
+    highest = nodes.select("host", upwards().alias("path"), "importance").groupBy(
+        "host", "path").agg(F.max("importance").alias("highest"))
+    cut = seen.where(F.col("importance") < low).join(highest, ["host", "path"]).where(
+        F.col("highest") < low)
+    stay = seen.where(F.col("named") & (F.col("importance") >= named_low))
+    layout = counts.where("kind = 0").groupBy("node").agg(
+        F.sum("c").alias("pages"), F.max("host").alias("host"), F.max("path").alias("path")
+    ).where(F.col("pages") >= least_pages)
+    content = F.lit(1.0) - F.log(F.col("c").cast("double")) / F.log(F.col("pages").cast("double"))
+    lines = (
+        counts.where("kind = 1 AND c > 1").select("node", "value", "c").join(layout, "node")
+        .where(decay * content < low)
+    )
     return (
-        layout.join(texts, ["host", "path"])
-        .where(m > 1)
-        .select(
-            "host", "path", "pages",
-            ((1 - decay) * presentation + decay * content).alias("importance"),
-        )
+        cut.select("host", F.lit("cut").alias("what"), F.col("path").alias("name"))
+        .union(stay.select("host", F.lit("stay"), "path"))
+        .union(lines.select("host", F.lit("line"), F.concat_ws("\n", "path", "value")))
     )
 
 
+def judgement(
+    rows: DataFrame, low: float = LOW, least_pages: int = LEAST_PAGES
+) -> DataFrame:
+    """:func:`judged` of pages (host, html)."""
+    counts = stage_table(count_features(style_features(rows.select("host", "html"))), "counts")
+    return judged(counts, low, least_pages)
+
+
 def extract_main_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
     low: float = LOW, least_pages: int = LEAST_PAGES,
@@ -303,7 +442,7 @@ def extract_main_text(
     Character references are decoded, white space inside a block becomes one space, and
     blocks are joined in page order by a line break. A null or empty page gives an empty
     text, a null url counts as a host of its own. Branches are cut below importance
-    ``low`` on hosts that show them on ``least_pages`` pages or more, unless that would
+    ``low`` on hosts that show them on ``least_pages`` distinct pages or more, unless that would
     leave nothing of a page that has text. Repeated rows are pages like any other; other
     columns are not read.
     """
@@ -312,30 +451,24 @@ def extract_main_text(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"),
         host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"),
     )
-    nodes = node_importance(style_features(rows.select("host", "html")))
-    cut = stage_table(
-        nodes.where((F.col("importance") < low) & (F.col("pages") >= least_pages))
-        .groupBy("host").agg(F.collect_set("path").alias("cut")),
+    kinds = ("cut", "stay", "line")
+    said = stage_table(
+        judgement(rows, low, least_pages).groupBy("host").agg(
+            *[F.collect_set(F.when(F.col("what") == k, F.col("name"))).alias(k) for k in kinds]
+        ),
         "cut",
     )
-    # a host's list has its style nodes only: as long as its layouts differ, not its pages
-    joined = rows.join(broadcast_if_small(cut, 20_000), "host", "left").select(
-        "id", "url", "html", "cut"
+    # a host's lists have its style nodes only: as long as its layouts differ, not its pages
+    joined = rows.join(broadcast_if_small(said, 20_000), "host", "left").select(
+        "id", "url", "html", *kinds
     )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "html"):
             texts = []
-            for page, cut in zip(
-                part.column("html").to_pylist(), part.column("cut").to_pylist()
-            ):
-                blocks, _ = parse(page or "")
-                low_paths = set(cut or ())
-                kept = [
-                    t for p, t, whole in blocks
-                    if whole or not low_paths or low_paths.isdisjoint(ancestors(p))
-                ]
-                texts.append("\n".join(kept or [t for _, t, _ in blocks]))
+            lists = [part.column(k).to_pylist() for k in kinds]
+            for page, *said in zip(part.column("html").to_pylist(), *lists):
+                texts.append("\n".join(main_blocks(parse_page(page or ""), *[set(x or ()) for x in said])))
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())],

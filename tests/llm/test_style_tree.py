@@ -55,3 +55,35 @@ def test_code_points(spark):
     pages = spark.createDataFrame([(1, "u", "<p>𝔘é&#128512;</p>")], "page_id long, url string, html string")
     row = extract_main_text(pages).collect()[0]
     assert row.text == "𝔘é😀" and row.n_chars == 3
+
+
+def test_boilerplate_inside_an_article_is_cut_and_names_are_only_a_prior(spark):
+    page = (
+        "<body><nav>Home</nav><article><h1>Title {0}</h1><p>Text number {0} of this.</p>"
+        "<p>Read more on our site.</p><div class='author-box'><p>About the author</p></div></article>"
+        "<aside>{1}</aside><footer>All rights</footer></body>"
+    )
+    rows = [(i, f"http://h.example/{i}", page.format(i, "<b>x</b>")) for i in range(8)]
+    # on this host the aside differs from page to page in texts and layout
+    kinds = ["<p>Note {0}</p>", "<h2>Note {0}</h2><p>more {0}</p>", "<ul><li>Note {0}</ul>", "<pre>Note {0}</pre>",
+             "<h3>Note {0}</h3>", "<h4>Note {0}</h4><p>and {0}</p>"]
+    rows += [(100 + i, f"http://a.example/{i}", page.format(i, k.format(i))) for i, k in enumerate(kinds)]
+    # copies of an article with a notice each are no layout
+    copy = "<article><h1>One title</h1><p>One text.</p></article><footer>{0}</footer>"
+    rows += [(200 + i, f"http://c.example/{i}", copy.format(i)) for i in range(8)]
+    got = texts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert got[3] == "Title 3\nText number 3 of this."
+    assert got[101] == "Title 1\nText number 1 of this.\nNote 1\nmore 1"
+    assert all(got[200 + i] == "One title\nOne text." for i in range(8))
+
+
+def test_a_variant_of_an_article_stays_whole(spark):
+    page = "<article><p>Shared text of many words that all the pages have.</p><p>Own {0}.</p></article>"
+    rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(8)]
+    got = texts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert got[2] == "Shared text of many words that all the pages have.\nOwn 2."
+
+
+def test_named_inline_branches_leave_the_sentence_whole():
+    page = "<p>One <span class='share'>tweet</span> two <span id='x'>three</span> four</p>"
+    assert [t for _, t, _ in parse(page)[0]] == ["One two three four"]
