@@ -12,7 +12,8 @@ judged alike, so that a line of every page goes out of a path that also holds th
 All branches that show text enter the tree, also those inside an article. Names are a
 prior. What the markup names as navigation, notice, advert, form, comment and the like
 stays only with an importance near the highest, and goes on a host with too few pages for
-entropies. In an article the entropies may cut up to three quarters of a page's text; where
+entropies. Names are whole class words or ids, and a name says nothing where the branch holds
+the page's longest article or main, or most of the text around it. In an article the entropies may cut up to three quarters of a page's text; where
 they would take more, the page is a variant of others and not a layout. Pages count once for
 each main text on a host, so copies of an article are no layout either.
 """
@@ -86,7 +87,6 @@ TEXT_TAGS = {
     "p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "td", "th", "dt", "dd", "blockquote", "pre",
     "option",
 }
-WORD = re.compile(r"[a-z]+")
 
 # a branch that is named as noise has to differ from page to page in texts and in layout
 LOW, NAMED_LOW, LEAST_PAGES, DECAY = 0.25, 0.95, 4, 0.9
@@ -94,15 +94,16 @@ LOW, NAMED_LOW, LEAST_PAGES, DECAY = 0.25, 0.95, 4, 0.9
 
 class Element:
     """An open element. roots: paths of the named branches around it, itself included;
-    marks: those of them that are inline, since the last block; home: the block's path."""
+    marks: those of them that are inline, since the last block; home: the block's path;
+    article: number of the outermost article or main around it, or -1."""
 
-    __slots__ = ("home", "marks", "noise", "order", "path", "roots", "tag", "tags", "whole")
+    __slots__ = ("article", "home", "marks", "noise", "order", "path", "roots", "tag", "tags")
 
     def __init__(
-        self, tag: str, path: str, noise: bool, whole: bool, roots: tuple = (), marks: tuple = (),
+        self, tag: str, path: str, noise: bool, article: int, roots: tuple = (), marks: tuple = (),
         home: str | None = None,
     ):
-        self.tag, self.path, self.noise, self.whole = tag, path, noise, whole
+        self.tag, self.path, self.noise, self.article = tag, path, noise, article
         self.roots, self.marks, self.home = roots, marks, path if home is None else home
         self.tags: list[str] = []
         self.order: dict[str, int] = {}
@@ -110,12 +111,13 @@ class Element:
 
 class Block(NamedTuple):
     """A text block; text is without the named inline branches, parts has (raw text, their
-    paths) if there are any; roots are the named branches around it."""
+    paths) if there are any; roots are the named branches around it; article is the number of
+    the outermost article or main around it, or -1."""
 
     path: str
     text: str
     parts: list[tuple[str, tuple]] | None
-    whole: bool
+    article: int
     roots: tuple
 
 
@@ -138,8 +140,10 @@ def named_noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return bool(names.strip()) and any(w in NOISE_WORDS for w in WORD.findall(names))
+    names = set(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split())
+    if inside:  # the headline of an article
+        names.discard("header")
+    return not NOISE_WORDS.isdisjoint(names)
 
 
 def clean(raw: str) -> str:
@@ -148,13 +152,52 @@ def clean(raw: str) -> str:
     return " ".join(raw.split())
 
 
+def without(block: Block, void: set[str]) -> Block:
+    """The block without the named branches in void around it."""
+    roots = tuple(r for r in block.roots if r not in void)
+    if block.parts is None or not any(void.intersection(m) for _, m in block.parts):
+        return block._replace(roots=roots)
+    parts = [(t, tuple(r for r in marks if r not in void)) for t, marks in block.parts]
+    text = clean("".join([t for t, marks in parts if not marks]))
+    return block._replace(
+        text=text, roots=roots, parts=parts if any(marks for _, marks in parts) else None
+    )
+
+
+def overruled(blocks: list[Block], named: dict[str, int], holders: list[tuple]) -> set[str]:
+    """The named branches whose name says nothing on this page: those that hold its longest
+    article or main, or more than half of the text around them (of the article they are in;
+    else, of a page without an article, of the page). named: the article of each branch;
+    holders: the named branches around each article."""
+    size: dict[str, int] = {}
+    articles = [0] * len(holders)
+    total = 0
+    for b in blocks:
+        pieces = [(len(b.text), ())]
+        pieces += [(len(clean(t)), marks) for t, marks in b.parts or () if marks]
+        for n, marks in pieces:
+            total += n
+            if b.article >= 0:
+                articles[b.article] += n
+            for r in {*b.roots, *marks}:
+                size[r] = size.get(r, 0) + n
+    longest = max(articles, default=0)
+    found = set(holders[articles.index(longest)]) if longest else set()
+    for r, n in size.items():
+        around = articles[named[r]] if named[r] >= 0 else (0 if longest else total)
+        if around and 2 * n > around:
+            found.add(r)
+    return found
+
+
 def parse_page(page: str) -> Page:
     """Text blocks in page order, and the sequence of child elements of each path."""
-    root = Element("", "", False, False)
+    root = Element("", "", False, -1)
     stack = [root]
     blocks: list[Block] = []
     layouts: dict[str, str] = {}
-    named: set[str] = set()
+    named: dict[str, int] = {}
+    holders: list[tuple] = []
     pending: list[tuple[str, tuple]] = []
     at, n = 0, len(page)
 
@@ -166,7 +209,7 @@ def parse_page(page: str) -> Page:
             if text or parts:
                 e = stack[-1]
                 roots = e.roots[: len(e.roots) - len(e.marks)]
-                blocks.append(Block(e.home, text, parts, e.whole, roots))
+                blocks.append(Block(e.home, text, parts, e.article, roots))
 
     def close(count: int) -> None:
         flush()
@@ -214,7 +257,7 @@ def parse_page(page: str) -> Page:
             k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(m[3])
         } if m[3].strip() else {}
         noise = top.noise or unshown(tag, attributes)
-        name_says = not noise and named_noise(tag, attributes, top.whole)
+        name_says = not noise and named_noise(tag, attributes, top.article >= 0)
         if tag in INLINE and not noise and not name_says:
             if top.tag == tag:  # its end must not close the named one
                 stack.append(top)
@@ -243,10 +286,14 @@ def parse_page(page: str) -> Page:
             name += f"[{place}]"
         path = f"{top.path}>{name}"
         own = (path,) if name_says and not noise else ()
-        named.update(own)
-        inline = tag in INLINE
+        for p in own:
+            named.setdefault(p, top.article)
+        inline, article = tag in INLINE, top.article
+        if tag in KEPT_TAGS and article < 0 and not noise:
+            article = len(holders)
+            holders.append(top.roots)
         stack.append(Element(
-            tag, path, noise, top.whole or tag in KEPT_TAGS, top.roots + own,
+            tag, path, noise, article, top.roots + own,
             top.marks + own if inline else (), top.home if inline else None,
         ))
         if tag in RAW and not page[at - 2 : at] == "/>":
@@ -255,14 +302,19 @@ def parse_page(page: str) -> Page:
             at = end.end() if end else n
     close(len(stack) - 1)
     flush()
-    return Page(blocks, layouts, named)
+    if named:
+        void = overruled(blocks, named, holders)
+        if void:
+            blocks = [without(b, void) for b in blocks]
+            return Page([b for b in blocks if b.text or b.parts], layouts, named.keys() - void)
+    return Page(blocks, layouts, set(named))
 
 
 def parse(page: str) -> tuple[list[tuple[str, str, bool]], dict[str, str]]:
     """(blocks, layouts) of a page as the names alone have it: blocks are (path, text, whole)
     in page order, without what the markup names as noise; whole marks blocks of an article."""
     found = parse_page(page)
-    blocks = [(b.path, b.text, b.whole) for b in found.blocks if b.text and not b.roots]
+    blocks = [(b.path, b.text, b.article >= 0) for b in found.blocks if b.text and not b.roots]
     return blocks, found.layouts
 
 
@@ -298,7 +350,7 @@ def main_blocks(page: Page, cut: set[str], stay: set[str], lines: set[str]) -> l
             if text:
                 low = bool(cut) and not cut.isdisjoint(ancestors(b.path))
                 low = low or (bool(lines) and line_name(b.path, b.text) in lines)
-                found.append((text, low, b.whole))
+                found.append((text, low, b.article >= 0))
     whole = sum(len(t) for t, _, w in found if w)
     variant = 4 * sum(len(t) for t, low, w in found if w and low) > 3 * whole
     kept = [t for t, low, w in found if not low or (w and variant)]

@@ -87,3 +87,22 @@ def test_a_variant_of_an_article_stays_whole(spark):
 def test_named_inline_branches_leave_the_sentence_whole():
     page = "<p>One <span class='share'>tweet</span> two <span id='x'>three</span> four</p>"
     assert [t for _, t, _ in parse(page)[0]] == ["One two three four"]
+
+
+def test_names_are_whole_class_words_and_never_take_the_article(spark):
+    pages = [
+        "<div class='content-sidebar-wrap'><article><header class='entry-header'><h1>T</h1></header>"
+        "<p>Body text.</p></article></div>",
+        "<body class='no-sidebar'><div class='sidebar left'><article><header class='header'><h1>T</h1></header>"
+        "<p>Body text.</p></article><nav>menu</nav></div><footer>f</footer></body>",
+        "<form id='respond'><div><h1>T</h1><p>Body text.</p></div></form><div class='ad big'>buy</div>",
+        "<main><article><h1>T</h1><p>Body text.</p></article><div id='comments'><article>yes</article></div></main>",
+        "<h1>T</h1><p>Body <span class='widget'>text</span>.</p><footer>f</footer>",
+        "<h1>T</h1><p>Body <span class='no-widget'>text</span>.</p><footer>f</footer>",
+    ]
+    rows = [(i, f"http://h{i}.example/", page) for i, page in enumerate(pages)]
+    got = texts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert [got[i] for i in (0, 1, 2, 3, 5)] == ["T\nBody text."] * 5
+    assert got[4] == "T\nBody ."
+    assert texts(spark.createDataFrame([(1, "u", "<nav>menu</nav>")], "page_id long, url string, html string")) == {
+        1: "menu"}
