@@ -3,12 +3,12 @@
 A text is cut where no piece of the model can reach across: before a run of blanks and
 around line breaks. Each part then runs the merge agenda: of all neighbouring symbols
 whose concatenation is a piece, the one with the best score (leftmost on ties) is taken
-next. Dropout skips a candidate when the keyed hash of (seed, stream, part, start,
-middle, end) falls below the rate; the key does not depend on when the candidate comes
-up, so reruns agree. Each occurrence of a part draws its stream by the hash of (seed,
-document, position), out of ``streams``, so one word is segmented in different ways
-within a text, and equal (part, stream) pairs of a batch are segmented once, all of them
-in step. Characters without a piece become byte pieces.
+next. Dropout skips a candidate when the keyed hash of (seed, document, position, part,
+start, middle, end) falls below the rate; the key does not depend on when the candidate
+comes up, so reruns agree. Each occurrence of a part decides for itself, however often the
+part occurs. Which of its possible candidates an occurrence skips settles its segments, so
+occurrences of a batch that skip the same ones are segmented once, all of them in step.
+Characters without a piece become byte pieces.
 """
 
 from __future__ import annotations
@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from tabulark.llm.batches import slices
 
 PARTS = re.compile(r" *[^ \n]+| +|\n")
-MODEL, RATE, SEED, STREAMS = "piece_bpe_32k.model", 0.1, 20_240_601, 8
+MODEL, RATE, SEED, STREAMS = "piece_bpe_32k.model", 0.1, 20_240_601, 0
 LONG_PART = 48
+BITS, DRAWS = 64, 1 << 18  # candidates of a part that shares work; those looked at together
 SLICE_BYTES = 1 << 20  # of texts at a time; a task needs about a hundred times as much
 NONE = np.int32((1 << 31) - 1)
 U = np.uint64
@@ -66,6 +67,7 @@ class Pieces:
         for b, i in enumerate(self.byte):
             self.bytes[i] = bytes([b])
         # symbols: pieces, then characters that only occur inside pieces
+        self.longest = max(map(len, self.ids), default=0)
         symbols = dict(self.ids)
         for p in self.ids:
             for c in p:
@@ -123,10 +125,14 @@ def part_key(part: str) -> int:
     return xxhash.xxh3_64_intdigest(part)
 
 
+def candidate_hash(start, middle, end) -> np.ndarray:
+    place = np.asarray(start, np.uint64) << U(42) ^ np.asarray(middle, np.uint64) << U(21)
+    return mix(place ^ np.asarray(end, np.uint64) ^ U(0x5BD1E995))
+
+
 def dropped(key, start, middle, end, rate: float):
     """Whether the candidate (start, middle, end) of a part under ``key`` is skipped."""
-    place = np.asarray(start, np.uint64) << U(42) ^ np.asarray(middle, np.uint64) << U(21)
-    h = mix(np.asarray(key, np.uint64) ^ mix(place ^ np.asarray(end, np.uint64) ^ U(0x5BD1E995)))
+    h = mix(np.asarray(key, np.uint64) ^ candidate_hash(start, middle, end))
     return (h >> U(11)).astype(np.float64) < rate * float(1 << 53)
 
 
@@ -289,8 +295,81 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
-def encode_texts(p: Pieces, texts: list[str], docs: list[int], rate: float, seed: int, streams: int):
-    """(ids, offsets) of the texts; docs: one number per text that seeds its streams."""
+def candidates(p: Pieces, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets) of all candidates that any merges of each part can bring up; parts
+    of more than ``LONG_PART`` characters are left out."""
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+    lengths[lengths > LONG_PART] = 0
+    text = "".join([x for x in parts if len(x) <= LONG_PART])
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    n = len(points)
+    known = np.unique(points)
+    names = np.array([p.symbol(chr(c)) for c in known.tolist()], np.int32)
+    owner = np.repeat(np.arange(len(parts)), lengths)
+    first = (np.cumsum(lengths) - lengths)[owner]
+    # symbol of the stretch of each length at each place, -1: none; and where there is one
+    symbol = [None, names[np.searchsorted(known, points)]]
+    places = [None, np.arange(n)]
+    found: list[tuple[np.ndarray, np.ndarray, int]] = []
+    for size in range(2, min(p.longest, int(lengths.max(initial=0))) + 1):
+        merged = np.full(n, -1, np.int32)
+        for k in range(1, size):
+            at = places[k]
+            at = at[at + size <= n]
+            right = symbol[size - k][at + k]
+            ok = (right >= 0) & (owner[at] == owner[at + k])
+            at, right = at[ok], right[ok]
+            slot = p.pair(symbol[k][at], right)
+            hit = p.ranks[slot] != NONE
+            at = at[hit]
+            merged[at] = p.merged[slot[hit]]
+            found.append((at, at + k, size))
+        symbol.append(merged)
+        places.append(np.flatnonzero(merged >= 0))
+    at = np.concatenate([np.zeros(0, np.int64), *[f[0] for f in found]])
+    middle = np.concatenate([np.zeros(0, np.int64), *[f[1] for f in found]])
+    end = at + np.repeat([f[2] for f in found], [len(f[0]) for f in found]).astype(np.int64)
+    base = first[at]
+    hashes = candidate_hash(at - base, middle - base, end - base)
+    order = np.argsort(owner[at], kind="stable")
+    counts = np.bincount(owner[at], minlength=len(parts))
+    return hashes[order], np.concatenate(([0], np.cumsum(counts)))
+
+
+def skipped(keys: np.ndarray, code: np.ndarray, hashes, offsets, rate: float) -> np.ndarray:
+    """Which candidates of part ``code`` each occurrence skips, as bits."""
+    counts = np.diff(offsets)[code]
+    bits = np.zeros(len(code), np.uint64)
+    some = np.flatnonzero((counts > 0) & (counts <= BITS))
+    ends = np.cumsum(counts[some])
+    limit = U(int(np.ceil(rate * float(1 << 53))))
+    at = 0
+    while at < len(some):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + DRAWS, "right")))
+        rows = some[at:stop]
+        wide = counts[rows]
+        place = ragged(offsets[:-1][code[rows]], wide)
+        h = mix(np.repeat(keys[rows], wide) ^ hashes[place]) >> U(11)
+        start = np.cumsum(wide) - wide
+        bit = (np.arange(len(place)) - np.repeat(start, wide)).astype(np.uint64)
+        bits[rows] = np.add.reduceat((h < limit).astype(np.uint64) << bit, start)
+        at = stop
+    return bits
+
+
+def place_keys(hashes, docs, position, seed: int, streams: int = STREAMS) -> np.ndarray:
+    """Key of each occurrence: of a part (its hash) at a position of a document (its number)."""
+    doc = mix(np.asarray(docs, np.uint64) ^ mix(U(seed)))
+    place = mix(doc + np.asarray(position).astype(np.uint64))
+    if streams:
+        place %= U(streams)
+    return mix(hashes ^ mix(U(seed) + place))
+
+
+def encode_texts(
+    p: Pieces, texts: list[str], docs: list[int], rate: float, seed: int, streams: int = STREAMS
+):
+    """(ids, offsets) of the texts; docs: one number per text that seeds its draws."""
     found = [PARTS.findall(" " + t) if t else [] for t in texts]
     widths = np.array([len(x) for x in found], np.int64)
     flat = [x for row in found for x in row]
@@ -298,21 +377,28 @@ def encode_texts(p: Pieces, texts: list[str], docs: list[int], rate: float, seed
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
     numbers: dict[str, int] = {}
     code = np.fromiter((numbers.setdefault(x, len(numbers)) for x in flat), np.int64, len(flat))
-    names = np.array([*numbers, None], dtype=object)[:-1]
+    names = list(numbers)
+    # occurrences whose segments are worked out, and for each occurrence which of them it has
     if rate > 0:
         start = np.concatenate(([0], np.cumsum(widths)[:-1]))
         position = np.arange(len(flat)) - np.repeat(start, widths)
-        doc = mix(np.array(docs, np.uint64) ^ mix(U(seed)))
-        stream = mix(np.repeat(doc, widths) + position.astype(np.uint64)) % U(streams)
-        code = code * streams + stream.astype(np.int64)
-    lines = streams if rate > 0 else 1
-    used = np.zeros(len(names) * lines, bool)
-    used[code] = True
-    distinct = np.flatnonzero(used)
-    inverse = (np.cumsum(used) - 1)[code]
-    parts = names[distinct // lines].tolist()
-    hashes = np.array([part_key(x) for x in names], np.uint64) if rate > 0 else np.zeros(len(names), np.uint64)
-    keys = mix(hashes[distinct // lines] ^ mix(U(seed) + (distinct % lines).astype(np.uint64)))
+        hashes = np.array([part_key(x) for x in names], np.uint64)[code]
+        keys = place_keys(hashes, np.repeat(np.array(docs, np.uint64), widths), position, seed, streams)
+        hashes, offsets = candidates(p, names)
+        bits = skipped(keys, code, hashes, offsets, rate)
+        long_ = np.fromiter((len(x) > LONG_PART for x in names), bool, len(names))
+        alone = (long_ | (np.diff(offsets) > BITS))[code]
+        # equal (part, skipped) are one; the others are told apart by their keys
+        bits[alone] = keys[alone]
+        order = np.lexsort((bits, code))
+        new = np.ones(len(order), bool)
+        new[1:] = (code[order[1:]] != code[order[:-1]]) | (bits[order[1:]] != bits[order[:-1]])
+        worked = order[new]
+        inverse = np.empty(len(order), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        parts, keys = [flat[i] for i in worked.tolist()], keys[worked]
+    else:
+        parts, inverse, keys = names, code, np.zeros(len(names), np.uint64)
     ids, offsets = segment(p, parts, keys, rate)
     counts = np.diff(offsets)[inverse]
     out = ids[ragged(offsets[:-1][inverse], counts)]
@@ -346,7 +432,8 @@ def encode_pieces(
     A null or empty text has an empty list. ``lossless`` tells whether decoding the list
     gives the text back (a null counts as empty). With ``rate`` 0 the pieces are those of
     the library, but for a literal U+2581, which becomes byte pieces and so survives
-    decoding. Equal ids with equal texts are segmented alike; other columns are not read.
+    decoding. Equal ids with equal texts are segmented alike; ``streams`` other than 0 lets the
+    occurrences of a part share so many draws. Other columns are not read.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     number = F.xxhash64(F.col(id_col))

@@ -70,3 +70,31 @@ def test_rows(spark):
     assert D.encode_pieces(rows.limit(0)).count() == 0
     nulls = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert D.decode_pieces(nulls).collect()[0].text is None
+
+
+def test_each_occurrence_draws_for_itself(model, spark):
+    rows = spark.createDataFrame([(k, "information " * 200) for k in range(5)], "doc_id long, text string")
+    found = set()
+    for r in D.encode_pieces(rows, rate=0.3).collect():
+        text = D.decode_ids(model, r.ids)
+        assert text == "information " * 200
+        word, words = [], []
+        for i in r.ids:
+            if model.bytes[i].startswith(b" ") and word:
+                words.append(tuple(word))
+                word = []
+            word.append(i)
+        found |= set(words)
+    assert len(found) > 40
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5])
+def test_shared_work_equals_each_occurrence_alone(model, documents, rate):
+    texts = [r.text for r in documents.limit(12).collect()] + ["ab " * 50, "x" * 60 + " y", "internationalisation " * 9]
+    ids, at = D.encode_texts(model, texts, list(range(len(texts))), rate, 7)
+    for k, text in enumerate(texts):
+        parts = D.PARTS.findall(" " + text)
+        hashes = np.array([D.part_key(x) for x in parts], np.uint64)
+        keys = D.place_keys(hashes, np.full(len(parts), k), np.arange(len(parts)), 7)
+        want = [i for x, key in zip(parts, keys.tolist()) for i in D.agenda(model, x, key, rate)]
+        assert ids[at[k] : at[k + 1]].tolist() == want
