@@ -1,14 +1,15 @@
 """Corpus pipeline over documents, each stage written and read again by the next:
 
 1. language ID: rejected documents go
-2. n-gram Jaccard join: of each group of near copies the least id stays
+2. n-gram Jaccard join: of each group of near copies one row stays, that of the least id
 3. suffix-array dedup: passages that repeat are cut out of the texts
 4. mixing sources to target weights: documents come as often as the mix takes them
 5. SentencePiece encoding: the pieces of every text
 
-Stages 1 to 4 return the columns of documents. Rows without an id pass stage 2 as they
-are; a text that loses all its bytes in stage 3 stays as an empty one, which stage 4 does
-not take, as it takes no text without a word.
+Stages 1 to 4 return the columns of documents. Stage 2 tells rows apart by id (rows without
+one come last), a hash of the row and a number, so repeated rows and rows without an id are
+in the groups like any other. A text that loses all its bytes in stage 3 stays as an empty
+one, which stage 4 does not take, as it takes no text without a word.
 """
 
 from __future__ import annotations
@@ -30,11 +31,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS)
-    groups = partenum.similar_sets(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return named.select(*COLUMNS).union(docs.where("doc_id IS NULL"))
+    known = F.col("doc_id").isNotNull()
+    numbered = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("number"))
+    place = F.struct(
+        (~known).alias("unnamed"), F.col("doc_id").alias("id"),
+        F.xxhash64(*COLUMNS).alias("hash"), F.col("number"),
+    )
+    rows = stage_table(numbered.select(*COLUMNS, place.alias("place")), "numbered")
+    groups = partenum.similar_sets(rows, "place")
+    kept = groups.where("place <=> component_id").select("place.number")
+    return rows.join(kept, F.col("place.number") == F.col("number"), "left_semi").select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

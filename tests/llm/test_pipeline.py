@@ -53,6 +53,21 @@ def test_odd_documents(spark, docs_of):
         assert stage(spark, docs_of([(1, "x")]).limit(0), SF).count() == 0
 
 
+def test_repeated_rows_and_copies_without_id_stay_once_and_whole(spark, docs_of):
+    def prose(k):
+        return " ".join(f"w{k}x{i}" for i in range(60))
+
+    rows = [(1, prose(1), "en", "a")] * 2 + [(None, prose(2), "en", "a")] * 3
+    rows += [(None, prose(3) + end, "en", "b") for end in (" one", " two", " three")]
+    rows += [(None, prose(4), "en", "b"), (9, prose(4), "en", "b"), (5, prose(5), "en", "a"), (5, prose(6), "en", "a")]
+    single = P.jaccard_join(spark, docs_of(rows), SF).cache()
+    cut = P.suffix_dedup(spark, single, SF).collect()
+    texts = sorted(r.text for r in cut)
+    assert [t[:5] for t in texts] == ["w1x0 ", "w2x0 ", "w3x0 ", "w4x0 ", "w5x0 ", "w6x0 "]
+    assert all(t in {r[1] for r in rows} for t in texts)
+    assert [r.doc_id for r in sorted(cut, key=lambda r: r.text)][3] == 9
+
+
 def test_stage_names():
     assert [n for n, _ in P.STAGES] == [
         "language_id", "jaccard_join", "suffix_dedup", "source_mix", "piece_encoding",
