@@ -7,8 +7,10 @@ robust-pruned neighbours (one is dropped if a kept one is nearer to it, by a fac
 the point is). The adjacency lists of a vector are united over its shards and handed back
 to them; then each member searches its shard from the medoid, and while it finds points
 in range it goes on from them, however many there are. Only pairs whose cosine in double
-precision reaches the bound are links. A sample of vectors is audited against all rows;
-if too many of its links are missing, shards overlap more and all is done again.
+precision reaches the bound are links. Drawn vectors are audited against all rows: one of
+each of some groups, and vectors without a link in blocks until few groups can be lost; if
+too many links are missing, shards overlap more and all is done again, and where shards
+would hold most of the rows, all pairs of a label are compared instead.
 
 A shard of more than ``SHARD_ROWS`` rows is cut into slices, and every pair of slices is a
 shard: no link is lost and no task holds a hot group.
@@ -29,7 +31,10 @@ from tabulark.session import stage_table
 
 RANGE, DEGREE, BEAM, ALPHA = 0.93, 24, 32, 1.2
 SLACK = 0.06  # how far below the range a point is still gone on from
-OVERLAP, MAX_OVERLAP, AUDITED, AUDIT_RECALL = 3, 9, 64, 0.97
+OVERLAP, AUDITED, AUDIT_RECALL = 3, 256, 0.97
+# vectors without a link in the first audited block; rows for each group that the audit takes
+# for granted where fewer are found; lost ones that are enough for an estimate
+AUDIT_BLOCK, GROUP_ROWS, ENOUGH_LOST = 512, 1_000, 30
 LEAF_ROWS, SHARD_ROWS, BATCH = 2_048, 4_096, 128
 
 
@@ -163,10 +168,9 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def shard_rows(rows: DataFrame, overlap: int) -> DataFrame:
+def shard_rows(rows: DataFrame, overlap: int, tree) -> DataFrame:
     """``label, leaf, one, two, id, vec``: the members of each shard."""
-    n = rows.count()
-    shared = rows.sparkSession.sparkContext.broadcast(fit_tree(rows, n, LEAF_ROWS))
+    shared = rows.sparkSession.sparkContext.broadcast(tree)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,7 +185,11 @@ def shard_rows(rows: DataFrame, overlap: int) -> DataFrame:
     placed = rows.mapInArrow(place, f"{fields}, leaves array<long>").select(
         "label", F.explode("leaves").alias("leaf"), "id", "vec"
     )
-    placed = stage_table(placed, "placed")
+    return sliced(stage_table(placed, "placed"))
+
+
+def sliced(placed: DataFrame) -> DataFrame:
+    """Cut leaves of many rows: every pair of their slices is a shard."""
     counts = placed.groupBy("label", "leaf").agg(
         F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("cuts")
     )
@@ -200,9 +208,10 @@ def shard_rows(rows: DataFrame, overlap: int) -> DataFrame:
 SHARD = ["label", "leaf", "one", "two"]
 
 
-def found_links(rows: DataFrame, bound: float, overlap: int) -> DataFrame:
+def found_links(rows: DataFrame, bound: float, overlap: int, tree=None) -> DataFrame:
     """``a, b`` with a < b: the linked pairs that the graph finds, each once."""
-    members = stage_table(shard_rows(rows, overlap), "members")
+    tree = tree or fit_tree(rows, rows.count(), LEAF_ROWS)
+    members = stage_table(shard_rows(rows, overlap, tree), "members")
 
     def build(shard: pa.Table) -> pa.Table:
         ids = shard.column("id").to_numpy()
@@ -249,17 +258,31 @@ def found_links(rows: DataFrame, bound: float, overlap: int) -> DataFrame:
     return joined.groupBy(*SHARD).applyInArrow(scan, "a long, b long").distinct()
 
 
-def audit(rows: DataFrame, links: DataFrame, bound: float, audited: int = AUDITED) -> float:
-    """Share of the true links of a sample of vectors that were found (1 without any)."""
-    n = rows.count()
-    drawn = (
-        rows.where(F.pmod(F.xxhash64(F.lit("audit"), "id"), F.lit(max(1, n // (2 * audited)))) == 0)
-        .limit(audited).select("id", "label", "vec").toArrow()
-    )
-    if not drawn.num_rows:
-        return 1.0
+def all_links(rows: DataFrame, bound: float) -> DataFrame:
+    """``a, b`` with a < b: all linked pairs, by comparing every two rows of a label."""
+    members = sliced(rows.select("label", F.lit(0).cast("long").alias("leaf"), "id", "vec"))
+
+    def scan(shard: pa.Table) -> pa.Table:
+        ids, x = shard.column("id").to_numpy(), unit(matrix(shard.column("vec")))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start in range(0, len(x), 512):
+            s = x[start : start + 512] @ x.T
+            i, j = np.nonzero(s >= bound - 1e-9)
+            near = np.flatnonzero(s[i, j] < bound + 1e-9)
+            ok = ids[start + i] < ids[j]
+            ok[near] &= (x[start + i[near]] * x[j[near]]).sum(axis=1) >= bound
+            a.append(ids[start + i[ok]])
+            b.append(ids[j[ok]])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return members.groupBy(*SHARD).applyInArrow(scan, "a long, b long").distinct()
+
+
+def true_links(rows: DataFrame, drawn: pa.Table, bound: float) -> DataFrame:
+    """``q, a, b``: the links of each drawn vector q (id, label, vec) among all rows."""
     ids = drawn.column("id").to_numpy()
-    labels = np.array(drawn.column("label").to_pylist(), dtype=object)
+    names = {k: i for i, k in enumerate(dict.fromkeys(drawn.column("label").to_pylist()))}
+    labels = np.array([names[k] for k in drawn.column("label").to_pylist()], np.int64)
     x = unit(matrix(drawn.column("vec")))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,20 +290,89 @@ def audit(rows: DataFrame, links: DataFrame, bound: float, audited: int = AUDITE
             if not batch.num_rows:
                 continue
             own = batch.column("id").to_numpy()
-            like = np.array(batch.column("label").to_pylist(), dtype=object)
-            s = x @ unit(matrix(batch.column("vec"))).T
-            i, j = np.nonzero(
-                (s >= bound) & (labels[:, None] == like[None, :]) & (ids[:, None] != own[None, :])
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(ids[i], own[j])), pa.array(np.maximum(ids[i], own[j]))],
-                ["a", "b"],
-            )
+            like = np.array([names.get(k, -1) for k in batch.column("label").to_pylist()], np.int64)
+            y = unit(matrix(batch.column("vec"))).T
+            for start in range(0, len(x), 256):
+                i, j = np.nonzero(x[start : start + 256] @ y >= bound)
+                i += start
+                ok = (labels[i] == like[j]) & (ids[i] != own[j])
+                i, j = i[ok], j[ok]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[i]), pa.array(np.minimum(ids[i], own[j])),
+                     pa.array(np.maximum(ids[i], own[j]))],
+                    ["q", "a", "b"],
+                )
+
+    return rows.select("id", "label", "vec").mapInArrow(scan, "q long, a long, b long")
+
+
+def audit(
+    rows: DataFrame, links: DataFrame, parts: DataFrame, bound: float, goal: float = AUDIT_RECALL
+) -> float:
+    """Estimated share of the true links that were found (1 without any): the lesser of the
+    means over groups and over vectors, so that neither small groups nor large ones hide.
 
-    true = rows.mapInArrow(scan, "a long, b long").distinct()
-    joined = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left")
-    total, hit = joined.agg(F.count("*"), F.count("hit")).collect()[0]
-    return hit / total if total else 1.0
+    parts: id, component. Up to ``AUDITED`` found groups, by one vector each, and as many linked
+    vectors give the means. Vectors without a found link, which have lost all that they have,
+    are drawn in growing blocks until those lost can be no more than the goal leaves, or are
+    enough to count, or all have been drawn; two of them count as a lost group.
+    """
+    n = rows.count()
+    place = F.xxhash64(F.lit("audit"), "id")
+    each = parts.groupBy("component").agg(F.min_by("id", place).alias("id"))
+    linked, groups = parts.count(), each.count()
+    by_group = by_vector = 1.0
+    if groups:
+        one = [r.id for r in each.orderBy(place).limit(AUDITED).select("id").collect()]
+        any_ = [r.id for r in parts.orderBy(place).limit(AUDITED).select("id").collect()]
+        some = rows.sparkSession.createDataFrame([(i,) for i in {*one, *any_}], "id long")
+        drawn = rows.join(F.broadcast(some), "id", "left_semi").select("id", "label", "vec").toArrow()
+        hits = true_links(rows, drawn, bound).join(
+            links.withColumn("hit", F.lit(1)), ["a", "b"], "left"
+        ).groupBy("q").agg((F.count("hit") / F.count("*")).alias("recall"))
+        recall = {r.q: r.recall for r in hits.collect()}
+        by_group = float(np.mean([recall.get(i, 1.0) for i in one]))
+        by_vector = float(np.mean([recall.get(i, 1.0) for i in any_]))
+    alone = n - linked
+    lost = seen = 0
+    share = 0.0
+    room = (1 - goal) * max(groups, n / GROUP_ROWS)
+    lonely = rows.join(parts.select("id"), "id", "left_anti").withColumn(
+        "_place", F.pmod(place, F.lit(1 << 30)) / float(1 << 30)
+    )
+    while alone > 0 and share < 1:
+        upto = min(1.0, share + max(AUDIT_BLOCK, 3 * seen) / alone)
+        block = lonely.where((F.col("_place") >= share) & (F.col("_place") < upto)).select(
+            "id", "label", "vec").toArrow()
+        share = upto
+        if block.num_rows:
+            seen += block.num_rows
+            lost += true_links(rows, block, bound).select("q").distinct().count()
+            # three more could have stayed unseen, at one chance in twenty
+            if lost >= ENOUGH_LOST or (lost + 3) / seen * alone / 2 <= room:
+                break
+    missing = lost / seen * alone if seen else 0.0
+    if not groups:
+        return 0.0 if missing else 1.0
+    return min(by_group * groups / (groups + missing / 2), by_vector * linked / (linked + missing))
+
+
+def links_at_goal(
+    rows: DataFrame, bound: float, goal: float = AUDIT_RECALL
+) -> tuple[DataFrame, DataFrame, float, int | None]:
+    """(links, their components, audited recall, overlap): shards overlap more until the goal
+    is met; from half of the leaves on all pairs are compared (recall 1, no overlap)."""
+    tree, overlap = fit_tree(rows, rows.count(), LEAF_ROWS), OVERLAP
+    while True:
+        links = stage_table(found_links(rows, bound, overlap, tree), "links")
+        parts = stage_table(connected_components(links), "parts")
+        recall = audit(rows, links, parts, bound, goal)
+        if recall >= goal:
+            return links, parts, recall, overlap
+        overlap *= 2
+        if 2 * overlap > tree.leaves:
+            links = stage_table(all_links(rows, bound), "links")
+            return links, stage_table(connected_components(links), "parts"), 1.0, None
 
 
 def near_duplicates(
@@ -301,17 +393,11 @@ def near_duplicates(
     )
     fine = with_dimension(named.where("id IS NOT NULL AND label IS NOT NULL"))
     rows = stage_table(fine.dropDuplicates(["id"]), "vectors")
-    overlap = OVERLAP
-    while True:
-        links = stage_table(found_links(rows, bound, overlap), "links")
-        if overlap >= MAX_OVERLAP or audit(rows, links, bound) >= AUDIT_RECALL:
-            break
-        overlap += 3
+    links, parts, _, _ = links_at_goal(rows, bound)
     ends = links.select("a").union(links.select("b")).groupBy("a").agg(
         F.count("*").alias("n_links")
     )
-    parts = connected_components(links).withColumnRenamed("id", "a")
-    linked = ends.join(parts, "a")
+    linked = ends.join(parts.withColumnRenamed("id", "a"), "a")
     return (
         vectors.select(F.col(id_col).alias("id"))
         .join(linked, F.col("id") == F.col("a"), "left")

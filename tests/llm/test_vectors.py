@@ -113,6 +113,44 @@ def test_near_duplicates_against_brute_force(spark):
     assert (got["kept"].to_numpy() == (got.index == got["component_id"])).all()
 
 
+def test_rare_links_over_many_leaves_beside_a_large_group(spark, monkeypatch):
+    from tabulark.llm import flat_graph
+
+    monkeypatch.setattr(flat_graph, "LEAF_ROWS", 128)
+    monkeypatch.setattr(flat_graph, "OVERLAP", 1)
+    draw = np.random.default_rng(6)
+    x = unit(draw.normal(size=(1200, 16)))
+    for i in range(0, 80, 2):  # pairs at a cosine of 0.94
+        aside = draw.normal(size=16)
+        aside -= (aside @ x[i]) * x[i]
+        x[i + 1] = 0.94 * x[i] + np.sqrt(1 - 0.94**2) * aside / np.linalg.norm(aside)
+    x[800:] = x[800]
+    x = x.astype(np.float32)
+    labels = np.ones(len(x), int)
+    rows = make(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)])
+    got = near_duplicates(rows).toPandas().set_index("vec_id").sort_index()["n_links"].to_numpy()
+    links, _ = brute_links(x, labels)
+    assert links[:80].sum() >= 76 and got[800:].sum() >= 0.97 * links[800:].sum()
+    assert got[:800].sum() >= 0.95 * links[:800].sum()
+    # the audit sees that small groups are lost, beside the large one and alone
+    named = rows.withColumnsRenamed({"vec_id": "id", "embedding": "vec"}).cache()
+    large = spark.createDataFrame([(800, i) for i in range(801, 1200)], "a long, b long")
+    chain = spark.createDataFrame([(i, 800) for i in range(800, 1200)], "id long, component long")
+    assert flat_graph.audit(named, large, chain, 0.93) < 0.1
+    assert flat_graph.audit(named.where("id < 800"), large.limit(0), chain.limit(0), 0.93) == 0
+
+
+def test_all_pairs_of_a_label(spark, monkeypatch):
+    from tabulark.llm import flat_graph
+
+    monkeypatch.setattr(flat_graph, "SHARD_ROWS", 100)
+    x, labels = grouped(600, 9)
+    rows = make(spark, [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, labels))])
+    named = rows.withColumnsRenamed({"vec_id": "id", "embedding": "vec"})
+    links, _ = brute_links(x, labels)
+    assert 2 * flat_graph.all_links(named, 0.93).count() == links.sum()
+
+
 def test_near_duplicates_of_odd_rows(spark):
     v = [1.0, 2.0]
     rows = [
