@@ -1,16 +1,19 @@
-"""The registered queries of the ten operators."""
+"""The registered queries of the operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tabulark.llm import (
+    collocations,
     flat_graph,
     kmeans_tree,
     language,
     mixing,
+    packing,
     partenum,
     piece_dropout,
+    prefix_trie,
     sharding,
     style_tree,
     suffix_levels,
@@ -72,3 +75,18 @@ def _(spark, sf):
 @query("op10_flat_graph_dedup")
 def _(spark, sf):
     return flat_graph.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query("op11_best_fit_packing")
+def _(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"))
+
+
+@query("op12_collocations", collocations.SQL)
+def _(spark, sf):
+    return collocations.mine_collocations(table(spark, sf, "documents"))
+
+
+@query("op13_prefix_trie", prefix_trie.SQL)
+def _(spark, sf):
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
