@@ -131,7 +131,7 @@ def pack_documents(
         for part in slices(batches, "text"):
             id_arrow = part.column("id").type
             numbers, of, blobs = [], [], []
-            for i, found in enumerate(table.ids(part.column("text").to_pylist())):
+            for i, found in enumerate(table.ids(part.column("text").cast(pa.binary()).to_pylist())):
                 found += end_mark
                 for piece, start, length in pieces_of(len(found) // 4, capacity):
                     ids = found[4 * start: 4 * (start + length)]

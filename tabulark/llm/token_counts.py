@@ -8,6 +8,9 @@ its special strings reaches across white space), so the tokens before the bounda
 depend on the left chunk only and those after it on the right one. Both encodings
 must also show a token that starts exactly there. Without such a boundary the overlap
 is doubled, up to the whole of both chunks, which then become one.
+
+Shorter texts are counted word by word: the same facts let a bounded table hold the ids
+of the words that come again (see ``word_table``), so each distinct word is encoded once.
 """
 
 from __future__ import annotations
@@ -20,49 +23,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulark.llm.batches import slices
+from tabulark.llm.word_table import word_table
 
 STABLE = re.compile(r"(?<=[ \t\r\n])[^\W_]")
 CHUNK, OVERLAP, LIMIT = 16_384, 256, 2_048
-GROUP_CHARS = 1 << 19
 
 
 class Counter:
     """Counts tokens with one tokenizer file; lives in a Python worker."""
 
     def __init__(self, name: str, chunk: int = CHUNK, overlap: int = OVERLAP):
-        import public_tokenizers
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.table = word_table(name)
+        self.tokenizer = self.table.tokenizer
         self.chunk, self.overlap = chunk, overlap
         self.widened = 0
 
-    def counts(self, texts: list[str | None]) -> list[int]:
-        found = [0] * len(texts)
-        group: list[int] = []
-        size = 0
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if len(text) > self.chunk:
-                found[i] = self.spliced(text)
-                continue
-            group.append(i)
-            size += len(text)
-            if size > GROUP_CHARS:
-                self._whole(texts, group, found)
-                group, size = [], 0
-        self._whole(texts, group, found)
-        return found
-
-    def _whole(self, texts, group, found) -> None:
-        encodings = self.tokenizer.encode_batch_fast(
-            [texts[i] for i in group], add_special_tokens=False
-        )
-        for i, e in zip(group, encodings):
-            found[i] = len(e)
+    def counts(self, texts: list[bytes | None]) -> list[int]:
+        """Tokens of each UTF-8 text."""
+        huge = {
+            i: self.spliced(whole) for i, text in enumerate(texts)
+            if text and len(text) > self.chunk and len(whole := text.decode()) > self.chunk
+        }
+        rest = self.table.ids([None if i in huge else text for i, text in enumerate(texts)])
+        return [huge.get(i, len(ids) // 4) for i, ids in enumerate(rest)]
 
     def _encode(self, text: str, start: int, end: int):
         return self.tokenizer.encode(text[start:end], add_special_tokens=False)
@@ -137,12 +120,9 @@ def count_tokens(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), size.alias("n"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         c = counter(tokenizer, chunk, overlap)
         for part in slices(batches, "text"):
-            tokens = c.counts(part.column("text").to_pylist())
+            tokens = c.counts(part.column("text").cast(pa.binary()).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("n"), pa.array(tokens, pa.int64())],
                 ["id", "n", "tokens"],
