@@ -4,9 +4,8 @@ A window over a whole session would put a hot session into one task. Here a
 session is cut into chunks (stretches of its own order) and windows run inside a
 chunk, so a hot session spreads over as many tasks as it has chunks. The last row
 of a chunk then knows what the chunk passes on; those rows form a table with one
-row per chunk, from which every chunk learns what lies before and after it. The
-pass over the rows happens once: only the rows still in question and the chunk
-tails are written out, and joined on (session, chunk).
+row per chunk, from which every chunk learns what lies before it, joined on
+(session, chunk).
 """
 
 from __future__ import annotations
@@ -16,8 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tabulark.session import stage_table
-
 CHUNK = "chunk"
 
 
@@ -26,12 +23,6 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def time_chunk(ts: Column, seconds: float) -> Column:
-    """Chunk number of a timestamp. With one frame per millisecond at most, a
-    chunk holds at most ``1000 * seconds`` rows of a session."""
-    return F.floor(micros(ts) / int(seconds * 1_000_000))
-
-
 def sequence_chunk(seq: Column, rows: int) -> Column:
     """Chunk number of a unique sequence number; at most ``rows`` rows per session."""
     return F.floor(seq / rows)
@@ -50,14 +41,6 @@ class Chunks:
             .rowsBetween(Window.unboundedPreceding, end)
         )
 
-    def rows_after(self) -> WindowSpec:
-        """The rest of the chunk, as what precedes a row in descending order: a frame
-        that only grows, where one ending in the following rows is redone per row."""
-        return (
-            Window.partitionBy(*self.keys, CHUNK).orderBy(*[F.desc(c) for c in self.order])
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-
     def lag_rows(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order)
 
@@ -66,53 +49,13 @@ class Chunks:
             Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         )
 
-    def until(self) -> WindowSpec:
-        return (
-            Window.partitionBy(*self.keys).orderBy(CHUNK)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-
-    def later(self) -> WindowSpec:
-        return (
-            Window.partitionBy(*self.keys).orderBy(F.desc(CHUNK))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-
-    def place(self) -> Column:
-        """Sortable position of a row inside its session."""
-        return F.struct(*[F.col(c) for c in self.order])
-
     def is_tail(self) -> Column:
         """True on the last row of a chunk."""
         return F.lead(F.lit(1)).over(self.lag_rows()).isNull()
 
-    def neighbours(self) -> WindowSpec:
-        """Chunks of a session in order, for lag."""
-        return Window.partitionBy(*self.keys).orderBy(CHUNK)
-
     def attach(self, df: DataFrame, per_chunk: DataFrame, columns: Sequence[str]) -> DataFrame:
         """Bring per-chunk values to the rows of the chunk; a null session is one, too."""
         names = [*self.keys, CHUNK]
         side = per_chunk.select(*[F.col(c).alias(f"_of_{c}") for c in names], *columns)
         same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in names]
         return df.join(side, same).drop(*[f"_of_{c}" for c in names])
-
-    def previous(self, df: DataFrame, value: Column, name: str) -> DataFrame:
-        """Value of the row before, across chunk borders (null for the first row)."""
-        local = df.withColumns(
-            {
-                "_value": value,
-                "_before": F.lag(value).over(self.lag_rows()),
-                "_head": F.row_number().over(self.lag_rows()) == 1,
-                "_tail": self.is_tail(),
-            }
-        )
-        local = stage_table(local, "previous")
-        tails = local.where("_tail").select(
-            *self.keys, CHUNK, F.lag("_value").over(self.neighbours()).alias("_carried")
-        )
-        inner = local.where("NOT _head").withColumn(name, F.col("_before"))
-        heads = self.attach(local.where("_head"), tails, ["_carried"]).withColumn(
-            name, F.col("_carried")
-        )
-        return inner.select(*df.columns, name).unionByName(heads.select(*df.columns, name))

@@ -211,7 +211,7 @@ def with_views(names: str, body: str) -> str:
         for n in names.split()
     ]
     more = re.match(r"\s*\w+ AS \(", body) is not None
-    return "WITH " + ", ".join(parts) + (", " if more else " ") + body.strip() + " "
+    return "WITH RECURSIVE " + ", ".join(parts) + (", " if more else " ") + body.strip() + " "
 
 
 def bitmap(pixels: np.ndarray) -> bytes:

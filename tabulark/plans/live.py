@@ -88,8 +88,7 @@ def letter_commit(spark, sf):
 @query("auto_space", with_views("frames", PLAIN + COMMITS.replace("{source}", "plain") + PAUSES
        + "SELECT sid, ts, seq FROM items WHERE letter = ' '"))
 def _(spark, sf):
-    df = frames(spark, sf)
-    return C.auto_space(df, C.letter_commit(df, STABLE, CONFIDENCE), GAP)
+    return C.auto_space(frames(spark, sf), STABLE, CONFIDENCE, GAP)
 
 
 @query("text_fold", with_views("frames", PLAIN + COMMITS.replace("{source}", "plain") + PAUSES
@@ -97,7 +96,7 @@ def _(spark, sf):
 def _(spark, sf):
     df = frames(spark, sf)
     commits = C.letter_commit(df, STABLE, CONFIDENCE)
-    return C.text_fold(C.text_items(commits, None, C.auto_space(df, commits, GAP)))
+    return C.text_fold(C.text_items(commits, None, C.auto_space(df, STABLE, CONFIDENCE, GAP)))
 
 
 @query("edit_actions", with_views("sessions", COMMITS.replace("{source}", "sessions") + EDITED_TEXT
@@ -108,6 +107,57 @@ def edit_actions(spark, sf):
     return C.text_fold(C.text_items(commits, df))
 
 
+# The rules row by row: what the windows above cannot say, as a space depends on the text
+# that edits have left.
+STEPS = """
+rowed AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY ts, seq) AS n FROM sessions),
+walk AS (
+ SELECT sid, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS run_letter, 0 AS run_length,
+  CAST(NULL AS VARCHAR) AS held, '' AS text, CAST(NULL AS TIMESTAMP) AS gap_start, false AS space_done, false AS spaced
+ FROM (SELECT DISTINCT sid FROM rowed)
+ UNION ALL
+ SELECT sid, n, seq, run_letter, run_length, held,
+  CASE WHEN spaced THEN text || ' ' ELSE text END, gap_start, space_done OR spaced, spaced
+ FROM (
+  SELECT *, away AND ts - gap_start >= INTERVAL {gap} MILLISECOND AND NOT space_done AND text <> ''
+   AND NOT ends_with(text, ' ') AS spaced
+  FROM (
+   SELECT sid, next_n AS n, next_seq AS seq, ts, away,
+    CASE WHEN keeps THEN run_letter WHEN accepted AND NOT full_run THEN letter END AS run_letter,
+    CASE WHEN keeps THEN run_length WHEN accepted AND NOT full_run THEN length ELSE 0 END AS run_length,
+    CASE WHEN NOT accepted THEN NULL WHEN full_run THEN letter ELSE held END AS held,
+    CASE WHEN accepted AND full_run AND letter IS DISTINCT FROM held THEN text || letter
+     WHEN action = 'space' THEN text || ' ' WHEN action = 'char' THEN text || ch
+     WHEN action = 'backspace' THEN left(text, greatest(length(text) - 1, 0)) WHEN action = 'clear' THEN ''
+     WHEN action = 'set_text' THEN ch ELSE text END AS text,
+    CASE WHEN away THEN coalesce(gap_start, ts) WHEN action IS NOT NULL THEN gap_start END AS gap_start,
+    (away OR action IS NOT NULL) AND space_done AS space_done
+   FROM (
+    SELECT w.*, r.ts, r.letter, r.action, r.ch, r.n AS next_n, r.seq AS next_seq,
+     r.action IN ('space', 'char', 'backspace') AS keeps,
+     r.action IS NULL AND r.letter IS NULL AS away,
+     r.action IS NULL AND r.letter IS NOT NULL AND coalesce(r.conf >= {conf}, false) AS accepted,
+     CASE WHEN r.letter = w.run_letter THEN w.run_length + 1 ELSE 1 END AS length,
+     CASE WHEN r.letter = w.run_letter THEN w.run_length + 1 ELSE 1 END >= {stable} AS full_run
+    FROM walk w JOIN rowed r ON r.sid = w.sid AND r.n = w.n + 1)))),
+ends AS (SELECT sid, text FROM walk QUALIFY row_number() OVER (PARTITION BY sid ORDER BY n DESC) = 1)
+"""
+
+
+def _steps(stable: int, conf: float, gap_seconds: float) -> str:
+    return STEPS.format(stable=stable, conf=conf, gap=int(gap_seconds * 1000))
+
+
+@query("live_text", with_views("sessions", _steps(STABLE, CONFIDENCE, GAP) + "SELECT sid, text FROM ends"))
+def _(spark, sf):
+    return C.live_text(sessions(spark, sf), STABLE, CONFIDENCE, GAP)
+
+
+@query("live_spaces", with_views("sessions", _steps(STABLE, CONFIDENCE, GAP) + "SELECT sid, seq FROM walk WHERE spaced"))
+def _(spark, sf):
+    return C.auto_space(sessions(spark, sf), STABLE, CONFIDENCE, GAP).select("sid", "seq")
+
+
 @query("monotonic_ts", """
 WITH arrivals AS (SELECT user_id AS sid, event_id AS seq, CAST(floor(event_id / 7) AS BIGINT) - event_id % 5 AS ms
  FROM events),

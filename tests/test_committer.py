@@ -4,8 +4,10 @@ import random
 from collections import deque
 from datetime import datetime, timedelta
 
+import pytest
 
 from tabulark.operators import committer as C
+from tabulark.operators.borders import with_parts
 from tabulark.session import scratch_path
 from tabulark.streaming.committer import CommitterSettings, commit_stream
 
@@ -101,12 +103,12 @@ def frame(spark, rows):
 def test_commit_matches_model_with_edits(spark):
     rows = sessions(1, 150, True)
     df = frame(spark, rows).cache()
-    for n, lost, chunk in [(3, True, 1.0), (2, False, 0.5), (1, True, 86400.0), (4, True, 3.0)]:
+    for n, lost, part in [(3, True, 3), (2, False, 1), (1, True, 500_000), (4, True, 7)]:
         want = {
             (sid, s, c)
             for sid, m in run_model(rows, n, 0.5, lost_releases=lost).items() for s, c in m.commits
         }
-        got = C.letter_commit(df, n, 0.5, lost, chunk).collect()
+        got = C.letter_commit(df, n, 0.5, lost, part, 0.2).collect()
         assert {(r.sid, r.seq, r.letter) for r in got} == want
         assert len(got) == len(want)
 
@@ -115,25 +117,100 @@ def test_text_fold_with_edits(spark):
     rows = sessions(2, 150, True)
     df = frame(spark, rows).cache()
     for chunk in (0.7, 86400.0):
-        commits = C.letter_commit(df, 2, 0.5, True, chunk)
+        commits = C.letter_commit(df, 2, 0.5, True, 10, chunk)
         got = {r.sid: r.text for r in C.text_fold(C.text_items(commits, df), chunk).collect()}
         for sid, m in run_model(rows, 2, 0.5).items():
             assert got.get(sid, "") == m.text
 
 
+def check_live(df, rows, part, bucket):
+    want = run_model(rows, 2, 0.5, 1.0)
+    settings = {"part_rows": part, "bucket_seconds": bucket}
+    spaces = C.auto_space(df, 2, 0.5, 1.0, **settings)
+    assert sorted((r.sid, r.seq) for r in spaces.collect()) == sorted(
+        (sid, s) for sid, m in want.items() for s in m.spaces
+    )
+    got = {r.sid: r.text for r in C.live_text(df, 2, 0.5, 1.0, **settings).collect()}
+    assert got == {sid: m.text for sid, m in want.items()}
+    return spaces
+
+
 def test_auto_space(spark):
     rows = sessions(3, 150, False)
     df = frame(spark, rows).cache()
-    for chunk in (0.8, 86400.0):
-        commits = C.letter_commit(df, 2, 0.5, True, chunk)
-        spaces = C.auto_space(df, commits, 1.0, chunk)
-        want = run_model(rows, 2, 0.5, 1.0)
-        assert {(r.sid, r.seq) for r in spaces.collect()} == {
-            (sid, s) for sid, m in want.items() for s in m.spaces
-        }
-        text = C.text_fold(C.text_items(commits, None, spaces), chunk).collect()
+    for part, bucket in ((2, 0.4), (500_000, 60.0)):
+        spaces = check_live(df, rows, part, bucket)
+        commits = C.letter_commit(df, 2, 0.5, True, part, bucket)
+        text = C.text_fold(C.text_items(commits, None, spaces), 0.8).collect()
         got = {r.sid: r.text for r in text}
-        assert all(got.get(sid, "") == m.text for sid, m in want.items())
+        assert all(got.get(sid, "") == m.text for sid, m in run_model(rows, 2, 0.5, 1.0).items())
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_spaces_and_edits_together(spark, batch):
+    """Drops reach into earlier parts and meet the spaces that pauses have set there."""
+    rows = sessions(13, 250, True)
+    df = frame(spark, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        for part, bucket in ((1, 0.1), (6, 0.3), (500_000, 60.0)):
+            check_live(df, rows, part, bucket)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_no_job_while_planning_and_even_parts(spark):
+    rows = [(1, BASE + timedelta(milliseconds=40 * i), i, "AB"[i // 30 % 2], 0.9, None, None) for i in range(6_000)]
+    rows += [(2, BASE, 10**6 + i, "A", 0.9, None, None) for i in range(50)]
+    rows += [(None, BASE, 2 * 10**6 + i, "A", 0.9, None, None) for i in range(50)]
+    df = frame(spark, rows)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    commits = C.letter_commit(df, 12, 0.5, True, 500, 1.0)
+    text = C.live_text(df, 12, 0.5, 1.2, part_rows=500, bucket_seconds=1.0)
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    sizes = [r["count"] for r in with_parts(df, 500, 1.0).groupBy("part").count().collect()]
+    assert len(sizes) >= 14 and max(sizes) <= 525
+    want = run_model(rows, 12, 0.5, 1.2)
+    got = [(r.sid, r.seq, r.letter) for r in commits.collect()]
+    assert sorted(got, key=str) == sorted(((sid, s, c) for sid, m in want.items() for s, c in m.commits), key=str)
+    assert {r.sid: r.text for r in text.collect()} == {sid: m.text for sid, m in want.items()}
+
+
+def test_transitions_compose_in_any_grouping():
+    """Steps of a stretch cut anywhere, reduced in pieces and applied, give the whole."""
+    rng = random.Random(21)
+    for _ in range(400):
+        steps, gap = [], 0
+        for i in range(rng.randint(0, 14)):
+            gap += rng.random() < 0.4
+            kind = rng.choice(["push", "pop", "try", "try", "reset"])
+            steps.append((kind, rng.choice("ab ") if kind == "push" else None, gap, i))
+
+        def play(cuts):
+            text, places = C.Text(), []
+            for a, b in zip([0, *cuts], [*cuts, len(steps)]):
+                edits = C.Edits((steps[a][2], 0) if a < len(steps) and a else None)
+                for kind, ch, gap, i in steps[a:b]:
+                    if kind == "try":
+                        edits.attempt((gap, 0), (i, i))
+                    else:
+                        getattr(edits, kind)(*([ch] if ch else []))
+                for op in edits.steps():
+                    place = text.apply(*op)
+                    places += [place] if place else []
+                places += edits.spaces
+            return "".join(text.chars), sorted(places)
+
+        whole = C.Text(), []
+        for kind, ch, gap, i in steps:
+            place = whole[0].apply(kind, ch, (gap, 0) if kind == "try" else None, (i, i))
+            whole[1].extend([place] if place else [])
+        want = "".join(whole[0].chars), whole[1]
+        n = len(steps)
+        for cuts in ([], sorted(rng.sample(range(n + 1), min(n, 3))), list(range(n))):
+            assert play(cuts) == want
 
 
 def test_literal_runs(spark):
@@ -142,7 +219,7 @@ def test_literal_runs(spark):
             (1, BASE + timedelta(milliseconds=i), i, c if c != "-" else None, 0.9, None, None)
             for i, c in enumerate(letters)
         ]
-        out = C.letter_commit(frame(spark, rows), n, 0.9, True, 0.005)
+        out = C.letter_commit(frame(spark, rows), n, 0.9, True, 5, 0.002)
         return "".join(r.letter for r in out.orderBy("seq").collect())
 
     assert commits("A" * 12 + "B" * 3 + "A" * 12, 12) == "A"
@@ -199,7 +276,7 @@ def test_stream_events_equal_batch(spark):
     rows = sorted(sessions(6, 30, False), key=lambda r: (r[1], r[2]))
     df = frame(spark, rows)
     commits = C.letter_commit(df, 2, 0.5)
-    spaces = C.auto_space(df, commits, 1.0)
+    spaces = C.auto_space(df, 2, 0.5, 1.0)
     events = _stream(spark, rows, 3, CommitterSettings(2, 0.5, True, 1.0), "events")
     got = {(r.sid, r.seq, r.letter) for r in events.collect()}
     want = {(r.sid, r.seq, r.letter) for r in commits.collect()}
