@@ -585,9 +585,17 @@ def monotonic_ts(
     ).select(*frames.columns, "mono_ms")
 
 
-def latest_wins(frames: DataFrame, every: str, columns: Sequence[str]) -> DataFrame:
+def latest_wins(
+    frames: DataFrame, every: str, columns: Sequence[str], delay: str | None = None
+) -> DataFrame:
     """What a consumer that wakes up once per interval sees: the newest frame of
-    each session and interval; older ones are superseded before the shuffle."""
+    each session and interval; older ones are superseded before the shuffle.
+
+    On a stream ``delay`` is how late a frame may come: the watermark closes an interval
+    so long after its end, and frames of closed intervals are dropped. In update mode each
+    micro-batch gives the intervals it changes, in append mode the closed ones."""
+    if delay is not None:
+        frames = frames.withWatermark("ts", delay)
     newest = F.max_by(F.struct(*columns), F.struct("ts", "seq"))
     return (
         frames.groupBy("sid", F.window("ts", every).alias("w"))

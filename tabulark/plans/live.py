@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulark.operators import committer as C
-from tabulark.plans.fixtures import SESSIONS, table, view, with_views
+from tabulark.plans.fixtures import FRAMES, SESSIONS, table, view, with_views
 from tabulark.plans.registry import query
 from tabulark.session import scratch_path
 from tabulark.sources.tables import frame_stream_source
 from tabulark.streaming.committer import CommitterSettings, commit_stream
 from tabulark.streaming.scoring import decode_frames, run_to_files, write_isolated
+from tabulark.streaming.upserts import LatestTable
 
 STABLE, CONFIDENCE, GAP = 2, 0.1, 600.0
 
@@ -172,9 +173,12 @@ def _(spark, sf):
     return C.monotonic_ts(arrivals, "ms")
 
 
-@query("latest_wins", with_views("frames", """
+LATEST = """
 SELECT sid, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, ts, seq, letter, conf FROM frames
-QUALIFY row_number() OVER (PARTITION BY sid, date_trunc('day', ts) ORDER BY ts DESC, seq DESC) = 1"""))
+QUALIFY row_number() OVER (PARTITION BY sid, date_trunc('day', ts) ORDER BY ts DESC, seq DESC) = 1"""
+
+
+@query("latest_wins", with_views("frames", LATEST))
 def _(spark, sf):
     return C.latest_wins(frames(spark, sf), "1 day", ["ts", "seq", "letter", "conf"])
 
@@ -222,7 +226,20 @@ LEFT JOIN final_text f ON f.sid = s.sid"""))
 def _(spark, sf):
     rows = _stream_view(spark, sf, SESSIONS)
     shots = commit_stream(rows, CommitterSettings(STABLE, CONFIDENCE), "snapshots")
-    return C.text_snapshot(_drained(spark, shots, "texts"))
+    texts = LatestTable(scratch_path(spark, "texts"), ["sid"], ["ts", "seq"],
+                        "sid long, ts timestamp, seq long, text string")
+    texts.keep(shots, scratch_path(spark, "texts-state")).awaitTermination()
+    return texts.read(spark).select("sid", "text")
+
+
+@query("latest_wins_stream", with_views("frames", LATEST))
+def _(spark, sf):
+    rows = _stream_view(spark, sf, FRAMES)
+    newest = C.latest_wins(rows, "1 day", ["ts", "seq", "letter", "conf"], delay="2 days")
+    table_ = LatestTable(scratch_path(spark, "latest"), ["sid", "window_start"], ["ts", "seq"],
+                         "sid long, window_start timestamp, ts timestamp, seq long, letter string, conf double")
+    table_.keep(newest, scratch_path(spark, "latest-state"), "update").awaitTermination()
+    return table_.read(spark)
 
 
 @query("bad_record_isolation", """

@@ -10,6 +10,7 @@ from tabulark.operators import committer as C
 from tabulark.operators.borders import with_parts
 from tabulark.session import scratch_path
 from tabulark.streaming.committer import CommitterSettings, commit_stream
+from tabulark.streaming.upserts import LatestTable
 
 BASE = datetime(2024, 1, 1)
 
@@ -294,3 +295,79 @@ def test_late_rows_wait_for_the_watermark(spark):
     shots = _stream(spark, jumbled, 4, settings, "snapshots", "1 second")
     got = {r.sid: r.text for r in C.text_snapshot(shots).collect() if r.sid != 99}
     assert got == {sid: m.text for sid, m in run_model(rows, 2, 0.5, 1.0).items()}
+
+
+def test_heartbeat_commits_what_waits_and_idle_sessions_end(spark):
+    """Nothing waits for ever, and a session that comes back after its end starts anew."""
+    rows = sorted(sessions(17, 12, True), key=lambda r: (r[1], r[2]))
+    later = [
+        (sid, BASE + timedelta(hours=2, milliseconds=40 * i), 10**5 + 10 * sid + i, "A", 0.9, None, None)
+        for sid in range(3) for i in range(2)
+    ]
+    beats = [(None, BASE + timedelta(hours=h), 10**6 + h, None, None, None, None) for h in (1, 5)]
+    settings = CommitterSettings(2, 0.5, True, 1.0)
+    # in steps, so that the first heartbeat ends the sessions before they come back
+    steps = [[*rows, beats[0]], [*later, beats[1]]]
+    shots = _stream_steps(spark, steps, settings, "1 second", 600)
+    first = run_model(rows, 2, 0.5, 1.0)
+    got = {r.sid: r.text for r in C.text_snapshot(shots.where("seq < 100000")).collect()}
+    assert got == {sid: m.text for sid, m in first.items()}
+    again = {r.sid: r.text for r in C.text_snapshot(shots.where("seq >= 100000")).collect()}
+    assert again == {0: "A", 1: "A", 2: "A"}
+
+
+def _stream_steps(spark, steps, settings, delay, idle):
+    folder, out, state = (scratch_path(spark, n) for n in ("frames", "out", "state"))
+    for step in steps:
+        frame(spark, step).coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(SCHEMA).parquet(folder)
+        (
+            commit_stream(source, settings, "snapshots", delay, idle).writeStream.outputMode("append")
+            .format("parquet").option("path", out).option("checkpointLocation", state)
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    return spark.read.parquet(out)
+
+
+def test_upserts_are_idempotent(spark):
+    schema = "sid long, ts timestamp, seq long, text string"
+    table = LatestTable(scratch_path(spark, "upserts"), ["sid"], ["ts", "seq"], schema, 4)
+    assert table.read(spark).count() == 0
+    rng = random.Random(3)
+    batches, newest = [], {}
+    for n in range(5):
+        rows = [(rng.choice([None, *range(20)]), BASE + timedelta(seconds=rng.randint(0, 50)), 100 * n + i, f"{n}-{i}")
+                for i in range(30)]
+        batches.append(spark.createDataFrame(rows, schema))
+        for sid, ts, seq, text in rows:
+            newest[sid] = max(newest.get(sid, (BASE, -1, "")), (ts, seq, text))
+        table.upsert(batches[-1], n)
+        if n % 2:
+            table.upsert(batches[-1], n)  # the batch is run again
+        assert {r.sid: r.text for r in table.read(spark).collect()} == {s: v[2] for s, v in newest.items()}
+    # a batch that stopped before its manifest does not show, and is done again
+    lost = spark.createDataFrame([(1, BASE + timedelta(days=1), 1, "lost")], schema)
+    lost.selectExpr("*", "3 AS bucket").write.partitionBy("bucket").parquet(f"{table.path}/data/5")
+    assert table.read(spark).where("text = 'lost'").isEmpty()
+    table.upsert(lost, 5)
+    assert table.read(spark).where("sid = 1").first().text == "lost"
+    table.upsert(spark.createDataFrame([], schema), 6)
+    assert table.read(spark).count() == len(newest)
+
+
+def test_latest_wins_on_a_stream(spark):
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 3), BASE + timedelta(seconds=2 * i + rng.randint(-40, 0)), i, "A", i / 500, None, None)
+            for i in range(300)]
+    late = (1, BASE - timedelta(hours=1), 999, "B", 0.1, None, None)
+    folder = scratch_path(spark, "frames")
+    for part in (rows[:100], rows[100:200], rows[200:], [late]):
+        frame(spark, part).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    columns = ["ts", "seq", "letter", "conf"]
+    table = LatestTable(scratch_path(spark, "latest"), ["sid", "window_start"], ["ts", "seq"],
+                        "sid long, window_start timestamp, ts timestamp, seq long, letter string, conf double", 4)
+    stream = C.latest_wins(source, "30 seconds", columns, delay="60 seconds")
+    table.keep(stream, scratch_path(spark, "state"), "update").awaitTermination()
+    want = C.latest_wins(frame(spark, rows), "30 seconds", columns)
+    assert sorted(map(tuple, table.read(spark).collect())) == sorted(map(tuple, want.collect()))
