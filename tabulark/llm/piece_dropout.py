@@ -29,6 +29,7 @@ PARTS = re.compile(r" *[^ \n]+| +|\n")
 MODEL, RATE, SEED, STREAMS = "piece_bpe_32k.model", 0.1, 20_240_601, 0
 LONG_PART = 48
 BITS, DRAWS = 64, 1 << 18  # candidates of a part that shares work; those looked at together
+MOST_PARTS = 1 << 18  # whose candidates a worker keeps, some 300 bytes each
 SLICE_BYTES = 1 << 20  # of texts at a time; a task needs about a hundred times as much
 NONE = np.int32((1 << 31) - 1)
 U = np.uint64
@@ -66,6 +67,10 @@ class Pieces:
             self.bytes[i] = p.encode()
         for b, i in enumerate(self.byte):
             self.bytes[i] = bytes([b])
+        # their bytes, one after the other
+        self.widths = np.array([len(b) for b in self.bytes], np.int64)
+        self.starts = np.cumsum(self.widths) - self.widths
+        self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
         # symbols: pieces, then characters that only occur inside pieces
         self.longest = max(map(len, self.ids), default=0)
         symbols = dict(self.ids)
@@ -337,10 +342,10 @@ def candidates(p: Pieces, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def skipped(keys: np.ndarray, code: np.ndarray, hashes, offsets, rate: float) -> np.ndarray:
-    """Which candidates of part ``code`` each occurrence skips, as bits."""
+    """Which of the at most ``BITS`` candidates of part ``code`` each occurrence skips."""
     counts = np.diff(offsets)[code]
     bits = np.zeros(len(code), np.uint64)
-    some = np.flatnonzero((counts > 0) & (counts <= BITS))
+    some = np.flatnonzero(counts > 0)
     ends = np.cumsum(counts[some])
     limit = U(int(np.ceil(rate * float(1 << 53))))
     at = 0
@@ -357,6 +362,51 @@ def skipped(keys: np.ndarray, code: np.ndarray, hashes, offsets, rate: float) ->
     return bits
 
 
+class Parts:
+    """Hashes of parts and of their possible candidates, of parts met before in this worker;
+    starts anew beyond ``MOST_PARTS`` parts. Of a part with more than ``BITS`` candidates
+    only that is kept (``wide``)."""
+
+    def __init__(self, p: Pieces):
+        self.p = p
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.key, self.start, self.count = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
+        self.wide = np.zeros(0, bool)
+        self.hashes = np.zeros(1 << 16, np.uint64)
+        self.used = 0
+
+    def look_up(self, names: list[str]):
+        """(keys, candidate hashes, offsets, wide) of distinct parts."""
+        if len(self.number) + len(names) > MOST_PARTS:
+            self.forget()
+        new = [x for x in names if x not in self.number]
+        if new:
+            self._add(new)
+        at = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        counts = self.count[at]
+        hashes = self.hashes[ragged(self.start[at], counts)]
+        return self.key[at], hashes, np.concatenate(([0], np.cumsum(counts))), self.wide[at]
+
+    def _add(self, new: list[str]) -> None:
+        hashes, offsets = candidates(self.p, new)
+        counts = np.diff(offsets)
+        wide = counts > BITS
+        kept = np.where(wide, 0, counts)
+        some = hashes[ragged(offsets[:-1], kept)]
+        while self.used + len(some) > len(self.hashes):
+            self.hashes = np.concatenate((self.hashes, np.zeros_like(self.hashes)))
+        self.hashes[self.used:self.used + len(some)] = some
+        self.start = np.concatenate((self.start, self.used + np.cumsum(kept) - kept))
+        self.count = np.concatenate((self.count, kept))
+        self.wide = np.concatenate((self.wide, wide))
+        self.key = np.concatenate((self.key, np.fromiter(map(part_key, new), np.uint64, len(new))))
+        self.used += len(some)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+
+
 def place_keys(hashes, docs, position, seed: int, streams: int = STREAMS) -> np.ndarray:
     """Key of each occurrence: of a part (its hash) at a position of a document (its number)."""
     doc = mix(np.asarray(docs, np.uint64) ^ mix(U(seed)))
@@ -367,27 +417,28 @@ def place_keys(hashes, docs, position, seed: int, streams: int = STREAMS) -> np.
 
 
 def encode_texts(
-    p: Pieces, texts: list[str], docs: list[int], rate: float, seed: int, streams: int = STREAMS
+    p: Pieces, texts: list[str], docs: list[int], rate: float, seed: int, streams: int = STREAMS,
+    known: Parts | None = None,
 ):
-    """(ids, offsets) of the texts; docs: one number per text that seeds its draws."""
+    """(ids, offsets) of the texts; docs: one number per text that seeds its draws; ``known``:
+    the parts of earlier calls."""
     found = [PARTS.findall(" " + t) if t else [] for t in texts]
     widths = np.array([len(x) for x in found], np.int64)
     flat = [x for row in found for x in row]
     if not flat:
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-    numbers: dict[str, int] = {}
-    code = np.fromiter((numbers.setdefault(x, len(numbers)) for x in flat), np.int64, len(flat))
-    names = list(numbers)
+    names = list(dict.fromkeys(flat))
+    numbers = dict(zip(names, range(len(names))))
+    code = np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
     # occurrences whose segments are worked out, and for each occurrence which of them it has
     if rate > 0:
         start = np.concatenate(([0], np.cumsum(widths)[:-1]))
         position = np.arange(len(flat)) - np.repeat(start, widths)
-        hashes = np.array([part_key(x) for x in names], np.uint64)[code]
-        keys = place_keys(hashes, np.repeat(np.array(docs, np.uint64), widths), position, seed, streams)
-        hashes, offsets = candidates(p, names)
+        part_keys, hashes, offsets, wide = (known or Parts(p)).look_up(names)
+        keys = place_keys(part_keys[code], np.repeat(np.array(docs, np.uint64), widths), position, seed, streams)
         bits = skipped(keys, code, hashes, offsets, rate)
-        long_ = np.fromiter((len(x) > LONG_PART for x in names), bool, len(names))
-        alone = (long_ | (np.diff(offsets) > BITS))[code]
+        long_ = np.fromiter(map(len, names), np.int64, len(names)) > LONG_PART
+        alone = (long_ | wide)[code]
         # equal (part, skipped) are one; the others are told apart by their keys
         bits[alone] = keys[alone]
         order = np.lexsort((bits, code))
@@ -414,15 +465,34 @@ def decode_ids(p: Pieces, ids) -> str:
     return data[1:].decode() if data else ""
 
 
+def lossless(p: Pieces, texts: list[str], ids: np.ndarray, offsets: np.ndarray) -> list[bool]:
+    """Whether the pieces of each text, joined, are the text behind a blank."""
+    if not len(ids):
+        return [not t for t in texts]
+    flat = p.flat[ragged(p.starts[ids], p.widths[ids])].tobytes()
+    ends = np.concatenate(([0], np.cumsum(p.widths[ids])))[offsets].tolist()
+    return [
+        flat[a:b] == (b" " + t.encode() if t else b"") for t, a, b in zip(texts, ends, ends[1:])
+    ]
+
+
 _pieces: dict[str, Pieces] = {}
+_parts: dict[str, Parts] = {}
 
 
 def pieces(name: str) -> Pieces:
     if name not in _pieces:
         _pieces[name] = Pieces(name)
+        _parts[name] = Parts(_pieces[name])
     return _pieces[name]
 
 
+def known_parts(name: str) -> Parts:
+    """The parts that this worker has met, of one model."""
+    pieces(name)
+    return _parts[name]
+
+
 def encode_pieces(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL,
     rate: float = RATE, seed: int = SEED, streams: int = STREAMS,
@@ -444,11 +514,8 @@ def encode_pieces(
         for part in slices(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in part.column("text").to_pylist()]
             docs = part.column("n").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            ids, offsets = encode_texts(p, texts, docs, rate, seed, streams)
-            same = [
-                decode_ids(p, ids[offsets[i] : offsets[i + 1]].tolist()) == t
-                for i, t in enumerate(texts)
-            ]
+            ids, offsets = encode_texts(p, texts, docs, rate, seed, streams, known_parts(model))
+            same = lossless(p, texts, ids, offsets)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), lists, pa.array(np.diff(offsets), pa.int64()), pa.array(same)],

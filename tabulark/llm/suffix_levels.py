@@ -60,26 +60,40 @@ def powers(base: int, n: int) -> np.ndarray:
     return found
 
 
-_powers: list[np.ndarray] = [powers(BASE, 1), powers(INVERSE, 1)]
+LOW = 1 << 16
+#: the first powers; others are one of these times one power of the last
+_LOW = {base: powers(base, LOW) for base in (BASE, INVERSE)}
+
+
+def high_powers(base: int, n: int) -> np.ndarray:
+    """Every ``LOW``-th of the first n powers."""
+    return powers(pow(base, LOW, 1 << 64), n // LOW + 1)
 
 
 class Hashes:
     """Hash of any stretch of a byte array, from running sums."""
 
     def __init__(self, data: np.ndarray):
-        n = len(data) + 1
-        if len(_powers[0]) < n:
-            _powers[:] = [powers(BASE, 2 * n), powers(INVERSE, 2 * n)]
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum(TABLE[data] * _powers[0][: n - 1], out=self.sums[1:])
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        for k, high in enumerate(high_powers(BASE, len(data))):
+            some = TABLE[data[k * LOW:(k + 1) * LOW]]
+            self.sums[k * LOW + 1:k * LOW + 1 + len(some)] = some * (_LOW[BASE][:len(some)] * high)
+        np.cumsum(self.sums, out=self.sums)
+        self.high = high_powers(INVERSE, len(data))
+
+    def _scaled(self, difference: np.ndarray, start: np.ndarray) -> np.ndarray:
+        difference *= _LOW[INVERSE][start & (LOW - 1)]
+        if len(self.high) > 1:
+            difference *= self.high[start >> 16]
+        return mix(difference)
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((self.sums[stop] - self.sums[start]) * _powers[1][start])
+        return self._scaled(self.sums[stop] - self.sums[start], start)
 
     def every(self, length: int) -> np.ndarray:
         """Hash of the stretch of ``length`` bytes at each place."""
         n = len(self.sums) - length
-        return mix((self.sums[length:] - self.sums[:n]) * _powers[1][:n])
+        return self._scaled(self.sums[length:] - self.sums[:n], np.arange(n))
 
 
 @dataclass
