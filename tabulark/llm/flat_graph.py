@@ -1,16 +1,19 @@
 """Near duplicates among vectors by a robust-pruned flat graph.
 
-Vectors are unit-scaled and put into overlapping shards: those of one label in the same
-leaves of a k-means tree, each vector in its ``overlap`` best leaves. Each shard builds a
+Equal vectors of a label are one class with a count. Classes are unit-scaled and put into
+overlapping shards: those of one label in the same leaves of a k-means tree, each in its
+``overlap`` best leaves. How many that must be is settled before anything is built: for a
+drawn set of vectors the true links are found, and the overlap is the least at which enough
+of them share a leaf. Each shard builds a
 flat graph: points come in batches, are searched greedily from the medoid, and keep the
 robust-pruned neighbours (one is dropped if a kept one is nearer to it, by a factor, than
 the point is). The adjacency lists of a vector are united over its shards and handed back
 to them; then each member searches its shard from the medoid, and while it finds points
 in range it goes on from them, however many there are. Only pairs whose cosine in double
-precision reaches the bound are links. Drawn vectors are audited against all rows: one of
-each of some groups, and vectors without a link in blocks until few groups can be lost; if
-too many links are missing, shards overlap more and all is done again, and where shards
-would hold most of the rows, all pairs of a label are compared instead.
+precision reaches the bound are links. A draw of fixed size is audited against all rows:
+one vector each of some groups, as many linked ones, and vectors without a link. If too many
+links are missing, shards overlap more and all is done again, and where shards would hold
+most of the rows, all pairs of a label are compared instead.
 
 A shard of more than ``SHARD_ROWS`` rows is cut into slices, and every pair of slices is a
 shard: no link is lost and no task holds a hot group.
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulark.llm.components import connected_components
@@ -32,9 +35,12 @@ from tabulark.session import stage_table
 RANGE, DEGREE, BEAM, ALPHA = 0.93, 24, 32, 1.2
 SLACK = 0.06  # how far below the range a point is still gone on from
 OVERLAP, AUDITED, AUDIT_RECALL = 3, 256, 0.97
-# vectors without a link in the first audited block; rows for each group that the audit takes
-# for granted where fewer are found; lost ones that are enough for an estimate
-AUDIT_BLOCK, GROUP_ROWS, ENOUGH_LOST = 512, 1_000, 30
+# vectors whose links settle the overlap; vectors without a link that are audited; rows for each
+# group that the audit takes for granted where fewer are found
+PROBED, AUDIT_LONELY, GROUP_ROWS = 4_096, 4_096, 1_000
+# partners of a vector that are looked at; leaves of a vector tried as overlap; how much more
+# than the goal must share a leaf
+PARTNERS, MOST_OVERLAP, MARGIN = 8, 32, 0.01
 LEAF_ROWS, SHARD_ROWS, BATCH = 2_048, 4_096, 128
 
 
@@ -278,8 +284,9 @@ def all_links(rows: DataFrame, bound: float) -> DataFrame:
     return members.groupBy(*SHARD).applyInArrow(scan, "a long, b long").distinct()
 
 
-def true_links(rows: DataFrame, drawn: pa.Table, bound: float) -> DataFrame:
-    """``q, a, b``: the links of each drawn vector q (id, label, vec) among all rows."""
+def true_links(rows: DataFrame, drawn: pa.Table, bound: float, most: int | None = None) -> DataFrame:
+    """``q, a, b``: the links of each drawn vector q (id, label, vec) among all rows; with
+    ``most`` only so many of each, drawn by hash."""
     ids = drawn.column("id").to_numpy()
     names = {k: i for i, k in enumerate(dict.fromkeys(drawn.column("label").to_pylist()))}
     labels = np.array([names[k] for k in drawn.column("label").to_pylist()], np.int64)
@@ -297,13 +304,68 @@ def true_links(rows: DataFrame, drawn: pa.Table, bound: float) -> DataFrame:
                 i += start
                 ok = (labels[i] == like[j]) & (ids[i] != own[j])
                 i, j = i[ok], j[ok]
+                if most is not None:  # those of the least hash, in each batch and then of all
+                    order = np.lexsort((spread(own[j]), i))
+                    i, j = i[order], j[order]
+                    first = np.searchsorted(i, i)
+                    keep = np.arange(len(i)) - first < most
+                    i, j = i[keep], j[keep]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[i]), pa.array(np.minimum(ids[i], own[j])),
                      pa.array(np.maximum(ids[i], own[j]))],
                     ["q", "a", "b"],
                 )
 
-    return rows.select("id", "label", "vec").mapInArrow(scan, "q long, a long, b long")
+    found = rows.select("id", "label", "vec").mapInArrow(scan, "q long, a long, b long")
+    if most is None:
+        return found
+    other = F.when(F.col("a") == F.col("q"), F.col("b")).otherwise(F.col("a"))
+    best = Window.partitionBy("q").orderBy(F.xxhash64(F.lit("partner"), other), other)
+    return found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= most).drop("n")
+
+
+def spread(ids: np.ndarray) -> np.ndarray:
+    """A hash of ids, to draw by."""
+    x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def drawn_rows(rows: DataFrame, of: int, n: int, name: str) -> pa.Table:
+    """About ``n`` of ``of`` rows by a hash of the id, at most twice as many."""
+    unit_ = F.pmod(F.xxhash64(F.lit(name), "id"), F.lit(1 << 30)) / float(1 << 30)
+    return rows.where(unit_ < min(1.0, n / max(of, 1))).select("id", "label", "vec").limit(2 * n).toArrow()
+
+
+def needed_overlap(rows: DataFrame, tree, n: int, bound: float, goal: float) -> int:
+    """The least overlap, ``OVERLAP`` or more, at which ``goal`` and ``MARGIN`` of the true
+    links of drawn vectors share a leaf: on the mean of the vectors and on the mean weighted
+    against those of many links, so that neither small groups nor large ones hide."""
+    if tree.leaves <= 2 * OVERLAP:
+        return OVERLAP
+    drawn = drawn_rows(rows, n, PROBED, "probe")
+    if not drawn.num_rows:
+        return OVERLAP
+    pairs = true_links(rows, drawn, bound, PARTNERS).toArrow()
+    if not pairs.num_rows:
+        return OVERLAP
+    q, a, b = (pairs.column(c).to_numpy() for c in ("q", "a", "b"))
+    other = np.where(a == q, b, a)
+    some = rows.sparkSession.createDataFrame([(int(i),) for i in np.unique(np.concatenate((q, other)))], "id long")
+    ends = rows.join(F.broadcast(some), "id", "left_semi").select("id", "vec").toArrow()
+    order = np.argsort(ends.column("id").to_numpy())
+    ids = ends.column("id").to_numpy()[order]
+    limit = min(tree.leaves, MOST_OVERLAP)
+    rank = np.full((len(ids), tree.leaves), limit, np.int16)
+    for i, leaves in enumerate(tree.visits(matrix(ends.column("vec"))[order], limit)):
+        rank[i, leaves] = np.arange(len(leaves))
+    least = np.maximum(rank[np.searchsorted(ids, q)], rank[np.searchsorted(ids, other)]).min(axis=1) + 1
+    _, owner, count = np.unique(q, return_inverse=True, return_counts=True)
+    weight = 1 / (1 + count)
+    for overlap in range(OVERLAP, limit):
+        share = np.bincount(owner, least <= overlap) / count
+        if min(share.mean(), np.average(share, weights=weight)) >= min(1.0, goal + MARGIN):
+            return overlap
+    return limit
 
 
 def audit(
@@ -313,9 +375,9 @@ def audit(
     means over groups and over vectors, so that neither small groups nor large ones hide.
 
     parts: id, component. Up to ``AUDITED`` found groups, by one vector each, and as many linked
-    vectors give the means. Vectors without a found link, which have lost all that they have,
-    are drawn in growing blocks until those lost can be no more than the goal leaves, or are
-    enough to count, or all have been drawn; two of them count as a lost group.
+    vectors give the means, on ``PARTNERS`` links of each. Of the vectors without a found link,
+    which have lost all that they have, up to ``AUDIT_LONELY`` are drawn; two of them count as
+    a lost group.
     """
     n = rows.count()
     place = F.xxhash64(F.lit("audit"), "id")
@@ -327,33 +389,21 @@ def audit(
         any_ = [r.id for r in parts.orderBy(place).limit(AUDITED).select("id").collect()]
         some = rows.sparkSession.createDataFrame([(i,) for i in {*one, *any_}], "id long")
         drawn = rows.join(F.broadcast(some), "id", "left_semi").select("id", "label", "vec").toArrow()
-        hits = true_links(rows, drawn, bound).join(
+        hits = true_links(rows, drawn, bound, PARTNERS).join(
             links.withColumn("hit", F.lit(1)), ["a", "b"], "left"
         ).groupBy("q").agg((F.count("hit") / F.count("*")).alias("recall"))
         recall = {r.q: r.recall for r in hits.collect()}
         by_group = float(np.mean([recall.get(i, 1.0) for i in one]))
         by_vector = float(np.mean([recall.get(i, 1.0) for i in any_]))
     alone = n - linked
-    lost = seen = 0
-    share = 0.0
-    room = (1 - goal) * max(groups, n / GROUP_ROWS)
-    lonely = rows.join(parts.select("id"), "id", "left_anti").withColumn(
-        "_place", F.pmod(place, F.lit(1 << 30)) / float(1 << 30)
-    )
-    while alone > 0 and share < 1:
-        upto = min(1.0, share + max(AUDIT_BLOCK, 3 * seen) / alone)
-        block = lonely.where((F.col("_place") >= share) & (F.col("_place") < upto)).select(
-            "id", "label", "vec").toArrow()
-        share = upto
-        if block.num_rows:
-            seen += block.num_rows
-            lost += true_links(rows, block, bound).select("q").distinct().count()
-            # three more could have stayed unseen, at one chance in twenty
-            if lost >= ENOUGH_LOST or (lost + 3) / seen * alone / 2 <= room:
-                break
+    lonely = rows.join(parts.select("id"), "id", "left_anti")
+    block = drawn_rows(lonely, alone, AUDIT_LONELY, "lonely") if alone else None
+    seen = block.num_rows if block is not None else 0
+    lost = true_links(rows, block, bound, 1).select("q").distinct().count() if seen else 0
     missing = lost / seen * alone if seen else 0.0
     if not groups:
         return 0.0 if missing else 1.0
+    groups = max(groups, n / GROUP_ROWS)
     return min(by_group * groups / (groups + missing / 2), by_vector * linked / (linked + missing))
 
 
@@ -362,17 +412,18 @@ def links_at_goal(
 ) -> tuple[DataFrame, DataFrame, float, int | None]:
     """(links, their components, audited recall, overlap): shards overlap more until the goal
     is met; from half of the leaves on all pairs are compared (recall 1, no overlap)."""
-    tree, overlap = fit_tree(rows, rows.count(), LEAF_ROWS), OVERLAP
-    while True:
+    n = rows.count()
+    tree = fit_tree(rows, n, LEAF_ROWS)
+    overlap = needed_overlap(rows, tree, n, bound, goal)
+    while 2 * overlap <= tree.leaves or overlap == OVERLAP:
         links = stage_table(found_links(rows, bound, overlap, tree), "links")
         parts = stage_table(connected_components(links), "parts")
         recall = audit(rows, links, parts, bound, goal)
         if recall >= goal:
             return links, parts, recall, overlap
         overlap *= 2
-        if 2 * overlap > tree.leaves:
-            links = stage_table(all_links(rows, bound), "links")
-            return links, stage_table(connected_components(links), "parts"), 1.0, None
+    links = stage_table(all_links(rows, bound), "links")
+    return links, stage_table(connected_components(links), "parts"), 1.0, None
 
 
 def near_duplicates(
@@ -384,27 +435,60 @@ def near_duplicates(
     Rows link when their labels are equal and not null and their cosine is ``bound`` or
     more. A vector that is null, zero, holds null or non-finite components or is not of
     the most frequent dimension links with nothing; its component is its own id. kept is
-    whether a row is the least id of its component. Rows that share an id are taken as one
-    vector; null ids link with nothing. Other columns are not read.
+    whether a row is the least id of its component. Rows of one id and one vector are one
+    vector; rows of one id with different vectors are linked each by its own. Null ids link
+    with nothing. Other columns are not read.
     """
     named = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"),
         F.col(vec_col).alias("vec"),
     )
     fine = with_dimension(named.where("id IS NOT NULL AND label IS NOT NULL"))
-    rows = stage_table(fine.dropDuplicates(["id"]), "vectors")
-    links, parts, _, _ = links_at_goal(rows, bound)
-    ends = links.select("a").union(links.select("b")).groupBy("a").agg(
-        F.count("*").alias("n_links")
+    # equal vectors of a label are one class, named by its least id
+    rows = stage_table(fine.distinct(), "vectors")
+    classes = stage_table(
+        rows.groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("n")), "classes"
+    )
+    # an id with several vectors may be the least of several classes
+    numbered = classes.withColumn("k", F.row_number().over(Window.partitionBy("least").orderBy("label", "vec")))
+    classes = stage_table(
+        numbered.withColumn("id", F.when(F.col("k") == 1, F.col("least")).otherwise(
+            # hashes name the others; an id of the table is one of them by chance only
+            F.xxhash64("least", "label", "vec"))), "named"
+    )
+    links, parts, _, _ = links_at_goal(classes.select("id", "label", "vec"), bound)
+    sizes = classes.select(F.col("id").alias("b"), "n")
+    ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    ends = ends.join(sizes, "b").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
+    least = classes.select("id", "least").join(parts, "id", "left")
+    roots = least.groupBy(F.coalesce("component", "id").alias("root")).agg(F.min("least").alias("component_id"))
+    found = least.select("id", F.coalesce("component", "id").alias("root")).join(roots, "root")
+    found = classes.join(found, "id").join(ends, "id", "left").select(
+        "label", "vec", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id",
     )
-    linked = ends.join(parts.withColumnRenamed("id", "a"), "a")
+    # an id in several classes joins them, so components of classes that share one are one
+    shared = rows.join(found, ["label", "vec"]).select("id", "label", "vec", "n_links", "component_id")
+    joined = stage_table(shared, "joined")
+    several = joined.groupBy("id").agg(
+        F.min("component_id").alias("a"), F.max("component_id").alias("b")
+    ).where("a <> b")
+    if not several.isEmpty():
+        pairs = joined.join(several.select("id"), "id").groupBy("id").agg(
+            F.min("component_id").alias("a"), F.collect_set("component_id").alias("all")
+        ).select("a", F.explode("all").alias("b"))
+        merged = connected_components(pairs).select(F.col("id").alias("component_id"), "component")
+        joined = joined.join(merged, "component_id", "left").withColumn(
+            "component_id", F.coalesce("component", "component_id")
+        ).drop("component")
+    result = joined.select(F.col("id").alias("of"), "label", "vec", "n_links", "component_id")
+    own = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("own_label"), F.col(vec_col).alias("own_vec"))
+    same = (F.col("id") == F.col("of")) & (F.col("own_label") == F.col("label")) & (F.col("own_vec") == F.col("vec"))
     return (
-        vectors.select(F.col(id_col).alias("id"))
-        .join(linked, F.col("id") == F.col("a"), "left")
+        own.join(result, same, "left")
         .select(
             F.col("id").alias(id_col),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", F.col("id").cast("long")).alias("component_id"),
-            F.coalesce(F.coalesce("component", F.col("id")) == F.col("id"), F.lit(False)).alias("kept"),
+            F.coalesce("component_id", F.col("id").cast("long")).alias("component_id"),
+            F.coalesce(F.coalesce("component_id", F.col("id")) == F.col("id"), F.lit(False)).alias("kept"),
         )
     )

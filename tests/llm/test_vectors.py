@@ -165,6 +165,32 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_duplicates(make(spark, [])).count() == 0
 
 
+def test_one_id_with_different_vectors_and_clashing_columns(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 1), (4, [1.0, 1.0], 1)]
+    df = make(spark, rows)
+    for name in ("id", "vec", "n", "component", "least"):
+        df = df.withColumn(name, F.lit("x"))
+    got = sorted(map(tuple, near_duplicates(df).collect()))
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)]
+
+
+def test_overlap_is_settled_on_drawn_links(spark, monkeypatch):
+    """6,000 rows in many leaves: counts and components against brute force."""
+    from tabulark.llm import flat_graph
+
+    monkeypatch.setattr(flat_graph, "LEAF_ROWS", 256)
+    draw = np.random.default_rng(12)
+    centers = unit(draw.normal(size=(300, 24)))
+    near = centers[draw.integers(0, 300, 2500)] + draw.normal(size=(2500, 24)) * 0.035
+    x = np.concatenate((near, draw.normal(size=(3000, 24)), np.repeat(near[:10], 50, axis=0))).astype(np.float32)
+    labels = np.zeros(len(x), int)
+    rows = make(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])
+    got = near_duplicates(rows).toPandas().set_index("vec_id").sort_index()
+    links, parts = brute_links(x, labels)
+    assert got["n_links"].sum() >= 0.97 * links.sum() and (got["n_links"].to_numpy() <= links).all()
+    assert (got["component_id"].to_numpy() == parts).mean() > 0.99
+
+
 def test_hot_shard_in_slices(spark, monkeypatch):
     from tabulark.llm import flat_graph
 
