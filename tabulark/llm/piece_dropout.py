@@ -29,6 +29,7 @@ PARTS = re.compile(r" *[^ \n]+| +|\n")
 MODEL, RATE, SEED, STREAMS = "piece_bpe_32k.model", 0.1, 20_240_601, 0
 LONG_PART = 48
 BITS, DRAWS = 64, 1 << 18  # candidates of a part that shares work; those looked at together
+SHARED = 4  # occurrences in a slice from which a part's segments are shared
 MOST_PARTS = 1 << 18  # whose candidates a worker keeps, some 300 bytes each
 SLICE_BYTES = 1 << 20  # of texts at a time; a task needs about a hundred times as much
 NONE = np.int32((1 << 31) - 1)
@@ -363,8 +364,7 @@ def skipped(keys: np.ndarray, code: np.ndarray, hashes, offsets, rate: float) ->
 
 
 class Parts:
-    """Hashes of parts and of their possible candidates, of parts met before in this worker;
-    starts anew beyond ``MOST_PARTS`` parts. Of a part with more than ``BITS`` candidates
+    """Hashes of the possible candidates of parts met before in this worker; starts anew beyond ``MOST_PARTS`` parts. Of a part with more than ``BITS`` candidates
     only that is kept (``wide``)."""
 
     def __init__(self, p: Pieces):
@@ -373,13 +373,13 @@ class Parts:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.key, self.start, self.count = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
+        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.wide = np.zeros(0, bool)
         self.hashes = np.zeros(1 << 16, np.uint64)
         self.used = 0
 
     def look_up(self, names: list[str]):
-        """(keys, candidate hashes, offsets, wide) of distinct parts."""
+        """(candidate hashes, how many of each, wide) of distinct parts."""
         if len(self.number) + len(names) > MOST_PARTS:
             self.forget()
         new = [x for x in names if x not in self.number]
@@ -388,7 +388,7 @@ class Parts:
         at = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
         counts = self.count[at]
         hashes = self.hashes[ragged(self.start[at], counts)]
-        return self.key[at], hashes, np.concatenate(([0], np.cumsum(counts))), self.wide[at]
+        return hashes, counts, self.wide[at]
 
     def _add(self, new: list[str]) -> None:
         hashes, offsets = candidates(self.p, new)
@@ -402,7 +402,6 @@ class Parts:
         self.start = np.concatenate((self.start, self.used + np.cumsum(kept) - kept))
         self.count = np.concatenate((self.count, kept))
         self.wide = np.concatenate((self.wide, wide))
-        self.key = np.concatenate((self.key, np.fromiter(map(part_key, new), np.uint64, len(new))))
         self.used += len(some)
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
 
@@ -434,11 +433,18 @@ def encode_texts(
     if rate > 0:
         start = np.concatenate(([0], np.cumsum(widths)[:-1]))
         position = np.arange(len(flat)) - np.repeat(start, widths)
-        part_keys, hashes, offsets, wide = (known or Parts(p)).look_up(names)
+        part_keys = np.fromiter(map(part_key, names), np.uint64, len(names))
         keys = place_keys(part_keys[code], np.repeat(np.array(docs, np.uint64), widths), position, seed, streams)
-        bits = skipped(keys, code, hashes, offsets, rate)
-        long_ = np.fromiter(map(len, names), np.int64, len(names)) > LONG_PART
-        alone = (long_ | wide)[code]
+        # a part that comes seldom here has nothing to share: its candidates are not needed
+        alone = np.bincount(code, minlength=len(names)) < SHARED
+        often = np.flatnonzero(~alone)
+        hashes, counts, wide = (known or Parts(p)).look_up([names[i] for i in often.tolist()])
+        sizes = np.zeros(len(names), np.int64)
+        sizes[often] = counts
+        bits = skipped(keys, code, hashes, np.concatenate(([0], np.cumsum(sizes))), rate)
+        alone[often] = wide
+        alone |= np.fromiter(map(len, names), np.int64, len(names)) > LONG_PART
+        alone = alone[code]
         # equal (part, skipped) are one; the others are told apart by their keys
         bits[alone] = keys[alone]
         order = np.lexsort((bits, code))
