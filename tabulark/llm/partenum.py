@@ -403,11 +403,13 @@ def bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def packed_texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
-    """``key, packed``: one compressed text of each of the named sets."""
+    """``key, packed``: one compressed text of each of the named sets. That of a class
+    without any id is found by its name among the rows without one."""
     import zstandard
 
     wanted = stage_table(classes.join(keys, "key", "left_semi").select("rep").distinct(), "wanted")
-    wanted = broadcast_if_small(wanted, MAX_BROADCAST_IDS)
+    nameless = wanted.where("rep IS NULL").count()
+    wanted = broadcast_if_small(wanted.where("rep IS NOT NULL"), MAX_BROADCAST_IDS)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
@@ -420,8 +422,14 @@ def packed_texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFr
                 ["key", "packed"],
             )
 
+    schema = "key long, packed binary"
     few = docs.join(wanted, docs["id"] == wanted["rep"], "left_semi").select("text")
-    return few.mapInArrow(pack, "key long, packed binary").dropDuplicates(["key"])
+    packed = few.mapInArrow(pack, schema)
+    if nameless:
+        open_ = classes.where("rep IS NULL").join(keys, "key", "left_semi").select("key")
+        others = docs.where("id IS NULL").select("text").mapInArrow(pack, schema)
+        packed = packed.union(others.join(open_, "key", "left_semi"))
+    return packed.dropDuplicates(["key"])
 
 
 def exact_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -512,8 +520,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Rows link when 100 * intersection >= 75 * union of their shingle sets; component_id
     is the least id reachable by links, itself included. Equal sets are one class with
     its least id, and only classes are compared. A null or empty text, or one of white
-    space, has an empty set and its own id. Ids are taken as unique; a row without id
-    counts in no component and gets a null one unless its class has an id. Sets are named
+    space, has an empty set and its own id. Ids are taken as unique. A row without id links
+    like any other, so components are joined through it; it gets the component's least id,
+    a null one if no row of the component has an id. Sets are named
     by 64-bit hashes. Other columns are not read.
     """
     spark = docs.sparkSession
@@ -521,8 +530,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     info = stage_table(describe_sets(rows), "sets")
     first = [F.first(c).alias(c) for c in ("n", "bits", *[f"b{k}" for k in range(WORDS_BITS)])]
     classes = stage_table(
-        info.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), *first)
-        .where("rep IS NOT NULL"),
+        info.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), *first),
         "classes",
     )
     fits = info.agg(F.bit_and("fits")).collect()[0][0]
@@ -532,7 +540,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = signature_blocks(rows, partitions, margin)
     dealt = blocks.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    runs = stage_table(runs_of(dealt), "runs").join(classes.select("key"), "key", "left_semi")
+    runs = stage_table(runs_of(dealt), "runs")
 
     stars = runs.where("key <> pivot").select(
         F.col("pivot").alias("a"), F.col("key").alias("b")

@@ -90,6 +90,24 @@ def test_repeated_rows_null_ids_clashing_columns_and_empty(spark):
     assert P.similar_sets(table.limit(0)).collect() == []
 
 
+def test_links_through_rows_without_id(spark):
+    """The middle of a chain has no id, as have its copy and a pair that no id reaches."""
+    w = [f"w{i}" for i in range(104)]
+    other = " ".join(f"z{i}" for i in range(90))
+    rows = [(9, " ".join(w)), (None, " ".join(w[12:] + [f"x{i}" for i in range(12)])),
+            (None, " ".join(w[12:] + [f"x{i}" for i in range(12)])),
+            (1, " ".join(w[24:] + [f"x{i}" for i in range(24)])),
+            (None, other), (None, other + " end"), (3, "a text of its own here")]
+    assert brute([(i, t) for i, t in rows if i])[9][1] == 9
+    told = [(i if i is not None else 100 + k, t) for k, (i, t) in enumerate(rows)]
+    want = [c if c < 100 else None for _, (_, c) in sorted(brute(told).items())]
+    assert want == [1, 3, 1, 1, 1, None, None]
+    got = P.similar_sets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got) == sorted(
+        (i or 0, len(brute_sets(t)), c or 0) for (i, t), c in zip(
+            [rows[3], rows[6], rows[0], rows[1], rows[2], rows[4], rows[5]], want))
+
+
 @pytest.mark.parametrize("size", [25, 42, 43, 57, 75, 133, 236, 400, 1000])
 def test_linked_pairs_share_a_signature(size):
     draw = np.random.default_rng(size)
