@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +38,23 @@ def slices(
             start = stop
 
 
+def released(work: Callable[..., Iterator[pa.RecordBatch]]):
+    """A task's function that gives its free memory back to the system when it is done:
+    workers are reused, and what a stage leaves behind counts against the next one."""
+
+    @wraps(work)
+    def run(*args) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(*args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return run
+
+
 class Stages:
     """Intermediates in the shared folder, well compressed, dropped when they have served."""
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.llm.batches import slices
+from tabulark.llm.batches import released, slices
 
 GRAMS = (2, 3, 4)
 BITS, DIM = 15, 16
@@ -195,6 +195,7 @@ def predict_language(
     id_type = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @released
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", SLICE_BYTES):
             langs, scores, rejected = judge(shared.value, part.column("text").to_pylist())
@@ -214,6 +215,7 @@ def accepted_rows(docs: DataFrame, model: Model, text_col: str = "text") -> Data
     """The rows, all columns, whose language is not rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @released
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text_col, SLICE_BYTES):
             _, _, rejected = judge(shared.value, part.column(text_col).to_pylist())

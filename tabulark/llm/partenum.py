@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.llm.batches import broadcast_if_small, slices
+from tabulark.llm.batches import broadcast_if_small, released, slices
 from tabulark.llm.components import connected_components
 from tabulark.session import stage_table
 
@@ -213,6 +213,7 @@ def describe_sets(docs: DataFrame) -> DataFrame:
     """``id, n, key, fits, bits, b0..`` of every row: set size, set name (null if empty),
     margins that fit, long and short parity bitmap."""
 
+    @released
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = [shingles(t) for t in part.column("text").to_pylist()]
@@ -238,6 +239,7 @@ def signature_blocks(docs: DataFrame, buckets: int, margin: float) -> DataFrame:
     """``bucket, block``: the signatures of a stretch of rows by bucket, as arrays. A task
     gives each distinct set once, so copies hardly add to the shuffle."""
 
+    @released
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         sets: list[np.ndarray] = []
@@ -341,6 +343,7 @@ def runs_of(blocks: DataFrame) -> DataFrame:
             ["run", "key", "pivot"],
         )
 
+    @released
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
         current, buffers = None, []
@@ -411,6 +414,7 @@ def packed_texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFr
     nameless = wanted.where("rep IS NULL").count()
     wanted = broadcast_if_small(wanted.where("rep IS NOT NULL"), MAX_BROADCAST_IDS)
 
+    @released
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for part in slices(batches, "text"):
@@ -435,6 +439,7 @@ def packed_texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFr
 def exact_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of set names whose sets link: 100 * intersection >= 75 * union."""
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 

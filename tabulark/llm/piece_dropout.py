@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulark.llm.batches import slices
+from tabulark.llm.batches import released, slices
 
 PARTS = re.compile(r" *[^ \n]+| +|\n")
 MODEL, RATE, SEED, STREAMS = "piece_bpe_32k.model", 0.1, 20_240_601, 0
@@ -515,6 +515,7 @@ def encode_pieces(
     number = F.xxhash64(F.col(id_col))
     rows = docs.select(F.col(id_col).alias("id"), number.alias("n"), F.col(text_col).alias("text"))
 
+    @released
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for part in slices(batches, "text", SLICE_BYTES):

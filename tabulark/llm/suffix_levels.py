@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulark.llm.batches import Stages, drop_path, slices
+from tabulark.llm.batches import Stages, drop_path, released, slices
 from tabulark.session import scratch_path
 
 LENGTH, GRAM, BATCHES = 200, 24, 4
@@ -233,6 +233,7 @@ class SuffixLevels:
         """``level, bucket, block`` of new documents (level -1)."""
         length, gram, buckets = self.length, self.gram, self.buckets
 
+        @released
         def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in slices(batches, "text", 4 << 20):
                 texts = [t or b"" for t in part.column("text").to_pylist()]
@@ -286,6 +287,7 @@ class SuffixLevels:
                 ["kind", "bucket", "block"],
             )
 
+        @released
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             current, blocks = None, []
             for batch in batches:
@@ -313,6 +315,7 @@ class SuffixLevels:
     def matches(self) -> DataFrame:
         """``key, stretch, number, start, count``: entries whose beginning occurs twice, each
         once, as the scans have found them."""
+        @released
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for block in batch.column("block"):
@@ -383,6 +386,7 @@ def pairs_of(column: pa.Array, i: int) -> np.ndarray:
     return np.stack((v.values.field("start").to_numpy(), v.values.field("stop").to_numpy()), axis=1)
 
 
+@released
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compress the texts, the last column, before they are shuffled."""
     import zstandard
@@ -451,6 +455,7 @@ def remove_repeats(
         F.collect_list(F.struct("key", "start", "count", "alone")).alias("edges")
     )
 
+    @released
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of each edge."""
         import zstandard
@@ -508,6 +513,7 @@ def remove_repeats(
             ["number", "start", "stop"],
         )
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
         for batch in batches:
@@ -534,6 +540,7 @@ def remove_repeats(
         ", kept_text string" if with_text else ""
     )
 
+    @released
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
