@@ -30,11 +30,6 @@ def pixel_flatten(image: Column) -> Column:
     return F.flatten(image)
 
 
-def number_or_null(pixel: Column) -> Column:
-    """A pixel with NaN read as missing."""
-    return F.when(~F.isnan(pixel), pixel)
-
-
 def present_pixels(pixels: Column) -> Column:
     """The pixels that are neither null nor NaN."""
     return F.filter(pixels, lambda p: p.isNotNull() & ~F.isnan(p))

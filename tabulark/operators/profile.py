@@ -7,10 +7,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulark.functions.passenger import percent_round
-from tabulark.functions.pixels import has_bad_pixel, number_or_null, present_pixels
+from tabulark.functions.pixels import has_bad_pixel, present_pixels
 from tabulark.operators.quantiles import exact_percentiles, present
+from tabulark.operators.vector_sums import element_moments, vector_sums
+
+
+_NESTED = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
 
 
 def _per_column(wide: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
@@ -119,9 +124,20 @@ def range_check(df: DataFrame, label: str, pixels: str) -> DataFrame:
     )
 
 
+def _row_digest(df: DataFrame) -> list[Column]:
+    """128 bits of a row of plain values. Two chains of hashes with different beginnings;
+    which values are null goes in first, since a hash passes over a null."""
+    gaps = F.concat(F.lit(""), *[F.isnull(c).cast("int").cast("string") for c in df.columns])
+    return [F.xxhash64(F.lit(k), gaps, *df.columns).alias(f"_digest{k}") for k in (1, 2)]
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each identical row; nulls equal each other."""
-    copies = df.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("extra"))
+    """Rows beyond the first of each identical row; nulls equal each other, as do NaNs.
+    Rows of plain columns are told apart by 128-bit digests, so the shuffle does not grow
+    with their width; rows with nested columns by their values."""
+    plain = all(not isinstance(f.dataType, _NESTED) for f in df.schema)
+    rows = df.select(*_row_digest(df)) if plain else df
+    copies = rows.groupBy(*rows.columns).agg((F.count(F.lit(1)) - 1).alias("extra"))
     return copies.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("duplicates"))
 
 
@@ -151,30 +167,28 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def _pixel_means(df: DataFrame, label: str, pixels: str) -> DataFrame:
-    rows = df.select(label, F.transform(pixels, number_or_null).alias("_pixels"))
-    cells = rows.select(label, F.posexplode("_pixels").alias("pos", "pixel"))
-    return cells.groupBy(label, "pos").agg(F.avg("pixel").alias("mean"))
-
-
 def class_mean_image(df: DataFrame, label: str, pixels: str) -> DataFrame:
-    """Average image per label. The rows behind a label are averaged per pixel
-    before the shuffle; only one image per label is assembled."""
-    means = _pixel_means(df, label, pixels)
-    return means.groupBy(label).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("pos", "mean"))), lambda s: s["mean"]
-        ).alias("mean_image")
+    """Average image per label; a position without a pixel is null, a label without any
+    pixel has no row. Tasks add up whole images, so the shuffle holds one row for each
+    label and task."""
+    sums = vector_sums(df, label, F.col(pixels)).where(F.size("sums") > 0)
+    mean = F.transform(
+        F.arrays_zip("sums", "counts"), lambda s: F.try_divide(s["sums"], s["counts"])
     )
+    return sums.select(label, mean.alias("mean_image"))
 
 
 def class_brightness(df: DataFrame, label: str, pixels: str) -> DataFrame:
-    return _pixel_means(df, label, pixels).groupBy(label).agg(F.avg("mean").alias("brightness"))
+    """Average over the positions of a label's average image."""
+    images = class_mean_image(df, label, pixels)
+    seen = F.filter("mean_image", lambda m: m.isNotNull())
+    total = F.aggregate(seen, F.lit(0.0), lambda a, m: a + m)
+    return images.select(label, F.try_divide(total, F.size(seen)).alias("brightness"))
 
 
 def pixel_moments(df: DataFrame, pixels: str) -> DataFrame:
-    cells = df.select(F.explode(present_pixels(F.col(pixels))).alias("pixel"))
-    return cells.agg(F.avg("pixel").alias("mean"), F.stddev_pop("pixel").alias("std"))
+    """Mean and population deviation of all pixels that are there."""
+    return element_moments(df, F.col(pixels))
 
 
 def histogram_equal(

@@ -12,7 +12,7 @@ from tabulark.operators import evaluation, landmark_jobs, models, preprocess, sa
 from tabulark.plans import survival
 from tabulark.plans.fixtures import REQUESTS, view, with_views
 from tabulark.plans.registry import query
-from tabulark.session import scratch_path, session_cache, stage_table
+from tabulark.session import named_path, scratch_path, session_cache, stage_table
 from tabulark.sources import tables
 from tabulark.streaming.scoring import run_to_files, score_requests
 
@@ -166,23 +166,21 @@ def _(spark, sf):
 # Every fit runs at the full setting. SQL restates which rows come out; the columns of
 # checks are computed from the fitted models and must all hold.
 
-_FITS: dict = {}
-
-
-def _once(spark, sf, name: str, make):
-    """A fit serves all queries of an application that need the same one."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _FITS:
-        _FITS[key] = make()
-    return _FITS[key]
+def _kept(df: DataFrame, name: str, build) -> DataFrame:
+    """A table made from exactly the rows of ``df``, written once for an application. Its
+    path carries a digest of the rows, so other rows are never answered from it, and a
+    cleared scratch folder has it built again."""
+    h = F.xxhash64(*df.columns)
+    rows = df.agg(F.count("*"), F.bit_xor(h), F.sum(F.pmod(h, F.lit(1 << 40)))).first()
+    spark = df.sparkSession
+    return tables.stage_cache(spark, named_path(spark, "-".join(map(str, (name, *rows)))), build)
 
 
 def _fitted(spark, sf, name: str):
-    def fit():
-        with session_cache(training(spark, sf)) as kept:
-            return models.fit_model(kept, models.candidate_models()[name])
-
-    return training(spark, sf), _once(spark, sf, name, fit)
+    """Training rows and a model fitted on them now."""
+    df = training(spark, sf)
+    with session_cache(df) as kept:
+        return df, models.fit_model(kept, models.candidate_models()[name])
 
 
 def _consistent() -> Column:
@@ -191,9 +189,8 @@ def _consistent() -> Column:
     return p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("int"))
 
 
-def _scored(spark, sf, name: str) -> DataFrame:
-    df, model = _fitted(spark, sf, name)
-    out = models.batch_score(model, df, ["PassengerId", LABEL])
+def _scored(df: DataFrame, model) -> DataFrame:
+    out = stage_table(models.batch_score(model, df, ["PassengerId", LABEL]), "scored")
     right = out.agg(
         (F.avg((F.col("prediction") == F.col(LABEL)).cast("int"))
          >= F.greatest(F.avg(LABEL), 1 - F.avg(LABEL))).alias("no_worse_than_majority")
@@ -210,30 +207,26 @@ def _(spark, sf):
     """At the optimum every slot's gradient of the ridge objective is about zero."""
     df, model = _fitted(spark, sf, "LogisticRegression")
     slope = models.ridge_gradient(model, df, LABEL)
-    return _scored(spark, sf, "LogisticRegression").withColumn("at_optimum", F.lit(slope < 1e-3))
+    return _scored(df, model).withColumn("at_optimum", F.lit(slope < 1e-3))
 
 
 @query("random_forest", CHECKED + f", CAST({K.FOREST_TREES} AS INT) AS trees FROM engineered")
 def _(spark, sf):
-    _, model = _fitted(spark, sf, "RandomForest")
-    return _scored(spark, sf, "RandomForest").withColumn("trees", F.lit(len(model.stages[-1].trees)))
+    df, model = _fitted(spark, sf, "RandomForest")
+    return _scored(df, model).withColumn("trees", F.lit(len(model.stages[-1].trees)))
 
 
 @query("gradient_boosting", CHECKED + f", CAST({K.BOOST_ROUNDS} AS INT) AS trees FROM engineered")
 def _(spark, sf):
-    _, model = _fitted(spark, sf, "GradientBoosting")
-    return _scored(spark, sf, "GradientBoosting").withColumn(
-        "trees", F.lit(len(model.stages[-1].trees))
-    )
+    df, model = _fitted(spark, sf, "GradientBoosting")
+    return _scored(df, model).withColumn("trees", F.lit(len(model.stages[-1].trees)))
 
 
 def _comparison(spark, sf) -> DataFrame:
     """Accuracy of each full model on each of the five folds."""
-    def compare():
-        df = sampling.stratified_kfold(training(spark, sf), LABEL, "PassengerId")
-        return stage_table(models.cv_compare(df, parallelism=8), "comparison")
-
-    return _once(spark, sf, "comparison", compare)
+    df = training(spark, sf)
+    folded = sampling.stratified_kfold(df, LABEL, "PassengerId")
+    return _kept(df, "comparison", lambda: models.cv_compare(folded, parallelism=8))
 
 
 @query("cv_compare", survival.FOLDED + """
@@ -269,12 +262,14 @@ def refit_best(spark, sf):
 
 
 def _out_of_fold(spark, sf) -> DataFrame:
-    def predict():
-        df = sampling.stratified_kfold(training(spark, sf), LABEL, "PassengerId")
-        best = models.candidate_models()["LogisticRegression"]
-        return stage_table(models.oof_predictions(df, best, ["PassengerId", LABEL]), "oof")
-
-    return _once(spark, sf, "oof", predict)
+    """Every row judged by the winner of the comparison, fitted without its fold."""
+    df = training(spark, sf)
+    folded = sampling.stratified_kfold(df, LABEL, "PassengerId")
+    best = models.winner(_comparison(spark, sf))
+    maker = models.candidate_models()[best]
+    return _kept(
+        df, f"oof-{best}", lambda: models.oof_predictions(folded, maker, ["PassengerId", LABEL])
+    )
 
 
 @query("oof_predictions", survival.FOLDED + """
@@ -287,7 +282,7 @@ def _(spark, sf):
 
 @query("oof_report", REPORT)
 def _(spark, sf):
-    """The honest report: every row judged by the model that did not see it."""
+    """The honest report: every row judged by the winner fitted without its fold."""
     return _report(_out_of_fold(spark, sf))
 
 
@@ -371,16 +366,13 @@ def _learned(scored: DataFrame, label: str) -> bool:
 
 
 def _landmark_model(spark, sf):
-    def fit():
-        table_ = landmark_jobs.landmark_training_table(
-            view(spark, sf, "landmarks"), "vec_id", "points", "letter", "handedness"
-        )
-        data = stage_table(table_, "hands", partition_by="split")
-        return data, models.landmark_mlp(
-            data.where("split = 'train'"), partitions=spark.sparkContext.defaultParallelism
-        )
-
-    return _once(spark, sf, "landmarks", fit)
+    table_ = landmark_jobs.landmark_training_table(
+        view(spark, sf, "landmarks"), "vec_id", "points", "letter", "handedness"
+    )
+    data = stage_table(table_, "hands", partition_by="split")
+    return data, models.landmark_mlp(
+        data.where("split = 'train'"), partitions=spark.sparkContext.defaultParallelism
+    )
 
 
 @query("landmark_mlp", SPLIT_HANDS + """

@@ -71,6 +71,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def named_path(spark: SparkSession, name: str) -> str:
+    """The path of that name among the intermediates of this application."""
+    return f"{_application_folder(spark)}/{name}"
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove the intermediates of this application once its results are written."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
