@@ -1,12 +1,16 @@
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pytest
 
 from tabulark.llm.language import (
     Model,
     accepted_rows,
     fit,
+    gram_ids,
     held_out,
+    padded,
     predict_language,
     train_language_model,
 )
@@ -62,3 +66,45 @@ def test_a_text_scores_alike_in_any_batch():
     texts = ["abc", "rst xyz", "a" * 1000, "ghi é"]
     alone = np.vstack([model.scores([t]) for t in texts])
     assert np.allclose(alone, model.scores(texts), atol=1e-5)
+
+
+def test_texts_of_a_language_that_was_not_learned_go(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not Path(path).exists():
+        pytest.skip("shared tables not present")
+    docs = spark.read.parquet(path).where("length(text) > 100")
+    langs = sorted(r.lang for r in docs.select("lang").distinct().collect() if r.lang)
+    kept_of = {}
+    for lang in langs:
+        model = train_language_model(docs.where(~held_out()).where(f"lang <> '{lang}'"))
+        judged = predict_language(docs.where(held_out()), model)
+        rows = judged.join(docs.select("doc_id", "lang"), "doc_id").collect()
+        out = [r.rejected for r in rows if r.lang == lang]
+        kept_of[lang] = (np.mean(out), np.mean([r.rejected for r in rows if r.lang != lang]))
+    assert all(gone >= 0.9 and lost <= 0.02 for gone, lost in kept_of.values()), kept_of
+
+
+def test_scores_and_familiarity_against_loops():
+    texts = ["abc def ghi", "xyz uvw rst", "abd dee gh"] * 8
+    model = fit(texts, ["a", "b", "a"] * 8)
+    for text in ("abc xyz", "ghi é"):
+        raw, sums, count = padded(text), np.zeros((2, 2)), 0
+        for n in (2, 3, 4):
+            ids = gram_ids(np.frombuffer(raw, np.uint8), model.bits)[n - 2]
+            for i in ids[: len(raw) - n + 1]:
+                sums += (model.logits[i], model.familiar[i])
+                count += 1
+        z = np.exp((sums[0] / count + model.bias) / model.temperature)
+        assert np.allclose(model.scores([text])[0], z / z.sum(), atol=1e-5)
+        assert np.allclose(model.means([text])[1][0], sums[1] / count, atol=1e-4)
+
+
+def test_many_languages_and_repeated_rows(docs_of):
+    words = [f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{k}" for k in range(600)]
+    rows = [(k, f"{w} {w} {w}", f"l{k:03}") for k, w in enumerate(words)]
+    model = train_language_model(docs_of(rows + [rows[0]] * 50))
+    assert len(model.langs) == 600
+    got = predict_language(docs_of([(1, words[5] + " " + words[5], None), (2, None, None)]).limit(2), model)
+    assert [r.lang_pred for r in got.orderBy("doc_id").collect()][1] == "und"
+    empty = predict_language(docs_of([(1, "a", "x")]).limit(0), model)
+    assert empty.count() == 0
