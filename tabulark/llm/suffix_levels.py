@@ -31,6 +31,8 @@ from tabulark.llm.batches import Stages, drop_path, released, slices
 from tabulark.session import scratch_path
 
 LENGTH, GRAM, BATCHES = 200, 24, 4
+# edges of one key that are compared in one place, and parts of a hot window's rows
+HOT_EDGES, SALTS = 2_000, 32
 BLOCK_BYTES = 1 << 18
 BUCKETS_PER_PARTITION = 8
 U = np.uint64
@@ -378,6 +380,58 @@ def result(text: bytes, spans: np.ndarray, with_text: bool) -> tuple:
     return row
 
 
+def window_hashes(texts: list[bytes], length: int):
+    """Hash of each window of ``length`` bytes of the texts, its text and its place there."""
+    sizes = np.array([len(x) for x in texts], np.int64)
+    count = np.maximum(sizes - length + 1, 0)
+    hashes = Hashes(np.frombuffer(b"".join(texts), np.uint8))
+    owner = np.repeat(np.arange(len(texts)), count)
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    at = (np.cumsum(sizes) - sizes)[owner] + within
+    return hashes.of(at, at + length), owner, within
+
+
+def window_rows(asking: DataFrame, length: int) -> DataFrame:
+    """``key, window, number, start, alone``: the hash of each window of the edges that are
+    asked of a text. asking: number, text, edges."""
+
+    @released
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 1 << 20):
+            columns = [part.column(c).to_pylist() for c in ("text", "number", "edges")]
+            asked = [
+                (e["key"], number, e["start"], e["alone"],
+                 text[e["start"] : e["start"] + e["count"] + length - 1])
+                for text, number, edges in zip(*columns) for e in edges
+            ]
+            for k in range(0, len(asked), 1_024):
+                *known, texts = zip(*asked[k : k + 1_024])
+                h, owner, within = window_hashes(texts, length)
+                key, number, start, alone = (np.array(v)[owner] for v in known)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v) for v in (key, h.view(np.int64), number, start + within, alone)],
+                    ["key", "window", "number", "start", "alone"],
+                )
+
+    return asking.mapInArrow(
+        hashed, "key long, window long, number long, start long, alone boolean"
+    )
+
+
+def shared_windows(windows: DataFrame, length: int) -> DataFrame:
+    """``number, start, stop`` of the windows of single entries that another place has too.
+    Windows are counted in part before they are shuffled, and a window of many places
+    meets its count in as many tasks as there are salts."""
+    twice = windows.groupBy("key", "window").agg(F.count("*").alias("c")).where("c > 1")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salt = F.pmod(F.xxhash64("number", "start"), F.lit(SALTS)).cast("int")
+    return (
+        windows.where("alone").withColumn("salt", salt)
+        .join(twice.select("key", "window", salts), ["key", "window", "salt"], "left_semi")
+        .select("number", "start", (F.col("start") + length).alias("stop"))
+    )
+
+
 def pairs_of(column: pa.Array, i: int) -> np.ndarray:
     """A list of (start, stop) structs as an array."""
     v = column[i]
@@ -400,6 +454,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
     batches: int = BATCHES, keep: Sequence[str] = (), with_text: bool = False,
+    hot_edges: int = HOT_EDGES,
 ) -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept_sha256`` of every row; with ``with_text`` also
     ``kept_text`` (only whole characters are cut there), and the columns named in ``keep``.
@@ -408,7 +463,9 @@ def remove_repeats(
     starts anywhere else in the input, the same text included. A null text counts as
     empty and keeps a null ``kept_text``. Rows are known by id, or by a hash of id and
     text where ids repeat with other texts or are null; repeated rows are repeats of each
-    other. ``batches`` are indexed one after the other; they change the cost, not the result.
+    other. ``batches`` are indexed one after the other; they change the cost, not the result. Keys of more than ``hot_edges`` edges (a passage
+    in as many different surroundings) are compared window by window as rows, in even
+    tasks, others by the bytes of all their edges in one place, with the same result.
     """
     spark = docs.sparkSession
     raw = F.col(text_col).cast("binary")
@@ -443,17 +500,19 @@ def remove_repeats(
         ),
         "stretches",
     )
-    alone = same.where("c = 1")
-    edges = same.join(alone.select("key").distinct(), "key", "left_semi").select(
-        "key", "first.*", (F.col("c") == 1).alias("alone")
-    )
+    # edges of one key are compared in one place, unless there are many of them
+    kinds = same.groupBy("key").agg(
+        F.count("*").alias("edges"), F.max((F.col("c") == 1).cast("int")).alias("single")
+    ).where("single = 1").select("key", (F.col("edges") > hot_edges).alias("hot"))
+    edges = stages.write(same.join(kinds, "key").select(
+        "key", "first.*", (F.col("c") == 1).alias("alone"), "hot"
+    ), "edges")
     settled = found.join(same.where("c > 1").select("key", "stretch"), ["key", "stretch"]).select(
         "number", "start", (F.col("start") + F.col("count") + length - 1).alias("stop")
     )
     packed = rows.mapInArrow(_pack, ", ".join(f"{n} {t}" for n, t in fields))
-    wanted = edges.groupBy("number").agg(
-        F.collect_list(F.struct("key", "start", "count", "alone")).alias("edges")
-    )
+    asked = F.collect_list(F.struct("key", "start", "count", "alone")).alias("edges")
+    wanted = edges.where("NOT hot").groupBy("number").agg(asked)
 
     @released
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -489,13 +548,7 @@ def remove_repeats(
         """Runs of windows of single entries that occur in another entry of the bucket."""
         t = pa.Table.from_batches(parts)
         texts = t.column("text").to_pylist()
-        sizes = np.array([len(x) for x in texts], np.int64)
-        count = sizes - length + 1
-        hashes = Hashes(np.frombuffer(b"".join(texts), np.uint8))
-        owner = np.repeat(np.arange(len(texts)), count)
-        within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        at = (np.cumsum(sizes) - sizes)[owner] + within
-        h = hashes.of(at, at + length)
+        h, owner, within = window_hashes(texts, length)
         order = np.argsort(h, kind="stable")
         s = h[order]
         same = s[1:] == s[:-1]
@@ -531,6 +584,11 @@ def remove_repeats(
             yield windows(held)
 
     more = dealt.mapInArrow(compare, "number long, start long, stop long")
+    hot = edges.where("hot")
+    if not hot.isEmpty():
+        asking = rows.select("number", "text").join(hot.groupBy("number").agg(asked), "number")
+        windows = stages.write(window_rows(asking, length), "windows")
+        more = more.union(shared_windows(windows, length))
     spans = settled.union(more).groupBy("number").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans")
     )

@@ -50,6 +50,17 @@ def test_against_all_windows(docs_of, batches):
     check(docs_of, rows, batches=batches)
 
 
+@pytest.mark.parametrize("hot_edges", [0, 5])
+def test_edges_of_hot_keys_as_rows(docs_of, hot_edges):
+    draw = random.Random(8)
+    passage, other = prose(draw, 320), prose(draw, 260)
+    rows = [(i, prose(draw, draw.randrange(0, 120)) + passage[draw.randrange(0, 90):] + prose(draw, 60))
+            for i in range(30)]
+    rows += [(40 + i, prose(draw, 80) + other + prose(draw, 80)) for i in range(3)]
+    rows += [(50, passage + prose(draw, 40) + passage), (51, None), (52, passage[:150]), (50, "twice")]
+    check(docs_of, rows, hot_edges=hot_edges)
+
+
 def test_runs_of_one_character_ties_and_short_texts(docs_of):
     rows = [(1, "a" * 500), (2, "b" * 200), (3, "c" * 201), (4, "b" * 199), (5, None), (6, ""), (7, "a" * 150),
             (8, "ab" * 300), (9, "x" + "ab" * 200)]
