@@ -13,7 +13,10 @@ All branches that show text enter the tree, also those inside an article. Names
 prior. What the markup names as navigation, notice, advert, form, comment and the like
 stays only with an importance near the highest, and goes on a host with too few pages for
 entropies. Names are whole class words or ids, and a name says nothing where the branch holds
-the page's longest article or main, or most of the text around it. In an article the entropies may cut up to three quarters of a page's text; where
+the page's longest article or main (one outside of named branches, if there is any). On a page
+without an article, a form, header or the like that holds paragraphs, and in them most of the
+page's text, wraps its main text. Comments, notices, menus and adverts never do, however long.
+A page of nothing but named parts has no main text. In an article the entropies may cut up to three quarters of a page's text; where
 they would take more, the page is a variant of others and not a layout. Pages count once for
 each main text on a host, so copies of an article are no layout either.
 """
@@ -81,7 +84,14 @@ NOISE_WORDS = {
     "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar",
     "widget", "widgets",
 }
+# Names that pages also give to what wraps their main text
+WRAPPERS = {
+    "banner", "form", "header", "modal", "overlay", "respond", "sidebar", "toolbar", "topbar", "widget",
+    "widgets",
+}
 KEPT_TAGS = {"article", "main"}
+# elements of running text
+PROSE_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
 # elements that repeat with the text: their number among siblings says nothing
 TEXT_TAGS = {
     "p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "td", "th", "dt", "dd", "blockquote", "pre",
@@ -164,30 +174,37 @@ def without(block: Block, void: set[str]) -> Block:
     )
 
 
-def overruled(blocks: list[Block], named: dict[str, int], holders: list[tuple]) -> set[str]:
+def wrapper(path: str) -> bool:
+    """Whether all that names the branch as noise are names of wrappers."""
+    name, _, _ = path.rpartition(">")[2].rpartition("[")
+    words = set((name or path.rpartition(">")[2]).lower().replace(".", " ").split())
+    return words.isdisjoint((NOISE_TAGS | NOISE_ROLES | NOISE_WORDS) - WRAPPERS)
+
+
+def overruled(blocks: list[Block], holders: list[tuple]) -> set[str]:
     """The named branches whose name says nothing on this page: those that hold its longest
-    article or main, or more than half of the text around them (of the article they are in;
-    else, of a page without an article, of the page). named: the article of each branch;
+    article or main, one outside of named branches if there is any with text; on a page
+    without an article, wrappers whose paragraphs are more than half of the page's text.
     holders: the named branches around each article."""
-    size: dict[str, int] = {}
+    prose: dict[str, int] = {}
     articles = [0] * len(holders)
     total = 0
     for b in blocks:
-        pieces = [(len(b.text), ())]
-        pieces += [(len(clean(t)), marks) for t, marks in b.parts or () if marks]
-        for n, marks in pieces:
-            total += n
-            if b.article >= 0:
-                articles[b.article] += n
-            for r in {*b.roots, *marks}:
-                size[r] = size.get(r, 0) + n
-    longest = max(articles, default=0)
-    found = set(holders[articles.index(longest)]) if longest else set()
-    for r, n in size.items():
-        around = articles[named[r]] if named[r] >= 0 else (0 if longest else total)
-        if around and 2 * n > around:
-            found.add(r)
-    return found
+        n = len(b.text)
+        total += n + sum(len(clean(t)) for t, marks in b.parts or () if marks)
+        if b.article >= 0:
+            articles[b.article] += n
+        if b.roots and b.path.rpartition(">")[2].partition(".")[0] in PROSE_TAGS:
+            for r in b.roots:
+                prose[r] = prose.get(r, 0) + n
+    free = [k for k, n in enumerate(articles) if n and not holders[k]]
+    if free:
+        return set()
+    if any(articles):
+        # an article among comments is a comment
+        inside = holders[articles.index(max(articles))]
+        return set(inside) if all(map(wrapper, inside)) else set()
+    return {r for r, n in prose.items() if 2 * n > total and wrapper(r)}
 
 
 def parse_page(page: str) -> Page:
@@ -303,7 +320,7 @@ def parse_page(page: str) -> Page:
     close(len(stack) - 1)
     flush()
     if named:
-        void = overruled(blocks, named, holders)
+        void = overruled(blocks, holders)
         if void:
             blocks = [without(b, void) for b in blocks]
             return Page([b for b in blocks if b.text or b.parts], layouts, named.keys() - void)
@@ -354,7 +371,7 @@ def main_blocks(page: Page, cut: set[str], stay: set[str], lines: set[str]) -> l
     whole = sum(len(t) for t, _, w in found if w)
     variant = 4 * sum(len(t) for t, low, w in found if w and low) > 3 * whole
     kept = [t for t, low, w in found if not low or (w and variant)]
-    return kept or [t for t, _, _ in found] or [b.text for b in page.blocks if b.text]
+    return kept or [t for t, _, _ in found]
 
 
 def host_of(url):
@@ -495,7 +512,7 @@ def extract_main_text(
     blocks are joined in page order by a line break. A null or empty page gives an empty
     text, a null url counts as a host of its own. Branches are cut below importance
     ``low`` on hosts that show them on ``least_pages`` distinct pages or more, unless that would
-    leave nothing of a page that has text. Repeated rows are pages like any other; other
+    leave nothing of what the names leave; a page of named parts alone has an empty text. Repeated rows are pages like any other; other
     columns are not read.
     """
     id_type = pages.schema[id_col].dataType.simpleString()

@@ -105,4 +105,29 @@ def test_names_are_whole_class_words_and_never_take_the_article(spark):
     assert [got[i] for i in (0, 1, 2, 3, 5)] == ["T\nBody text."] * 5
     assert got[4] == "T\nBody ."
     assert texts(spark.createDataFrame([(1, "u", "<nav>menu</nav>")], "page_id long, url string, html string")) == {
-        1: "menu"}
+        1: ""}
+
+
+def test_named_parts_never_come_back(spark):
+    long = "I think that this is a very good post and I agree with it. " * 5
+    cases = {
+        "<nav><a>Home</a> About</nav><footer>Legal</footer>": "",
+        "<form><label>Your name</label><input></form>": "",
+        f"<article><p>One line.</p></article><div class='comments'><p>{long}</p></div>": "One line.",
+        f"<article><p>One line.</p><div class='comments'><p>{long}</p></div></article>": "One line.",
+        f"<p>One line.</p><section class='comments'><article><p>{long}</p></article></section>": "One line.",
+        f"<p>Short page.</p><div class='cookie notice'><p>{long}</p></div>": "Short page.",
+        f"<form id='aspnet'><div>Menu</div><p>{long}</p></form>": f"Menu\n{long.strip()}",
+        f"<div class='header'><main><p>{long}</p></main></div><footer>Legal</footer>": long.strip(),
+        f"<div class='comments'><article><p>{long}</p></article></div>": "",
+    }
+    for k, (page, text) in enumerate(cases.items()):
+        pages = spark.createDataFrame([(k, f"http://h{k}.example/", page)], "page_id long, url string, html string")
+        assert texts(pages) == {k: text}, page
+        # nor on a host with many pages
+        if k < 4:
+            many = spark.createDataFrame(
+                [(i, "http://h.example/", page.replace("good", f"good {i} x")) for i in range(6)],
+                "page_id long, url string, html string",
+            )
+            assert set(texts(many).values()) == {text}, page
