@@ -198,3 +198,47 @@ def test_landmark_perceptron(spark):
     model = models.landmark_mlp(data.where("split = 'train'"), iterations=30)
     held = models.apply_perceptron(model, data.where("split = 'test'")).select("letter", "predicted").collect()
     assert len(held) == 14 and np.mean([r["letter"] == r["predicted"] for r in held]) > 0.9
+
+
+def test_fits_are_dealt_to_tasks_of_bounded_size(spark, passengers, monkeypatch):
+    """A table in one file is not one task of a fit, neither alone nor in the comparison."""
+    monkeypatch.setattr(models, "TASK_ROWS", 20)
+    monkeypatch.setattr(models, "LEAST_ROWS", 5)
+    seen = []
+
+    class Recorded(models.LogisticRegression):
+        def _fit(self, dataset):
+            sizes = dataset.rdd.glom().map(len).collect()
+            seen.append((sum(sizes), max(sizes)))
+            return super()._fit(dataset)
+
+    def maker(n):
+        return Recorded(labelCol="Survived", regParam=1.0 / n)
+
+    whole = spark.createDataFrame(passengers.collect(), SCHEMA).coalesce(1)
+    models.fit_model(whole, maker)
+    folds = sampling.stratified_kfold(whole, "Survived", "PassengerId")
+    models.cv_compare(folds, models={"LogisticRegression": maker})
+    assert sorted(n for n, _ in seen) == [240] * 5 + [300]
+    assert all(most <= 21 for _, most in seen)
+
+
+def test_comparison_holds_the_out_of_fold_predictions(passengers):
+    folds = sampling.stratified_kfold(passengers, "Survived", "PassengerId")
+    keep = ["PassengerId", "Survived"]
+    alone = models.oof_predictions(folds, models.logistic_regression, keep)
+    both = models.cv_predictions(
+        folds, keep, models=models.candidate_models(trees=3, rounds=2)
+    )
+    own = both.where("model = 'LogisticRegression'").drop("model")
+    assert own.columns == alone.columns
+
+    def rows(df):
+        return {r["PassengerId"]: r for r in df.collect()}
+
+    got, want = rows(own), rows(alone)
+    assert len(got) == len(want) == 300 and both.count() == 900
+    assert all(
+        got[i][c] == want[i][c] for i in want for c in ("Survived", "fold", "prediction")
+    )
+    assert max(abs(got[i]["probability"] - want[i]["probability"]) for i in want) < 1e-3
