@@ -31,8 +31,8 @@ from tabulark.llm.batches import Stages, drop_path, released, slices
 from tabulark.session import scratch_path
 
 LENGTH, GRAM, BATCHES = 200, 24, 4
-# edges of one key that are compared in one place, and parts of a hot window's rows
-HOT_EDGES, SALTS = 2_000, 32
+# edges of one key that are compared in one place, and of hot keys that are settled at once
+HOT_EDGES, HOT_BLOCK = 2_000, 1 << 14
 BLOCK_BYTES = 1 << 18
 BUCKETS_PER_PARTITION = 8
 U = np.uint64
@@ -391,45 +391,49 @@ def window_hashes(texts: list[bytes], length: int):
     return hashes.of(at, at + length), owner, within
 
 
-def window_rows(asking: DataFrame, length: int) -> DataFrame:
-    """``key, window, number, start, alone``: the hash of each window of the edges that are
-    asked of a text. asking: number, text, edges."""
-
-    @released
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
-            columns = [part.column(c).to_pylist() for c in ("text", "number", "edges")]
-            asked = [
-                (e["key"], number, e["start"], e["alone"],
-                 text[e["start"] : e["start"] + e["count"] + length - 1])
-                for text, number, edges in zip(*columns) for e in edges
-            ]
-            for k in range(0, len(asked), 1_024):
-                *known, texts = zip(*asked[k : k + 1_024])
-                h, owner, within = window_hashes(texts, length)
-                key, number, start, alone = (np.array(v)[owner] for v in known)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v) for v in (key, h.view(np.int64), number, start + within, alone)],
-                    ["key", "window", "number", "start", "alone"],
-                )
-
-    return asking.mapInArrow(
-        hashed, "key long, window long, number long, start long, alone boolean"
-    )
-
-
-def shared_windows(windows: DataFrame, length: int) -> DataFrame:
-    """``number, start, stop`` of the windows of single entries that another place has too.
-    Windows are counted in part before they are shuffled, and a window of many places
-    meets its count in as many tasks as there are salts."""
-    twice = windows.groupBy("key", "window").agg(F.count("*").alias("c")).where("c > 1")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    salt = F.pmod(F.xxhash64("number", "start"), F.lit(SALTS)).cast("int")
-    return (
-        windows.where("alone").withColumn("salt", salt)
-        .join(twice.select("key", "window", salts), ["key", "window", "salt"], "left_semi")
-        .select("number", "start", (F.col("start") + length).alias("stop"))
-    )
+def shared_runs(
+    hit: np.ndarray, owner: np.ndarray, within: np.ndarray, number: np.ndarray, start: np.ndarray,
+    length: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, start, stop) of the runs of neighbouring windows of one text that are hit."""
+    same = owner[1:] == owner[:-1]
+    begin = hit & ~np.concatenate(([False], hit[:-1] & same))
+    end = hit & ~np.concatenate((hit[1:] & same, [False]))
+    first, last = np.flatnonzero(begin), np.flatnonzero(end)
+    own = owner[first]
+    return number[own], start[own] + within[first], start[own] + within[last] + length
+
+
+DEALT = pa.schema([
+    ("key", pa.int64()), ("number", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()),
+    ("alone", pa.bool_()), ("text", pa.binary()),
+])
+
+
+def hot_windows(asked: list[tuple], length: int) -> pa.RecordBatch:
+    """Edges of hot keys (number, start, alone, text) as rows of ``DEALT``. A window that comes
+    here more than once is settled for the single entries among its places (rows with a stop);
+    each window goes on as one row, dealt by its hash, to meet those of other tasks."""
+    *known, texts = zip(*asked)
+    number, start, alone = (np.array(v) for v in known)
+    h, owner, within = window_hashes(texts, length)
+    order = np.argsort(h, kind="stable")
+    first = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
+    sizes = np.diff(np.append(first, len(h)))
+    hit = np.zeros(len(h), bool)
+    hit[order] = np.repeat(sizes > 1, sizes)
+    settled = shared_runs(hit & alone[owner], owner, within, number, start, length)
+    lead = order[first]
+    own, n = owner[lead], len(settled[0])
+    columns = [
+        np.concatenate((settled[0], h[lead].view(np.int64))),
+        np.concatenate((settled[0], number[own])),
+        np.concatenate((settled[1], start[own] + within[lead])),
+        pa.array(np.append(settled[2], np.zeros(len(lead), np.int64)), mask=np.arange(n + len(lead)) >= n),
+        np.concatenate((np.zeros(n, bool), alone[own] & (sizes == 1))),
+        pa.nulls(n + len(lead), pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=DEALT)
 
 
 def pairs_of(column: pa.Array, i: int) -> np.ndarray:
@@ -464,8 +468,9 @@ def remove_repeats(
     empty and keeps a null ``kept_text``. Rows are known by id, or by a hash of id and
     text where ids repeat with other texts or are null; repeated rows are repeats of each
     other. ``batches`` are indexed one after the other; they change the cost, not the result. Keys of more than ``hot_edges`` edges (a passage
-    in as many different surroundings) are compared window by window as rows, in even
-    tasks, others by the bytes of all their edges in one place, with the same result.
+    in as many different surroundings) are compared window by window as rows dealt by the
+    window, which a task sends once for each block of its edges, others by the bytes of all
+    their edges in one place, with the same result.
     """
     spark = docs.sparkSession
     raw = F.col(text_col).cast("binary")
@@ -511,33 +516,35 @@ def remove_repeats(
         "number", "start", (F.col("start") + F.col("count") + length - 1).alias("stop")
     )
     packed = rows.mapInArrow(_pack, ", ".join(f"{n} {t}" for n, t in fields))
-    asked = F.collect_list(F.struct("key", "start", "count", "alone")).alias("edges")
-    wanted = edges.where("NOT hot").groupBy("number").agg(asked)
+    asked = F.collect_list(F.struct("key", "start", "count", "alone", "hot")).alias("edges")
+    wanted = edges.groupBy("number").agg(asked)
 
     @released
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The bytes of each edge."""
+        """The bytes of each edge; of hot keys its windows, as rows."""
         import zstandard
 
         for part in slices(batches, "text", 4 << 20):
-            out = {c: [] for c in ("key", "number", "start", "alone", "text")}
+            cold, hot = [], []
             columns = [part.column(c).to_pylist() for c in ("text", "number", "edges")]
             for packed, number, edges in zip(*columns):
                 text = zstandard.decompress(packed) if edges else b""
                 for e in edges or ():
-                    out["key"].append(e["key"])
-                    out["number"].append(number)
-                    out["start"].append(e["start"])
-                    out["alone"].append(e["alone"])
-                    out["text"].append(text[e["start"] : e["start"] + e["count"] + length - 1])
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out.values(), kinds)], list(out)
-            )
+                    piece = text[e["start"] : e["start"] + e["count"] + length - 1]
+                    if e["hot"]:
+                        hot.append((number, e["start"], e["alone"], piece))
+                    else:
+                        cold.append((e["key"], number, e["start"], None, e["alone"], piece))
+            if cold:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, f.type) for v, f in zip(zip(*cold), DEALT)], schema=DEALT
+                )
+            for k in range(0, len(hot), HOT_BLOCK):
+                yield hot_windows(hot[k : k + HOT_BLOCK], length)
 
     # the same join side as at the end, all columns of it: Spark shuffles the texts once
     edge_rows = packed.join(wanted, "number", "left").mapInArrow(
-        fetch, "key long, number long, start long, alone boolean, text binary"
+        fetch, "key long, number long, start long, stop long, alone boolean, text binary"
     )
     dealt = (
         edge_rows.withColumn("bucket", F.pmod("key", F.lit(index.buckets)))
@@ -545,24 +552,28 @@ def remove_repeats(
     )
 
     def windows(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        """Runs of windows of single entries that occur in another entry of the bucket."""
+        """Runs of windows of single entries that occur in another entry of the bucket, and
+        those that are settled."""
         t = pa.Table.from_batches(parts)
-        texts = t.column("text").to_pylist()
-        h, owner, within = window_hashes(texts, length)
+        number, start = (t.column(c).to_numpy() for c in ("number", "start"))
+        done = t.column("stop").is_valid().to_numpy()
+        row = np.flatnonzero(t.column("text").is_null().to_numpy() & ~done)
+        h, owner, within = window_hashes([x or b"" for x in t.column("text").to_pylist()], length)
+        h = np.concatenate((h, t.column("key").to_numpy()[row].view(np.uint64)))
+        owner = np.concatenate((owner, row))
+        within = np.concatenate((within, np.zeros(len(row), np.int64)))
         order = np.argsort(h, kind="stable")
         s = h[order]
         same = s[1:] == s[:-1]
         hit = np.zeros(len(h), bool)
-        hit[order] = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        if len(h):
+            hit[order] = np.concatenate((same, [False])) | np.concatenate(([False], same))
         hit &= t.column("alone").to_numpy()[owner]
-        begin = hit & ~np.concatenate(([False], hit[:-1] & (owner[1:] == owner[:-1])))
-        end = hit & ~np.concatenate((hit[1:] & (owner[1:] == owner[:-1]), [False]))
-        first, last = np.flatnonzero(begin), np.flatnonzero(end)
-        own = owner[first]
-        base = t.column("start").to_numpy()[own]
+        found = shared_runs(hit, owner, within, number, start, length) if len(h) else ([], [], [])
+        stop = t.column("stop").filter(pa.array(done)).to_numpy()
+        settled = number[done], start[done], stop
         return pa.RecordBatch.from_arrays(
-            [pa.array(t.column("number").to_numpy()[own]), pa.array(base + within[first]),
-             pa.array(base + within[last] + length)],
+            [pa.array(np.concatenate(v).astype(np.int64)) for v in zip(found, settled)],
             ["number", "start", "stop"],
         )
 
@@ -584,11 +595,6 @@ def remove_repeats(
             yield windows(held)
 
     more = dealt.mapInArrow(compare, "number long, start long, stop long")
-    hot = edges.where("hot")
-    if not hot.isEmpty():
-        asking = rows.select("number", "text").join(hot.groupBy("number").agg(asked), "number")
-        windows = stages.write(window_rows(asking, length), "windows")
-        more = more.union(shared_windows(windows, length))
     spans = settled.union(more).groupBy("number").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans")
     )

@@ -61,6 +61,32 @@ def test_edges_of_hot_keys_as_rows(docs_of, hot_edges):
     check(docs_of, rows, hot_edges=hot_edges)
 
 
+def test_hot_keys_need_no_further_pass_over_the_texts(docs_of, monkeypatch):
+    """Edges of hot keys come with the others: nothing else is staged, no text moves again."""
+    draw = random.Random(18)
+    passage = prose(draw, 320)
+    rows = [(i, prose(draw, 70) + passage[draw.randrange(0, 90):] + prose(draw, 60)) for i in range(20)]
+    staged, write = [], S.Stages.write
+    monkeypatch.setattr(S.Stages, "write", lambda self, df, name: (staged.append(name), write(self, df, name))[1])
+    plans = [remove_repeats(docs_of(rows), hot_edges=n) for n in (0, 10_000)]
+    assert staged == 2 * ["matches", "stretches", "edges"]
+    for plan in plans:
+        assert sorted(map(tuple, plan.collect()), key=str) == brute(rows, 200)
+
+
+def test_a_common_window_leaves_a_block_once():
+    draw = random.Random(19)
+    same = prose(draw, 230).encode()
+    asked = [(n, 5, n > 0, same) for n in range(50)] + [(60, 7, True, b"-" + same[:200])]
+    out = S.hot_windows(asked, 200).to_pylist()
+    windows = len(same) - 199
+    going = [r for r in out if r["stop"] is None]
+    assert len(going) == len({r["key"] for r in going}) == windows + 1
+    assert [r["number"] for r in going if r["alone"]] == [60]  # the rest is settled here
+    spans = sorted((r["number"], r["start"], r["stop"]) for r in out if r["stop"] is not None)
+    assert spans == [(n, 5, 5 + len(same)) for n in range(1, 50)] + [(60, 8, 208)]
+
+
 def test_runs_of_one_character_ties_and_short_texts(docs_of):
     rows = [(1, "a" * 500), (2, "b" * 200), (3, "c" * 201), (4, "b" * 199), (5, None), (6, ""), (7, "a" * 150),
             (8, "ab" * 300), (9, "x" + "ab" * 200)]
