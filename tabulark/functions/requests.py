@@ -102,7 +102,14 @@ def request_defaults(df: DataFrame) -> DataFrame:
     message = F.when(
         F.size(problems) > 0, F.concat(F.lit("unreadable: "), F.array_join(problems, ", "))
     )
-    typed = df.withColumns({**columns, "error": F.coalesce(F.col("error"), message)})
+    columns["error"] = F.coalesce(F.col("error"), message)
+    # as a generated row: a filter on the result is not written out in terms of the request,
+    # which would parse it hundreds of times
+    fields = F.inline(F.array(F.struct(*[v.alias(c) for c, v in columns.items()])))
+    ours = {c.lower(): c for c in columns}
+    others = [c for c in df.columns if c.lower() not in ours]
+    order = [ours.pop(c.lower(), c) for c in df.columns] + list(ours.values())
+    typed = df.select(*others, fields).select(*order)
     size = family_size(F.col("SibSp"), F.col("Parch"))
     return typed.withColumns(
         {

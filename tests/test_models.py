@@ -163,6 +163,17 @@ def test_stream_scoring_equals_batch(spark, fitted):
     assert models.batch_score(fitted, rows, ["id"]).count() == 4
 
 
+def test_a_filter_on_decoded_requests_does_not_parse_them_again(spark, capsys):
+    requests = spark.createDataFrame(list(enumerate(BODIES)), "id int, body string")
+    rows = request_defaults(json_request_decode(requests))
+    assert rows.columns[:4] == ["id", "body", "error", "Pclass"]
+    readable = rows.where("error IS NULL")
+    readable.explain("extended")
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("==")[0]
+    assert 0 < plan.count("parseJson") < 20
+    assert sorted(r["id"] for r in readable.collect()) == [0, 1, 2, 5]
+
+
 def test_csv_round_trip(spark):
     path = scratch_path(spark, "csv")
     rows = [(1, 3, 'Khalil, Mrs. Mariana (Miriam")"', "female", None, 0, 1, "A/5", 7.25, None, "S")]
