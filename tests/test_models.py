@@ -253,3 +253,21 @@ def test_comparison_holds_the_out_of_fold_predictions(passengers):
         got[i][c] == want[i][c] for i in want for c in ("Survived", "fold", "prediction")
     )
     assert max(abs(got[i]["probability"] - want[i]["probability"]) for i in want) < 1e-3
+
+
+def test_boostings_of_all_folds_share_their_jobs(spark, passengers):
+    """A level of a round is one job, however many folds there are."""
+    context = spark.sparkContext
+    folds = sampling.stratified_kfold(passengers, "Survived", "PassengerId").cache()
+
+    def jobs(rounds):
+        group = f"comparison of {rounds} rounds"
+        context.setJobGroup(group, group)
+        try:
+            maker = models.candidate_models(rounds=rounds)["GradientBoosting"]
+            assert models.cv_compare(folds, models={"GradientBoosting": maker}).count() == 5
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        return len(context.statusTracker().getJobIdsForGroup(group))
+
+    assert 0 < jobs(12) - jobs(2) < 2 * 10 * K.BOOST_DEPTH
