@@ -1,15 +1,17 @@
 """Near duplicates among vectors by a robust-pruned flat graph.
 
 Equal vectors of a label are one class with a count. Classes are unit-scaled and put into
-overlapping shards: those of one label in the same leaves of a k-means tree, each in its
-``overlap`` best leaves. How many that must be is settled before anything is built: for a
+overlapping shards: those of one label in the same leaves of a k-means tree, each in the
+``overlap`` leaves with the nearest centres. How many that must be is settled before anything is built: for a
 drawn set of vectors the true links are found, and the overlap is the least at which enough
 of them share a leaf. Each shard builds a
-flat graph: points come in batches, are searched greedily from the medoid, and keep the
-robust-pruned neighbours (one is dropped if a kept one is nearer to it, by a factor, than
-the point is). The adjacency lists of a vector are united over its shards and handed back
-to them; then each member searches its shard from the medoid, and while it finds points
-in range it goes on from them, however many there are. Only pairs whose cosine in double
+flat graph: points come in batches, meet all points of the shard in a block product, and keep
+the robust-pruned ones of the nearest (one is dropped if a kept one is nearer to it, by a
+factor, than the point is), in the whole shard and in ever thinner draws of it, which join
+close groups. The adjacency lists of a vector are united over its shards and handed back to
+them, without edges too long for two points in reach of one search; then each member searches
+its shard from its own place in it, and while it finds points in range it goes on from them,
+however many there are. Only pairs whose cosine in double
 precision reaches the bound are links. A draw of fixed size is audited against all rows:
 one vector each of some groups, as many linked ones, and vectors without a link. If too many
 links are missing, shards overlap more and all is done again, and where shards would hold
@@ -33,6 +35,7 @@ from tabulark.llm.kmeans_tree import fit_tree, matrix, with_dimension
 from tabulark.session import stage_table
 
 RANGE, DEGREE, BEAM, ALPHA = 0.93, 24, 32, 1.2
+FAR_DEGREE = 6  # neighbours among each thinner draw of a shard's points
 SLACK = 0.06  # how far below the range a point is still gone on from
 OVERLAP, AUDITED, AUDIT_RECALL = 3, 256, 0.97
 # vectors whose links settle the overlap; vectors without a link that are audited; rows for each
@@ -42,19 +45,21 @@ PROBED, AUDIT_LONELY, GROUP_ROWS = 4_096, 4_096, 1_000
 # than the goal must share a leaf
 PARTNERS, MOST_OVERLAP, MARGIN = 8, 32, 0.01
 LEAF_ROWS, SHARD_ROWS, BATCH = 2_048, 4_096, 128
+BLUR = 1e-5  # how far single precision may be off
 
 
-def beam_search(x, near, medoid: int, queries, beam: int):
+def beam_search(x, near, start, queries, beam: int):
     """(expanded points as a boolean matrix, similarities seen so far, NaN: not seen), by a
-    greedy search of all queries in step."""
+    greedy search of all queries in step from ``start``, one point or one for each query."""
     b, n = len(queries), len(x)
     seen = np.full((b, n), np.nan, np.float32)
     expanded = np.zeros((b, n), bool)
-    seen[:, medoid] = queries @ x[medoid]
+    start = np.broadcast_to(start, b)
     ids = np.full((b, beam), -1)
-    ids[:, 0] = medoid
+    ids[:, 0] = start
     top = np.full((b, beam), -np.inf, np.float32)
-    top[:, 0] = seen[:, medoid]
+    top[:, 0] = np.einsum("ij,ij->i", queries, x[start])
+    seen[np.arange(b), start] = top[:, 0]
     rows = np.arange(b)[:, None]
     width = 4
     while True:
@@ -66,16 +71,7 @@ def beam_search(x, near, medoid: int, queries, beam: int):
         r, c = np.nonzero(going)
         node = ids[r, pick[r, c]]
         expanded[r, node] = True
-        q = np.repeat(r, near.shape[1])
-        other = near[node].ravel()
-        ok = other >= 0
-        q, other = q[ok], other[ok]
-        ok = np.isnan(seen[q, other])
-        q, other = q[ok], other[ok]
-        code = np.unique(q * n + other)
-        q, other = code // n, code % n
-        s = np.einsum("ij,ij->i", queries[q], x[other])
-        seen[q, other] = s
+        q, other, s = look(x, near, queries, r, node, seen)
         # the new points of each query, side by side
         count = np.bincount(q, minlength=b)
         wide = int(count.max()) if len(q) else 0
@@ -90,82 +86,159 @@ def beam_search(x, near, medoid: int, queries, beam: int):
         top, ids = all_top[rows, keep], all_ids[rows, keep]
 
 
-def robust_prune(x, point: int, found: np.ndarray, degree: int, alpha: float) -> np.ndarray:
-    """Neighbours to keep: nearest first, dropping those a kept one covers."""
-    found = found[found != point]
-    far = 1 - x[found] @ x[point]
-    order = np.argsort(far, kind="stable")[: 4 * degree]
-    found, far = found[order], far[order]
-    between = 1 - x[found] @ x[found].T
-    live = np.ones(len(found), bool)
-    kept = []
-    for i in range(len(found)):
-        if live[i]:
-            kept.append(i)
-            if len(kept) == degree:
+def look(x, near, queries, r, node, seen):
+    """(query places, points, similarities) of the points beside ``node`` that query ``r`` has
+    not seen yet, each once and in order; they are seen now."""
+    fresh = np.zeros(seen.shape, bool)
+    for at in range(0, len(r), 1 << 14):
+        q = np.repeat(r[at : at + (1 << 14)], near.shape[1])
+        other = near[node[at : at + (1 << 14)]].ravel()
+        ok = other >= 0
+        fresh[q[ok], other[ok]] = True
+    q, other = np.nonzero(fresh & np.isnan(seen))
+    s = np.empty(len(q), np.float32)
+    for at in range(0, len(q), 1 << 14):
+        part = slice(at, at + (1 << 14))
+        s[part] = np.einsum("ij,ij->i", queries[q[part]], x[other[part]])
+    seen[q, other] = s
+    return q, other, s
+
+
+def robust_prune(x, found: np.ndarray, far: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+    """Which neighbours each point keeps, as a boolean matrix: nearest first, dropping those a
+    kept one covers.
+
+    found: a row for each point, nearest first, padded with -1; far: their distances.
+    """
+    keep = np.zeros(found.shape, bool)
+    todo = np.arange(len(found))
+    # most points are done within the first few; only the others look at all of them
+    for wide in dict.fromkeys((min(degree + degree // 3, found.shape[1]), found.shape[1])):
+        near, d = found[todo, :wide], far[todo, :wide]
+        v = x[near]
+        between = 1 - v @ v.transpose(0, 2, 1)
+        live, kept = near >= 0, np.zeros(near.shape, bool)
+        rows = np.arange(len(todo))
+        for _ in range(degree):
+            first = live.argmax(axis=1)
+            some = live[rows, first]
+            if not some.any():
                 break
-            live &= alpha * between[i] > far
-    return found[kept]
+            kept[rows[some], first[some]] = True
+            live &= alpha * between[rows, first] > d
+            live[rows, first] = False
+        keep[todo, :wide] = kept
+        if wide < found.shape[1]:
+            todo = todo[(kept.sum(axis=1) < degree) & (found[todo, wide] >= 0)]
+    return keep
 
 
 def build_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, seed: int = 3):
-    """(neighbours padded with -1, medoid) of unit vectors."""
+    """(neighbours padded with -1, medoid) of unit vectors.
+
+    A point's candidates are the nearest of all points, by block products: a shard is small
+    enough, and a search for them would look at most of it one by one. So that close groups are
+    no islands, a point also has neighbours among a quarter of all points, a quarter of these,
+    and so on.
+    """
     n = len(x)
     medoid = int(np.argmax(x @ x.mean(axis=0)))
     if n <= degree + 1:
         every = np.tile(np.arange(n), (n, 1))
         return every[~np.eye(n, dtype=bool)].reshape(n, n - 1) if n > 1 else np.full((1, 1), -1), medoid
-    draw = np.random.default_rng(seed)
-    near = draw.integers(0, n, (n, degree))
-    near[near == np.arange(n)[:, None]] = medoid
-    order = draw.permutation(n)
+    order = np.random.default_rng(seed).permutation(n)
+    levels = [(np.arange(n), degree)]
+    while (size := len(levels[-1][0]) // 4) > FAR_DEGREE:
+        levels.append((np.sort(order[:size]), FAR_DEGREE))
+    edges: list[list] = [[] for _ in levels]
     for start in range(0, n, BATCH):
-        batch = order[start : start + BATCH]
-        expanded, _ = beam_search(x, near, medoid, x[batch], BEAM)
-        back: dict[int, list[int]] = {}
-        for point, row in zip(batch.tolist(), expanded):
-            old = near[point][near[point] >= 0]
-            kept = robust_prune(
-                x, point, np.union1d(np.flatnonzero(row), old), degree, alpha
-            )
-            near[point] = -1
-            near[point, : len(kept)] = kept
-            for k in kept.tolist():
-                back.setdefault(k, []).append(point)
-        for k, points in back.items():
-            old = near[k][near[k] >= 0]
-            union = np.union1d(old, points)
-            union = union[union != k]
-            if len(union) > degree:
-                union = robust_prune(x, k, union, degree, alpha)
-            near[k] = -1
-            near[k, : len(union)] = union
-    return near, medoid
+        s = x[start : start + BATCH] @ x.T
+        own = np.arange(len(s))
+        s[own, start + own] = -np.inf
+        for (points, most), kept in zip(levels, edges):
+            part = s[:, points] if len(points) < n else s
+            c = min(4 * most, len(points) - 1)
+            found = np.argpartition(part, len(points) - c, axis=1)[:, len(points) - c :]
+            d = 1 - np.take_along_axis(part, found, 1)
+            nearest = np.argsort(d, axis=1, kind="stable")
+            found, d = points[np.take_along_axis(found, nearest, 1)], np.take_along_axis(d, nearest, 1)
+            r, k = np.nonzero(robust_prune(x, found, d, most, alpha))
+            kept.append((start + r, found[r, k], d[r, k]))
+    lists = [
+        with_back_links(x, *map(np.concatenate, zip(*kept)), most, alpha)
+        for (_, most), kept in zip(levels, edges)
+    ]
+    return np.hstack(lists), medoid
+
+
+def with_back_links(x, a, b, far, degree: int, alpha: float) -> np.ndarray:
+    """Lists of the edges a to b and of those back, pruned where they are more than ``degree``."""
+    n = len(x)
+    code, at = np.unique(np.concatenate((a * n + b, b * n + a)), return_index=True)
+    far = np.concatenate((far, far))[at]
+    a, b = code // n, code % n
+    order = np.lexsort((far, a))
+    a, b, far = a[order], b[order], far[order]
+    count = np.bincount(a, minlength=n)
+    place = np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+    ok = place < 4 * degree
+    found = np.full((n, 4 * degree), -1)
+    found[a[ok], place[ok]] = b[ok]
+    away = np.full((n, 4 * degree), np.inf, np.float32)
+    away[a[ok], place[ok]] = far[ok]
+    near = found[:, :degree].copy()
+    full = np.flatnonzero(count > degree)
+    for start in range(0, len(full), BATCH):
+        some = full[start : start + BATCH]
+        keep = robust_prune(x, found[some], away[some], degree, alpha)
+        r, c = np.nonzero(keep)
+        near[some] = -1
+        near[some[r], (np.cumsum(keep, axis=1) - 1)[r, c]] = found[some[r], c]
+    return near
+
+
+def walks(x, near, start, queries, bound: float, beam: int = BEAM):
+    """Similarities that each query has seen (NaN: not seen) by a greedy search from ``start``,
+    going on from every point within ``SLACK`` of the bound."""
+    expanded, seen = beam_search(x, near, start, queries, beam)
+    while True:
+        r, node = np.nonzero((np.nan_to_num(seen, nan=-2) >= bound - SLACK) & ~expanded)
+        if not len(r):
+            return seen
+        expanded[r, node] = True
+        look(x, near, queries, r, node, seen)
 
 
 def range_search(x, near, medoid: int, queries, bound: float, beam: int = BEAM):
-    """Yields (query place, points seen at ``bound`` or above), going on from every point
-    within ``SLACK`` of the bound."""
-    n = len(x)
+    """Yields (query place, points seen at ``bound`` or above), by walks from the medoid."""
     for start in range(0, len(queries), BATCH):
-        q = queries[start : start + BATCH]
-        expanded, seen = beam_search(x, near, medoid, q, beam)
-        while True:
-            r, node = np.nonzero((np.nan_to_num(seen, nan=-2) >= bound - SLACK) & ~expanded)
-            if not len(r):
-                break
-            expanded[r, node] = True
-            for at in range(0, len(r), 1 << 14):
-                rows = np.repeat(r[at : at + (1 << 14)], near.shape[1])
-                other = near[node[at : at + (1 << 14)]].ravel()
-                ok = other >= 0
-                rows, other = rows[ok], other[ok]
-                ok = np.isnan(seen[rows, other])
-                code = np.unique(rows[ok] * n + other[ok])
-                rows, other = code // n, code % n
-                seen[rows, other] = np.einsum("ij,ij->i", q[rows], x[other])
+        seen = walks(x, near, medoid, queries[start : start + BATCH], bound, beam)
         for i, row in enumerate(seen):
-            yield start + i, np.flatnonzero(np.nan_to_num(row, nan=-2) >= bound - 1e-5)
+            yield start + i, np.flatnonzero(np.nan_to_num(row, nan=-2) >= bound - BLUR)
+
+
+def member_links(x, near, exact, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b) with a < b, each once: places of linked points. A member is a point of the graph,
+    so its walk starts where a search from the medoid would have to get first."""
+    linked = np.zeros((len(x), len(x)), bool)
+    for start in range(0, len(x), BATCH):
+        own = np.arange(start, min(start + BATCH, len(x)))
+        seen = walks(x, near, own, x[own], bound)
+        i, j = np.nonzero(np.nan_to_num(seen, nan=-2) >= bound - BLUR)
+        ok = own[i] != j
+        i, j = i[ok], j[ok]
+        ok = reaches(exact, own[i], exact, j, seen[i, j], bound)
+        linked[np.minimum(own[i[ok]], j[ok]), np.maximum(own[i[ok]], j[ok])] = True
+    return np.nonzero(linked)
+
+
+def reaches(x, i, y, j, s, bound: float) -> np.ndarray:
+    """Whether the cosine of x[i] and y[j] is ``bound`` or more. s: it in single precision,
+    which decides where it is not near the bound."""
+    ok = s >= bound
+    for at in np.array_split(close := np.flatnonzero(np.abs(s - bound) < BLUR), len(close) // (1 << 14) + 1):
+        ok[at] = (x[i[at]] * y[j[at]]).sum(axis=1) >= bound
+    return ok
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -174,41 +247,47 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def shard_rows(rows: DataFrame, overlap: int, tree) -> DataFrame:
-    """``label, leaf, one, two, id, vec``: the members of each shard."""
+def placed_rows(rows: DataFrame, overlap: int, tree) -> DataFrame:
+    """``id, label, vec, leaves``: each row once, with the numbers of its leaves."""
     shared = rows.sparkSession.sparkContext.broadcast(tree)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                leaves = list(shared.value.visits(matrix(batch.column("vec")), overlap))
+                leaves = shared.value.nearest_leaves(unit(matrix(batch.column("vec"))), overlap)
+                ends = np.arange(len(leaves) + 1, dtype=np.int32) * leaves.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(leaves, pa.list_(pa.int64()))],
+                    [*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(leaves.ravel()))],
                     [*batch.schema.names, "leaves"],
                 )
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    placed = rows.mapInArrow(place, f"{fields}, leaves array<long>").select(
-        "label", F.explode("leaves").alias("leaf"), "id", "vec"
-    )
-    return sliced(stage_table(placed, "placed"))
+    return rows.mapInArrow(place, f"{fields}, leaves array<long>")
 
 
-def sliced(placed: DataFrame) -> DataFrame:
-    """Cut leaves of many rows: every pair of their slices is a shard."""
-    counts = placed.groupBy("label", "leaf").agg(
+def leaf_members(placed: DataFrame) -> DataFrame:
+    """A row for each leaf of a row of ``placed_rows``, its other columns as they are."""
+    return placed.withColumn("leaf", F.explode("leaves")).drop("leaves")
+
+
+def slice_counts(members: DataFrame) -> DataFrame:
+    """``label, leaf, cuts``: slices of each leaf."""
+    return members.groupBy("label", "leaf").agg(
         F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("cuts")
     )
+
+
+def sliced(members: DataFrame, counts: DataFrame) -> DataFrame:
+    """Cut leaves of many rows: every pair of their slices is a shard."""
     own = F.pmod(F.xxhash64(F.lit("slice"), "id"), F.col("cuts")).cast("int")
-    cut = placed.join(counts, ["label", "leaf"]).withColumn("own", own)
+    cut = members.join(counts, ["label", "leaf"]).withColumn("own", own)
     # with one slice the only pair is (0, 0); with more, those of different slices
     pairs = F.when(F.col("cuts") == 1, F.array(F.lit(0))).otherwise(
         F.filter(F.sequence(F.lit(0), F.col("cuts") - 1), lambda k: k != F.col("own"))
     )
-    return cut.withColumn("other", F.explode(pairs)).select(
-        "label", "leaf", F.least("own", "other").alias("one"),
-        F.greatest("own", "other").alias("two"), "id", "vec",
-    )
+    return cut.withColumn("other", F.explode(pairs)).withColumns(
+        {"one": F.least("own", "other"), "two": F.greatest("own", "other")}
+    ).drop("cuts", "own", "other")
 
 
 SHARD = ["label", "leaf", "one", "two"]
@@ -216,8 +295,12 @@ SHARD = ["label", "leaf", "one", "two"]
 
 def found_links(rows: DataFrame, bound: float, overlap: int, tree=None) -> DataFrame:
     """``a, b`` with a < b: the linked pairs that the graph finds, each once."""
-    tree = tree or fit_tree(rows, rows.count(), LEAF_ROWS)
-    members = stage_table(shard_rows(rows, overlap, tree), "members")
+    tree = tree or fit_tree(rows, rows.count(), LEAF_ROWS, scaled=unit)
+    placed = stage_table(placed_rows(rows, overlap, tree), "placed")
+    counts = stage_table(slice_counts(leaf_members(placed.select("label", "leaves"))), "counts")
+    # two points that a walk goes on from are at most twice as far apart as it goes
+    reach = 2 * np.arccos(np.clip(bound - SLACK, -1, 1))
+    least = np.cos(reach) - BLUR if reach < np.pi else -2.0
 
     def build(shard: pa.Table) -> pa.Table:
         ids = shard.column("id").to_numpy()
@@ -225,22 +308,29 @@ def found_links(rows: DataFrame, bound: float, overlap: int, tree=None) -> DataF
         ids = ids[order]
         x = unit(matrix(shard.column("vec")))[order].astype(np.float32)
         near, _ = build_graph(x)
-        lists = [ids[r[r >= 0]].tolist() for r in near]
-        return pa.table({"id": ids, "near": pa.array(lists, pa.list_(pa.int64()))})
-
-    graph = members.groupBy(*SHARD).applyInArrow(build, "id long, near array<long>")
-    # one list of DEGREE for each shard of a vector
-    united = graph.groupBy("id").agg(
+        far = np.concatenate([
+            np.einsum("ij,ikj->ik", x[at : at + BATCH], x[near[at : at + BATCH]]) < least
+            for at in range(0, len(x), BATCH)
+        ])
+        near[far] = -1
+        some = np.flatnonzero((near >= 0).any(axis=1))
+        lists = near[some]
+        ends = np.concatenate(([0], np.cumsum((lists >= 0).sum(axis=1)))).astype(np.int32)
+        return pa.table({
+            "id": ids[some], "near": pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[lists[lists >= 0]])),
+        })
+
+    graph = sliced(leaf_members(placed), counts).groupBy(*SHARD).applyInArrow(build, "id long, near array<long>")
+    # one list of DEGREE for each shard of a vector; without any, it links with nothing
+    united = stage_table(graph.groupBy("id").agg(
         F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")
-    )
-    joined = stage_table(members.join(united, "id"), "graph")
+    ), "graph")
 
     def scan(shard: pa.Table) -> pa.Table:
         ids = shard.column("id").to_numpy()
         order = np.argsort(ids, kind="stable")
-        ids, original = ids[order], matrix(shard.column("vec"))[order]
-        exact = unit(original)
-        x = exact.astype(np.float32)
+        ids = ids[order]
+        exact = unit(matrix(shard.column("vec")))[order]
         lists = shard.column("near").combine_chunks().take(pa.array(order))
         counts = np.diff(lists.offsets.to_numpy())
         flat = lists.flatten().to_numpy()
@@ -251,22 +341,17 @@ def found_links(rows: DataFrame, bound: float, overlap: int, tree=None) -> DataF
         wide = np.bincount(owner, minlength=len(ids))
         near = np.full((len(ids), max(1, int(wide.max(initial=0)))), -1)
         near[owner, np.arange(len(owner)) - np.repeat(np.cumsum(wide) - wide, wide)] = place
-        medoid = int(np.argmax(x @ x.mean(axis=0)))
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, points in range_search(x, near, medoid, x, bound):
-            points = points[ids[points] != ids[i]]
-            points = points[(exact[points] * exact[i]).sum(axis=1) >= bound]
-            a.append(np.minimum(ids[i], ids[points]))
-            b.append(np.maximum(ids[i], ids[points]))
-        pairs = np.unique(np.stack((np.concatenate(a), np.concatenate(b))), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
+        a, b = member_links(exact.astype(np.float32), near, exact, bound)
+        return pa.table({"a": ids[a], "b": ids[b]})
 
-    return joined.groupBy(*SHARD).applyInArrow(scan, "a long, b long").distinct()
+    listed = leaf_members(placed.join(united, "id"))
+    return sliced(listed, counts).groupBy(*SHARD).applyInArrow(scan, "a long, b long").distinct()
 
 
 def all_links(rows: DataFrame, bound: float) -> DataFrame:
     """``a, b`` with a < b: all linked pairs, by comparing every two rows of a label."""
-    members = sliced(rows.select("label", F.lit(0).cast("long").alias("leaf"), "id", "vec"))
+    members = rows.select("label", F.lit(0).cast("long").alias("leaf"), "id", "vec")
+    members = sliced(members, slice_counts(members))
 
     def scan(shard: pa.Table) -> pa.Table:
         ids, x = shard.column("id").to_numpy(), unit(matrix(shard.column("vec")))
@@ -290,7 +375,9 @@ def true_links(rows: DataFrame, drawn: pa.Table, bound: float, most: int | None
     ids = drawn.column("id").to_numpy()
     names = {k: i for i, k in enumerate(dict.fromkeys(drawn.column("label").to_pylist()))}
     labels = np.array([names[k] for k in drawn.column("label").to_pylist()], np.int64)
-    x = unit(matrix(drawn.column("vec")))
+    exact = unit(matrix(drawn.column("vec")))
+    x = exact.astype(np.float32)
+    asked = [np.flatnonzero(labels == k) for k in range(len(names))]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,23 +385,28 @@ def true_links(rows: DataFrame, drawn: pa.Table, bound: float, most: int | None
                 continue
             own = batch.column("id").to_numpy()
             like = np.array([names.get(k, -1) for k in batch.column("label").to_pylist()], np.int64)
-            y = unit(matrix(batch.column("vec"))).T
-            for start in range(0, len(x), 256):
-                i, j = np.nonzero(x[start : start + 256] @ y >= bound)
-                i += start
-                ok = (labels[i] == like[j]) & (ids[i] != own[j])
-                i, j = i[ok], j[ok]
-                if most is not None:  # those of the least hash, in each batch and then of all
-                    order = np.lexsort((spread(own[j]), i))
-                    i, j = i[order], j[order]
-                    first = np.searchsorted(i, i)
-                    keep = np.arange(len(i)) - first < most
-                    i, j = i[keep], j[keep]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i]), pa.array(np.minimum(ids[i], own[j])),
-                     pa.array(np.maximum(ids[i], own[j]))],
-                    ["q", "a", "b"],
-                )
+            every = unit(matrix(batch.column("vec")))
+            for k in np.unique(like[like >= 0]):
+                at = np.flatnonzero(like == k)
+                y = every[at].astype(np.float32).T
+                for start in range(0, len(asked[k]), 256):
+                    some = asked[k][start : start + 256]
+                    s = x[some] @ y
+                    i, j = np.nonzero(s >= bound - BLUR)
+                    s, i, j = s[i, j], some[i], at[j]
+                    ok = (ids[i] != own[j]) & reaches(exact, i, every, j, s, bound)
+                    i, j = i[ok], j[ok]
+                    if most is not None:  # those of the least hash, in each batch and then of all
+                        order = np.lexsort((spread(own[j]), i))
+                        i, j = i[order], j[order]
+                        first = np.searchsorted(i, i)
+                        keep = np.arange(len(i)) - first < most
+                        i, j = i[keep], j[keep]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[i]), pa.array(np.minimum(ids[i], own[j])),
+                         pa.array(np.maximum(ids[i], own[j]))],
+                        ["q", "a", "b"],
+                    )
 
     found = rows.select("id", "label", "vec").mapInArrow(scan, "q long, a long, b long")
     if most is None:
@@ -356,8 +448,8 @@ def needed_overlap(rows: DataFrame, tree, n: int, bound: float, goal: float) ->
     ids = ends.column("id").to_numpy()[order]
     limit = min(tree.leaves, MOST_OVERLAP)
     rank = np.full((len(ids), tree.leaves), limit, np.int16)
-    for i, leaves in enumerate(tree.visits(matrix(ends.column("vec"))[order], limit)):
-        rank[i, leaves] = np.arange(len(leaves))
+    leaves = tree.nearest_leaves(unit(matrix(ends.column("vec"))[order]), limit)
+    np.put_along_axis(rank, leaves, np.arange(limit, dtype=np.int16)[None, :], 1)
     least = np.maximum(rank[np.searchsorted(ids, q)], rank[np.searchsorted(ids, other)]).min(axis=1) + 1
     _, owner, count = np.unique(q, return_inverse=True, return_counts=True)
     weight = 1 / (1 + count)
@@ -413,7 +505,7 @@ def links_at_goal(
     """(links, their components, audited recall, overlap): shards overlap more until the goal
     is met; from half of the leaves on all pairs are compared (recall 1, no overlap)."""
     n = rows.count()
-    tree = fit_tree(rows, n, LEAF_ROWS)
+    tree = fit_tree(rows, n, LEAF_ROWS, scaled=unit)
     overlap = needed_overlap(rows, tree, n, bound, goal)
     while 2 * overlap <= tree.leaves or overlap == OVERLAP:
         links = stage_table(found_links(rows, bound, overlap, tree), "links")

@@ -12,7 +12,7 @@ size, where scores are exact.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -80,6 +80,24 @@ class Tree:
                     heapq.heappush(line, (-scores[k], int(k)))
             yield seen
 
+    def nearest_leaves(self, x: np.ndarray, limit: int) -> np.ndarray:
+        """The ``limit`` leaves (all, if fewer) whose centres are nearest to each row, nearest
+        first. No branch is left out: rows beside each other get nearly the same ones, also
+        where an upper split parts them."""
+        nodes = np.flatnonzero(self.leaf >= 0)
+        centers = np.empty((self.leaves, self.centers.shape[1]), np.float32)
+        centers[self.leaf[nodes]] = self.centers[nodes]
+        edge = 0.5 * (centers * centers).sum(axis=1)
+        limit = min(limit, self.leaves)
+        out = np.empty((len(x), limit), np.int64)
+        step = max(1, (1 << 22) // self.leaves)  # bounds the table of scores
+        for start in range(0, len(x), step):
+            far = edge - x[start : start + step].astype(np.float32) @ centers.T
+            top = np.argpartition(far, limit - 1, axis=1)[:, :limit]
+            order = np.lexsort((top, np.take_along_axis(far, top, 1)), axis=1)
+            out[start : start + step] = np.take_along_axis(top, order, 1)
+        return out
+
 
 def cluster(x: np.ndarray, k: int, draw: np.random.Generator, rounds: int = 8) -> np.ndarray:
     """Cluster number of each row, by Lloyd's rounds from k distinct rows."""
@@ -121,9 +139,13 @@ def build_tree(sample: np.ndarray, leaf_rows: int, branching: int = BRANCHING, s
     return Tree(np.array(centers), children, numbers, len(leaf))
 
 
-def fit_tree(vectors: DataFrame, rows: int, leaf_rows: int, sample: int = SAMPLE) -> Tree:
+def fit_tree(
+    vectors: DataFrame, rows: int, leaf_rows: int, sample: int = SAMPLE,
+    scaled: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> Tree:
     """Tree of ``id, vec`` fitted on about ``sample`` rows drawn by a hash of the id, with
-    leaves of about ``leaf_rows`` of all rows and at most MAX_LEAVES leaves."""
+    leaves of about ``leaf_rows`` of all rows and at most MAX_LEAVES leaves; of the vectors
+    as ``scaled`` gives them."""
     part = min(1.0, sample / max(rows, 1))
     unit = F.pmod(F.xxhash64(F.lit("tree"), "id"), F.lit(1 << 30)) / float(1 << 30)
     drawn = vectors.where(unit < part).select("id", "vec").limit(2 * sample).toArrow()
@@ -131,6 +153,7 @@ def fit_tree(vectors: DataFrame, rows: int, leaf_rows: int, sample: int = SAMPLE
         return Tree(np.zeros((1, 0)), [np.zeros(0, np.int64)], np.zeros(1, np.int64), 1)
     order = np.argsort(drawn.column("id").to_numpy(), kind="stable")
     x = matrix(drawn.column("vec"))[order]
+    x = scaled(x) if scaled else x
     least = max(2, int(leaf_rows * len(x) / max(rows, 1)), 2 * len(x) // MAX_LEAVES)
     return build_tree(x, least)
 

@@ -216,3 +216,82 @@ def test_tiny_graphs(n):
     x = unit(np.random.default_rng(n).normal(size=(n, 4)) + 3).astype(np.float32)
     near, medoid = build_graph(x)
     assert sum(len(p) for _, p in range_search(x, near, medoid, x, -1.0)) == n * n
+
+
+def near_copies(draw, n, dim, cosine):
+    """n random unit vectors and, behind them, a vector at that cosine of each."""
+    x = unit(draw.normal(size=(n, dim)))
+    aside = draw.normal(size=(n, dim))
+    aside = unit(aside - (aside * x).sum(axis=1, keepdims=True) * x)
+    return np.concatenate((x, cosine * x + np.sqrt(1 - cosine**2) * aside))
+
+
+def test_three_leaves_are_enough_over_many(spark):
+    """Vectors beside an upper split, and copies of another length, share one of few leaves."""
+    from tabulark.llm import flat_graph
+
+    x = near_copies(np.random.default_rng(21), 2000, 64, 0.98)
+    tree = build_tree(x, 8)
+    assert tree.leaves > 300
+    x[2000:] *= 1000
+    rows = make(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)], "id long, vec array<double>, label int")
+    assert flat_graph.needed_overlap(rows, tree, len(x), 0.93, 0.97) == flat_graph.OVERLAP
+    leaves = tree.nearest_leaves(unit(x), 3)
+    assert (leaves[:2000, :, None] == leaves[2000:, None, :]).any(axis=(1, 2)).mean() > 0.98
+    every = tree.nearest_leaves(unit(x[:50]), 2 * tree.leaves)
+    assert (np.sort(every, axis=1) == np.arange(tree.leaves)).all()
+
+
+def test_graph_holds_the_nearest_and_joins_close_groups():
+    from tabulark.llm.flat_graph import member_links
+
+    draw = np.random.default_rng(22)
+    centers = unit(unit(draw.normal(size=(1, 32))) + draw.normal(size=(5, 32)) * 0.03)
+    groups = np.repeat(centers, 150, axis=0) + draw.normal(size=(750, 32)) * 0.004
+    exact = unit(np.concatenate((groups, draw.normal(size=(850, 32)))))
+    x = exact.astype(np.float32)
+    near, medoid = build_graph(x)
+    s = exact @ exact.T
+    np.fill_diagonal(s, -1)
+    assert (near == s.argmax(axis=1)[:, None]).any(axis=1).mean() > 0.999
+    assert not (near == np.arange(len(x))[:, None]).any()
+    a, b = member_links(x, near, exact, 0.93)
+    found = np.zeros(s.shape, bool)
+    found[a, b] = True
+    assert (a < b).all() and not (found & (s < 0.93)).any()
+    assert found.sum() >= 0.99 * np.triu(s >= 0.93).sum()
+    seen = sum(len(p) - 1 for _, p in range_search(x, near, medoid, x[:750], 0.93))
+    assert seen >= 0.97 * (s[:750] >= 0.93).sum()
+
+
+def test_robust_prune_against_the_rule():
+    from tabulark.llm.flat_graph import robust_prune
+
+    draw = np.random.default_rng(23)
+    x = unit(draw.normal(size=(60, 3))).astype(np.float32)
+    s = x @ x.T
+    np.fill_diagonal(s, -1)
+    found = np.argsort(-s, axis=1, kind="stable")[:, :-1]
+    found[:, 40:] = -1
+    far = 1 - np.take_along_axis(s, np.maximum(found, 0), 1)
+    for degree in (2, 5, 40):
+        got = robust_prune(x, found, far, degree, 1.2)
+        for i, row in enumerate(found):
+            kept: list[int] = []
+            for j in row[row >= 0]:
+                if len(kept) < degree and all(1.2 * (1 - x[k] @ x[j]) > 1 - s[i, j] for k in kept):
+                    kept.append(j)
+            assert row[got[i]].tolist() == kept
+
+
+def test_true_links_keep_to_their_label(spark):
+    from tabulark.llm import flat_graph
+
+    x, labels = grouped(300, 24)
+    rows = make(spark, [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, labels))])
+    named = rows.withColumnsRenamed({"vec_id": "id", "embedding": "vec"})
+    got = flat_graph.true_links(named, named.where("id < 60 AND label < 2").toArrow(), 0.93).toPandas()
+    links, _ = brute_links(x, labels)
+    asked = [i for i in range(60) if labels[i] < 2]
+    assert got.groupby("q").size().reindex(asked, fill_value=0).tolist() == links[asked].tolist()
+    assert (labels[got["a"]] == labels[got["b"]]).all() and set(got["q"]) <= set(asked)
