@@ -35,7 +35,7 @@ from tabulark.llm.kmeans_tree import fit_tree, matrix, with_dimension
 from tabulark.session import stage_table
 
 RANGE, DEGREE, BEAM, ALPHA = 0.93, 24, 32, 1.2
-FAR_DEGREE = 6  # neighbours among each thinner draw of a shard's points
+THINNER, FAR_DEGREE = 4, 6  # share of each thinner draw of a shard's points, neighbours in it
 SLACK = 0.06  # how far below the range a point is still gone on from
 OVERLAP, AUDITED, AUDIT_RECALL = 3, 256, 0.97
 # vectors whose links settle the overlap; vectors without a link that are audited; rows for each
@@ -110,10 +110,17 @@ def robust_prune(x, found: np.ndarray, far: np.ndarray, degree: int, alpha: floa
 
     found: a row for each point, nearest first, padded with -1; far: their distances.
     """
+    # where the nearest do not cover each other, they are the ones to keep
     keep = np.zeros(found.shape, bool)
-    todo = np.arange(len(found))
+    keep[:, :degree] = found[:, :degree] >= 0
+    v = x[found[:, :degree]]
+    covers = alpha * (1 - v @ v.transpose(0, 2, 1)) <= far[:, None, :degree]
+    covers &= keep[:, None, :degree] & np.triu(np.ones(covers.shape[1:], bool), 1)
+    todo = np.flatnonzero(covers.any(axis=(1, 2)))
     # most points are done within the first few; only the others look at all of them
     for wide in dict.fromkeys((min(degree + degree // 3, found.shape[1]), found.shape[1])):
+        if not len(todo):
+            break
         near, d = found[todo, :wide], far[todo, :wide]
         v = x[near]
         between = 1 - v @ v.transpose(0, 2, 1)
@@ -138,8 +145,8 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, seed:
 
     A point's candidates are the nearest of all points, by block products: a shard is small
     enough, and a search for them would look at most of it one by one. So that close groups are
-    no islands, a point also has neighbours among a quarter of all points, a quarter of these,
-    and so on.
+    no islands, a point also has neighbours among one in ``THINNER`` of all points, one in so many
+    of these, and so on.
     """
     n = len(x)
     medoid = int(np.argmax(x @ x.mean(axis=0)))
@@ -148,7 +155,7 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, seed:
         return every[~np.eye(n, dtype=bool)].reshape(n, n - 1) if n > 1 else np.full((1, 1), -1), medoid
     order = np.random.default_rng(seed).permutation(n)
     levels = [(np.arange(n), degree)]
-    while (size := len(levels[-1][0]) // 4) > FAR_DEGREE:
+    while (size := len(levels[-1][0]) // THINNER) > FAR_DEGREE:
         levels.append((np.sort(order[:size]), FAR_DEGREE))
     edges: list[list] = [[] for _ in levels]
     for start in range(0, n, BATCH):
@@ -549,9 +556,12 @@ def near_duplicates(
             F.xxhash64("least", "label", "vec"))), "named"
     )
     links, parts, _, _ = links_at_goal(classes.select("id", "label", "vec"), bound)
-    sizes = classes.select(F.col("id").alias("b"), "n")
     ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    ends = ends.join(sizes, "b").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
+    # a link counts for each vector of the other class; most classes have one
+    more = classes.where("n > 1").select(F.col("id").alias("b"), (F.col("n") - 1).alias("others"))
+    ends = ends.groupBy("a").agg(F.count("*").alias("others")).union(
+        ends.join(more, "b").groupBy("a").agg(F.sum("others").alias("others"))
+    ).groupBy(F.col("a").alias("id")).agg(F.sum("others").alias("others"))
     least = classes.select("id", "least").join(parts, "id", "left")
     roots = least.groupBy(F.coalesce("component", "id").alias("root")).agg(F.min("least").alias("component_id"))
     found = least.select("id", F.coalesce("component", "id").alias("root")).join(roots, "root")
